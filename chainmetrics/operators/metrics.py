@@ -147,8 +147,11 @@ def daily_state(facts: DataFrame) -> DataFrame:
                         - F.coalesce(running_sum(F.coalesce("spent_btc", zero), True), zero)))
 
 
-def basic_from_facts(state: DataFrame) -> DataFrame:
-    """The nine-column basic metric table (days with creations, spends and transactions)."""
+def basic_from_facts(state: DataFrame, extra=()) -> DataFrame:
+    """The nine-column basic metric table (days with creations, spends and transactions).
+
+    ``extra`` columns of the state frame are carried along.
+    """
     zero = F.lit(0.0)
     return (state.where((F.col("n_created") > 0) & (F.col("n_spent") > 0) & (F.col("n_tx") > 0))
             .select("Date",
@@ -158,7 +161,7 @@ def basic_from_facts(state: DataFrame) -> DataFrame:
                     X.safe_div("created_usd", "created_btc").alias("price"),
                     F.col("n_tx").alias("tx_count"),
                     F.coalesce("line_btc", zero).alias("tv_btc"),
-                    F.col("order_usd").alias("tv_usd")))
+                    F.col("order_usd").alias("tv_usd"), *extra))
 
 
 def sopr_from_facts(facts: DataFrame) -> DataFrame:
@@ -231,18 +234,9 @@ def cumulative_cdd(basic: DataFrame, genesis: str = X.CHAIN_GENESIS) -> DataFram
                         X.day_number("Date", genesis).alias("n_days"))
 
 
-def computed_metrics(basic: DataFrame, realised_cap: DataFrame, sopr_df: DataFrame,
-                     genesis: str = X.CHAIN_GENESIS) -> DataFrame:
-    """The 16 valuation metrics per day (C2), inner-joined on Date like upstream.
-
-    Running sums are taken over the basic table first (its days only), then the
-    day-grain frames are joined and one projection computes every column.
-    """
-    b = (basic
-         .withColumn("thermocap", running_sum(F.col("cost_per_tx") * F.col("tx_count")))
-         .withColumn("cum_cdd_usd", running_sum(F.col("cdd") * F.col("price")))
-         .withColumn("n_days", X.day_number("Date", genesis)))
-    j = b.join(realised_cap.select("Date", "rc_usd", "rc_btc"), "Date").join(sopr_df, "Date")
+def _valuation(j: DataFrame) -> DataFrame:
+    """The 16-column projection over a day frame holding the basic columns,
+    rc_usd, rc_btc, sopr, thermocap, cum_cdd_usd and n_days."""
     j = (j.withColumn("market_cap", X.market_cap())
           .withColumn("realised_price", X.realised_price())
           .withColumn("nvt", X.nvt())
@@ -264,11 +258,37 @@ def computed_metrics(basic: DataFrame, realised_cap: DataFrame, sopr_df: DataFra
     )
 
 
+def _with_running_sums(basic: DataFrame, genesis: str) -> DataFrame:
+    return (basic
+            .withColumn("thermocap", running_sum(F.col("cost_per_tx") * F.col("tx_count")))
+            .withColumn("cum_cdd_usd", running_sum(F.col("cdd") * F.col("price")))
+            .withColumn("n_days", X.day_number("Date", genesis)))
+
+
+def computed_metrics(basic: DataFrame, realised_cap: DataFrame, sopr_df: DataFrame,
+                     genesis: str = X.CHAIN_GENESIS) -> DataFrame:
+    """The 16 valuation metrics per day (C2), inner-joined on Date like upstream.
+
+    Running sums are taken over the basic table first (its days only), then the
+    day-grain frames are joined and one projection computes every column.
+    """
+    b = _with_running_sums(basic, genesis)
+    j = b.join(realised_cap.select("Date", "rc_usd", "rc_btc"), "Date").join(sopr_df, "Date")
+    return _valuation(j)
+
+
 def chain_metrics(lineitem: DataFrame, orders: DataFrame, genesis: str = X.CHAIN_GENESIS):
-    """Fused pipeline from the fact tables. Returns (basic_metrics, computed_metrics)."""
+    """Fused pipeline from the fact tables. Returns (basic_metrics, computed_metrics).
+
+    One join, one fact-grain aggregation; every later step is a linear chain of
+    day-grain windows and projections (no self-joins, so the fact work is not
+    repeated per branch).
+    """
     from chainmetrics.sources.adapters import order_lines
     facts = day_facts(order_lines(lineitem, orders), orders)
     state = daily_state(facts)
-    basic = basic_from_facts(state)
-    computed = computed_metrics(basic, realised_cap_from_state(state), sopr_from_facts(facts), genesis)
+    days = basic_from_facts(state, extra=(
+        "rc_usd", "rc_btc", X.safe_div("spent_value_usd", "spent_usd").alias("sopr")))
+    basic = days.select("Date", *BASIC_COLUMNS)
+    computed = _valuation(_with_running_sums(days, genesis))
     return basic, computed
