@@ -3,7 +3,7 @@
 Importing this package registers every query module.
 """
 
-from chainmetrics.plans import metric_queries  # noqa: F401
+from chainmetrics.plans import label_queries, metric_queries  # noqa: F401
 from chainmetrics.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
