@@ -3,7 +3,12 @@
 Importing this package registers every query module.
 """
 
-from chainmetrics.plans import label_queries, metric_queries  # noqa: F401
+from chainmetrics.plans import (  # noqa: F401
+    label_queries,
+    metric_queries,
+    serving_queries,
+    stats_queries,
+)
 from chainmetrics.plans.registry import ORACLES, QUERIES
 
 __all__ = ["QUERIES", "ORACLES"]
