@@ -6,6 +6,7 @@ Importing this package registers every query module.
 from chainmetrics.plans import (  # noqa: F401
     label_queries,
     metric_queries,
+    model_queries,
     serving_queries,
     stats_queries,
 )
