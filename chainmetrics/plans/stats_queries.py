@@ -157,3 +157,20 @@ def q_cluster_points(t):
     return out.select(F.col("pc1").alias("principal_component_1"), F.col("pc2").alias("principal_component_2"),
                       F.col("cluster").cast("string").alias("cluster"),
                       F.col("anomaly").cast("string").alias("anomaly"))
+
+
+@register("isolation_forest")
+def q_isolation_forest(t):
+    """Isolation forest on the five standardised daily features (H8)."""
+    from chainmetrics.operators.isoforest import isolation_forest
+    z = FE.standard_scale(daily_features(t), FEATURES, suffix="_z")
+    out = isolation_forest(z, [c + "_z" for c in FEATURES], id_col=None)
+    return out.select("Date", *FEATURES, "score", "anomaly")
+
+
+@register("autoencoder_outliers")
+def q_autoencoder(t):
+    """Auto-encoder reconstruction error on the five daily features."""
+    from chainmetrics.operators.autoencoder import autoencoder_outliers
+    out = autoencoder_outliers(daily_features(t), FEATURES)
+    return out.select("Date", *FEATURES, "score", "anomaly")
