@@ -7,6 +7,7 @@ from chainmetrics.plans import (  # noqa: F401
     label_queries,
     metric_queries,
     model_queries,
+    stream_queries,
     serving_queries,
     stats_queries,
 )

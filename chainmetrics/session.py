@@ -66,4 +66,11 @@ def local_path(path: str) -> str:
     return path[5:] if path.startswith("file:") else path
 
 
-__all__ = ["build_session", "checkpoint_root", "scratch_path", "local_path", "BASE_CONF"]
+
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` exists on its (Hadoop) file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)

@@ -32,3 +32,12 @@ class Tables:
         if name in DRIVER_TABLES:
             return read_table(self.spark, self.root, name)
         raise AttributeError(name)
+
+
+def stream_path(root: str, name: str) -> str:
+    """Path for a file stream over one table.
+
+    A stream source needs a folder or a glob; ``{name}`` is a glob matching
+    exactly the table, so a single-file table works as well as a folder.
+    """
+    return f"{root.rstrip('/')}/{{{name}}}.parquet"
