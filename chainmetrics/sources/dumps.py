@@ -12,12 +12,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-DAY_PATTERN = r"(\d{8})(?:\.tsv|\.csv|/|$)"
+FILE_DAY = r"_(\d{8})\."          # <prefix>_<table>_YYYYMMDD.tsv[.gz]
+FOLDER_DAY = r"/(?:day|date)=(\d{8})/"  # .../day=YYYYMMDD/part-...
 
 
 def with_file_day(df: DataFrame, col: str = "date") -> DataFrame:
-    day = F.regexp_extract(F.col("_metadata.file_path"), DAY_PATTERN, 1)
-    return df.withColumn(col, F.to_date(day, "yyyyMMdd"))
+    """Day of each row from its file name, else from its day folder."""
+    def grab(c, pattern):
+        return F.nullif(F.regexp_extract(F.col(c), pattern, 1), F.lit(""))
+    day = F.coalesce(grab("_metadata.file_name", FILE_DAY), grab("_metadata.file_path", FOLDER_DAY))
+    return df.withColumn(col, F.try_to_date(day, "yyyyMMdd"))
 
 
 def read_dumps(spark: SparkSession, root: str, table: str, start=None, end=None,
