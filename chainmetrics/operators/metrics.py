@@ -91,10 +91,9 @@ def day_facts(lines: DataFrame, orders: DataFrame) -> DataFrame:
     """All raw daily sums in one pass over the line-grain frame.
 
     Each line contributes up to three rows (creation day, spend day, order day)
-    through a generator; one hash aggregation with map-side partial aggregation
-    then reduces them per day. Order-grain sums (count, total price) come from a
-    separate partial aggregation over ``orders``; the two day-grain results are
-    joined on Date.
+    through a generator and each order one row (its day); a single hash
+    aggregation over the union, with map-side partial aggregation, reduces them
+    per day. One shuffle of at most (days x map tasks) partial rows.
     """
     dbl = F.lit(None).cast("double")
     cdd = F.col("value_btc") * F.datediff("spent", "created")
@@ -103,16 +102,19 @@ def day_facts(lines: DataFrame, orders: DataFrame) -> DataFrame:
                         usd.alias("usd"), x.alias("x"), y.alias("y"))
 
     v_btc, v_usd = F.col("value_btc"), F.col("value_usd")
-    rows = lines.select(F.inline(F.array(
+    line_rows = lines.select(F.inline(F.array(
         row(F.col("created"), 0, v_btc, v_usd, dbl, dbl),
         row(F.col("spent"), 1, v_btc, v_usd, F.col("spending_value_usd"), cdd),
         row(F.col("order_day"), 2, v_btc, F.col("fee_usd"), dbl, dbl),
-    ))).where(F.col("Date").isNotNull())
+    )))
+    order_rows = orders.select(F.inline(F.array(
+        row(F.col("o_orderdate").cast("date"), 3, dbl, F.col("o_totalprice"), dbl, dbl))))
+    rows = line_rows.unionByName(order_rows).where(F.col("Date").isNotNull())
 
     def on(kind, c):
         return F.when(F.col("kind") == kind, c)
 
-    line_facts = rows.groupBy("Date").agg(
+    return rows.groupBy("Date").agg(
         F.count(on(0, F.lit(1))).alias("n_created"),
         F.sum(on(0, F.col("btc"))).alias("created_btc"),
         F.sum(on(0, F.col("usd"))).alias("created_usd"),
@@ -124,12 +126,10 @@ def day_facts(lines: DataFrame, orders: DataFrame) -> DataFrame:
         F.sum(on(1, F.col("y"))).alias("cdd"),
         F.sum(on(2, F.col("btc"))).alias("line_btc"),
         F.sum(on(2, F.col("usd"))).alias("line_fee_usd"),
+        F.count(on(3, F.lit(1))).alias("n_tx"),
+        F.sum(on(3, F.col("usd"))).alias("order_usd"),
+        F.avg(on(3, F.col("usd"))).alias("atv"),
     )
-    order_facts = (orders.groupBy(F.col("o_orderdate").cast("date").alias("Date"))
-                   .agg(F.count(F.lit(1)).alias("n_tx"),
-                        F.sum("o_totalprice").alias("order_usd"),
-                        F.avg("o_totalprice").alias("atv")))
-    return line_facts.join(order_facts, "Date", "full")
 
 
 def daily_state(facts: DataFrame) -> DataFrame:
@@ -139,12 +139,13 @@ def daily_state(facts: DataFrame) -> DataFrame:
     spent before D (an output spent on D still counts on D).
     """
     zero = F.lit(0.0)
-    return (facts
-            .withColumn("circulating_supply", running_sum(F.coalesce("created_btc", zero)))
-            .withColumn("rc_usd", running_sum(F.coalesce("created_usd", zero))
-                        - F.coalesce(running_sum(F.coalesce("spent_usd", zero), True), zero))
-            .withColumn("rc_btc", running_sum(F.coalesce("created_btc", zero))
-                        - F.coalesce(running_sum(F.coalesce("spent_btc", zero), True), zero)))
+    return facts.withColumns({
+        "circulating_supply": running_sum(F.coalesce("created_btc", zero)),
+        "rc_usd": running_sum(F.coalesce("created_usd", zero))
+        - F.coalesce(running_sum(F.coalesce("spent_usd", zero), True), zero),
+        "rc_btc": running_sum(F.coalesce("created_btc", zero))
+        - F.coalesce(running_sum(F.coalesce("spent_btc", zero), True), zero),
+    })
 
 
 def basic_from_facts(state: DataFrame, extra=()) -> DataFrame:
@@ -237,10 +238,8 @@ def cumulative_cdd(basic: DataFrame, genesis: str = X.CHAIN_GENESIS) -> DataFram
 def _valuation(j: DataFrame) -> DataFrame:
     """The 16-column projection over a day frame holding the basic columns,
     rc_usd, rc_btc, sopr, thermocap, cum_cdd_usd and n_days."""
-    j = (j.withColumn("market_cap", X.market_cap())
-          .withColumn("realised_price", X.realised_price())
-          .withColumn("nvt", X.nvt())
-          .withColumn("transferred_price", X.transferred_price()))
+    j = j.withColumns({"market_cap": X.market_cap(), "realised_price": X.realised_price()})
+    j = j.withColumns({"nvt": X.nvt(), "transferred_price": X.transferred_price()})
     return j.select(
         "Date", "market_cap",
         F.col("rc_usd").alias("realised_cap"),
@@ -259,10 +258,11 @@ def _valuation(j: DataFrame) -> DataFrame:
 
 
 def _with_running_sums(basic: DataFrame, genesis: str) -> DataFrame:
-    return (basic
-            .withColumn("thermocap", running_sum(F.col("cost_per_tx") * F.col("tx_count")))
-            .withColumn("cum_cdd_usd", running_sum(F.col("cdd") * F.col("price")))
-            .withColumn("n_days", X.day_number("Date", genesis)))
+    return basic.withColumns({
+        "thermocap": running_sum(F.col("cost_per_tx") * F.col("tx_count")),
+        "cum_cdd_usd": running_sum(F.col("cdd") * F.col("price")),
+        "n_days": X.day_number("Date", genesis),
+    })
 
 
 def computed_metrics(basic: DataFrame, realised_cap: DataFrame, sopr_df: DataFrame,

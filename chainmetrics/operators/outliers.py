@@ -1,8 +1,9 @@
 """Outlier flags: contamination thresholds, centroid distances, k-means.
 
 The detectors run on the daily feature table (one row per day). The exact
-n-largest threshold ranks the day rows in one window; for fact-grain scores use
-``method="approx"`` (``percentile_approx``, a mergeable sketch).
+n-largest and percentile thresholds use whole-frame windows over those day
+rows; for fact-grain scores use ``method="approx"`` (``percentile_approx``, a
+mergeable sketch computed by a distributed aggregate).
 """
 
 from __future__ import annotations
@@ -53,11 +54,29 @@ def flag_outliers(df: DataFrame, score: str, fraction: float = OUTLIER_FRACTION,
                   method: str = "nlargest", flag: str = "anomaly", strict: bool = False) -> DataFrame:
     """Append ``flag`` = 1 where score >= threshold (``>`` when ``strict``), else 0.
 
-    The threshold is a scalar subquery over the same frame.
+    ``nlargest`` / ``percentile`` compute the threshold with whole-frame windows
+    in the same pass (day-grain score tables: one small partition, no second
+    pass over the plan behind ``df``). ``approx`` uses a distributed
+    ``percentile_approx`` scalar subquery for fact-grain scores.
     """
-    thr = contamination_threshold(df, score, fraction, method).select("threshold").scalar()
+    whole = Window.partitionBy()
+    if method == "nlargest":
+        ranked = df.withColumns({
+            "_rn": F.row_number().over(Window.orderBy(F.desc(score))),
+            "_n": nlargest_count(F.count(F.lit(1)).over(whole), fraction),
+        })
+        thr = F.min(F.when(F.col("_rn") <= F.col("_n"), F.col(score))).over(whole)
+        base = ranked
+    elif method == "percentile":
+        thr = F.percentile(score, 1.0 - fraction).over(whole)
+        base = df
+    elif method == "approx":
+        thr = contamination_threshold(df, score, fraction, "approx").select("threshold").scalar()
+        base = df
+    else:
+        raise ValueError(method)
     hit = (F.col(score) > thr) if strict else (F.col(score) >= thr)
-    return df.withColumn(flag, F.coalesce(hit, F.lit(False)).cast("int"))
+    return base.withColumn(flag, F.coalesce(hit, F.lit(False)).cast("int")).drop("_rn", "_n")
 
 
 def _dist(cols, centre):

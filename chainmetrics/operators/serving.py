@@ -57,15 +57,16 @@ def date_range(df: DataFrame, start=None, end=None, col: str = "Date") -> DataFr
 def range_preset(df: DataFrame, preset: str, col: str = "Date") -> DataFrame:
     """Last month / 6 months / year-to-date / year / all, relative to the last day present.
 
-    The last day is an uncorrelated scalar subquery (one aggregate row), not a
-    join.
+    The last day is a whole-frame window maximum: the input is a day axis (one
+    row per day), so this stays one small pass, with no join and no second scan.
     """
     kind, n = PRESETS[preset]
     if kind == "all":
         return df
-    last = df.select(F.max(col)).scalar()
+    last = F.col("_last")
     lower = F.add_months(last, -n) if kind == "months" else F.trunc(last, "year")
-    return df.where(F.col(col) >= lower)
+    return (df.withColumn("_last", F.max(col).over(Window.partitionBy()))
+            .where(F.col(col) >= lower).drop("_last"))
 
 
 def term_predicate(text_col, search: str):

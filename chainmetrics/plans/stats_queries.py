@@ -10,6 +10,7 @@ from chainmetrics.operators import serving as S
 from chainmetrics.plans.registry import VIEWS, register, with_views
 from chainmetrics.plans.rounding import RATIO, round_all, sql_rnd
 from chainmetrics.plans.serving_queries import tables
+from chainmetrics.session import materialize
 
 # The five daily features of the outlier detectors and the two of k-means.
 FEATURES = ("tv_usd", "tx_count", "cdd", "circulating_supply", "price")
@@ -37,8 +38,10 @@ VIEWS.update({
 
 
 def daily_features(t):
+    """The five daily features, materialised once (a few thousand rows) so the
+    scaler statistics, thresholds and model fits read them, not the facts."""
     basic, _ = tables(t)
-    return basic.select("Date", *FEATURES)
+    return materialize(basic.select("Date", *FEATURES))
 
 
 def _scaled(t):

@@ -74,3 +74,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def materialize(df):
+    """Write a (small) intermediate result to the shared checkpoint folder and
+    cut its lineage, so later passes (scalar subqueries, model fits) read it
+    instead of recomputing the plan behind it. Survives executor loss."""
+    checkpoint_root(df.sparkSession)
+    return df.checkpoint(eager=True)

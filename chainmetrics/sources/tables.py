@@ -27,10 +27,14 @@ class Tables:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root
+        self._frames: dict[str, DataFrame] = {}
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in DRIVER_TABLES:
-            return read_table(self.spark, self.root, name)
+            # One scan definition per table and query (file listing once).
+            if name not in self._frames:
+                self._frames[name] = read_table(self.spark, self.root, name)
+            return self._frames[name]
         raise AttributeError(name)
 
 
