@@ -224,15 +224,23 @@ def basic_metrics(daily_tx: DataFrame, cdd: DataFrame, outputs_daily: DataFrame)
 
 
 def thermocap(basic: DataFrame) -> DataFrame:
-    """All-time sum of miner revenue (E1): running sum of fee x count."""
-    return basic.select("Date", running_sum(F.col("cost_per_tx") * F.col("tx_count")).alias("thermocap"))
+    """All-time sum of miner revenue (E1): running sum of fee x count.
+
+    Exact duplicate day rows (a day loaded twice) are collapsed first (D7).
+    """
+    d = basic.select("Date", "cost_per_tx", "tx_count").dropDuplicates()
+    return d.select("Date", running_sum(F.col("cost_per_tx") * F.col("tx_count")).alias("thermocap"))
 
 
 def cumulative_cdd(basic: DataFrame, genesis: str = X.CHAIN_GENESIS) -> DataFrame:
-    """Running sum of CDD valued at the day's price, with the day number."""
-    return basic.select("Date",
-                        running_sum(F.col("cdd") * F.col("price")).alias("cum_cdd_usd"),
-                        X.day_number("Date", genesis).alias("n_days"))
+    """Running sum of CDD valued at the day's price, with the day number.
+
+    Exact duplicate day rows are collapsed first (D7).
+    """
+    d = basic.select("Date", "cdd", "price").dropDuplicates()
+    return d.select("Date",
+                    running_sum(F.col("cdd") * F.col("price")).alias("cum_cdd_usd"),
+                    X.day_number("Date", genesis).alias("n_days"))
 
 
 def _valuation(j: DataFrame) -> DataFrame:

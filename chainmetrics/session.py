@@ -82,3 +82,10 @@ def materialize(df):
     instead of recomputing the plan behind it. Survives executor loss."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def table_exists(spark: SparkSession, name_or_path: str) -> bool:
+    """Catalog table or storage path exists (A11): picks create vs append."""
+    if "/" in name_or_path:
+        return path_exists(spark, name_or_path)
+    return spark.catalog.tableExists(name_or_path)

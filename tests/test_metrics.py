@@ -105,3 +105,22 @@ def test_display_names_and_units(spark):
     assert out.columns == ["Date", "Price ($)", "sat"]
     assert out.select(X.to_coins("sat")).first()[0] == 2.5
     assert df.select(X.day_number(F.lit(D(2009, 1, 3)))).first()[0] == 1
+
+
+def test_duplicate_day_collapsed_before_running_sum(spark):
+    basic = spark.createDataFrame(
+        [(D(2020, 1, 1), 2.0, 3, 1.0, 10.0), (D(2020, 1, 1), 2.0, 3, 1.0, 10.0), (D(2020, 1, 2), 1.0, 1, 1.0, 1.0)],
+        "Date DATE, cost_per_tx DOUBLE, tx_count BIGINT, cdd DOUBLE, price DOUBLE")
+    assert dict(rows(M.thermocap(basic))) == {D(2020, 1, 1): 6.0, D(2020, 1, 2): 7.0}
+
+
+def test_common_helpers(spark):
+    from chainmetrics.functions import common as CM
+    df = spark.createDataFrame([("03/01/2009", "x_knn_pred", True), ("2009-01-04", "y_dtc", False), ("bad", "z", None)],
+                               "t STRING, n STRING, b BOOLEAN")
+    out = df.select(CM.parse_day("t").alias("d"), CM.name_part("n").alias("m"), CM.flag_to_int("b").alias("i"),
+                    CM.day_key(CM.parse_day("t")).alias("k")).collect()
+    assert [r["d"] for r in out] == [D(2009, 1, 3), D(2009, 1, 4), None]
+    assert [r["m"] for r in out] == ["knn", "dtc", None] and [r["i"] for r in out] == [1, 0, None]
+    assert out[0]["k"] == "20090103"
+    assert CM.feature_columns(spark.createDataFrame([(1, 2, 3)], "Date INT, b INT, a INT")) == ["a", "b"]
