@@ -94,7 +94,10 @@ def label_inputs(inputs: DataFrame, labels: DataFrame, tx: DataFrame,
     lab = labels.select("account", F.col("label").alias("_label"))
     txs = tx.select("hash", *[F.col(c).alias(f"tx_{c}") if c in inputs.columns else F.col(c)
                               for c in tx_columns])
-    j = inputs.join(lab, "account", "left").join(txs, "hash", "inner")
+    # Hash join first: inputs and transactions are both keyed by the
+    # transaction hash (co-partitioned when they come from the same line join),
+    # then one shuffle (or broadcast) for the account lookup.
+    j = inputs.join(txs, "hash", "inner").join(lab, "account", "left")
     return (j.withColumn("label", F.coalesce(F.col("_label"), F.lit(0)).cast("int"))
             .drop("_label"))
 

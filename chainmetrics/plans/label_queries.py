@@ -48,8 +48,12 @@ def illicit(t):
 
 
 def labelled_inputs(t):
-    inputs = A.spent_inputs(A.utxo(t.lineitem, t.orders))
-    return L.label_inputs(inputs, illicit(t), A.transactions(t.lineitem, t.orders))
+    lines = A.order_lines(t.lineitem, t.orders).drop("order_day")
+    inputs = A.spent_inputs(lines).withColumnRenamed("order_total_usd", "output_total_usd")
+    tx = A.order_totals(t.lineitem)
+    return L.label_inputs(inputs, illicit(t), tx, ("input_count", "output_total", "fee_usd")).select(
+        "hash", "account", "created", "spent", "value_btc", "value_usd", "spending_value_usd", "fee_usd",
+        "lifespan", "cdd", "input_count", "output_total", "output_total_usd", "tx_fee_usd", "label")
 
 
 @register("category_labels", with_views("SELECT account, label FROM category_labels", "category_labels"))

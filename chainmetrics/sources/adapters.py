@@ -27,7 +27,7 @@ def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """
     li = lineitem.select("l_orderkey", "l_quantity", "l_extendedprice", "l_discount",
                          "l_tax", "l_linestatus", "l_shipdate")
-    o = orders.select("o_orderkey", "o_custkey", "o_orderdate")
+    o = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
     first = F.least("o_orderdate", "l_shipdate").cast("date")
     last = F.greatest("o_orderdate", "l_shipdate").cast("date")
@@ -42,12 +42,13 @@ def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         (F.col("l_extendedprice") * (1 - F.col("l_discount")) * (1 + F.col("l_tax")))
         .alias("spending_value_usd"),
         (F.col("l_extendedprice") * F.col("l_tax")).alias("fee_usd"),
+        F.col("o_totalprice").alias("order_total_usd"),
     )
 
 
 def utxo(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     """Every output ever created (spent or not)."""
-    return order_lines(lineitem, orders).drop("order_day")
+    return order_lines(lineitem, orders).drop("order_day", "order_total_usd")
 
 
 def spent_inputs(outputs: DataFrame) -> DataFrame:
@@ -80,6 +81,21 @@ def transactions(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
 
+def order_totals(lineitem: DataFrame) -> DataFrame:
+    """Per transaction: number of outputs, coin total and fee total, straight from
+    the line items (hash, input_count, output_total, fee_usd).
+
+    Partial aggregation sends one row per transaction and map task; the result
+    is hash-partitioned by the order key like the line join, so joining it back
+    onto line-grain rows needs no further shuffle of the lines.
+    """
+    return lineitem.groupBy(F.col("l_orderkey").alias("hash")).agg(
+        F.count(F.lit(1)).alias("input_count"),
+        F.sum("l_quantity").alias("output_total"),
+        F.sum(F.col("l_extendedprice") * F.col("l_tax")).alias("fee_usd"),
+    )
+
+
 def abuse_reports(events: DataFrame) -> DataFrame:
     """Abuse-report feed: one row per report (error event), account may repeat."""
     return (events.where(F.col("event_type") == "error")
