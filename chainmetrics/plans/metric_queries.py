@@ -8,7 +8,7 @@ from chainmetrics.functions import chain as X
 from chainmetrics.operators import metrics as M
 from chainmetrics.operators import utxo as U
 from chainmetrics.plans.registry import register, with_views
-from chainmetrics.plans.rounding import RATIO, USD, WHOLE, round_all, sql_rnd, sql_select
+from chainmetrics.plans.rounding import RATIO, THOUSANDS, USD, WHOLE, round_all, sql_rnd, sql_select
 from chainmetrics.sources import adapters as A
 
 # Day number origin for the test tables (their first order day).
@@ -22,7 +22,7 @@ COMPUTED_SPEC = {
     "relative_unrealised_profit": WHOLE, "velocity": RATIO, "net_realised_profit_loss": WHOLE,
     "coin_dormancy": RATIO, "mc_thermocap_ratio": RATIO, "transferred_price": RATIO,
     "balanced_price": RATIO, "investor_cap": WHOLE,
-    "rc_usd": WHOLE, "rc_btc": RATIO, "cum_cdd_usd": WHOLE, "tv_usd": USD, "tx_count": None,
+    "rc_usd": WHOLE, "rc_btc": RATIO, "cum_cdd_usd": THOUSANDS, "tv_usd": USD, "tx_count": None,
 }
 SPEC = {k: v for k, v in {**BASIC_SPEC, **COMPUTED_SPEC}.items() if v is not None}
 

@@ -19,17 +19,22 @@ from pyspark.sql import functions as F
 USD = (2, 0.000137)
 RATIO = (6, 0.0000000137)
 WHOLE = (0, 0.01375)
+# Running sums beyond ~1e12 carry float noise near 1e-3: compare in thousands.
+THOUSANDS = (-3, 13.75)
 
 
 def rnd(col, spec=RATIO) -> Column:
+    """Rounded value; ``+ 0.0`` turns a negative zero into 0.0 (engines differ there)."""
     places, offset = spec
     c = F.col(col) if isinstance(col, str) else col
-    return F.round(c + F.lit(offset), places) if offset else F.round(c, places)
+    r = F.round(c + F.lit(offset), places) if offset else F.round(c, places)
+    return r + F.lit(0.0)
 
 
 def sql_rnd(expr: str, spec=RATIO) -> str:
     places, offset = spec
-    return f"round(({expr}) + {offset!r}, {places})" if offset else f"round({expr}, {places})"
+    r = f"round(({expr}) + {offset!r}, {places})" if offset else f"round({expr}, {places})"
+    return f"({r} + 0.0)"
 
 
 def round_all(df, specs: dict):
