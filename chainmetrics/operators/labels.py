@@ -52,9 +52,18 @@ def parse_report_props(reports: DataFrame, column: str = "props", schema: str =
                           *[parsed[f].alias(f) for f in fields])
 
 
-def label_union(feeds: dict) -> DataFrame:
-    """UNION ALL of label feeds, tagged with the feed name (G1)."""
-    tagged = [df.select("account", "label", F.lit(name).alias("source")) for name, df in feeds.items()]
+def label_union(feeds: dict, rank: bool = False) -> DataFrame:
+    """UNION ALL of label feeds, tagged with the feed name (G1).
+
+    With ``rank`` the feed's position (0, 1, ...) is added as ``source_rank``,
+    the survivor order used by ``illicit_label_table``.
+    """
+    tagged = []
+    for i, (name, df) in enumerate(feeds.items()):
+        cols = [F.col("account"), F.col("label"), F.lit(name).alias("source")]
+        if rank:
+            cols.append(F.lit(i).alias("source_rank"))
+        tagged.append(df.select(*cols))
     return reduce(lambda a, b: a.unionByName(b), tagged)
 
 
@@ -77,9 +86,23 @@ def dedupe_labels(labels: DataFrame, key: str = "account", order=("source",)) ->
                                                       if c != key])
 
 
+def dedupe_by_rank(labels: DataFrame, names, key: str = "account", rank: str = "source_rank") -> DataFrame:
+    """One row per ``key`` from the feed with the lowest ``rank``.
+
+    Only fixed-width aggregation buffers (``min`` of an int, ``min_by`` of an
+    int label by an int rank), so Spark runs a hash aggregation with map-side
+    partial aggregation: a hot account costs one row per map task. The feed
+    name comes back from the rank through a literal array of the feed names.
+    """
+    best = labels.groupBy(key).agg(F.min(rank).alias(rank), F.min_by("label", rank).alias("label"))
+    name_of = F.element_at(F.array(*[F.lit(n) for n in names]), F.col(rank) + 1)
+    return best.select(key, "label", name_of.alias("source"))
+
+
 def illicit_label_table(feeds: dict) -> DataFrame:
-    """The de-duplicated ``(account, label, source)`` table from several feeds."""
-    return dedupe_labels(label_union(feeds))
+    """The de-duplicated ``(account, label, source)`` table from several feeds;
+    on a repeated account the earlier feed wins."""
+    return dedupe_by_rank(label_union(feeds, rank=True), list(feeds))
 
 
 def label_inputs(inputs: DataFrame, labels: DataFrame, tx: DataFrame,

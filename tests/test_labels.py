@@ -51,3 +51,16 @@ def test_fill_missing_types(spark):
     df = spark.createDataFrame([(None, None, None)], "a INT, b STRING, c BOOLEAN")
     r = L.fill_missing(df).first()
     assert (r["a"], r["b"], r["c"]) == (0, None, False)
+
+
+def test_dedupe_by_rank_hot_account_hash_aggregate(spark):
+    from pyspark.sql import functions as F
+    hot = spark.range(30000).select(F.lit(7).cast("bigint").alias("account"), F.lit(1).alias("label"))
+    rest = spark.range(60000).select((F.col("id") + 100).alias("account"), F.lit(1).alias("label"))
+    feeds = {"category": rest, "reports": hot.unionByName(rest.limit(10))}
+    out = L.illicit_label_table(feeds)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+    assert out.count() == 60001
+    got = {r["account"]: r["source"] for r in out.where("account IN (7, 100, 101)").collect()}
+    assert got == {7: "reports", 100: "category", 101: "category"}
