@@ -27,8 +27,17 @@ PRESETS = {"1M": ("months", 1), "6M": ("months", 6), "YTD": ("ytd", 0), "1Y": ("
 
 # -- catalogue -----------------------------------------------------------------
 
-def read_catalogue(spark: SparkSession, path: str = CATALOGUE_CSV) -> DataFrame:
-    """The metric catalogue (quoted commas in text fields are handled by the CSV reader)."""
+def read_catalogue(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """The metric catalogue as a DataFrame.
+
+    By default the 23 rows shipped with the package travel inside the plan (a
+    local relation), so no executor needs the driver's files. A catalogue kept
+    on shared storage is read with the CSV reader (quoted commas handled).
+    """
+    if path is None:
+        rows = [(int(r["index"]), r["metric_name"], r["column"], r["is_computed"], r["description"],
+                 r["formula"]) for r in catalogue_rows()]
+        return spark.createDataFrame(rows, CATALOGUE_SCHEMA.replace("`", ""))
     return (spark.read.schema(CATALOGUE_SCHEMA).option("header", True).option("quote", '"')
             .option("escape", '"').csv(path))
 

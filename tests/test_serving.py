@@ -83,3 +83,9 @@ def test_outlier_series(spark):
     got = rows(S.outlier_series(df, ["a", "b"]))
     assert got == [(D(2020, 1, 1), "a", 1.0, 1.0), (D(2020, 1, 1), "b", 2.0, 2.0),
                    (D(2020, 1, 2), "a", 3.0, None), (D(2020, 1, 2), "b", 4.0, None)]
+
+
+def test_catalogue_from_shared_csv_equals_shipped(spark):
+    a = S.read_catalogue(spark)
+    b = S.read_catalogue(spark, S.CATALOGUE_CSV)
+    assert sorted(a.collect()) == sorted(b.collect())
