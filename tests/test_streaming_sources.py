@@ -85,3 +85,17 @@ def test_stream_dedupe_and_label_join(spark):
     res = spark.read.parquet(out)
     assert res.count() == 1000 or res.count() == spark.read.parquet(f"{SF_SMALL}/events.parquet").count()
     assert res.where("label = 1").count() == res.where("account = 1").count()
+
+
+def test_stream_days_independent_of_session_zone(spark):
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet")
+    batch = rows(events.groupBy(F.col("ts").cast("date").alias("day"), "event_type").count(),
+                 "day", "event_type", "count")
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        path = J.run_rollup_to_table(spark, J.file_stream(spark, stream_path(SF_SMALL, "events")))
+        got = rows(spark.read.parquet(path), "day", "event_type", "n")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert got == batch
