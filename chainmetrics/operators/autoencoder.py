@@ -111,8 +111,11 @@ def fit_autoencoder(scaled: DataFrame, cols, hidden=HIDDEN, epochs: int = 100, l
 
 def autoencoder_outliers(df: DataFrame, cols, hidden=HIDDEN, fraction: float = O.OUTLIER_FRACTION,
                          epochs: int = 100, lr: float = 0.01, seed: int = 42,
-                         score: str = "score", flag: str = "anomaly") -> DataFrame:
-    """Append the reconstruction-error score and a 0/1 outlier flag."""
+                         score: str = "score", flag: str = "anomaly", threshold: str = "percentile") -> DataFrame:
+    """Append the reconstruction-error score and a 0/1 outlier flag.
+
+    ``threshold="percentile"`` is exact (day tables); ``"approx"`` for fact grain.
+    """
     cols = list(cols)
     zcols = [f"_z_{c}" for c in cols]
     scaled = FE.standard_scale(df, cols, suffix="_zz")
@@ -127,4 +130,4 @@ def autoencoder_outliers(df: DataFrame, cols, hidden=HIDDEN, fraction: float = O
         return pd.Series(np.sqrt(((xh - x) ** 2).sum(axis=1)))
 
     out = scaled.withColumn(score, recon_error(*[F.col(z) for z in zcols])).drop(*zcols)
-    return O.flag_outliers(out, score, fraction, "percentile", flag, strict=True)
+    return O.flag_outliers(out, score, fraction, threshold, flag, strict=True)

@@ -72,8 +72,13 @@ def _local_topk(k: int, chunk_cells: int = 1 << 22):
 
 
 def knn_neighbours(train: DataFrame, queries: DataFrame, features, label: str, id_col: str,
-                   k: int = KNN_K, block_rows: int = 2048) -> DataFrame:
-    """(qid, tid, tlabel, dist, rank) of the k nearest training rows of every query row."""
+                   k: int = KNN_K, block_rows: int = 16384) -> DataFrame:
+    """(qid, tid, tlabel, dist, rank) of the k nearest training rows of every query row.
+
+    Candidate rows emitted: |queries| x k x ceil(|train| / block_rows); larger
+    blocks mean fewer candidates to merge, while task memory stays bounded by
+    the chunked distance kernel (two blocks of vectors in memory).
+    """
     tr = _as_array(train, features).select(F.col(id_col).cast("long").alias("_id"), "_x",
                                            F.col(label).cast("int").alias("_label"))
     qu = _as_array(queries, features).select(F.col(id_col).cast("long").alias("_id"), "_x")
@@ -104,7 +109,7 @@ def knn_vote(neigh: DataFrame) -> DataFrame:
 
 
 def knn_classify(train: DataFrame, queries: DataFrame, features, label: str, id_col: str,
-                 k: int = KNN_K, block_rows: int = 2048, prediction: str = "prediction") -> DataFrame:
+                 k: int = KNN_K, block_rows: int = 16384, prediction: str = "prediction") -> DataFrame:
     """Exact k-nearest-neighbour classification of ``queries``."""
     pred = knn_vote(knn_neighbours(train, queries, features, label, id_col, k, block_rows))
     return (queries.join(pred.withColumnRenamed("qid", id_col), id_col, "left")

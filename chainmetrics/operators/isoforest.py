@@ -1,9 +1,10 @@
 """Isolation forest (Liu, Ting and Zhou, 2008) as Spark jobs.
 
-1. Sampling: every row joins tree t's sample when a hash of (row id, t, seed) is
-   below p ~ (psi + margin) / N. No global window, no shuffle of the full data:
-   each row emits only the trees it is sampled for (expected psi + margin rows
-   per tree in total).
+1. Sampling: one hash per row keeps the rows any tree could use (rate
+   trees x p, p ~ (psi + margin) / N); among those, a row joins tree t's sample
+   when a hash of (row id, t, seed) is below p / (trees x p). No global window,
+   no shuffle of the full data: only about trees x (psi + margin) rows are
+   emitted in total.
 2. Fitting: ``groupBy(tree).applyInPandas`` keeps the psi smallest hashes of its
    tree (a bounded group) and grows one isolation tree; all trees in parallel.
 3. Scoring: the trees (<= trees x (2 psi - 1) nodes, a size fixed by the
@@ -90,11 +91,19 @@ def fit_isolation_forest(df: DataFrame, cols, trees: int = TREES, sample: int =
     psi = max(1, min(sample, n))
     margin = psi + 8.0 * math.sqrt(psi) + 16.0
     p = min(1.0, margin / max(n, 1))
-    u_of = (lambda t: F.pmod(F.xxhash64(F.col("_id"), t, F.lit(seed)), F.lit(1_000_000_007))
-            .cast("double") / F.lit(1_000_000_007.0))
-    picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: u_of(t) < F.lit(p))
-    samples = (base.select("*", F.explode(picked).alias("tree"))
-               .withColumn("_u", u_of(F.col("tree"))))
+    # One hash per row first: keep rows that any tree could sample (rate
+    # p0 = trees x p), then draw each tree's rows among those few only.
+    p0 = min(1.0, trees * p)
+
+    def unit(*cols):
+        return (F.pmod(F.xxhash64(*cols, F.lit(seed)), F.lit(1_000_000_007)).cast("double")
+                / F.lit(1_000_000_007.0))
+
+    pool = base.where(unit(F.col("_id"), F.lit(-1)) < F.lit(p0))
+    picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)),
+                      lambda t: unit(F.col("_id"), t) < F.lit(p / p0))
+    samples = (pool.select("*", F.explode(picked).alias("tree"))
+               .withColumn("_u", unit(F.col("_id"), F.col("tree"))))
     nodes = samples.groupBy("tree").applyInPandas(_grow(cols, psi, seed), NODE_SCHEMA)
     # Bounded by trees x (2 psi - 1) rows: parameters, not data size.
     pdf = nodes.toPandas().sort_values(["tree", "node"])
@@ -132,10 +141,14 @@ def _score_fn(bforest, psi: int):
 
 def isolation_forest(df: DataFrame, cols, fraction: float = O.OUTLIER_FRACTION, trees: int = TREES,
                      sample: int = SAMPLE, seed: int = SEED, id_col: str | None = None,
-                     score: str = "score", flag: str = "anomaly") -> DataFrame:
-    """Append the isolation score and a 0/1 outlier flag (H8)."""
+                     score: str = "score", flag: str = "anomaly", threshold: str = "percentile") -> DataFrame:
+    """Append the isolation score and a 0/1 outlier flag (H8).
+
+    ``threshold="percentile"`` is exact (a whole-frame window: day tables);
+    use ``"approx"`` when scoring fact-grain rows.
+    """
     forest, psi = fit_isolation_forest(df, cols, trees, sample, seed, id_col)
     bforest = df.sparkSession.sparkContext.broadcast(forest)
     udf = F.pandas_udf(_score_fn(bforest, psi), DoubleType())
     scored = df.withColumn(score, udf(*[F.col(c).cast("double") for c in cols]))
-    return O.flag_outliers(scored, score, fraction, "percentile", flag, strict=True)
+    return O.flag_outliers(scored, score, fraction, threshold, flag, strict=True)

@@ -109,3 +109,10 @@ def test_autoencoder_flags_share(spark, daily):
     p2[0][0, 0] += eps
     _, loss2 = gradients(p2, x)
     assert (loss2 - loss) / eps == pytest.approx(g[0][0, 0], rel=1e-3, abs=1e-6)
+
+
+def test_approx_threshold_matches_exact_on_distinct_scores(spark):
+    df = spark.createDataFrame([(float(i),) for i in range(1000)], "s DOUBLE")
+    exact = O.flag_outliers(df, "s", method="percentile", strict=True).where("anomaly = 1").count()
+    approx = O.flag_outliers(df, "s", method="approx", strict=True).where("anomaly = 1").count()
+    assert exact == 50 and abs(approx - exact) <= 1
