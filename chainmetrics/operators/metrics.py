@@ -243,9 +243,9 @@ def cumulative_cdd(basic: DataFrame, genesis: str = X.CHAIN_GENESIS) -> DataFram
                     X.day_number("Date", genesis).alias("n_days"))
 
 
-def _valuation(j: DataFrame) -> DataFrame:
+def _valuation(j: DataFrame, keep=()) -> DataFrame:
     """The 16-column projection over a day frame holding the basic columns,
-    rc_usd, rc_btc, sopr, thermocap, cum_cdd_usd and n_days."""
+    rc_usd, rc_btc, sopr, thermocap, cum_cdd_usd and n_days (plus ``keep``)."""
     j = j.withColumns({"market_cap": X.market_cap(), "realised_price": X.realised_price()})
     j = j.withColumns({"nvt": X.nvt(), "transferred_price": X.transferred_price()})
     return j.select(
@@ -262,6 +262,7 @@ def _valuation(j: DataFrame) -> DataFrame:
         "transferred_price",
         X.balanced_price().alias("balanced_price"),
         X.investor_cap().alias("investor_cap"),
+        *[c for c in keep if c not in ("sopr", "thermocap")],
     )
 
 
@@ -285,18 +286,23 @@ def computed_metrics(basic: DataFrame, realised_cap: DataFrame, sopr_df: DataFra
     return _valuation(j)
 
 
-def chain_metrics(lineitem: DataFrame, orders: DataFrame, genesis: str = X.CHAIN_GENESIS):
-    """Fused pipeline from the fact tables. Returns (basic_metrics, computed_metrics).
+def chain_metrics_wide(lineitem: DataFrame, orders: DataFrame, genesis: str = X.CHAIN_GENESIS) -> DataFrame:
+    """One day frame with the 9 basic and the 16 valuation columns.
 
     One join, one fact-grain aggregation; every later step is a linear chain of
     day-grain windows and projections (no self-joins, so the fact work is not
-    repeated per branch).
+    repeated per branch). Readers that need both tables take this frame.
     """
     from chainmetrics.sources.adapters import order_lines
     facts = day_facts(order_lines(lineitem, orders), orders)
     state = daily_state(facts)
     days = basic_from_facts(state, extra=(
         "rc_usd", "rc_btc", X.safe_div("spent_value_usd", "spent_usd").alias("sopr")))
-    basic = days.select("Date", *BASIC_COLUMNS)
-    computed = _valuation(_with_running_sums(days, genesis))
-    return basic, computed
+    return _valuation(_with_running_sums(days, genesis), keep=BASIC_COLUMNS)
+
+
+def chain_metrics(lineitem: DataFrame, orders: DataFrame, genesis: str = X.CHAIN_GENESIS):
+    """Fused pipeline from the fact tables. Returns (basic_metrics, computed_metrics);
+    use one of them per plan (or ``chain_metrics_wide``) so the facts are read once."""
+    wide = chain_metrics_wide(lineitem, orders, genesis)
+    return wide.select("Date", *BASIC_COLUMNS), wide.select("Date", *COMPUTED_COLUMNS)

@@ -117,16 +117,24 @@ def long_metrics(df: DataFrame, columns, ids=("Date",)) -> DataFrame:
 def metric_series(catalogue: DataFrame, basic: DataFrame, computed: DataFrame, names=None,
                   start=None, end=None) -> DataFrame:
     """(Date, metric_name, value) for the chosen metrics (I1), each read from the
-    table its ``is_computed`` flag names; default: the price."""
+    table its ``is_computed`` flag names; default: the price. Pass the same wide
+    frame as both tables to read it once."""
     names = [DEFAULT_METRIC] if names is None else list(names)
     rows = [r for r in catalogue_rows() if r["metric_name"] in names and r["metric_name"] != RIBBON_METRIC]
-    parts = []
-    for is_comp, table in ((False, basic), (True, computed)):
-        cols = sorted({r["column"] for r in rows if r["is_computed"] == is_comp} & set(table.columns))
-        if cols:
-            parts.append(long_metrics(date_range(table, start, end), cols)
-                         .withColumn("is_computed", F.lit(is_comp)))
-    longf = reduce(lambda a, b: a.unionByName(b), parts)
+    if basic is computed:
+        # One wide day table: a single unpivot pass (no second read of its plan).
+        flag = {r["column"]: r["is_computed"] for r in rows}
+        cols = sorted(set(flag) & set(basic.columns))
+        longf = (long_metrics(date_range(basic, start, end), cols)
+                 .withColumn("is_computed", F.col("column").isin([c for c in cols if flag[c]])))
+    else:
+        parts = []
+        for is_comp, table in ((False, basic), (True, computed)):
+            cols = sorted({r["column"] for r in rows if r["is_computed"] == is_comp} & set(table.columns))
+            if cols:
+                parts.append(long_metrics(date_range(table, start, end), cols)
+                             .withColumn("is_computed", F.lit(is_comp)))
+        longf = reduce(lambda a, b: a.unionByName(b), parts)
     cat = F.broadcast(catalogue.where(F.col("metric_name").isin(names))
                       .select("metric_name", "column", "is_computed"))
     return longf.join(cat, ["column", "is_computed"]).select("Date", "metric_name", "value")

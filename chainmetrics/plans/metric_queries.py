@@ -120,13 +120,16 @@ def q_feature_merge(t):
 # -- single metrics over the basic table (B1-B10, E1, E2) -------------------
 
 def _basic_plus(t):
-    """Basic table with the running sums and realised cap / SOPR attached."""
+    """Basic table (per-metric path) with its running sums as window columns, and
+    realised cap / SOPR joined on Date (day-grain joins)."""
     basic = basic_per_metric(t)
     outputs = _outputs(t)
-    th = M.thermocap(basic)
-    cc = M.cumulative_cdd(basic, TEST_GENESIS)
-    return (basic.join(th, "Date").join(cc, "Date")
-            .join(U.realised_cap(outputs), "Date")
+    b = basic.withColumns({
+        "thermocap": M.running_sum(F.col("cost_per_tx") * F.col("tx_count")),
+        "cum_cdd_usd": M.running_sum(F.col("cdd") * F.col("price")),
+        "n_days": X.day_number("Date", TEST_GENESIS),
+    })
+    return (b.join(U.realised_cap(outputs), "Date")
             .join(M.sopr(A.spent_inputs(outputs)), "Date")
             .withColumn("market_cap", X.market_cap()))
 

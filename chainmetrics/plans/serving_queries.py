@@ -104,10 +104,10 @@ def _series_sql() -> str:
 @register("metric_series", _series_sql())
 def q_metric_series(t):
     """Every catalogue metric of 1997 as (Date, metric_name, value), dispatched by is_computed."""
-    basic, computed = tables(t)
+    wide = round_all(M.chain_metrics_wide(t.lineitem, t.orders, TEST_GENESIS), SPEC)
     cat = S.read_catalogue(t.spark)
     names = [r["metric_name"] for r in S.catalogue_rows()]
-    return S.metric_series(cat, round_all(basic, SPEC), round_all(computed, SPEC), names, *RANGE)
+    return S.metric_series(cat, wide, wide, names, *RANGE)
 
 
 PAGE_COLUMNS = ("label", "account", "hash", "value_btc", "value_usd")

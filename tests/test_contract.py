@@ -38,3 +38,18 @@ def test_query_matches_oracle(spark, duck, key):
     got = E.queries()[key](spark, SF_SMALL).toPandas()
     want = duck.execute(E.oracle_sql()[key]).df()
     assert compare(got, want) is None
+
+
+ONE_FACT_SCAN = ("computed_metrics", "basic_metrics_fused", "metric_series", "difficulty_ribbon",
+                 "difficulty_ribbon_range", "date_range_filter", "range_preset", "range_preset_ytd",
+                 "realised_cap", "sopr", "label_inputs")
+
+
+@pytest.mark.parametrize("key", ONE_FACT_SCAN)
+def test_fact_table_scanned_once(spark, key):
+    """The fused plans read lineitem once (no repeated fact work per branch)."""
+    df = E.queries()[key](spark, SF_SMALL)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.split("\n") if "FileScan" in line and "lineitem.parquet" in line]
+    limit = 2 if key == "label_inputs" else 1  # + the pre-aggregated order totals
+    assert 1 <= len(scans) <= limit, plan
