@@ -165,6 +165,31 @@ def basic_from_facts(state: DataFrame, extra=()) -> DataFrame:
                     F.col("order_usd").alias("tv_usd"), *extra))
 
 
+def daily_series(state: DataFrame) -> dict:
+    """The nine one-metric day series (Date, value) of the basic table, each on
+    the days where it exists: transaction series on transaction days, CDD on
+    spend days, price / difficulty / supply on creation days.
+
+    ``state`` is read nine times: materialise it first (it is day grain).
+    """
+    zero = F.lit(0.0)
+    tx_days = state.where(F.col("n_tx") > 0)
+    spent_days = state.where(F.col("n_spent") > 0)
+    created_days = state.where(F.col("n_created") > 0)
+    return {
+        "cost_per_tx": tx_days.select("Date", (F.coalesce("line_fee_usd", zero) / F.col("n_tx"))
+                                      .alias("cost_per_tx")),
+        "atv": tx_days.select("Date", "atv"),
+        "cdd": spent_days.select("Date", "cdd"),
+        "circulating_supply": created_days.select("Date", "circulating_supply"),
+        "difficulty": created_days.select("Date", F.col("max_created_usd").alias("difficulty")),
+        "price": created_days.select("Date", X.safe_div("created_usd", "created_btc").alias("price")),
+        "tx_count": tx_days.select("Date", F.col("n_tx").alias("tx_count")),
+        "tv_btc": tx_days.select("Date", F.coalesce("line_btc", zero).alias("tv_btc")),
+        "tv_usd": tx_days.select("Date", F.col("order_usd").alias("tv_usd")),
+    }
+
+
 def sopr_from_facts(facts: DataFrame) -> DataFrame:
     return (facts.where(F.col("n_spent") > 0)
             .select("Date", X.safe_div("spent_value_usd", "spent_usd").alias("sopr")))

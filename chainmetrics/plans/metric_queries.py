@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
 
-from chainmetrics.functions import chain as X
 from chainmetrics.operators import metrics as M
 from chainmetrics.operators import utxo as U
 from chainmetrics.plans.registry import register, with_views
 from chainmetrics.plans.rounding import RATIO, THOUSANDS, USD, WHOLE, round_all, sql_rnd, sql_select
+from chainmetrics.session import materialize
 from chainmetrics.sources import adapters as A
 
 # Day number origin for the test tables (their first order day).
@@ -35,6 +34,12 @@ def _inputs(t):
     return A.spent_inputs(_outputs(t))
 
 
+def day_state(t):
+    """Single-pass day state of the facts, checkpointed (day grain, thousands of rows)."""
+    facts = M.day_facts(A.order_lines(t.lineitem, t.orders), t.orders)
+    return materialize(M.daily_state(facts))
+
+
 def basic_per_metric(t):
     """Basic table the per-metric way: three daily rollups joined on Date."""
     outputs = _outputs(t)
@@ -58,7 +63,10 @@ def q_computed_metrics(t):
 
 @register("basic_metrics", _sql(("Date",) + M.BASIC_COLUMNS, "basic"))
 def q_basic_metrics(t):
-    return round_all(basic_per_metric(t), SPEC)
+    """Nine one-metric day series inner-joined on Date (C1); the series come from
+    one pass over the facts."""
+    joined = M.join_series(M.daily_series(day_state(t)))
+    return round_all(joined.select("Date", *M.BASIC_COLUMNS), SPEC)
 
 
 @register("basic_metrics_fused", _sql(("Date",) + M.BASIC_COLUMNS, "basic"))
@@ -104,51 +112,13 @@ def q_circulating_supply(t):
           _sql(("Date", "tv_usd", "tx_count", "cdd", "circulating_supply", "price"), "basic"))
 def q_feature_merge(t):
     """Five one-metric daily series folded by inner join on Date (C4)."""
-    outputs = _outputs(t)
-    tx = M.daily_chain_rollup(A.transactions(t.lineitem, t.orders))
-    out = M.daily_outputs(outputs)
-    series = {
-        "tv_usd": tx.select("Date", "tv_usd"),
-        "tx_count": tx.select("Date", "tx_count"),
-        "cdd": M.daily_cdd(A.spent_inputs(outputs)),
-        "circulating_supply": out.select("Date", "circulating_supply"),
-        "price": out.select("Date", "price"),
-    }
-    return round_all(M.join_series(series), SPEC)
-
-
-# -- single metrics over the basic table (B1-B10, E1, E2) -------------------
-
-def _basic_plus(t):
-    """Basic table (per-metric path) with its running sums as window columns, and
-    realised cap / SOPR joined on Date (day-grain joins)."""
-    basic = basic_per_metric(t)
-    outputs = _outputs(t)
-    b = basic.withColumns({
-        "thermocap": M.running_sum(F.col("cost_per_tx") * F.col("tx_count")),
-        "cum_cdd_usd": M.running_sum(F.col("cdd") * F.col("price")),
-        "n_days": X.day_number("Date", TEST_GENESIS),
-    })
-    return (b.join(U.realised_cap(outputs), "Date")
-            .join(M.sopr(A.spent_inputs(outputs)), "Date")
-            .withColumn("market_cap", X.market_cap()))
-
-
-SINGLE = {
-    "market_cap": lambda: {"market_cap": X.market_cap()},
-    "nvt_ratio": lambda: {"nvt": X.nvt()},
-    "velocity": lambda: {"velocity": X.velocity(X.nvt())},
-    "net_realised_profit_loss": lambda: {"net_realised_profit_loss": X.net_realised_profit_loss()},
-    "coin_dormancy": lambda: {"coin_dormancy": X.coin_dormancy()},
-    "realised_price": lambda: {"realised_price": X.realised_price()},
-    "mvrv_nupl": lambda: {"mvrv": X.mvrv(), "nupl": X.nupl()},
-    "relative_unrealised_profit": lambda: {"relative_unrealised_profit": X.relative_unrealised_profit()},
-    "thermocap_ratio": lambda: {"mc_thermocap_ratio": X.thermocap_ratio(), "investor_cap": X.investor_cap()},
-    "transferred_balanced_price": lambda: {
-        "transferred_price": X.transferred_price(),
-        "balanced_price": X.balanced_price(X.realised_price(), X.transferred_price()),
-    },
-}
+    series = M.daily_series(day_state(t))
+    keep = ("tv_usd", "tx_count", "cdd", "circulating_supply", "price")
+    return round_all(M.join_series({k: series[k] for k in keep}), SPEC)
+
+
+# -- single metrics (B1-B10) and running sums (E1, E2) ----------------------
+
 SINGLE_COLUMNS = {
     "market_cap": ("market_cap",), "nvt_ratio": ("nvt",), "velocity": ("velocity",),
     "net_realised_profit_loss": ("net_realised_profit_loss",), "coin_dormancy": ("coin_dormancy",),
@@ -159,26 +129,32 @@ SINGLE_COLUMNS = {
 }
 
 
-def _register_single(key, make_cols):
+def _register_single(key):
     @register(key, _sql(("Date",) + SINGLE_COLUMNS[key], "computed"))
     def q(t):
-        cols = make_cols()
-        return round_all(_basic_plus(t).select("Date", *[c.alias(n) for n, c in cols.items()]), SPEC)
+        """One valuation metric, read from the single-pass wide day frame."""
+        wide = M.chain_metrics_wide(t.lineitem, t.orders, TEST_GENESIS)
+        return round_all(wide.select("Date", *SINGLE_COLUMNS[key]), SPEC)
     q.__name__ = f"q_{key}"
     return q
 
 
-for _k, _cols in SINGLE.items():
-    _register_single(_k, _cols)
+for _k in SINGLE_COLUMNS:
+    _register_single(_k)
+
+
+def _basic(t):
+    basic, _ = M.chain_metrics(t.lineitem, t.orders, TEST_GENESIS)
+    return basic
 
 
 @register("thermocap", _sql(("Date", "thermocap"), "metrics_day"))
 def q_thermocap(t):
-    return round_all(M.thermocap(basic_per_metric(t)), SPEC)
+    return round_all(M.thermocap(_basic(t)), SPEC)
 
 
 @register("cumulative_cdd_usd", with_views(f"""
     SELECT Date, {sql_select(SPEC, ('cum_cdd_usd',))}, CAST(n_days AS INTEGER) AS n_days FROM metrics_day""",
     "metrics_day"))
 def q_cumulative_cdd(t):
-    return round_all(M.cumulative_cdd(basic_per_metric(t), TEST_GENESIS), SPEC)
+    return round_all(M.cumulative_cdd(_basic(t), TEST_GENESIS), SPEC)
