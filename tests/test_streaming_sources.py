@@ -99,3 +99,21 @@ def test_stream_days_independent_of_session_zone(spark):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert got == batch
+
+
+def test_hot_day_written_by_several_tasks(spark):
+    """A day holding most rows is split over files_per_day writer tasks (files)."""
+    import glob
+    path = scratch_path(spark, "hotday")
+    hot = spark.range(20000).select(F.lit(D(2020, 1, 1)).alias("date"), F.col("id").alias("v"))
+    cold = spark.range(100).select(F.lit(D(2020, 1, 2)).alias("date"), F.col("id").alias("v"))
+    # At this size AQE would merge the buckets back into one task; at scale each
+    # bucket of a hot day is large on its own and stays a separate task.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        DU.write_day_partitions(hot.unionByName(cold), path, files_per_day=4)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = glob.glob(f"{local_path(path)}/date=2020-01-01/*.parquet")
+    assert 2 <= len(files) <= 4
+    assert spark.read.parquet(path).where("date = '2020-01-01'").count() == 20000
