@@ -117,18 +117,29 @@ def kmeans_cluster(df: DataFrame, cols, k: int, seed: int = KMEANS_SEED) -> Data
     return model.transform(FE.assemble(df, cols, "_features")).drop("_features")
 
 
-def kmeans_elbow(df: DataFrame, cols, ks=range(1, 20), seed: int = KMEANS_SEED) -> DataFrame:
-    """(k, score = -SSE) for each k (H5). k = 1 is the SSE around the mean (one aggregate)."""
+def kmeans_elbow(df: DataFrame, cols, ks=range(1, 20), seed: int = KMEANS_SEED,
+                 parallel: int = 4) -> DataFrame:
+    """(k, score = -SSE) for each k (H5). k = 1 is the SSE around the mean (one aggregate).
+
+    The fits are independent Spark jobs; up to ``parallel`` of them are
+    submitted at once from driver threads so the cluster is not idle between
+    the short iterations of one fit. Cache ``df`` before calling.
+    """
+    from concurrent.futures import ThreadPoolExecutor
+
     df = df.select(*cols)
-    rows = []
-    for k in ks:
+
+    def sse(k):
         if k == 1:
-            sse = df.agg(reduce(lambda a, b: a + b,
-                                [F.coalesce(F.var_pop(c) * F.count(F.lit(1)), F.lit(0.0)) for c in cols])
-                         ).first()[0]
-        else:
-            sse = kmeans_fit(df, cols, k, seed).summary.trainingCost
-        rows.append((int(k), -float(sse)))
+            return df.agg(reduce(lambda a, b: a + b,
+                                 [F.coalesce(F.var_pop(c) * F.count(F.lit(1)), F.lit(0.0)) for c in cols])
+                          ).first()[0]
+        return kmeans_fit(df, cols, k, seed).summary.trainingCost
+
+    ks = [int(k) for k in ks]
+    with ThreadPoolExecutor(max_workers=max(1, parallel)) as pool:
+        costs = list(pool.map(sse, ks))
+    rows = [(k, -float(c)) for k, c in zip(ks, costs)]
     return df.sparkSession.createDataFrame(rows, "k INT, score DOUBLE")
 
 
