@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from chainmetrics.session import path_exists
+
 FILE_DAY = r"_(\d{8})\."          # <prefix>_<table>_YYYYMMDD.tsv[.gz]
 FOLDER_DAY = r"/(?:day|date)=(\d{8})/"  # .../day=YYYYMMDD/part-...
 
@@ -69,8 +71,11 @@ def write_day_partitions(df: DataFrame, path: str, day_col: str = "date", fmt: s
     one small file per input task.
     """
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
-    w = (df.repartition(F.col(day_col), bucket).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic"))
+    w = df.repartition(F.col(day_col), bucket).write.mode("overwrite")
+    # A new table is simply created (no staging of replaced days); an existing
+    # one gets only the days present in ``df`` replaced (A11: create vs insert).
+    if path_exists(df.sparkSession, path):
+        w = w.option("partitionOverwriteMode", "dynamic")
     for k, v in (options or {}).items():
         w = w.option(k, v)
     w.partitionBy(day_col).format(fmt).save(path)
