@@ -15,6 +15,8 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+
+from chainmetrics.session import ship_package
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -116,6 +118,7 @@ def autoencoder_outliers(df: DataFrame, cols, hidden=HIDDEN, fraction: float = O
 
     ``threshold="percentile"`` is exact (day tables); ``"approx"`` for fact grain.
     """
+    ship_package(df.sparkSession)
     cols = list(cols)
     zcols = [f"_z_{c}" for c in cols]
     scaled = FE.standard_scale(df, cols, suffix="_zz")

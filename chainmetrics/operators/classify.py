@@ -24,6 +24,8 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from chainmetrics.session import ship_package
+
 # Fixed values of the reference models: k = 4 neighbours with inverse-distance
 # weights; entropy tree with seed 0; 100 boosting rounds at learning rate 0.5;
 # 70/30 split with seed 4103.
@@ -79,6 +81,7 @@ def knn_neighbours(train: DataFrame, queries: DataFrame, features, label: str, i
     blocks mean fewer candidates to merge, while task memory stays bounded by
     the chunked distance kernel (two blocks of vectors in memory).
     """
+    ship_package(train.sparkSession)
     tr = _as_array(train, features).select(F.col(id_col).cast("long").alias("_id"), "_x",
                                            F.col(label).cast("int").alias("_label"))
     qu = _as_array(queries, features).select(F.col(id_col).cast("long").alias("_id"), "_x")

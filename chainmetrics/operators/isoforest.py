@@ -20,6 +20,8 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+
+from chainmetrics.session import ship_package
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -84,6 +86,7 @@ def _grow(cols, sample: int, seed: int):
 def fit_isolation_forest(df: DataFrame, cols, trees: int = TREES, sample: int = SAMPLE,
                          seed: int = SEED, id_col: str | None = None):
     """Grow the forest; returns (node arrays per tree, psi)."""
+    ship_package(df.sparkSession)
     cols = list(cols)
     rid = F.col(id_col) if id_col else F.xxhash64(*[F.col(c) for c in cols])
     base = df.select(rid.cast("long").alias("_id"), *[F.col(c).cast("double") for c in cols])

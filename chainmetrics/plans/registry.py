@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,6 +17,7 @@ def register(name: str, sql: str | None = None):
     """Register ``fn(t: Tables) -> DataFrame`` as query ``name``."""
     def deco(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship_package(spark)
             return fn(Tables(spark, sf_dir))
         run.__name__ = fn.__name__
         run.__doc__ = fn.__doc__

@@ -89,3 +89,39 @@ def table_exists(spark: SparkSession, name_or_path: str) -> bool:
     if "/" in name_or_path:
         return path_exists(spark, name_or_path)
     return spark.catalog.tableExists(name_or_path)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``chainmetrics`` importable in Python workers (once per application).
+
+    Functions run in tasks (pandas UDFs, applyInPandas, mapInPandas) refer to
+    this package's module-level helpers, so workers must import it. The package
+    is zipped and handed to ``SparkContext.addPyFile`` (what ``--py-files``
+    does); Spark serves it to every executor. The zip goes to the shared
+    checkpoint folder when that is a local path (local mode, tests), else to
+    a driver-side folder from which Spark distributes it.
+    """
+    import os
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    root = checkpoint_root(spark)
+    folder = local_path(root) if root.startswith(("file:", "/")) else tempfile.mkdtemp(prefix="chainmetrics-pkg-")
+    os.makedirs(folder, exist_ok=True)
+    target = os.path.join(folder, f"chainmetrics-{app}.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, dirs, files in os.walk(pkg):
+            dirs[:] = [d for d in dirs if d != "__pycache__"]
+            for f in files:
+                if f.endswith((".py", ".csv")):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(target)
+    _SHIPPED.add(app)
