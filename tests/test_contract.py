@@ -53,3 +53,10 @@ def test_fact_table_scanned_once(spark, key):
     scans = [line for line in plan.split("\n") if "FileScan" in line and "lineitem.parquet" in line]
     limit = 2 if key == "label_inputs" else 1  # + the pre-aggregated order totals
     assert 1 <= len(scans) <= limit, plan
+
+
+def test_package_shipped_to_workers(spark):
+    """Task-side Python code imports chainmetrics: the package zip is registered."""
+    E.queries()["sopr"](spark, SF_SMALL)
+    shipped = [p for p in spark.sparkContext._python_includes if "chainmetrics-" in p]
+    assert len(shipped) == 1 and shipped[0].endswith(".zip")
