@@ -117,3 +117,16 @@ def test_hot_day_written_by_several_tasks(spark):
     files = glob.glob(f"{local_path(path)}/date=2020-01-01/*.parquet")
     assert 2 <= len(files) <= 4
     assert spark.read.parquet(path).where("date = '2020-01-01'").count() == 20000
+
+
+def test_rollup_upsert_merges_later_batches(spark):
+    """Two micro-batches touching the same day: untouched groups are kept, updated ones replaced."""
+    path = scratch_path(spark, "merge")
+    write = J.upsert_batch_writer(path, ("event_type",))
+    schema = "day DATE, event_type STRING, n BIGINT, total DOUBLE"
+    write(spark.createDataFrame([(D(2024, 1, 1), "a", 1, 1.0), (D(2024, 1, 1), "b", 2, 2.0),
+                                 (D(2024, 1, 2), "a", 5, 5.0)], schema), 0)
+    write(spark.createDataFrame([(D(2024, 1, 1), "a", 3, 4.0)], schema), 1)
+    write(spark.createDataFrame([(D(2024, 1, 1), "a", 3, 4.0)], schema), 1)  # replayed batch
+    got = rows(spark.read.parquet(path), "day", "event_type", "n", "total")
+    assert got == [(D(2024, 1, 1), "a", 3, 4.0), (D(2024, 1, 1), "b", 2, 2.0), (D(2024, 1, 2), "a", 5, 5.0)]
