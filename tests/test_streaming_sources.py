@@ -130,3 +130,23 @@ def test_rollup_upsert_merges_later_batches(spark):
     write(spark.createDataFrame([(D(2024, 1, 1), "a", 3, 4.0)], schema), 1)  # replayed batch
     got = rows(spark.read.parquet(path), "day", "event_type", "n", "total")
     assert got == [(D(2024, 1, 1), "a", 3, 4.0), (D(2024, 1, 1), "b", 2, 2.0), (D(2024, 1, 2), "a", 5, 5.0)]
+
+
+def test_landing_replace_and_exists(spark):
+    from chainmetrics.session import table_exists
+    events = spark.read.parquet(f"{SF_SMALL}/events.parquet").where("event_type = 'error'") \
+        .select(F.col("user_id").cast("string").alias("address"), F.col("ts").cast("date").alias("date"))
+    land = scratch_path(spark, "landing")
+    assert not table_exists(spark, land)
+    DU.write_landing(events, land, fmt="json")
+    assert table_exists(spark, land)
+    back = spark.read.json(land)
+    assert back.count() == events.count() and set(back.columns) == {"address", "date"}
+    csv_land = scratch_path(spark, "landing-csv")
+    DU.write_landing(events, csv_land, fmt="csv")
+    reports = DU.read_report_csv(spark, csv_land)
+    assert reports.count() == events.count()
+    out = scratch_path(spark, "replace")
+    DU.replace_table(events, out)
+    DU.replace_table(events.limit(3), out)
+    assert spark.read.parquet(out).count() == 3
