@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainmetrics.llm import bpe, chat, sharding
+from chainmetrics.llm import bpe, chat, decontam, langid, sharding
 from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
@@ -85,3 +85,19 @@ def op10_chat(t: Tables) -> DataFrame:
     """Format all conversations (and the one full of control strings) and read them back."""
     rows = t.conversations.select("conv_id", "turn", "role", "text").unionByName(control_conversation(t.spark))
     return chat.read_back(chat.format_chats(rows))
+
+
+@register("op1_decontamination")
+def op1_decontamination(t: Tables) -> DataFrame:
+    """Benchmark passages in every whole document, by winnowing."""
+    found = decontam.find_contamination(t.documents.select("doc_id", "text"), t.benchmark)
+    return found.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ","), 256).alias("items_sha256"),
+        decontam.contaminated().alias("contaminated"))
+
+
+@register("op7_langid")
+def op7_langid(t: Tables) -> DataFrame:
+    """Language of every whole document, learned outside of the held-out quarter."""
+    return langid.identify(t.documents.select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
