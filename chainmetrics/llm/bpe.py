@@ -72,41 +72,12 @@ class Vocabulary:
         left = np.array([vocab[a] for a, _ in pairs], np.uint64)
         right = np.array([vocab[b] for _, b in pairs], np.uint64)
         merged = np.array([vocab[a + b] for a, b in pairs], np.int32)
-        self._build(left << np.uint64(32) | right, merged)
-
-    def _build(self, keys: np.ndarray, merged: np.ndarray) -> None:
-        """Open-addressing table: ``slot_rank`` holds the merge number + 1, 0 if empty."""
-        self.bits = max(10, int(4 * len(keys)).bit_length())
-        self.slot_rank = np.zeros(1 << self.bits, np.int32)
-        self.keys, self.merged = np.append(keys, np.uint64(2**64 - 1)), merged
-        todo, self.probes = np.arange(len(keys)), 0
-        while len(todo):
-            slot = (self._slot(keys[todo]) + self.probes) & ((1 << self.bits) - 1)
-            free = self.slot_rank[slot] == 0
-            first = np.zeros(len(todo), bool)
-            first[np.unique(slot, return_index=True)[1]] = True
-            put = free & first
-            self.slot_rank[slot[put]] = todo[put] + 1
-            todo, self.probes = todo[~put], self.probes + 1
-
-    def _slot(self, key: np.ndarray) -> np.ndarray:
-        return ((key * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+        self.pairs, self.merged = tb.HashTable(left << np.uint64(32) | right), merged
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Merge rank of each pair, NO_RANK where the pair doesn't merge."""
-        key = left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64)
-        slot = self._slot(key)
-        got = self.slot_rank[slot] - 1
-        open_ = np.flatnonzero((got >= 0) & (self.keys[got] != key))
-        out = got
-        for p in range(1, self.probes):
-            if not len(open_):
-                break
-            g = self.slot_rank[(slot[open_] + p) & ((1 << self.bits) - 1)] - 1
-            out[open_] = g
-            open_ = open_[(g >= 0) & (self.keys[g] != key[open_])]
-        out[open_] = -1
-        return np.where(out < 0, NO_RANK, out).astype(np.int32)
+        got = self.pairs.find(left.astype(np.uint64) << np.uint64(32) | right.astype(np.uint64))
+        return np.where(got < 0, NO_RANK, got)
 
     # -- merging ---------------------------------------------------------
     def merge_rows(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -170,7 +141,7 @@ class Vocabulary:
 
     def lookup(self) -> dict:
         if not hasattr(self, "_table"):
-            keys = self.keys[:-1]
+            keys = self.pairs.keys[:-1]
             self._table = dict(zip(zip((keys >> np.uint64(32)).tolist(), (keys & np.uint64(2**32 - 1)).tolist()), range(len(keys))))
         return self._table
 

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainmetrics.llm import bpe, chat, decontam, langid, sharding
+from chainmetrics.llm import bpe, chat, decontam, langid, lattice, sharding
 from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
@@ -101,3 +101,12 @@ def op1_decontamination(t: Tables) -> DataFrame:
 def op7_langid(t: Tables) -> DataFrame:
     """Language of every whole document, learned outside of the held-out quarter."""
     return langid.identify(t.documents.select("doc_id", "text", "lang")).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op8_lm_scoring")
+def op8_lm_scoring(t: Tables) -> DataFrame:
+    """Base and lattice score of every whole document, learned outside of the held-out seventh."""
+    docs = t.documents
+    held = langid.remainder("doc_id", 7) == 2
+    scored = lattice.score(docs, ~held, byte_bpe_file(), lattice.file_blocks(docs))
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -150,6 +150,40 @@ def sliding_min(x: np.ndarray, w: int) -> np.ndarray:
     return m
 
 
+class HashTable:
+    """Positions of distinct 64-bit keys: open addressing, probed for many keys at once."""
+
+    def __init__(self, keys: np.ndarray):
+        self.bits = max(10, int(8 * len(keys)).bit_length())
+        self.keys = np.append(keys.astype(U64), U64(2**64 - 1))
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        todo, self.probes = np.arange(len(keys)), 0
+        while len(todo):
+            slot = (self._slot(self.keys[todo]) + self.probes) & ((1 << self.bits) - 1)
+            first = np.zeros(len(todo), bool)
+            first[np.unique(slot, return_index=True)[1]] = True
+            put = (self.slots[slot] < 0) & first
+            self.slots[slot[put]] = todo[put]
+            todo, self.probes = todo[~put], self.probes + 1
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * U64(0x9E3779B97F4A7C15)) >> U64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Position of each key, -1 if it isn't there."""
+        slot = self._slot(keys)
+        got = self.slots[slot]
+        unsure = np.flatnonzero((got >= 0) & (self.keys[got] != keys))
+        for p in range(1, self.probes):
+            if not len(unsure):
+                break
+            g = self.slots[(slot[unsure] + p) & ((1 << self.bits) - 1)]
+            got[unsure] = g
+            unsure = unsure[(g >= 0) & (self.keys[g] != keys[unsure])]
+        got[unsure] = -1
+        return got
+
+
 def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Concatenation of the index ranges [start, start + count)."""
     ends = np.cumsum(counts)
