@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -191,8 +191,16 @@ def ragged(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
+def bounded_batches(spark: SparkSession) -> None:
+    """Hand texts to Python a few megabytes at a time (Spark's default is 10,000 rows,
+    which for long texts is more than a worker's share of an executor)."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+
+
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | list], fields: list[T.StructField]) -> DataFrame:
     """``mapInArrow`` with one output batch (dict of arrays) per input batch."""
+    bounded_batches(df.sparkSession)
     schema = T.StructType(fields)
     arrow = to_arrow_schema(schema)
 
