@@ -2,12 +2,10 @@
 
 The model writes a text as words (lower-cased A-Z) and an end:
 
-    P(word) = (1 - u) * (c + 1) / (N + V)  if c > 0, + u * L(word)
-    P(end)  = (1 - u) * (c(end) + 1) / (N + V)
+    P(word) = (c + V * L(word)) / (N + V + 1)      P(end) = (c(end) + 1) / (N + V + 1)
 
-with c, N, V the token counts of the training texts (the end is a token, known even
-without texts) and u, the share of new words, estimated as the share of tokens seen
-once (Good-Turing). L is the lattice part: the pieces of an existing byte-level vocabulary (every byte is one) have probabilities,
+with c, N, V the token counts of the training texts (V is 1 at least): new words have
+the weight of as many tokens as there are distinct ones. L is the lattice part: the pieces of an existing byte-level vocabulary (every byte is one) have probabilities,
 and L is the marginal of the word over all of its segmentations, by the forward
 recursion in log space over its positions. Without it unseen words would all be alike;
 with it they get what their parts are worth.
@@ -24,7 +22,7 @@ the sums go back to their blocks, where a cogroup with the texts scores them. Th
 sums are kept as a table in the shared checkpoint folder.
 
 Defined results: null text is the empty text (one token, the end); without training
-texts every count is 0, u is one half and the prior alone weighs the pieces; repeated rows count each time;
+texts every count is 0 and the prior alone weighs the pieces; repeated rows count each time;
 an empty table gives an empty table; other input columns are ignored.
 """
 
@@ -235,14 +233,13 @@ SCORES = [T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.Lo
 
 def score_block(texts: pa.Table, words: pa.Table, shared) -> dict:
     """Scores of the texts of one block, given the training counts of its words."""
-    lattice, logs, n_total, n_distinct, n_texts, new = shared.value
+    lattice, logs, n_total, n_distinct, n_texts = shared.value
     keys, at = np.unique(words.column("h").to_numpy().view(tb.U64), return_index=True)
     counts = words.column("c").to_numpy()[at]
     out: dict[str, list] = {f.name: [] for f in SCORES}
     log_total = np.log10(n_total + n_distinct + 1)
-    # The word part of the model: the end is a known token.
-    unit = (1 - new) / (n_total + n_distinct + (n_texts == 0))
-    end_base, end_model = np.log10(n_texts + 1) - log_total, np.log10((n_texts + 1) * unit)
+    new = max(n_distinct, 1)
+    log_model = np.log10(n_total + new + 1)
     memo = np.full(len(keys), np.nan)
     buf, offs = tb.string_buffers(texts.column("text"))
     for _, _, b, o in tb.slices(buf, offs):
@@ -253,18 +250,17 @@ def score_block(texts: pa.Table, words: pa.Table, shared) -> dict:
         todo, seen = todo[fresh], seen[fresh]
         for which, group in word_groups(b, starts[seen], ends[seen]):
             with np.errstate(divide="ignore"):
-                c = counts[todo[which]]
-                word = np.log((c + 1) * (c > 0) * unit)
-                memo[todo[which]] = np.logaddexp(word, np.log(new) + lattice.log_prob(group, logs)) / LN10
+                parts = np.log(new) + lattice.log_prob(group, logs)
+                memo[todo[which]] = np.logaddexp(np.log(counts[todo[which]]), parts) / LN10 - log_model
         c = counts[place]
         pad = lambda x: np.concatenate(([0], np.cumsum(x)))[first]
         n = np.diff(first) + 1
         out["n_tokens"].append(n)
         out["n_known"].append(np.diff(pad(c > 0)) + (n_texts > 0))
         out["train_tokens"].append(np.full(len(n), n_total))
-        for name, values, end in (("base_score", np.log10(c + 1) - log_total, end_base), ("score", memo[place], end_model)):
+        for name, values, log in (("base_score", np.log10(c + 1) - log_total, log_total), ("score", memo[place], log_model)):
             rows = np.repeat(np.arange(len(n)), n - 1)
-            out[name].append(np.bincount(rows, values, len(n)) + end)
+            out[name].append(np.bincount(rows, values, len(n)) + np.log10(n_texts + 1) - log)
     return {k: np.concatenate(v) if v else np.zeros(0) for k, v in out.items()}
 
 
@@ -288,15 +284,12 @@ def score(df: DataFrame, train: Column, tokenizer: str, block: Column, id_col: s
      .select("kind", "h", "b", "c", "total", "first").write.parquet(path))
     table = spark.read.parquet(path)
     once = table.where("first")
-    n_words, n_distinct, n_single = once.where((F.col("kind") == WORD) & (F.col("c") > 0)).agg(
-        F.coalesce(F.sum("c"), F.lit(0)), F.count("c"), F.count_if(F.col("c") == 1)).first()
+    n_words, n_distinct = once.where((F.col("kind") == WORD) & (F.col("c") > 0)).agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
     n_texts = df.where(F.coalesce(train, F.lit(False))).count()
     weights = PRIOR * prior
     got = once.where(F.col("kind") == PIECE).select("h", "total").toArrow()  # at most the pieces of the vocabulary
     weights[got.column(0).to_numpy()] += got.column(1).to_numpy()
-    n_total = n_words + n_texts
-    model = sc.broadcast((lattice, log_weights(weights / weights.sum()), n_total, n_distinct + (n_texts > 0), n_texts,
-                          (n_single + 1) / (n_total + 2)))
+    model = sc.broadcast((lattice, log_weights(weights / weights.sum()), n_words + n_texts, n_distinct + (n_texts > 0), n_texts))
     fields = [df.schema[id_col], T.StructField("train", T.BooleanType()), *SCORES]
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:

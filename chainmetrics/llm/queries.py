@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainmetrics.llm import bpe, chat, decontam, langid, lattice, sharding
+from chainmetrics.llm import bpe, chat, decontam, langid, lattice, sharding, topk
 from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
@@ -110,3 +110,16 @@ def op8_lm_scoring(t: Tables) -> DataFrame:
     held = langid.remainder("doc_id", 7) == 2
     scored = lattice.score(docs, ~held, byte_bpe_file(), lattice.file_blocks(docs))
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+@register("op6_topk", sql="""
+    WITH v AS (SELECT vec_id, list_transform(embedding, x -> CAST(floor(1024 * CAST(x AS DOUBLE)) AS DOUBLE)) AS e
+               FROM embeddings
+               WHERE embedding IS NOT NULL AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0),
+         s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+               FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+         r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
+    SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 10""")
+def op6_topk(t: Tables) -> DataFrame:
+    """Ten highest integer inner products for every hundredth vector, against all vectors."""
+    return topk.top_k(t.embeddings, F.col("vec_id") % 100 == 0)
