@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainmetrics.llm import bpe, chat, decontam, langid, lattice, sharding, topk
+from chainmetrics.llm import bpe, chat, decontam, langid, lattice, neardup, sharding, topk
 from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
@@ -123,3 +123,9 @@ def op8_lm_scoring(t: Tables) -> DataFrame:
 def op6_topk(t: Tables) -> DataFrame:
     """Ten highest integer inner products for every hundredth vector, against all vectors."""
     return topk.top_k(t.embeddings, F.col("vec_id") % 100 == 0)
+
+
+@register("op3_neardup")
+def op3_neardup(t: Tables) -> DataFrame:
+    """Near-duplicate components of all documents at a similarity of 0.85."""
+    return neardup.near_duplicates(t.documents)
