@@ -13,12 +13,12 @@ falls with the distance of the sets.
 3. The joint likelihood of both sketches and the known set sizes estimates the similarity
    of a candidate; clear misses (``EST_MARGIN`` below the threshold, four standard
    errors) go.
-4. The rest is confirmed on full sets, each text's best candidate first; candidates that
-   a confirmed link has put into one component need no confirmation. Components are
-   found by large-star/small-star steps on DataFrames.
-5. Buckets that still hold several components are compared across components (in
-   blocks, on the sketches), the promising pairs confirmed as in 4, until none is left:
-   no partner is dropped because of a bucket's size.
+4. The best candidate of each text is confirmed on full sets, twice; candidates that a
+   confirmed link has put into one component need no confirmation. Components are found
+   by large-star/small-star steps on DataFrames.
+5. Buckets that still hold several components are compared across components: in blocks,
+   by the sketches first, then on full sets. No partner is dropped because of a bucket's
+   size, and only confirmed links leave a block.
 
 Nothing about all documents reaches the driver but counts. Intermediate tables go to
 the shared checkpoint folder.
@@ -52,7 +52,9 @@ BANDS, ROWS = 36, 7
 BASE, RATE = 1.08, 20.0
 EST_MARGIN = 0.10
 #: Members of a bucket compared with one another in one group.
-BLOCK = 1024
+BLOCK = 512
+#: Rounds in which each text's best candidate among its buckets' smallest ids is confirmed.
+STAR_ROUNDS = 2
 
 _rng = np.random.default_rng(85)
 _XOR = _rng.integers(0, 2**32, (REGISTERS, 1), dtype=np.uint32)
@@ -135,9 +137,9 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 
 
 def buckets(reps: DataFrame) -> DataFrame:
-    """(key, id): one row for each band of each sketch."""
+    """(id, band, key): one row for each band of each sketch."""
     band = [F.xxhash64(F.lit(i), F.substring("sketch", i * ROWS + 1, ROWS)) for i in range(BANDS)]
-    return reps.select("id", F.explode(F.array(*band)).alias("key"))
+    return reps.select("id", F.posexplode(F.array(*band)).alias("band", "key"))
 
 
 def similar(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
@@ -156,6 +158,12 @@ def similar(pairs: DataFrame, reps: DataFrame, threshold: float) -> DataFrame:
     return tb.map_arrow(joined, run, [T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("est", T.DoubleType())])
 
 
+def linked(x: np.ndarray, y: np.ndarray, threshold: float) -> bool:
+    """Whether two shingle sets reach the threshold, in whole numbers."""
+    common = len(np.intersect1d(x, y, assume_unique=True))
+    return common > 0 and 100 * common >= round(100 * threshold) * (len(x) + len(y) - common)
+
+
 def confirm(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     """(a, b) of the pairs whose full sets reach the threshold. ``texts``: id, text."""
     side = lambda x: texts.select(F.col("id").alias(x), F.col("text").alias(f"t_{x}"))
@@ -168,8 +176,7 @@ def confirm(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
             sets.append([s for _, _, b, o in tb.slices(buf, offs) for s in text_shingles(b, o)])
         keep = np.zeros(batch.num_rows, bool)
         for i, (x, y) in enumerate(zip(*sets)):
-            common = len(np.intersect1d(x, y, assume_unique=True))
-            keep[i] = common > 0 and 100 * common >= round(100 * threshold) * (len(x) + len(y) - common)
+            keep[i] = linked(x, y, threshold)
         keep = pa.array(keep)
         return {"a": batch.column(0).filter(keep), "b": batch.column(1).filter(keep)}
 
@@ -218,51 +225,71 @@ def _crossing(pairs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def _settle(pairs: DataFrame, labels: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
-    """Confirm candidates, the best of each text first, until no unconfirmed one crosses components."""
-    left = pairs
-    while True:
-        open_ = _stored(_crossing(left, labels).select("a", "b", "est"), "neardup-open")
-        if open_.isEmpty():
-            return labels
-        # The best candidate of each text: at most one pair for each.
+    """Labels after ``STAR_ROUNDS`` rounds, each confirming the best open candidate of every text."""
+    for _ in range(STAR_ROUNDS):
+        open_ = _stored(_crossing(pairs, labels).select("a", "b", "est"), "neardup-open")
         best = (open_.groupBy("a").agg(F.max_by(F.struct("b", "est"), F.struct("est", "b")).alias("p"))
                 .select("a", F.col("p.b").alias("b")))
         links = _stored(confirm(best, texts, threshold), "neardup-links")
         labels = _relabel(labels, links)
-        left = open_.join(best, ["a", "b"], "left_anti")
+        pairs = open_.join(best, ["a", "b"], "left_anti")
+    return labels
+
 
+def _contested(reps: DataFrame, keyed: DataFrame, labels: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    """Confirmed links (a, b) between members of a bucket that lie in different components.
 
-def _cross_pairs(reps: DataFrame, keyed: DataFrame, labels: DataFrame, threshold: float) -> DataFrame:
-    """(a, b, est): promising pairs of a bucket that lie in different components."""
-    member = (keyed.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id")))
+    A bucket is compared block by block: a member goes to as many groups as its bucket
+    has blocks, and only links leave a group. A pair that shares several buckets is
+    looked at in the first of them alone."""
+    member = keyed.join(labels, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
     several = (member.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
                .where("lo <> hi").select("key", F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks")))
-    rows = (member.join(several, "key").join(reps.select("id", "n", "sketch"), "id")
+    rows = (member.join(several, "key").join(reps.select("id", "n", "sketch"), "id").join(texts, "id")
             .withColumn("i", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
             .withColumn("j", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-            .select("key", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "i", "id", "comp", "n", "sketch"))
-    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType()), T.StructField("est", T.DoubleType())])
+            .select("key", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "i", "band", "id", "comp", "n", "sketch", "text"))
+    schema = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.LongType())])
 
     def run(group: pa.Table) -> pa.Table:
         ids, comp, n, i = (group.column(c).to_numpy() for c in ("id", "comp", "n", "i"))
         regs = np.frombuffer(b"".join(group.column("sketch").to_pylist()), np.uint8).reshape(-1, REGISTERS)
-        x, y = group.column("x")[0].as_py(), group.column("y")[0].as_py()
+        x, y, band = (group.column(c)[0].as_py() for c in ("x", "y", "band"))
         found = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
         for r in range(len(ids)):
             other = (comp != comp[r]) & ((ids < ids[r]) if x == y else (i != i[r]) & (i[r] == x))
-            other &= (n >= threshold * n[r]) & (n[r] >= threshold * n)
-            at = np.flatnonzero(other)
+            at = np.flatnonzero(other & (n >= threshold * n[r]) & (n[r] >= threshold * n))
+            same = regs[at] == regs[r]
             # Registers of such sets are equal at least as often as elements are shared.
-            at = at[(regs[at] == regs[r]).sum(1) >= (threshold - 2.5 * EST_MARGIN) * REGISTERS]
+            good = same.sum(1) >= (threshold - 2.5 * EST_MARGIN) * REGISTERS
+            good &= same[:, :BANDS * ROWS].reshape(-1, BANDS, ROWS).all(2).argmax(1) == band
+            at = at[good]
             if len(at):
                 est = estimate(np.broadcast_to(regs[r], (len(at), REGISTERS)), regs[at], np.full(len(at), n[r]), n[at])
                 good = est >= threshold - EST_MARGIN
-                at, est = at[good], est[good]
-                found.append((np.maximum(ids[r], ids[at]), np.minimum(ids[r], ids[at]), est))
+                found.append((np.full(good.sum(), r), at[good], est[good]))
         a, b, est = map(np.concatenate, zip(*found))
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64()), "est": pa.array(est, pa.float64())})
+        links, sets, root = [], {}, {c: c for c in comp.tolist()}
+
+        def find(c):
+            while root[c] != c:
+                root[c] = c = root[root[c]]
+            return c
+
+        def shingle_set(k):
+            if k not in sets:
+                sets[k] = text_shingles(*tb.string_buffers(pa.array([group.column("text")[k].as_py()])))[0]
+            return sets[k]
+
+        for p in np.argsort(-est, kind="stable").tolist():
+            r, q = int(a[p]), int(b[p])
+            ca, cb = find(int(comp[r])), find(int(comp[q]))
+            if ca != cb and linked(shingle_set(r), shingle_set(q), threshold):
+                links.append((int(ids[r]), int(ids[q])))
+                root[max(ca, cb)] = min(ca, cb)
+        return pa.table({"a": pa.array([v for v, _ in links], pa.int64()), "b": pa.array([v for _, v in links], pa.int64())})
 
-    return rows.groupBy("key", "x", "y").applyInArrow(run, schema).groupBy("a", "b").agg(F.first("est").alias("est"))
+    return rows.groupBy("key", "x", "y").applyInArrow(run, schema)
 
 
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.85) -> DataFrame:
@@ -285,7 +312,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     labels = _stored(copies.where("id <> rep").groupBy("id").agg(F.min("rep").alias("comp")), "neardup-copies")
     # Copies aren't nodes of their own: labels of the search are over representatives.
     found = _settle(pairs, spark.createDataFrame([], "id long, comp long"), texts, threshold)
-    found = _settle(_cross_pairs(nodes, keyed, found, threshold), found, texts, threshold)
+    links = _stored(_contested(nodes, keyed, found, texts, threshold), "neardup-links")
+    found = _relabel(found, links)
     final = (labels.select("id", F.col("comp").alias("rep")).unionByName(nodes.select("id", F.col("id").alias("rep")))
              .join(found.select(F.col("id").alias("rep"), "comp"), "rep", "left")
              .groupBy("id").agg(F.min(F.coalesce("comp", "rep")).alias("comp")))
