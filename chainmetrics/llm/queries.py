@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainmetrics.llm import bpe, chat, decontam, langid, lattice, neardup, sharding, topk
+from chainmetrics.llm import bpe, chat, decontam, langid, lattice, neardup, pii, sharding, topk
 from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
@@ -129,3 +129,20 @@ def op6_topk(t: Tables) -> DataFrame:
 def op3_neardup(t: Tables) -> DataFrame:
     """Near-duplicate components of all documents at a similarity of 0.85."""
     return neardup.near_duplicates(t.documents)
+
+
+@register("op9_pii")
+def op9_pii(t: Tables) -> DataFrame:
+    """Personal data in every whole document: rule matches and spans the boosted trees add."""
+    docs = t.documents.select("doc_id", "text")
+    found = pii.find(docs, pii.train(docs))
+
+    def joined(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+
+    def of_kind(spans, kind):
+        return F.filter(spans, lambda s: s["kind"] == kind)
+
+    base = F.filter("pii", lambda s: s["base"])  # spans come by kind as listed, then start
+    counts = [F.size(of_kind(base, k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
