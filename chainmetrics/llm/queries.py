@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chainmetrics.llm import bpe, chat, decontam, langid, lattice, neardup, pii, sharding, topk
+from chainmetrics.llm import bpe, chat, decontam, langid, lattice, neardup, pii, sharding, suffixes, topk
 from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
@@ -146,3 +146,12 @@ def op9_pii(t: Tables) -> DataFrame:
     base = F.filter("pii", lambda s: s["base"])  # spans come by kind as listed, then start
     counts = [F.size(of_kind(base, k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return found.select("doc_id", *counts, F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("pii")).alias("spans"))
+
+
+@register("op2_suffix_dedup")
+def op2_suffix_dedup(t: Tables) -> DataFrame:
+    """Remove every byte of the documents that lies in a 100-byte string which starts earlier, too."""
+    removed = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return suffixes.remove_repeats(t.documents).select(
+        "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"))
