@@ -41,14 +41,17 @@ def build_session(master: str | None = None, app_name: str = "chainmetrics",
 def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    On a cluster this is whatever ``spark.checkpoint.dir`` names. Only when it
-    is unset (local tests) a scratch folder is created and registered.
+    On a cluster this is whatever ``spark.checkpoint.dir`` names; without it the
+    call fails, as a folder of one machine would lose rows. Only in local mode
+    (tests) a scratch folder is created and registered.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
     if not root:
         root = sc.getConf().get("spark.checkpoint.dir", None)
         if not root:
+            if not (sc.master or "").startswith("local[") and sc.master != "local":
+                raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
             root = tempfile.mkdtemp(prefix="chainmetrics-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from chainmetrics.session import path_exists
+from chainmetrics.session import path_exists, scratch_path
 
+CORRUPT = "_corrupt_record"
 FILE_DAY = r"_(\d{8})\."          # <prefix>_<table>_YYYYMMDD.tsv[.gz]
 FOLDER_DAY = r"/(?:day|date)=(\d{8})/"  # .../day=YYYYMMDD/part-...
 
@@ -44,34 +45,56 @@ def read_dumps(spark: SparkSession, root: str, table: str, start=None, end=None,
     return df
 
 
-def tsv_to_parquet(spark: SparkSession, src: str, dst: str, sep: str = "\t",
-                   partition_by: str = "date", files_per_day: int = 4) -> DataFrame:
+def tsv_to_parquet(spark: SparkSession, src: str, dst: str, sep: str = "\t", partition_by: str = "date",
+                   schema: StructType | str | None = None, rejected: str | None = None) -> DataFrame:
     """Convert a folder of day TSVs to parquet partitioned by day (A2).
 
-    Types are inferred from ALL rows (samplingRatio 1.0, like a full-file
-    scan); rows that do not parse land in ``_corrupt_record`` instead of
-    failing the job. Returns the written table, read back.
+    Pass the declared ``schema`` in production; without it types are inferred from ALL
+    rows first (one more read of the data). Lines that don't fit it (too many or too few
+    fields, values of another type) are kept as they are, with their file, in the side
+    table ``rejected`` (default: ``<dst>_rejected``); the others are written to ``dst``.
+    Returns the written table, read back.
     """
-    reader = (spark.read.option("header", True).option("sep", sep).option("inferSchema", True)
-              .option("samplingRatio", 1.0).option("mode", "PERMISSIVE")
-              .option("columnNameOfCorruptRecord", "_corrupt_record"))
-    df = with_file_day(reader.csv(src), partition_by)
-    write_day_partitions(df, dst, partition_by, files_per_day=files_per_day)
-    return spark.read.parquet(dst)
+    reader = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE")
+    if schema is None:
+        schema = reader.option("inferSchema", True).option("samplingRatio", 1.0).csv(src).schema
+    elif isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    raw = (reader.option("columnNameOfCorruptRecord", CORRUPT)
+           .schema(StructType([*schema.fields, StructField(CORRUPT, StringType())])).csv(src))
+    # Parsed once, with all columns: what counts as malformed must not depend on the columns read.
+    staged = scratch_path(spark, "parsed")
+    with_file_day(raw.withColumn("_file", F.col("_metadata.file_path")), partition_by).write.parquet(staged)
+    df = spark.read.parquet(staged)
+    write_day_partitions(df.where(F.col(CORRUPT).isNull()).drop(CORRUPT, "_file"), dst, partition_by)
+    (df.where(F.col(CORRUPT).isNotNull()).select("_file", F.col(CORRUPT).alias("line"), partition_by)
+     .write.mode("overwrite").parquet(rejected or f"{dst.rstrip('/')}_rejected"))
+    return spark.read.schema(df.drop(CORRUPT, "_file").schema).parquet(dst)
+
+
+def load_tables(spark: SparkSession, root: str, dst: str, schemas: dict[str, StructType | str], start=None, end=None) -> dict[str, DataFrame]:
+    """Load the day dumps of several tables for ``start <= day <= end`` into day-partitioned
+    tables below ``dst`` (A1 + A4): the first load creates a table, later ones replace the
+    days they bring. Returns the stored tables by name."""
+    out = {}
+    for table, schema in schemas.items():
+        rows = read_dumps(spark, root, table, start, end, schema)
+        write_day_partitions(rows, f"{dst.rstrip('/')}/{table}")
+        out[table] = spark.read.schema(rows.schema).parquet(f"{dst.rstrip('/')}/{table}")
+    return out
 
 
 def write_day_partitions(df: DataFrame, path: str, day_col: str = "date", fmt: str = "parquet",
-                         files_per_day: int = 4, options: dict | None = None) -> None:
+                         options: dict | None = None) -> None:
     """Write ``df`` partitioned by day, replacing only the days present in ``df``.
 
     Dynamic partition overwrite makes a re-run of the same days idempotent
-    (no duplicated rows) while leaving other days untouched. Rows are shuffled
-    by (day, row-hash bucket): a day's rows go to at most ``files_per_day``
-    writer tasks, so a hot day is still split and a day is not scattered into
-    one small file per input task.
+    (no duplicated rows) while leaving other days untouched. The rebalance hint
+    brings a day's rows together and splits days beyond the advisory partition
+    size, so a hot day is written by as many tasks as its size needs and a cold
+    day by one.
     """
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(files_per_day))
-    w = df.repartition(F.col(day_col), bucket).write.mode("overwrite")
+    w = df.hint("rebalance", F.col(day_col)).write.mode("overwrite")
     # A new table is simply created (no staging of replaced days); an existing
     # one gets only the days present in ``df`` replaced (A11: create vs insert).
     if path_exists(df.sparkSession, path):
@@ -81,6 +104,32 @@ def write_day_partitions(df: DataFrame, path: str, day_col: str = "date", fmt: s
     w.partitionBy(day_col).format(fmt).save(path)
 
 
+def publish_range(table: DataFrame, path: str, start=None, end=None, day_col: str = "Date") -> DataFrame:
+    """Publish the days of a daily table within ``start .. end`` (inclusive), sorted by day
+    (B14 + F1 + A8): the days replace what was published for them before. Returns the
+    published table. The table has one row per day, so it is one sorted file per range part."""
+    df = table
+    if start is not None:
+        df = df.where(F.col(day_col) >= F.lit(start).cast("date"))
+    if end is not None:
+        df = df.where(F.col(day_col) <= F.lit(end).cast("date"))
+    month = F.date_format(day_col, "yyyyMM")
+    w = df.withColumn("month", month).hint("rebalance", F.col("month"))
+    spark = table.sparkSession
+    if path_exists(spark, path):
+        # A month may be published in parts: its other days are kept.
+        days, months = df.select(day_col), w.select("month").distinct()
+        old = spark.read.parquet(path).withColumn("month", month).join(months, "month", "left_semi").join(days, day_col, "left_anti")
+        staged = scratch_path(spark, "publish")
+        w.unionByName(old.select(*w.columns)).write.parquet(staged)
+        w = spark.read.parquet(staged).hint("rebalance", F.col("month"))
+        writer = w.sortWithinPartitions("month", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    else:
+        writer = w.sortWithinPartitions("month", day_col).write.mode("overwrite")
+    writer.partitionBy("month").parquet(path)
+    return spark.read.parquet(path).drop("month")
+
+
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:
     """Replace a whole result table."""
     df.write.mode("overwrite").format(fmt).save(path)
