@@ -1,12 +1,12 @@
-"""Auto-encoder outlier scores as data-parallel gradient descent on Spark.
-
-The net (d -> 25 -> 2 -> 2 -> 25 -> d, ReLU hidden layers, linear output) has a
-few hundred parameters. Each epoch is one Spark job: the parameters travel with
-the task closure, every partition returns its summed gradient of the squared
-reconstruction error (one row per partition), the driver adds them and takes an
-Adam step. Input rows never leave the executors; only parameters and gradients
-(fixed size) cross the driver. The score of a row is the Euclidean distance
-between the standardised row and its reconstruction; rows above the
+"""Auto-encoder outlier scores, trained data-parallel on Spark.
+
+The net (d -> 25 -> 2 -> 2 -> 25 -> d, ReLU hidden layers, linear output) has a few hundred
+parameters. An epoch is one Spark job: every partition runs mini-batch Adam steps through
+all of its rows, beginning with the shared parameters, and the partitions' results are
+averaged by rows. The averages are summed on the executors, one number per parameter, so
+the driver gets as many numbers as there are parameters, however many partitions there are.
+Epochs go on until the loss no longer falls (at most ``epochs``). The score of a row is the
+Euclidean distance between the standardised row and its reconstruction; rows above the
 (1 - contamination) percentile are flagged.
 """
 
@@ -25,6 +25,8 @@ from chainmetrics.operators import outliers as O
 
 # Fixed values of the reference configuration: hidden layer sizes.
 HIDDEN = (25, 2, 2, 25)
+#: Rows of a mini-batch.
+BATCH = 32
 
 
 def init_params(sizes, seed: int):
@@ -74,50 +76,70 @@ def _unflat(vec, like):
     return out
 
 
-def fit_autoencoder(scaled: DataFrame, cols, hidden=HIDDEN, epochs: int = 100, lr: float = 0.01,
-                    seed: int = 42):
-    d = len(cols)
-    params = init_params((d, *hidden, d), seed)
-    m = [np.zeros_like(p) for p in params]
-    v = [np.zeros_like(p) for p in params]
-    b1, b2, eps = 0.9, 0.999, 1e-8
+def _adam_epoch(params, moments, x, step: int, lr: float):
+    """One pass of mini-batch Adam steps over the rows; returns (parameters, moments, step, loss sum before the steps)."""
+    b1, b2, eps, total = 0.9, 0.999, 1e-8, 0.0
+    m, v = moments
+    for i in range(0, len(x), BATCH):
+        part = x[i:i + BATCH]
+        grads, loss = gradients(params, part)
+        total += loss
+        step += 1
+        for j, g in enumerate(grads):
+            g = g / len(part)
+            m[j] = b1 * m[j] + (1 - b1) * g
+            v[j] = b2 * v[j] + (1 - b2) * g * g
+            params[j] = params[j] - lr * (m[j] / (1 - b1**step)) / (np.sqrt(v[j] / (1 - b2**step)) + eps)
+    return params, (m, v), step, total
+
+
+def fit_autoencoder(scaled: DataFrame, cols, hidden=HIDDEN, epochs: int = 100, lr: float = 0.003,
+                    seed: int = 42, patience: int = 10, tolerance: float = 1e-3):
+    """Parameters after the epochs that improved the loss. Stops when ``patience`` epochs in a
+    row have not lowered the best loss by the share ``tolerance``."""
+    sizes = (len(cols), *hidden, len(cols))
+    params = init_params(sizes, seed)
     data = scaled.select(*[F.col(c).cast("double") for c in cols])
-    for step in range(1, epochs + 1):
-        snapshot = [p.copy() for p in params]
-
-        def part_grad(batches, snapshot=snapshot):
-            total, loss, n = None, 0.0, 0
+    best, best_params, since, width = np.inf, params, 0, len(_flat(params))
+    state = np.concatenate((_flat(params), np.zeros(2 * width)))  # parameters and both moments
+    steps = 0
+    for _ in range(epochs):
+        def epoch(batches, state=state, steps=steps):
+            like = init_params(sizes, seed)
+            p, m, v = (_unflat(state[i * width:(i + 1) * width].copy(), like) for i in range(3))
+            n, loss, done = 0, 0.0, steps
             for pdf in batches:
                 x = pdf.to_numpy(dtype=float)
-                g, ls = gradients(snapshot, x)
-                fg = _flat(g)
-                total = fg if total is None else total + fg
-                loss += ls
+                p, (m, v), done, part = _adam_epoch(p, (m, v), x, done, lr)
+                loss += part
                 n += len(x)
             if n:
-                yield pd.DataFrame({"g": [total.tolist()], "loss": [loss], "n": [n]})
+                values = np.concatenate((_flat(p), _flat(m), _flat(v), [loss / n, (done - steps) / 1.0, 1.0])) * n
+                yield pd.DataFrame({"pos": np.arange(len(values), dtype=np.int32), "value": values})
 
-        rows = data.mapInPandas(part_grad, "g ARRAY<DOUBLE>, loss DOUBLE, n LONG").collect()
-        n = sum(r["n"] for r in rows)
-        if n == 0:
+        # One row per parameter reaches the driver: the sums over the partitions.
+        sums = data.mapInPandas(epoch, "pos INT, value DOUBLE").groupBy("pos").agg(F.sum("value").alias("value")).toPandas()
+        if not len(sums):
             break
-        grad = _unflat(np.sum([np.array(r["g"]) for r in rows], axis=0) / n, params)
-        for i, g in enumerate(grad):
-            m[i] = b1 * m[i] + (1 - b1) * g
-            v[i] = b2 * v[i] + (1 - b2) * g * g
-            mh = m[i] / (1 - b1 ** step)
-            vh = v[i] / (1 - b2 ** step)
-            params[i] = params[i] - lr * mh / (np.sqrt(vh) + eps)
-    return params
+        mean = sums.sort_values("pos")["value"].to_numpy()
+        mean = mean / mean[-1]
+        loss, state, steps = mean[-3], mean[:-3], steps + int(round(mean[-2]))
+        if loss < best * (1 - tolerance):
+            best, since = loss, 0
+        else:
+            since += 1
+        best_params = _unflat(state[:width].copy(), params)
+        if since >= patience:
+            break
+    return best_params
 
 
 def autoencoder_outliers(df: DataFrame, cols, hidden=HIDDEN, fraction: float = O.OUTLIER_FRACTION,
-                         epochs: int = 100, lr: float = 0.01, seed: int = 42,
-                         score: str = "score", flag: str = "anomaly", threshold: str = "percentile") -> DataFrame:
-    """Append the reconstruction-error score and a 0/1 outlier flag.
-
-    ``threshold="percentile"`` is exact (day tables); ``"approx"`` for fact grain.
-    """
+                         epochs: int = 100, lr: float = 0.003, seed: int = 42,
+                         score: str = "score", flag: str = "anomaly", threshold: str = "percentile",
+                         day_grain: bool = False) -> DataFrame:
+    """Append the reconstruction-error score and a 0/1 outlier flag (H14). The cut is exact
+    and distributed; ``day_grain`` takes it with a window over a small daily table."""
     ship_package(df.sparkSession)
     cols = list(cols)
     zcols = [f"_z_{c}" for c in cols]
@@ -133,4 +155,4 @@ def autoencoder_outliers(df: DataFrame, cols, hidden=HIDDEN, fraction: float = O
         return pd.Series(np.sqrt(((xh - x) ** 2).sum(axis=1)))
 
     out = scaled.withColumn(score, recon_error(*[F.col(z) for z in zcols])).drop(*zcols)
-    return O.flag_outliers(out, score, fraction, threshold, flag, strict=True)
+    return O.flag_outliers(out, score, fraction, threshold, flag, strict=True, day_grain=day_grain)

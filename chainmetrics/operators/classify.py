@@ -1,15 +1,14 @@
 """Illicit-address classifiers: exact kNN, decision tree, boosted trees; scoring and reports.
 
-Exact kNN join, distributed
---------------------------
-Query rows and training rows are hashed into blocks of at most ``block_rows``.
-Every (query block, training block) pair meets in one ``cogroup`` task, which
-computes the distances with numpy and emits only the k nearest training rows
-per query row. The candidate lists (k per training block) are then merged per
-query row and the k best vote. Work is the unavoidable |queries| x |train|
-distance evaluations, spread over B_q x B_t tasks; memory per task is bounded
-by the block size; no pair list is ever materialised. No cap on candidates:
-every training row is compared with every query row.
+Exact kNN, row-local
+--------------------
+The training rows are broadcast in blocks of at most about ``block_rows`` (a block is
+counted before it is collected, so its size is proven; a training set of that size is one
+block). Each block is one ``mapInArrow`` pass over the query rows that keeps the k best
+neighbours seen so far in a column; the vote is taken in the last pass. Query rows are
+never shuffled, grouped or joined, so the work is linear in them, and rows with equal ids
+or equal features are simply rows of their own. Every training row is compared with
+every query row. Null and NaN features count as 0, as after the reference's null fill.
 """
 
 from __future__ import annotations
@@ -17,14 +16,16 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StructField, StructType
 
-from chainmetrics.session import ship_package
+from chainmetrics.session import materialize, ship_package
 
 # Fixed values of the reference models: k = 4 neighbours with inverse-distance
 # weights; entropy tree with seed 0; 100 boosting rounds at learning rate 0.5;
@@ -36,87 +37,143 @@ BOOST_RATE = 0.5
 SPLIT_SEED = 4103
 TRAIN_FRACTION = 0.7
 
-CANDIDATE_SCHEMA = "qid LONG, tid LONG, tlabel INT, dist DOUBLE"
+#: Labelled rows that the models of ``score_all_models`` learn from at most.
+TRAIN_ROWS = 200_000
+BLOCK_ROWS = 65_536
+#: Cells of the distance matrix held at once.
+CHUNK_CELLS = 1 << 21
+NEIGHBOUR = StructType([StructField("dist", DoubleType()), StructField("tid", LongType()), StructField("tlabel", IntegerType())])
 
 
 def _as_array(df: DataFrame, features) -> DataFrame:
-    if isinstance(features, str):
-        return df.withColumn("_x", F.col(features).cast("array<double>"))
-    return df.withColumn("_x", F.array(*[F.col(c).cast("double") for c in features]))
-
-
-def _local_topk(k: int, chunk_cells: int = 1 << 22):
-    def fn(q: pd.DataFrame, t: pd.DataFrame) -> pd.DataFrame:
-        if q.empty or t.empty:
-            return pd.DataFrame({"qid": [], "tid": [], "tlabel": [], "dist": []})
-        qx = np.stack(q["_x"].to_numpy()).astype(np.float64)
-        tx = np.stack(t["_x"].to_numpy()).astype(np.float64)
-        tid = t["_id"].to_numpy(np.int64)
-        tlab = t["_label"].to_numpy(np.int64)
-        qid = q["_id"].to_numpy(np.int64)
-        kk = min(k, len(tid))
-        step = max(1, chunk_cells // max(1, tx.shape[0] * tx.shape[1]))
-        out_q, out_t, out_l, out_d = [], [], [], []
-        for s in range(0, len(qid), step):
-            diff = qx[s:s + step, None, :] - tx[None, :, :]
-            d = np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
-            # k smallest by (distance, training id): exact, ties broken by id.
-            order = np.lexsort((np.broadcast_to(tid, d.shape), d), axis=1)[:, :kk]
-            rows = np.arange(d.shape[0])[:, None]
-            out_q.append(np.repeat(qid[s:s + step], kk))
-            out_t.append(tid[order].ravel())
-            out_l.append(tlab[order].ravel())
-            out_d.append(d[rows, order].ravel())
-        return pd.DataFrame({"qid": np.concatenate(out_q), "tid": np.concatenate(out_t),
-                             "tlabel": np.concatenate(out_l).astype(np.int32),
-                             "dist": np.concatenate(out_d)})
-    return fn
+    """Append the features as ``_x array<double>``, nulls and NaN as 0."""
+    x = F.col(features).cast("array<double>") if isinstance(features, str) else F.array(*[F.col(c).cast("double") for c in features])
+    return df.withColumn("_x", F.transform(x, lambda v: F.coalesce(F.nanvl(v, F.lit(0.0)), F.lit(0.0))))
+
+
+def _matrix(column: pa.Array) -> np.ndarray:
+    """Vectors of a batch as rows; a null vector is all zero."""
+    rows = column.to_pylist()
+    width = max((len(r) for r in rows if r), default=0)
+    out = np.zeros((len(rows), width))
+    for i, r in enumerate(rows):
+        if r:
+            out[i, :len(r)] = r
+    return out
+
+
+class _Block:
+    """One block of training rows, in the order of their ids."""
+
+    def __init__(self, x: np.ndarray, ids: np.ndarray, labels: np.ndarray, k: int):
+        order = np.argsort(ids, kind="stable")
+        self.x, self.ids, self.labels, self.k = x[order], ids[order], labels[order], k
+        self.square = (self.x**2).sum(1)
+
+    def nearest(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(rows of the block, distances) of the k nearest by (distance, id), nearest first."""
+        if q.shape[1] != self.x.shape[1]:
+            width = max(q.shape[1], self.x.shape[1])
+            q, x = (np.pad(m, ((0, 0), (0, width - m.shape[1]))) for m in (q, self.x))
+        else:
+            x = self.x
+        k, n = min(self.k, len(x)), len(x)
+        at, dist = np.zeros((len(q), k), np.int64), np.zeros((len(q), k))
+        step = max(1, CHUNK_CELLS // max(1, n))
+        for s in range(0, len(q), step):
+            part = q[s:s + step]
+            # Squared distances by a matrix product: rough, used only to drop what is clearly farther.
+            own = (part**2).sum(1)
+            rough = own[:, None] + self.square - 2 * part @ x.T
+            slack = 1e-9 * (own + self.square.max(initial=0)) + 1e-12
+            kth = np.partition(rough, k - 1, 1)[:, k - 1] + 2 * slack
+            for i in range(len(part)):
+                near = np.flatnonzero(rough[i] <= kth[i])
+                d = np.sqrt(((x[near] - part[i]) ** 2).sum(1))
+                best = np.argsort(d, kind="stable")[:k]  # rows of a block are in id order: ties to the smaller id
+                at[s + i], dist[s + i] = near[best], d[best]
+        return at, dist
+
+
+def _training_blocks(train: DataFrame, features, label: str, id_col: str, k: int, block_rows: int) -> list[_Block]:
+    """The training rows in blocks; each is collected only after its size is known to be bounded."""
+    rows = materialize(_as_array(train, features).select(
+        F.col(id_col).cast("long").alias("id"), "_x", F.col(label).cast("int").alias("label"), F.monotonically_increasing_id().alias("row"))
+        .where("id is not null and label is not null"))
+    blocks = max(1, math.ceil(rows.count() / block_rows))
+    for b in range(blocks):
+        got = rows.where(F.pmod(F.xxhash64("row"), F.lit(blocks)) == b).toArrow().combine_chunks()
+        if got.num_rows:
+            yield _Block(_matrix(got.column("_x")), got.column("id").to_numpy(), got.column("label").to_numpy(), k)
+
+
+def _pass(df: DataFrame, block: _Block | None, k: int, last: bool, prediction: str) -> DataFrame:
+    """Merge a block's neighbours into ``_nn``; the last pass adds the vote."""
+    shared = df.sparkSession.sparkContext.broadcast(block)
+    kept = [f for f in df.schema.fields if f.name not in ("_nn", prediction)]
+    has = "_nn" in df.columns
+    fields = kept + [StructField("_nn", ArrayType(NEIGHBOUR))] + ([StructField(prediction, IntegerType())] if last else [])
+    schema, names = StructType(fields), df.columns
+    arrow = to_arrow_schema(schema)
+
+    def run(batches):
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            old = batch.column(names.index("_nn")).to_pylist() if has else [[]] * batch.num_rows
+            if shared.value is None:
+                new = [[] for _ in old]
+            else:
+                b = shared.value
+                at, dist = b.nearest(_matrix(batch.column(names.index("_x"))))
+                ids, labels = b.ids[at].tolist(), b.labels[at].tolist()
+                new = [[{"dist": d, "tid": t, "tlabel": y} for d, t, y in zip(*r)] for r in zip(dist.tolist(), ids, labels)]
+            nn = [sorted((o or []) + n, key=lambda v: (v["dist"], v["tid"]))[:k] for o, n in zip(old, new)]
+            out = [batch.column(names.index(f.name)) for f in kept] + [pa.array(nn, arrow.field("_nn").type)]
+            if last:
+                out.append(pa.array([vote(r) for r in nn], pa.int32()))
+            yield pa.RecordBatch.from_arrays([c.cast(f.type) if c.type != f.type else c for c, f in zip(out, arrow)], schema=arrow)
+
+    return df.mapInArrow(run, schema)
+
+
+def vote(neighbours: list[dict]) -> int | None:
+    """Inverse-distance vote; if any neighbour is at distance 0, only those vote (weight 1
+    each). Ties go to the smaller label; no neighbours, no vote."""
+    exact = any(v["dist"] == 0 for v in neighbours)
+    weight: dict[int, float] = {}
+    for v in neighbours:
+        weight[v["tlabel"]] = weight.get(v["tlabel"], 0.0) + (float(v["dist"] == 0) if exact else 1.0 / v["dist"])
+    return min(weight, key=lambda y: (-weight[y], y)) if weight else None
+
+
+def _with_neighbours(train: DataFrame, queries: DataFrame, features, label: str, id_col: str, k: int, block_rows: int,
+                     prediction: str) -> DataFrame:
+    ship_package(train.sparkSession)
+    queries.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    out = _as_array(queries, features)
+    blocks = _training_blocks(train, features, label, id_col, k, block_rows)
+    block = next(blocks, None)
+    while True:
+        following = next(blocks, None)
+        out = _pass(out, block, k, following is None, prediction)
+        if following is None:
+            return out
+        block = following
 
 
 def knn_neighbours(train: DataFrame, queries: DataFrame, features, label: str, id_col: str,
-                   k: int = KNN_K, block_rows: int = 16384) -> DataFrame:
-    """(qid, tid, tlabel, dist, rank) of the k nearest training rows of every query row.
-
-    Candidate rows emitted: |queries| x k x ceil(|train| / block_rows); larger
-    blocks mean fewer candidates to merge, while task memory stays bounded by
-    the chunked distance kernel (two blocks of vectors in memory).
-    """
-    ship_package(train.sparkSession)
-    tr = _as_array(train, features).select(F.col(id_col).cast("long").alias("_id"), "_x",
-                                           F.col(label).cast("int").alias("_label"))
-    qu = _as_array(queries, features).select(F.col(id_col).cast("long").alias("_id"), "_x")
-    n_tr = max(1, math.ceil(tr.count() / block_rows))
-    n_qu = max(1, math.ceil(qu.count() / block_rows))
-    tb = F.pmod(F.xxhash64("_id", F.lit(17)), F.lit(n_tr)).cast("int")
-    qb = F.pmod(F.xxhash64("_id", F.lit(29)), F.lit(n_qu)).cast("int")
-    # Each training block meets each query block once: replicate block ids, not pairs.
-    tr_b = (tr.withColumn("_tb", tb)
-            .withColumn("_qb", F.explode(F.sequence(F.lit(0), F.lit(n_qu - 1)))))
-    qu_b = (qu.withColumn("_qb", qb)
-            .withColumn("_tb", F.explode(F.sequence(F.lit(0), F.lit(n_tr - 1)))))
-    cand = (qu_b.groupBy("_qb", "_tb").cogroup(tr_b.groupBy("_qb", "_tb"))
-            .applyInPandas(_local_topk(k), CANDIDATE_SCHEMA))
-    # Merge k candidates per training block; group size per query row is k x n_tr.
-    w = Window.partitionBy("qid").orderBy("dist", "tid")
-    return cand.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-
-
-def knn_vote(neigh: DataFrame) -> DataFrame:
-    """Inverse-distance vote per query row; if any neighbour is at distance 0,
-    only those vote (weight 1). Ties go to the smaller label."""
-    zero = F.max((F.col("dist") == 0).cast("int")).over(Window.partitionBy("qid"))
-    wgt = F.when(zero == 1, (F.col("dist") == 0).cast("double")).otherwise(1.0 / F.col("dist"))
-    votes = neigh.withColumn("w", wgt).groupBy("qid", "tlabel").agg(F.sum("w").alias("w"))
-    best = votes.groupBy("qid").agg(F.min(F.struct((-F.col("w")).alias("nw"), F.col("tlabel"))).alias("b"))
-    return best.select("qid", F.col("b.tlabel").alias("prediction"))
+                   k: int = KNN_K, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(qid, tid, tlabel, dist, rank) of the k nearest training rows of every query row."""
+    found = _with_neighbours(train, queries.select(*queries.columns), features, label, id_col, k, block_rows, "_vote")
+    return (found.select(F.col(id_col).cast("long").alias("qid"), F.posexplode("_nn").alias("pos", "n"))
+            .select("qid", "n.tid", "n.tlabel", "n.dist", (F.col("pos") + 1).alias("rank")))
 
 
 def knn_classify(train: DataFrame, queries: DataFrame, features, label: str, id_col: str,
-                 k: int = KNN_K, block_rows: int = 16384, prediction: str = "prediction") -> DataFrame:
-    """Exact k-nearest-neighbour classification of ``queries``."""
-    pred = knn_vote(knn_neighbours(train, queries, features, label, id_col, k, block_rows))
-    return (queries.join(pred.withColumnRenamed("qid", id_col), id_col, "left")
-            .withColumnRenamed("prediction", prediction))
+                 k: int = KNN_K, block_rows: int = BLOCK_ROWS, prediction: str = "prediction") -> DataFrame:
+    """Append the exact k-nearest-neighbour class to every row of ``queries`` (H9)."""
+    return _with_neighbours(train, queries, features, label, id_col, k, block_rows, prediction).drop("_x", "_nn")
 
 
 # -- tree models (MLlib) ---------------------------------------------------------
@@ -161,6 +218,34 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def bounded_training_rows(train: DataFrame, key: str, rows: int = TRAIN_ROWS) -> DataFrame:
+    """At most about ``rows`` of the labelled rows, whole keys by their hash: the documented
+    bound of what models learn from. All rows are scored."""
+    n = train.count()
+    if n <= rows:
+        return train
+    share = F.pmod(F.xxhash64(F.col(key), F.lit(31)), F.lit(1_000_000))
+    return train.where(share < int(1_000_000 * rows / n))
+
+
+def store_models(path: str, train: DataFrame, tree: PipelineModel, boosted: PipelineModel) -> None:
+    """Store all three models below ``path`` (A13): the kNN model is its training table, the
+    trees are MLlib models; ``registry`` lists them."""
+    train.write.mode("overwrite").parquet(f"{path}/knn")
+    save_model(tree, f"{path}/dtc")
+    save_model(boosted, f"{path}/xgb")
+    (train.sparkSession.createDataFrame([("knn", "table"), ("dtc", "pipeline"), ("xgb", "pipeline")], "model STRING, kind STRING")
+     .coalesce(1).write.mode("overwrite").parquet(f"{path}/registry"))
+
+
+def load_models(spark, path: str) -> tuple[DataFrame, PipelineModel, PipelineModel]:
+    """(training table of the kNN, decision tree, boosted trees) from a model store."""
+    kinds = {r.model for r in spark.read.parquet(f"{path}/registry").collect()}
+    if kinds != {"knn", "dtc", "xgb"}:
+        raise ValueError(f"{path} holds {sorted(kinds)}")
+    return spark.read.parquet(f"{path}/knn"), load_model(f"{path}/dtc"), load_model(f"{path}/xgb")
+
+
 # -- scoring and reports ---------------------------------------------------------
 
 def score_all_models(df: DataFrame, train: DataFrame, features, label: str, id_col: str,

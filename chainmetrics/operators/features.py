@@ -19,15 +19,6 @@ def _stat(df: DataFrame, agg):
     return df.select(agg).scalar()
 
 
-def scaler_stats(df: DataFrame, cols) -> DataFrame:
-    """One row: ``<c>_mean, <c>_std, <c>_min, <c>_max`` per column."""
-    aggs = []
-    for c in cols:
-        aggs += [F.avg(c).alias(f"{c}_mean"), F.stddev_pop(c).alias(f"{c}_std"),
-                 F.min(c).alias(f"{c}_min"), F.max(c).alias(f"{c}_max")]
-    return df.agg(*aggs)
-
-
 def standard_scale(df: DataFrame, cols, suffix: str = "") -> DataFrame:
     """(x - mean) / population std (H1); a constant column scales to 0."""
     out = df
@@ -61,6 +52,13 @@ def hash_split(df: DataFrame, key: str, fraction: float = 0.7, seed: int = 4103,
     return df.withColumn(col, bucket < F.lit(int(round(fraction * 10_000))))
 
 
+def md5_split(df: DataFrame, key: str, fraction: float = 0.7, col: str = "is_train") -> DataFrame:
+    """Train/test flag from the md5 of the key as text: rows of one key stay together, and any
+    SQL engine with md5 reproduces it (H12)."""
+    head = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 8), 16, 10).cast("long")
+    return df.withColumn(col, head % 10_000 < int(round(fraction * 10_000)))
+
+
 def modulus_split(df: DataFrame, key: str, train_buckets: int = 7, buckets: int = 10,
                   col: str = "is_train") -> DataFrame:
     """Train/test flag ``key % buckets < train_buckets`` (reproducible in any SQL engine)."""

@@ -144,14 +144,15 @@ def _score_fn(bforest, psi: int):
 
 def isolation_forest(df: DataFrame, cols, fraction: float = O.OUTLIER_FRACTION, trees: int = TREES,
                      sample: int = SAMPLE, seed: int = SEED, id_col: str | None = None,
-                     score: str = "score", flag: str = "anomaly", threshold: str = "percentile") -> DataFrame:
+                     score: str = "score", flag: str = "anomaly", threshold: str = "percentile",
+                     day_grain: bool = False) -> DataFrame:
     """Append the isolation score and a 0/1 outlier flag (H8).
 
-    ``threshold="percentile"`` is exact (a whole-frame window: day tables);
-    use ``"approx"`` when scoring fact-grain rows.
+    ``id_col`` tells rows with equal features apart in the samples. The cut is exact and
+    distributed; ``day_grain`` takes it with a window over a small daily table.
     """
     forest, psi = fit_isolation_forest(df, cols, trees, sample, seed, id_col)
     bforest = df.sparkSession.sparkContext.broadcast(forest)
     udf = F.pandas_udf(_score_fn(bforest, psi), DoubleType())
     scored = df.withColumn(score, udf(*[F.col(c).cast("double") for c in cols]))
-    return O.flag_outliers(scored, score, fraction, threshold, flag, strict=True)
+    return O.flag_outliers(scored, score, fraction, threshold, flag, strict=True, day_grain=day_grain)

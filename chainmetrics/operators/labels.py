@@ -125,10 +125,11 @@ def label_inputs(inputs: DataFrame, labels: DataFrame, tx: DataFrame,
             .drop("_label"))
 
 
-def fill_missing(df: DataFrame, value=0) -> DataFrame:
-    """Null -> ``value`` in numeric columns and null -> false in booleans."""
-    num = [c for c, t in df.dtypes if t in ("int", "bigint", "double", "float", "smallint", "tinyint")
+def fill_missing(df: DataFrame, value=0, columns=None) -> DataFrame:
+    """Null -> ``value`` in numeric columns and null -> false in booleans (B19); ``columns``: only these."""
+    types = [(c, t) for c, t in df.dtypes if columns is None or c in columns]
+    num = [c for c, t in types if t in ("int", "bigint", "double", "float", "smallint", "tinyint")
            or t.startswith("decimal")]
-    boo = [c for c, t in df.dtypes if t == "boolean"]
+    boo = [c for c, t in types if t == "boolean"]
     out = df.fillna(value, subset=num) if num else df
     return out.fillna(False, subset=boo) if boo else out

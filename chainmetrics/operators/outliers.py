@@ -1,9 +1,9 @@
 """Outlier flags: contamination thresholds, centroid distances, k-means.
 
-The detectors run on the daily feature table (one row per day). The exact
-n-largest and percentile thresholds use whole-frame windows over those day
-rows; for fact-grain scores use ``method="approx"`` (``percentile_approx``, a
-mergeable sketch computed by a distributed aggregate).
+Cuts are exact and distributed by default: a sketch brackets the wanted ranks, a count and
+the few rows inside the bracket give their exact values, and the threshold enters the flag
+as a number. The detectors of the daily tables (one row per day) pass ``day_grain=True``
+for a whole-frame window instead, which takes one pass over a plan of a few thousand rows.
 """
 
 from __future__ import annotations
@@ -20,6 +20,8 @@ from chainmetrics.operators import features as FE
 # Share of rows flagged as outliers and the seed of the k-means fits.
 OUTLIER_FRACTION = 0.05
 KMEANS_SEED = 4103
+#: Upper limit of the k-means steps; fits converge long before.
+KMEANS_ITERATIONS = 300
 
 
 def nlargest_count(n_rows, fraction: float = OUTLIER_FRACTION):
@@ -27,54 +29,100 @@ def nlargest_count(n_rows, fraction: float = OUTLIER_FRACTION):
     return F.floor(F.lit(fraction) * n_rows)
 
 
+#: Accuracy of the bracketing sketch: ranks are off by at most one part in this many.
+SKETCH_ACCURACY = 100_000
+
+
+def order_statistics(df: DataFrame, score: str, ranks: list[int], n: int) -> list[float]:
+    """Exact values at the 0-based ascending ``ranks`` of the ``n`` non-null scores.
+
+    No row order over the whole frame is made: the rows between two sketched quantiles
+    around each rank, a share of about 1e-4 of them, are the only ones sorted."""
+    scores = df.select(F.col(score).cast("double").alias("_s")).where(F.col("_s").isNotNull())
+    out = []
+    for rank in ranks:
+        margin = 2.0 / SKETCH_ACCURACY
+        while True:
+            lo_p, hi_p = max(0.0, (rank - 1) / n - margin), min(1.0, (rank + 2) / n + margin)
+            lo, hi = scores.agg(F.percentile_approx("_s", [lo_p, hi_p], SKETCH_ACCURACY)).first()[0]
+            below, inside = scores.agg(F.count_if(F.col("_s") < lo), F.count_if(F.col("_s").between(lo, hi))).first()
+            if below <= rank < below + inside:
+                break
+            margin *= 8
+        if lo == hi:
+            out.append(lo)
+        else:
+            # Equal scores are one row with a count: ties can't make the sorted part large.
+            few = scores.where(F.col("_s").between(lo, hi)).groupBy("_s").agg(F.count(F.lit(1)).alias("c"))
+            upto = F.sum("c").over(Window.orderBy("_s")) + below
+            out.append(few.withColumn("_upto", upto).where(F.col("_upto") > rank).agg(F.min("_s")).first()[0])
+    return out
+
+
+def _cut(df: DataFrame, score: str, fraction: float, method: str) -> tuple[int | None, float | None]:
+    """(n, threshold) of the exact distributed cut."""
+    total, n = df.agg(F.count(F.lit(1)), F.count(score)).first()
+    if method == "nlargest":
+        largest = int(np.floor(fraction * total))
+        if largest == 0 or n == 0:
+            return (largest if total else None), None
+        return largest, order_statistics(df, score, [max(0, n - largest)], n)[0]
+    if n == 0:
+        return total, None
+    place = (1.0 - fraction) * (n - 1)
+    low, high = int(np.floor(place)), int(np.ceil(place))
+    a, b = order_statistics(df, score, [low, high], n) if high > low else order_statistics(df, score, [low], n) * 2
+    return total, a + (b - a) * (place - low)
+
+
 def contamination_threshold(df: DataFrame, score: str, fraction: float = OUTLIER_FRACTION,
-                            method: str = "nlargest") -> DataFrame:
+                            method: str = "nlargest", day_grain: bool = False) -> DataFrame:
     """One-row frame ``(n, threshold)`` for the outlier cut.
 
     * ``nlargest``: the smallest of the n = int(fraction*N) largest scores (null when n = 0);
     * ``percentile``: the (1-fraction) percentile, linear interpolation;
-    * ``approx``: the same from ``percentile_approx`` (scales to fact grain).
+    * ``approx``: the same from ``percentile_approx``, without exact values.
     """
+    if method == "approx":
+        return df.agg(F.count(F.lit(1)).alias("n"),
+                      F.percentile_approx(score, 1.0 - fraction, SKETCH_ACCURACY).alias("threshold"))
+    if method not in ("nlargest", "percentile"):
+        raise ValueError(method)
+    if not day_grain:
+        return df.sparkSession.createDataFrame([_cut(df, score, fraction, method)], "n LONG, threshold DOUBLE")
     if method == "nlargest":
         ranked = df.select(score, F.row_number().over(Window.orderBy(F.desc(score))).alias("_rn"),
                            F.count(F.lit(1)).over(Window.partitionBy()).alias("_n"))
         n = nlargest_count(F.col("_n"), fraction)
         return ranked.agg(F.max(n).cast("long").alias("n"),
                           F.min(F.when(F.col("_rn") <= n, F.col(score))).alias("threshold"))
-    if method == "percentile":
-        return df.agg(F.count(F.lit(1)).alias("n"),
-                      F.percentile(score, 1.0 - fraction).alias("threshold"))
-    if method == "approx":
-        return df.agg(F.count(F.lit(1)).alias("n"),
-                      F.percentile_approx(score, 1.0 - fraction, 100_000).alias("threshold"))
-    raise ValueError(method)
+    return df.agg(F.count(F.lit(1)).alias("n"), F.percentile(score, 1.0 - fraction).alias("threshold"))
 
 
 def flag_outliers(df: DataFrame, score: str, fraction: float = OUTLIER_FRACTION,
-                  method: str = "nlargest", flag: str = "anomaly", strict: bool = False) -> DataFrame:
+                  method: str = "nlargest", flag: str = "anomaly", strict: bool = False,
+                  day_grain: bool = False) -> DataFrame:
     """Append ``flag`` = 1 where score >= threshold (``>`` when ``strict``), else 0.
 
-    ``nlargest`` / ``percentile`` compute the threshold with whole-frame windows
-    in the same pass (day-grain score tables: one small partition, no second
-    pass over the plan behind ``df``). ``approx`` uses a distributed
-    ``percentile_approx`` scalar subquery for fact-grain scores.
+    The threshold is computed first (see the module), so ``df`` is read a few times: hand
+    over a stored frame where its plan is costly. ``day_grain`` uses windows in one pass.
     """
-    whole = Window.partitionBy()
-    if method == "nlargest":
-        ranked = df.withColumns({
+    base = df
+    if method == "approx":
+        thr = contamination_threshold(df, score, fraction, "approx").select("threshold").scalar()
+    elif method not in ("nlargest", "percentile"):
+        raise ValueError(method)
+    elif not day_grain:
+        thr = F.lit(_cut(df, score, fraction, method)[1]).cast("double")
+    elif method == "nlargest":
+        whole = Window.partitionBy()
+        base = df.withColumns({
             "_rn": F.row_number().over(Window.orderBy(F.desc(score))),
             "_n": nlargest_count(F.count(F.lit(1)).over(whole), fraction),
         })
         thr = F.min(F.when(F.col("_rn") <= F.col("_n"), F.col(score))).over(whole)
-        base = ranked
-    elif method == "percentile":
-        thr = F.percentile(score, 1.0 - fraction).over(whole)
-        base = df
-    elif method == "approx":
-        thr = contamination_threshold(df, score, fraction, "approx").select("threshold").scalar()
-        base = df
     else:
-        raise ValueError(method)
+        thr = F.percentile(score, 1.0 - fraction).over(Window.partitionBy())
     hit = (F.col(score) > thr) if strict else (F.col(score) >= thr)
     return base.withColumn(flag, F.coalesce(hit, F.lit(False)).cast("int")).drop("_rn", "_n")
 
@@ -99,15 +147,16 @@ def assign_centres(df: DataFrame, cols, centres, cluster: str = "cluster",
 
 
 def centroid_distance_outliers(df: DataFrame, cols, centres, fraction: float = OUTLIER_FRACTION,
-                               flag: str = "anomaly") -> DataFrame:
+                               flag: str = "anomaly", day_grain: bool = False) -> DataFrame:
     """Distance of each row to its nearest centre; flag the int(fraction*N) farthest."""
-    return flag_outliers(assign_centres(df, cols, centres), "distance", fraction, "nlargest", flag)
+    return flag_outliers(assign_centres(df, cols, centres), "distance", fraction, "nlargest", flag, day_grain=day_grain)
 
 
-def kmeans_fit(df: DataFrame, cols, k: int, seed: int = KMEANS_SEED, max_iter: int = 20):
-    """MLlib k-means (scalable k-means++ initialisation) on ``cols``."""
+def kmeans_fit(df: DataFrame, cols, k: int, seed: int = KMEANS_SEED, max_iter: int = KMEANS_ITERATIONS):
+    """MLlib k-means (scalable k-means++ initialisation) on ``cols``, run to convergence:
+    it ends when no centre moves by more than the tolerance."""
     data = FE.assemble(df, cols, "_features")
-    return KMeans(k=k, seed=seed, maxIter=max_iter, featuresCol="_features",
+    return KMeans(k=k, seed=seed, maxIter=max_iter, tol=1e-4, featuresCol="_features",
                   predictionCol="cluster").fit(data)
 
 
@@ -162,7 +211,7 @@ def knee(points) -> int | None:
 
 
 def kmeans_outliers(df: DataFrame, cols, k: int = 4, fraction: float = OUTLIER_FRACTION,
-                    seed: int = KMEANS_SEED, keep=("Date",)) -> DataFrame:
+                    seed: int = KMEANS_SEED, keep=("Date",), day_grain: bool = False) -> DataFrame:
     """Min-max scale -> 2-component PCA -> k-means -> distance to the row's own
     centre -> flag the farthest int(fraction*N) rows (H7).
 
@@ -172,5 +221,5 @@ def kmeans_outliers(df: DataFrame, cols, k: int = 4, fraction: float = OUTLIER_F
     proj = FE.pca_project(scaled, [c + "_s" for c in cols], 2)
     model = kmeans_fit(proj, ["pc1", "pc2"], k, seed)
     centres = [list(c) for c in model.clusterCenters()]
-    flagged = centroid_distance_outliers(proj, ["pc1", "pc2"], centres, fraction)
+    flagged = centroid_distance_outliers(proj, ["pc1", "pc2"], centres, fraction, day_grain=day_grain)
     return flagged.select(*keep, "pc1", "pc2", *cols, "anomaly", "cluster")

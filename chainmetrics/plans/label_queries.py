@@ -51,9 +51,11 @@ def labelled_inputs(t):
     lines = A.order_lines(t.lineitem, t.orders).drop("order_day")
     inputs = A.spent_inputs(lines).withColumnRenamed("order_total_usd", "output_total_usd")
     tx = A.order_totals(t.lineitem)
-    return L.label_inputs(inputs, illicit(t), tx, ("input_count", "output_total", "fee_usd")).select(
+    joined = L.label_inputs(inputs, illicit(t), tx, ("input_count", "output_total", "fee_usd")).select(
         "hash", "account", "created", "spent", "value_btc", "value_usd", "spending_value_usd", "fee_usd",
         "lifespan", "cdd", "input_count", "output_total", "output_total_usd", "tx_fee_usd", "label")
+    # The reference fills every null after the join (B19); keys stay as they are.
+    return L.fill_missing(joined, columns=(*FEATURES, "label"))
 
 
 @register("category_labels", with_views("SELECT account, label FROM category_labels", "category_labels"))

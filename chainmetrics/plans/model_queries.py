@@ -11,6 +11,7 @@ from chainmetrics.plans.label_queries import FEATURES as INPUT_FEATURES
 from chainmetrics.plans.label_queries import labelled_inputs
 from chainmetrics.plans.registry import VIEWS, register, with_views
 from chainmetrics.plans.rounding import RATIO, round_all, sql_rnd
+from chainmetrics.session import materialize, scratch_path
 
 VIEWS.update({
     "emb": ("SELECT vec_id, CAST(embedding AS DOUBLE[]) AS x, label, vec_id % 10 < 7 AS is_train "
@@ -98,56 +99,93 @@ def q_flagged_rows(t):
     return S.flagged_rows(out, ("label", "y_knn_pred"))
 
 
-# -- labelled inputs: hash split, trees, all models (rows-only) -------------------
+# -- labelled inputs: split by transaction, trees, all models ----------------------
+
+SPLIT_SQL = "('0x' || substr(md5(CAST(hash AS VARCHAR)), 1, 8))::BIGINT % 10000 < 7000"
+
 
 def split_inputs(t):
-    li = labelled_inputs(t)
-    key = F.xxhash64(*[F.col(c) for c in li.columns])
-    return FE.hash_split(li.withColumn("row_id", key), "row_id", C.TRAIN_FRACTION, C.SPLIT_SEED)
+    """Labelled inputs, nulls filled, with a train flag by the md5 of the transaction hash;
+    stored once for all fits and predictions."""
+    return materialize(FE.md5_split(labelled_inputs(t), "hash", C.TRAIN_FRACTION))
 
 
-@register("train_test_split")
+@register("train_test_split", with_views(f"SELECT hash, account, label, {SPLIT_SQL} AS is_train FROM labelled_inputs", "labelled_inputs"))
 def q_split(t):
     """Labelled inputs with a deterministic 70/30 train flag."""
-    return split_inputs(t).select("row_id", "hash", "account", "label", "is_train")
+    return split_inputs(t).select("hash", "account", "label", "is_train")
+
+
+def _tree(t):
+    df = split_inputs(t)
+    return C.apply_model(C.fit_tree(df.where("is_train"), INPUT_FEATURES), df, "y_dtc_pred")
+
+
+def _boosted(t):
+    df = split_inputs(t)
+    return C.apply_model(C.fit_boosted(df.where("is_train"), INPUT_FEATURES), df, "y_xgb_pred")
+
+
+def _fit_store(t) -> tuple:
+    """Fit the three models once on a bounded share of the training rows and store them."""
+    df = split_inputs(t)
+    train = C.bounded_training_rows(df.where("is_train"), "hash")
+    path = scratch_path(t.spark, "models")
+    C.store_models(path, train, C.fit_tree(train, INPUT_FEATURES), C.fit_boosted(train, INPUT_FEATURES))
+    return df, path
+
+
+def _scored(t):
+    """All rows scored by the stored models, as a daily job would: load, then apply."""
+    df, path = _fit_store(t)
+    train, tree, boosted = C.load_models(t.spark, path)
+    return C.score_all_models(df, train, INPUT_FEATURES, "label", "hash", tree, boosted)
+
+
+TOTALS_SQL = f"SELECT {SPLIT_SQL} AS is_train, label, count(*) AS n, count(*) AS n_predicted FROM labelled_inputs GROUP BY 1, 2"
+
+
+def _totals(df, prediction: str):
+    """Rows and valid predictions by split and label: confusion cells sum to the label counts."""
+    return df.groupBy("is_train", "label").agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(prediction).isin(0, 1)).alias("n_predicted"))
 
 
 @register("decision_tree")
 def q_decision_tree(t):
-    df = split_inputs(t)
-    model = C.fit_tree(df.where("is_train"), INPUT_FEATURES)
-    out = C.apply_model(model, df, "y_dtc_pred")
-    return out.select("row_id", "label", "is_train", "y_dtc_pred")
+    return _tree(t).select("hash", "account", "label", "is_train", "y_dtc_pred")
+
+
+@register("decision_tree_totals", with_views(TOTALS_SQL, "labelled_inputs"))
+def q_decision_tree_totals(t):
+    """Every labelled input is predicted once by the tree, and as 0 or 1."""
+    return _totals(_tree(t), "y_dtc_pred")
 
 
 @register("boosted_trees")
 def q_boosted(t):
-    df = split_inputs(t)
-    model = C.fit_boosted(df.where("is_train"), INPUT_FEATURES)
-    out = C.apply_model(model, df, "y_xgb_pred")
-    return out.select("row_id", "label", "is_train", "y_xgb_pred")
+    return _boosted(t).select("hash", "account", "label", "is_train", "y_xgb_pred")
 
 
 @register("score_all_models")
 def q_score_all(t):
     """All three models on every labelled input; rows flagged by label or any model."""
-    df = split_inputs(t)
-    train = df.where("is_train")
-    tree = C.fit_tree(train, INPUT_FEATURES)
-    boosted = C.fit_boosted(train, INPUT_FEATURES)
-    scored = C.score_all_models(df, train, INPUT_FEATURES, "label", "row_id", tree, boosted)
-    return S.flagged_rows(scored).select("row_id", "hash", "account", "label", "is_train",
-                                         "y_knn_pred", "y_dtc_pred", "y_xgb_pred")
+    return S.flagged_rows(_scored(t)).select("hash", "account", "label", "is_train", "y_knn_pred", "y_dtc_pred", "y_xgb_pred")
+
+
+@register("score_all_totals", with_views(TOTALS_SQL.replace("AS n_predicted", "AS n_predicted, count(*) AS n_trees, count(*) AS n_boosted"), "labelled_inputs"))
+def q_score_all_totals(t):
+    """Every labelled input gets a 0 or 1 from each of the three stored models."""
+    return _scored(t).groupBy("is_train", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("y_knn_pred").isin(0, 1)).alias("n_predicted"),
+        F.count_if(F.col("y_dtc_pred").isin(0, 1)).alias("n_trees"), F.count_if(F.col("y_xgb_pred").isin(0, 1)).alias("n_boosted"))
 
 
 @register("anomaly_results")
 def q_anomaly_results(t):
-    """Train/test report of the three models on the labelled inputs."""
-    df = split_inputs(t)
-    train = df.where("is_train")
-    tree = C.fit_tree(train, INPUT_FEATURES)
-    boosted = C.fit_boosted(train, INPUT_FEATURES)
-    scored = C.score_all_models(df, train, INPUT_FEATURES, "label", "row_id", tree, boosted).cache()
-    reps = [C.classification_report(scored, "label", p, "is_train", m)
-            for m, p in (("dtc", "y_dtc_pred"), ("knn", "y_knn_pred"), ("xgb", "y_xgb_pred"))]
-    return reps[0].unionByName(reps[1]).unionByName(reps[2])
+    """Train/test report of the three models on the labelled inputs, one pass."""
+    split, models = F.col("is_train"), (("dtc", "y_dtc_pred"), ("knn", "y_knn_pred"), ("xgb", "y_xgb_pred"))
+    cells = [m.alias(f"{name}_{c}") for name, p in models for prefix, where in (("train_", split), ("test_", ~split))
+             for m, c in zip(C.confusion_metrics("label", p, 1, prefix, where), [prefix + x for x in ("acc", "precision", "recall", "f1score")])]
+    one = _scored(t).agg(*cells)
+    rows = F.array(*[F.struct(F.lit(name).alias("model"), *[F.col(f"{name}_{c}").alias(c) for c in REPORT_COLUMNS]) for name, _ in models])
+    return one.select(F.explode(rows).alias("r")).select("r.*")

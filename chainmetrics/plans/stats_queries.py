@@ -91,7 +91,7 @@ def q_contamination_percentile(t):
     f"SELECT Date, {sql_rnd('distance', RATIO)} AS distance, cluster, anomaly FROM cd_flag", "cd_flag"))
 def q_centroid_distance(t):
     """Distance to the nearest of four given centres; flag the farthest 5 %."""
-    out = O.centroid_distance_outliers(_scaled(t), ["tv_usd_s", "tx_count_s"], CENTRES)
+    out = O.centroid_distance_outliers(_scaled(t), ["tv_usd_s", "tx_count_s"], CENTRES, day_grain=True)
     return round_all(out.select("Date", "distance", "cluster", "anomaly"), {"distance": RATIO})
 
 
@@ -102,7 +102,7 @@ def q_centroid_distance(t):
     "FROM cd_flag", "cd_flag"))
 def q_outlier_series(t):
     """Per feature: the whole line plus the flagged points (I2), flags from the centre distances."""
-    out = O.centroid_distance_outliers(_scaled(t), ["tv_usd_s", "tx_count_s"], CENTRES)
+    out = O.centroid_distance_outliers(_scaled(t), ["tv_usd_s", "tx_count_s"], CENTRES, day_grain=True)
     out = round_all(out, {"tv_usd": RATIO})
     return S.outlier_series(out, KM_FEATURES)
 
@@ -138,25 +138,70 @@ def q_pca_report(t):
 
 @register("kmeans_elbow")
 def q_kmeans_elbow(t):
-    proj = FE.pca_project(_scaled(t), ["tv_usd_s", "tx_count_s"], 2)
-    return O.kmeans_elbow(proj.cache(), ["pc1", "pc2"])
+    """Score of every k from 1 to 19 and the knee of the curve (H5)."""
+    proj = materialize(FE.pca_project(_scaled(t), ["tv_usd_s", "tx_count_s"], 2))
+    points = O.kmeans_elbow(proj, ["pc1", "pc2"])
+    # Nineteen points: the knee is found on the driver.
+    return points.withColumn("knee", F.lit(O.knee([(r.k, r.score) for r in points.collect()])).cast("int"))
+
+
+def _clusters(t):
+    """Labels for k = 3, 4 and 5 (the reference fits all three and keeps 4)."""
+    proj = materialize(FE.pca_project(_scaled(t), ["tv_usd_s", "tx_count_s"], 2))
+    fits = [O.kmeans_cluster(proj, ["pc1", "pc2"], k).select(F.lit(k).alias("k"), "Date", "pc1", "pc2", "cluster") for k in (3, 4, 5)]
+    return fits[0].unionByName(fits[1]).unionByName(fits[2])
 
 
 @register("kmeans_cluster")
 def q_kmeans_cluster(t):
-    proj = FE.pca_project(_scaled(t), ["tv_usd_s", "tx_count_s"], 2)
-    return O.kmeans_cluster(proj, ["pc1", "pc2"], 4).select("Date", "pc1", "pc2", "cluster")
+    """Cluster of every day for k = 3, 4 and 5 (H6)."""
+    return _clusters(t)
+
+
+@register("kmeans_cluster_totals", with_views("""
+    SELECT k, CAST(k AS BIGINT) AS n_clusters, count(*) AS n, count(*) AS n_nearest
+    FROM features, (VALUES (3), (4), (5)) v(k) GROUP BY k""", "features"))
+def q_kmeans_totals(t):
+    """Every day has one of k clusters, and at convergence that of the nearest cluster mean."""
+    rows = _clusters(t)
+    means = rows.groupBy("k", "cluster").agg(F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2"))
+    # At most twelve means: joined to the days of their k.
+    apart = rows.join(F.broadcast(means.withColumnRenamed("cluster", "c")), "k")
+    distance = F.pow(F.col("pc1") - F.col("m1"), 2) + F.pow(F.col("pc2") - F.col("m2"), 2)
+    own = F.max(F.when(F.col("c") == F.col("cluster"), distance))
+    day = apart.groupBy("k", "Date", "cluster").agg(own.alias("own"), F.min(distance).alias("least"))
+    return day.groupBy("k").agg(F.countDistinct("cluster").alias("n_clusters"), F.count(F.lit(1)).alias("n"),
+                                F.count_if(F.col("own") <= F.col("least") + 0.01).alias("n_nearest"))
+
+
+FLAG_SQL = "SELECT count(*) AS n, CAST({cut} AS BIGINT) AS n_flagged FROM features"
+
+
+def _flag_totals(out):
+    return out.agg(F.count(F.lit(1)).alias("n"), F.sum("anomaly").cast("long").alias("n_flagged"))
+
+
+@register("kmeans_outliers_totals", with_views(FLAG_SQL.format(cut="floor(0.05 * count(*))"), "features"))
+def q_kmeans_outliers_totals(t):
+    """int(5 %) of the days are flagged."""
+    return _flag_totals(q_kmeans_outliers(t))
+
+
+@register("autoencoder_totals", with_views(FLAG_SQL.format(cut="count(*) - 1 - floor(0.95 * (count(*) - 1))"), "features"))
+def q_autoencoder_totals(t):
+    """The days above the 95th percentile of the reconstruction error are flagged."""
+    return _flag_totals(q_autoencoder(t))
 
 
 @register("kmeans_outliers")
 def q_kmeans_outliers(t):
-    return O.kmeans_outliers(daily_features(t), KM_FEATURES, k=4)
+    return O.kmeans_outliers(daily_features(t), KM_FEATURES, k=4, day_grain=True)
 
 
 @register("cluster_points")
 def q_cluster_points(t):
     """PC1, PC2 with cluster and flag as text, ready for a scatter plot."""
-    out = O.kmeans_outliers(daily_features(t), KM_FEATURES, k=4)
+    out = O.kmeans_outliers(daily_features(t), KM_FEATURES, k=4, day_grain=True)
     return out.select(F.col("pc1").alias("principal_component_1"), F.col("pc2").alias("principal_component_2"),
                       F.col("cluster").cast("string").alias("cluster"),
                       F.col("anomaly").cast("string").alias("anomaly"))
@@ -167,7 +212,9 @@ def q_isolation_forest(t):
     """Isolation forest on the five standardised daily features (H8)."""
     from chainmetrics.operators.isoforest import isolation_forest
     z = FE.standard_scale(daily_features(t), FEATURES, suffix="_z")
-    out = isolation_forest(z, [c + "_z" for c in FEATURES], id_col=None)
+    # Days tell rows with equal features apart.
+    z = z.withColumn("_day", F.datediff("Date", F.lit("1970-01-01").cast("date")))
+    out = isolation_forest(z, [c + "_z" for c in FEATURES], id_col="_day", day_grain=True)
     return out.select("Date", *FEATURES, "score", "anomaly")
 
 
@@ -175,5 +222,5 @@ def q_isolation_forest(t):
 def q_autoencoder(t):
     """Auto-encoder reconstruction error on the five daily features."""
     from chainmetrics.operators.autoencoder import autoencoder_outliers
-    out = autoencoder_outliers(daily_features(t), FEATURES)
+    out = autoencoder_outliers(daily_features(t), FEATURES, day_grain=True)
     return out.select("Date", *FEATURES, "score", "anomaly")
