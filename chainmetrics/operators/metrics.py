@@ -301,14 +301,35 @@ def _with_running_sums(basic: DataFrame, genesis: str) -> DataFrame:
 
 def computed_metrics(basic: DataFrame, realised_cap: DataFrame, sopr_df: DataFrame,
                      genesis: str = X.CHAIN_GENESIS) -> DataFrame:
-    """The 16 valuation metrics per day (C2), inner-joined on Date like upstream.
-
-    Running sums are taken over the basic table first (its days only), then the
-    day-grain frames are joined and one projection computes every column.
-    """
-    b = _with_running_sums(basic, genesis)
-    j = b.join(realised_cap.select("Date", "rc_usd", "rc_btc"), "Date").join(sopr_df, "Date")
-    return _valuation(j)
+    """The 16 valuation metrics of all days of the stored daily tables (C2), inner-joined on Date."""
+    return computed_from_tables(basic, realised_cap, sopr_df, running_state(basic), genesis)
+
+
+def running_state(basic: DataFrame, state: DataFrame | None = None, start=None, end=None) -> DataFrame:
+    """(Date, thermocap, cum_cdd_usd) of the basic days in ``start .. end``, the running sums
+    carried on from the last day of ``state`` before ``start``: a daily run reads its own
+    days and one stored row, not the history."""
+    if start is not None:
+        basic = basic.where(F.col("Date") >= F.lit(start).cast("date"))
+    if end is not None:
+        basic = basic.where(F.col("Date") <= F.lit(end).cast("date"))
+    sums = basic.select("Date", running_sum(F.col("cost_per_tx") * F.col("tx_count")).alias("thermocap"),
+                        running_sum(F.col("cdd") * F.col("price")).alias("cum_cdd_usd"))
+    if state is None or start is None:
+        return sums
+    before = state.where(F.col("Date") < F.lit(start).cast("date"))
+
+    def carried(c):
+        return F.coalesce(before.select(F.max_by(c, "Date")).scalar(), F.lit(0.0))
+
+    return sums.select("Date", *[(F.col(c) + carried(c)).alias(c) for c in ("thermocap", "cum_cdd_usd")])
+
+
+def computed_from_tables(basic: DataFrame, realised_cap: DataFrame, sopr_df: DataFrame, state: DataFrame,
+                         genesis: str = X.CHAIN_GENESIS) -> DataFrame:
+    """The 16 valuation metrics of the days in ``state`` from the stored daily tables."""
+    days = basic.join(state, "Date").withColumn("n_days", X.day_number("Date", genesis))
+    return _valuation(days.join(realised_cap.select("Date", "rc_usd", "rc_btc"), "Date").join(sopr_df, "Date"))
 
 
 def chain_metrics_wide(lineitem: DataFrame, orders: DataFrame, genesis: str = X.CHAIN_GENESIS) -> DataFrame:

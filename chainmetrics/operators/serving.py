@@ -120,7 +120,15 @@ def metric_series(catalogue: DataFrame, basic: DataFrame, computed: DataFrame, n
     table its ``is_computed`` flag names; default: the price. Pass the same wide
     frame as both tables to read it once."""
     names = [DEFAULT_METRIC] if names is None else list(names)
-    rows = [r for r in catalogue_rows() if r["metric_name"] in names and r["metric_name"] != RIBBON_METRIC]
+    if set(names) <= {RIBBON_METRIC}:
+        raise ValueError(f"no metric with one series among {names} (see difficulty_ribbon)")
+    names = [n for n in names if n != RIBBON_METRIC]  # several series of its own
+    rows = [r for r in catalogue_rows() if r["metric_name"] in names]
+    if missing := set(names) - {r["metric_name"] for r in rows}:
+        raise ValueError(f"not in the catalogue: {sorted(missing)}")
+    for r in rows:
+        if r["column"] not in (computed if r["is_computed"] else basic).columns:
+            raise ValueError(f"{r['metric_name']}: no column {r['column']}")
     if basic is computed:
         # One wide day table: a single unpivot pass (no second read of its plan).
         flag = {r["column"]: r["is_computed"] for r in rows}

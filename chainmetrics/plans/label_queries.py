@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from chainmetrics.operators import labels as L
 from chainmetrics.plans.registry import VIEWS, register, with_views
 from chainmetrics.plans.rounding import RATIO, USD, round_all, sql_rnd
+from chainmetrics.session import scratch_path
 from chainmetrics.sources import adapters as A
+from chainmetrics.sources import dumps as D
 
 KEEP = ", ".join(str(c) for c in L.ILLICIT_CATEGORIES)
 
@@ -109,3 +111,34 @@ def q_group_profile(t):
     """Mean of every feature per label."""
     prof = labelled_inputs(t).groupBy("label").agg(*[F.avg(c).alias(f"avg_{c}") for c in FEATURES])
     return round_all(prof, {f"avg_{c}": RATIO for c in FEATURES})
+
+
+# -- label feeds as files ---------------------------------------------------------
+
+@register("explode_report_pages", with_views("SELECT CAST(account AS VARCHAR) AS account, 1 AS label FROM abuse_reports", "abuse_reports"))
+def q_report_pages(t):
+    """Reports landed as JSON pages ``{"data": [{"address": ..}]}`` of up to 1,000, read back and
+    exploded (A14, A6)."""
+    reports = t.events.where("event_type = 'error'").select(F.col("user_id").cast("string").alias("address"),
+                                                            F.floor(F.col("event_id") / 1000).alias("page"))
+    pages = reports.groupBy("page").agg(F.collect_list(F.struct("address")).alias("data")).drop("page")
+    path = scratch_path(t.spark, "report-pages")
+    D.write_landing(pages, path, fmt="json", day_col=None)
+    return L.explode_report_pages(t.spark.read.schema(L.REPORT_PAGE_SCHEMA).json(path))
+
+
+@register("label_csv", with_views("""
+    SELECT CAST(account AS VARCHAR) AS account, label, source FROM (
+      SELECT account, 1 AS label, 'category' AS source FROM category_feed WHERE label IN (0, 2, 6, 7, 8, 9)
+      UNION ALL SELECT account, 1, 'reports' FROM abuse_reports)""", "category_feed", "abuse_reports"))
+def q_label_csv(t):
+    """Both label feeds from CSV files: the category file (two of its columns are read) and
+    the daily report files with their ``address`` column (A5, A7)."""
+    root = scratch_path(t.spark, "label-csv")
+    feed = A.category_feed(t.customer).withColumn("name", F.lit("unused")).withColumn("note", F.lit('a "quoted", text'))
+    D.write_landing(feed, f"{root}/category", fmt="csv", day_col=None)
+    reports = t.events.where("event_type = 'error'").select(F.col("user_id").alias("address"), F.col("ts").cast("date").alias("date"), "event_id")
+    D.write_landing(reports, f"{root}/reports", fmt="csv")
+    category = (t.spark.read.option("header", True).schema("account STRING, label INT, name STRING, note STRING")
+                .csv(f"{root}/category").select("account", "label"))
+    return L.label_union({"category": L.category_labels(category), "reports": L.report_labels(D.read_report_csv(t.spark, f"{root}/reports"))})

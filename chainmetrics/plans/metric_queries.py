@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
 
 from chainmetrics.operators import metrics as M
 from chainmetrics.operators import utxo as U
 from chainmetrics.plans.registry import register, with_views
 from chainmetrics.plans.rounding import RATIO, THOUSANDS, USD, WHOLE, round_all, sql_rnd, sql_select
-from chainmetrics.session import materialize
+from chainmetrics.session import materialize, scratch_path
 from chainmetrics.sources import adapters as A
+from chainmetrics.sources import dumps as D
 
 # Day number origin for the test tables (their first order day).
 TEST_GENESIS = "1995-01-01"
@@ -158,3 +160,48 @@ def q_thermocap(t):
     "metrics_day"))
 def q_cumulative_cdd(t):
     return round_all(M.cumulative_cdd(_basic(t), TEST_GENESIS), SPEC)
+
+
+# -- stored daily tables: full build once, then ranges of days ----------------------
+
+#: First day of the incremental run, and the published range.
+NEW_FROM = "1996-07-01"
+PUBLISHED = ("1996-01-15", "1997-08-20")
+
+
+def _store(t):
+    """Write the daily tables (basic, realised cap, sopr) as the daily jobs keep them; returns readers."""
+    root, state = scratch_path(t.spark, "daily"), day_state(t)
+    joined = M.join_series(M.daily_series(state)).select("Date", *M.BASIC_COLUMNS)
+    for name, df in (("basic", joined), ("realised_cap", M.realised_cap_from_state(state)), ("sopr", M.sopr_from_facts(state))):
+        D.replace_table(df, f"{root}/{name}")
+    return root, [t.spark.read.parquet(f"{root}/{n}") for n in ("basic", "realised_cap", "sopr")]
+
+
+def computed_incrementally(t):
+    """Computed metrics of the old days, then of the new ones from their days and the last stored
+    running sums; both appended to the computed table."""
+    root, (basic, cap, sopr) = _store(t)
+    for part, (start, end) in enumerate(((None, "1996-06-30"), (NEW_FROM, None))):
+        stored = t.spark.read.parquet(f"{root}/state") if part else None
+        D.publish_range(M.running_state(basic, stored, start, end), f"{root}/state")
+        days = t.spark.read.parquet(f"{root}/state").drop("month")
+        if start:
+            days = days.where(F.col("Date") >= start)
+        D.publish_range(M.computed_from_tables(basic, cap, sopr, days, TEST_GENESIS), f"{root}/computed")
+    return basic, t.spark.read.parquet(f"{root}/computed").drop("month")
+
+
+@register("computed_from_stored", _sql(("Date",) + M.COMPUTED_COLUMNS, "computed"))
+def q_computed_from_stored(t):
+    """The incremental daily path (stored tables, running sums carried on) equals the full rebuild."""
+    return round_all(computed_incrementally(t)[1].select("Date", *M.COMPUTED_COLUMNS), SPEC)
+
+
+@register("publish_metrics", _sql(("Date",) + M.COMPUTED_COLUMNS, "computed",
+                                  where=f"WHERE Date BETWEEN DATE '{PUBLISHED[0]}' AND DATE '{PUBLISHED[1]}'"))
+def q_publish(t):
+    """Range extract of the computed table, published sorted by day, in two overlapping parts (F1 + B14 + A8)."""
+    path, (_, computed) = scratch_path(t.spark, "published"), computed_incrementally(t)
+    D.publish_range(computed, path, PUBLISHED[0], "1997-01-10")
+    return round_all(D.publish_range(computed, path, "1996-12-20", PUBLISHED[1]).select("Date", *M.COMPUTED_COLUMNS), SPEC)

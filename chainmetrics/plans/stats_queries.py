@@ -131,8 +131,21 @@ def q_pca_project(t):
 
 # -- model-based, rows-only checks -------------------------------------------------
 
-@register("pca_report")
+PCA_REPORT_SQL = with_views("""
+    SELECT 'Dimension 1' AS dimension, round(l1 / (a + c), 4) AS explained_variance,
+           round(s1 * v1x, 4) AS tv_usd_s, round(s1 * v1y, 4) AS tx_count_s FROM axes
+    UNION ALL SELECT 'Dimension 2', round((a + c - l1) / (a + c), 4), round(-s2 * v1y, 4), round(s2 * v1x, 4) FROM axes""",
+    "axes", extra={"axes": ("""
+      SELECT *, CASE WHEN abs(v1x) >= abs(v1y) THEN sign(v1x) ELSE sign(v1y) END AS s1,
+                CASE WHEN abs(v1y) >= abs(v1x) THEN sign(-v1y) ELSE sign(v1x) END AS s2
+      FROM (SELECT *, b / sqrt(b * b + (l1 - a) * (l1 - a)) AS v1x, (l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) AS v1y
+            FROM (SELECT *, (a + c) / 2 + sqrt(((a - c) / 2) * ((a - c) / 2) + b * b) AS l1
+                  FROM (SELECT var_pop(tv_usd_s) AS a, var_pop(tx_count_s) AS c, covar_pop(tv_usd_s, tx_count_s) AS b FROM mm)))""", ("mm",))})
+
+
+@register("pca_report", PCA_REPORT_SQL)
 def q_pca_report(t):
+    """Explained variance and loadings of both components (H4); oracle in closed form."""
     return FE.pca_report(_scaled(t), ["tv_usd_s", "tx_count_s"], 2)
 
 

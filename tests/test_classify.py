@@ -64,3 +64,41 @@ def test_trees_separable_and_persistence(spark):
     C.save_model(tree, path)
     again = C.apply_model(C.load_model(path), df, "y_dtc_pred")
     assert rows(again, "id", "y_dtc_pred") == rows(C.apply_model(tree, df, "y_dtc_pred"), "id", "y_dtc_pred")
+
+
+def test_knn_repeated_ids_and_rows(spark):
+    """Each query row is judged on its own, however often its id or its features repeat."""
+    train = spark.createDataFrame([(1, [0.0], 0), (2, [1.0], 1), (3, [1.1], 1), (4, [1.2], 1), (5, [9.0], 0)],
+                                  "id BIGINT, x ARRAY<DOUBLE>, label INT")
+    one = spark.createDataFrame([(7, [0.9])], "id BIGINT, x ARRAY<DOUBLE>")
+    four = spark.createDataFrame([(7, [0.9])] * 4 + [(7, [9.0]), (None, [9.0])], "id BIGINT, x ARRAY<DOUBLE>")
+    want = C.knn_classify(train, one, "x", "label", "id").first()["prediction"]
+    got = [(r.x[0], r.prediction) for r in C.knn_classify(train, four, "x", "label", "id").collect()]
+    assert sorted(got) == [(0.9, want)] * 4 + [(9.0, 0)] * 2
+
+
+def test_knn_nulls_count_as_zero(spark):
+    train = spark.createDataFrame([(1, 0.0, 5.0, 1), (2, 3.0, 5.0, 0), (3, 4.0, 5.0, 0)], "id BIGINT, a DOUBLE, b DOUBLE, label INT")
+    q = spark.createDataFrame([(9, None, 5.0), (10, float("nan"), 5.0)], "id BIGINT, a DOUBLE, b DOUBLE")
+    assert [r.prediction for r in C.knn_classify(train, q, ["a", "b"], "label", "id").collect()] == [1, 1]
+    assert C.knn_classify(train.limit(0), q, ["a", "b"], "label", "id").where("prediction is null").count() == 2
+
+
+def test_knn_plan_has_no_shuffle(spark):
+    train = spark.createDataFrame([(1, [0.0], 0), (2, [1.0], 1)], "id BIGINT, x ARRAY<DOUBLE>, label INT")
+    q = spark.range(100).selectExpr("id", "array(cast(id as double)) as x")
+    plan = C.knn_classify(train, q, "x", "label", "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_stored_models_give_the_same_predictions(spark):
+    rng = np.random.RandomState(6)
+    df = spark.createDataFrame([(i, float(x), int(x > 0)) for i, x in enumerate(rng.normal(size=200))], "id BIGINT, a DOUBLE, label INT")
+    tree, boosted = C.fit_tree(df, ["a"]), C.fit_boosted(df, ["a"], rounds=3)
+    path = scratch_path(spark, "store")
+    C.store_models(path, df, tree, boosted)
+    train, t2, b2 = C.load_models(spark, path)
+    cols = ("id", "y_knn_pred", "y_dtc_pred", "y_xgb_pred")
+    assert rows(C.score_all_models(df, train, ["a"], "label", "id", t2, b2), *cols) == rows(C.score_all_models(df, df, ["a"], "label", "id", tree, boosted), *cols)
+    few = C.bounded_training_rows(df, "id", 50)
+    assert 20 < few.count() < 90 and rows(few, "id") == rows(C.bounded_training_rows(df, "id", 50), "id")

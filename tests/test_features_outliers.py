@@ -116,3 +116,57 @@ def test_approx_threshold_matches_exact_on_distinct_scores(spark):
     exact = O.flag_outliers(df, "s", method="percentile", strict=True).where("anomaly = 1").count()
     approx = O.flag_outliers(df, "s", method="approx", strict=True).where("anomaly = 1").count()
     assert exact == 50 and abs(approx - exact) <= 1
+
+
+def test_order_statistics_are_exact(spark):
+    import numpy as np
+    from chainmetrics.operators import outliers as O
+    rng = np.random.default_rng(3)
+    for values in (rng.normal(size=5000).tolist(), rng.integers(0, 4, 5000).astype(float).tolist(), [1.0], [2.0] * 50):
+        df = spark.createDataFrame([(v,) for v in values] + [(None,)] * 7, "s DOUBLE").repartition(4)
+        want = sorted(values)
+        ranks = sorted({0, len(want) // 3, len(want) - 1, int(0.95 * (len(want) - 1))})
+        assert O.order_statistics(df, "s", ranks, len(want)) == [want[r] for r in ranks]
+
+
+def test_distributed_cut_equals_the_window(spark):
+    import numpy as np
+    from pyspark.sql import functions as F
+    from chainmetrics.operators import outliers as O
+    rng = np.random.default_rng(4)
+    df = spark.createDataFrame([(i, float(v)) for i, v in enumerate(rng.normal(size=3000).round(2))] + [(9000, None)], "id LONG, s DOUBLE").repartition(3)
+    for method in ("nlargest", "percentile"):
+        a, b = (O.flag_outliers(df, "s", method=method, day_grain=g) for g in (False, True))
+        assert sorted(r.id for r in a.where("anomaly = 1").collect()) == sorted(r.id for r in b.where("anomaly = 1").collect())
+        ta, tb = (O.contamination_threshold(df, "s", method=method, day_grain=g).first() for g in (False, True))
+        assert (ta.n, round(ta.threshold, 9)) == (tb.n, round(tb.threshold, 9))
+    plan = O.flag_outliers(df, "s")._jdf.queryExecution().executedPlan().toString()
+    assert "SinglePartition" not in plan and "Window" not in plan
+    assert O.flag_outliers(df.limit(0), "s").count() == 0
+    assert O.flag_outliers(df.where(F.col("id") < 5), "s").where("anomaly = 1").count() == 0
+
+
+def test_kmeans_converges_and_knee(spark):
+    import numpy as np
+    from chainmetrics.operators import outliers as O
+    rng = np.random.default_rng(5)
+    df = spark.createDataFrame([tuple(map(float, rng.normal(size=2) + 4 * (i % 3))) for i in range(600)], "a DOUBLE, b DOUBLE").cache()
+    for k in (3, 4, 5):
+        assert O.kmeans_fit(df, ["a", "b"], k).summary.numIter < O.KMEANS_ITERATIONS
+    assert O.knee([(r.k, r.score) for r in O.kmeans_elbow(df, ["a", "b"], range(1, 8)).collect()]) in (2, 3)
+
+
+def test_autoencoder_stops_and_lowers_the_loss(spark):
+    import numpy as np
+    from chainmetrics.operators import autoencoder as AE
+    rng = np.random.default_rng(6)
+    base = rng.normal(size=(400, 2))
+    x = np.column_stack((base, base @ np.array([[1, 2, -1], [0.5, -1, 1]]))) 
+    x = (x - x.mean(0)) / x.std(0)
+    df = spark.createDataFrame([tuple(map(float, r)) for r in x], "a DOUBLE, b DOUBLE, c DOUBLE, d DOUBLE, e DOUBLE").repartition(3).cache()
+
+    def loss(params):
+        return float(((AE.forward(params, x)[-1] - x) ** 2).mean())
+
+    start = loss(AE.init_params((5, *AE.HIDDEN, 5), 42))
+    assert loss(AE.fit_autoencoder(df, list("abcde"), epochs=40)) < 0.7 * min(start, 1.0)

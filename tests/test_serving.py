@@ -89,3 +89,12 @@ def test_catalogue_from_shared_csv_equals_shipped(spark):
     a = S.read_catalogue(spark)
     b = S.read_catalogue(spark, S.CATALOGUE_CSV)
     assert sorted(a.collect()) == sorted(b.collect())
+
+
+def test_metric_series_refuses_unknown_names(spark):
+    import pytest
+    catalogue = S.read_catalogue(spark)
+    df = spark.createDataFrame([(D(2020, 1, 1), 5.0)], "Date DATE, price DOUBLE")
+    for names in (["Nothing"], ["Price ($)", "Velocity"], [S.RIBBON_METRIC]):
+        with pytest.raises(ValueError):
+            S.metric_series(catalogue, df, df, names)
