@@ -50,6 +50,8 @@ ROUNDS = 2
 #: Weight of the prior: the expected count of all pieces together before any text.
 PRIOR = 1000.0
 CHUNK = 4096
+#: Longest word whose expected counts are summed without logarithms.
+PLAIN = 32
 LN10 = np.log(10.0)
 
 
@@ -87,50 +89,79 @@ class Lattice:
         self.table = tb.HashTable(keys)
 
     def edges(self, words: np.ndarray) -> list[np.ndarray]:
-        """For each piece length l: ids of the pieces [i, i + l) of the words (rows of bytes), -1 for none."""
+        """For each piece length l: ids of the pieces [i, i + l) (positions x words), -1 for none.
+        ``words``: rows of equally many bytes."""
         size, out = words.shape[1], []
-        symbols = words.astype(tb.U64) + tb.U64(1)
+        symbols = np.ascontiguousarray(words.T).astype(tb.U64) + tb.U64(1)
         h = np.zeros_like(symbols)
         for l in range(1, min(size, PIECE_BYTES) + 1):
-            h = h[:, :size - l + 1] * tb.U64(tb.HASH_BASE) + symbols[:, l - 1:]
+            h = h[:size - l + 1] * tb.U64(tb.HASH_BASE) + symbols[l - 1:]
             out.append(self.table.find(h.ravel()).reshape(h.shape))
         return out
 
     @staticmethod
-    def _sum(terms: list[np.ndarray]) -> np.ndarray:
-        """log of the sum of exponentials over the arrays; minus infinity where all are."""
-        x = np.stack(terms)
+    def _sum(x: np.ndarray) -> np.ndarray:
+        """log of the sum of exponentials along the first axis; minus infinity where all are."""
         top = x.max(0)
         top[np.isneginf(top)] = 0
-        return np.log(np.exp(x - top).sum(0)) + top
+        x -= top
+        np.exp(x, out=x)
+        return np.log(x.sum(0)) + top
 
     def forward(self, edges: list[np.ndarray], logs: np.ndarray) -> np.ndarray:
         """Log probability of the first j bytes, for all j (positions x words)."""
-        n, size = edges[0].shape
+        size, n = edges[0].shape
         alpha = np.full((size + 1, n), -np.inf)
         alpha[0] = 0
         for j in range(1, size + 1):
-            alpha[j] = self._sum([alpha[j - l] + logs[edges[l - 1][:, j - l]] for l in range(1, min(j, len(edges)) + 1)])
+            alpha[j] = self._sum(np.array([alpha[j - l] + logs[edges[l - 1][j - l]] for l in range(1, min(j, len(edges)) + 1)]))
         return alpha
 
+    def backward(self, edges: list[np.ndarray], logs: np.ndarray) -> np.ndarray:
+        """Log probability of the bytes from j on, for all j."""
+        size, n = edges[0].shape
+        beta = np.full((size + 1, n), -np.inf)
+        beta[size] = 0
+        for i in range(size - 1, -1, -1):
+            beta[i] = self._sum(np.array([beta[i + l] + logs[edges[l - 1][i]] for l in range(1, min(size - i, len(edges)) + 1)]))
+        return beta
+
     def log_prob(self, words: np.ndarray, logs: np.ndarray) -> np.ndarray:
         with np.errstate(divide="ignore"):
             return self.forward(self.edges(words), logs)[-1]
 
-    def expect(self, words: np.ndarray, logs: np.ndarray) -> np.ndarray:
-        """Expected number of uses of each piece over all segmentations of the words."""
-        with np.errstate(divide="ignore"):
-            edges = self.edges(words)
-            alpha = self.forward(edges, logs)
-            n, size = edges[0].shape
-            beta = np.full((size + 1, n), -np.inf)
-            beta[size] = 0
-            for i in range(size - 1, -1, -1):
-                beta[i] = self._sum([beta[i + l] + logs[edges[l - 1][:, i]] for l in range(1, min(size - i, len(edges)) + 1)])
-            out = np.zeros(self.n + 1)
-            for l, e in enumerate(edges, 1):
-                use = np.exp(alpha[:size - l + 1].T + logs[e] + beta[l:].T - alpha[size][:, None])
-                out += np.bincount(e.ravel() % (self.n + 1), use.ravel(), self.n + 1)
+    def expect(self, edges: list[np.ndarray], weights: np.ndarray) -> np.ndarray:
+        """Expected number of uses of each piece over all segmentations of words with these edges.
+
+        Words of up to ``PLAIN`` bytes are summed without logarithms: a segmentation of
+        that length is far from underflow."""
+        size, n = edges[0].shape
+        out = np.zeros(self.n + 1)
+        if size > PLAIN:
+            with np.errstate(divide="ignore"):
+                logs = log_weights(weights)
+                alpha, beta = self.forward(edges, logs), self.backward(edges, logs)
+                for l, e in enumerate(edges, 1):
+                    use = np.exp(alpha[:size - l + 1] + logs[e] + beta[l:] - alpha[size])
+                    out += np.bincount(e.ravel() % (self.n + 1), use.ravel(), self.n + 1)
+            return out[:-1]
+        w = np.append(weights, 0.0)
+        use = [w[e] for e in edges]
+        alpha, beta = np.zeros((size + 1, n)), np.zeros((size + 1, n))
+        alpha[0] = beta[size] = 1
+        for j in range(1, size + 1):
+            for l in range(1, min(j, len(edges)) + 1):
+                alpha[j] += alpha[j - l] * use[l - 1][j - l]
+        for i in range(size - 1, -1, -1):
+            for l in range(1, min(size - i, len(edges)) + 1):
+                beta[i] += beta[i + l] * use[l - 1][i]
+        for l, e in enumerate(edges, 1):
+            u = use[l - 1]
+            u *= alpha[:size - l + 1]
+            u *= beta[l:]
+            u /= alpha[size]
+            real = e >= 0
+            out[:-1] += np.bincount(e[real], u[real], self.n)
         return out[:-1]
 
 
@@ -184,10 +215,11 @@ def part_counts(rows: DataFrame, shared) -> DataFrame:
                 use = np.isin(np.fromiter(texts, tb.U64, len(texts)), hashes[counts > 0])
                 starts, ends = starts[use], ends[use]
                 weights = prior
+                groups = [lattice.edges(group) for _, group in word_groups(words, starts, ends)]
                 for _ in range(ROUNDS):
-                    logs, got = log_weights(weights), np.zeros(lattice.n)
-                    for _, group in word_groups(words, starts, ends):
-                        got += lattice.expect(group, logs)
+                    got = np.zeros(lattice.n)
+                    for edges in groups:
+                        got += lattice.expect(edges, weights)
                     weights = (got + PRIOR * prior) / (got.sum() + PRIOR)
                 expected, some = expected + got, True
             return pa.RecordBatch.from_arrays([

@@ -14,7 +14,7 @@ from chainmetrics.llm import lattice, queries
 PATTERN = rb"[^\x20\x09-\x0D]+"
 
 
-def test_forward_sums_all_segmentations():
+def test_forward_sums_all_segmentations(monkeypatch):
     pieces = [bytes([b]) for b in b" abc"] + [b" a", b"ab", b"bc", b"abc", b" ab"]
     net, logs = lattice.Lattice(pieces), lattice.log_weights(lattice.prior_weights(9))
     weight = dict(zip(pieces, lattice.prior_weights(9)))
@@ -25,9 +25,12 @@ def test_forward_sums_all_segmentations():
     for text in (b" a", b" abc", b" abcab", b" cccabcabc"):
         rows = np.frombuffer(text, np.uint8)[None].repeat(3, 0)
         assert np.allclose(net.log_prob(rows, logs), math.log(total(text)))
-        uses = net.expect(rows, logs)
-        lens = np.array([len(p) for p in pieces])
+        edges, lens = net.edges(rows), np.array([len(p) for p in pieces])
+        uses = net.expect(edges, lattice.prior_weights(9))
         assert math.isclose((uses * lens).sum(), 3 * len(text), rel_tol=1e-9)  # the pieces cover the word
+        monkeypatch.setattr(lattice, "PLAIN", 0)
+        assert np.allclose(net.expect(edges, lattice.prior_weights(9)), uses)  # with and without logarithms
+        monkeypatch.undo()
 
 
 def test_query_base_score_and_probabilities(spark, tables):
