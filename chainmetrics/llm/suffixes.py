@@ -53,6 +53,7 @@ SPAN = 100
 GRAM = 32
 FILTER_BITS = 27
 BATCH_BYTES = 32 << 30
+BATCHES = 2
 
 _A, _B, _C = tb.U64(0x9E3779B97F4A7C15), tb.U64(0xD6E8FEB86659FD93), tb.U64(0xA0761D6478BD642F)
 
@@ -362,11 +363,14 @@ def settle(found: DataFrame, counts: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, SPANS)
 
 
-def repeated_spans(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """(doc, start, n): runs of windows that occur earlier. ``docs``: doc, text (not null)."""
+def repeated_spans(docs: DataFrame, batch_bytes: int = BATCH_BYTES, least: int = BATCHES) -> DataFrame:
+    """(doc, start, n): runs of windows that occur earlier. ``docs``: doc, text (not null).
+
+    The table is added to a family in batches of equal numbers of ids: ``least`` of them, or
+    as many as keep them to about ``batch_bytes``."""
     spark = docs.sparkSession
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = max(1, math.ceil(total / batch_bytes))
+    batches = max(least, math.ceil(total / batch_bytes))
     # Bounds of the batches: at most as many numbers as there are batches.
     cuts = docs.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)], 100_000)).first()[0] if batches > 1 else []
     cuts = sorted(set(cuts or []))
@@ -384,10 +388,10 @@ def repeated_spans(docs: DataFrame, batch_bytes: int = BATCH_BYTES) -> DataFrame
     return family.rows(FULL).select("doc", "start", "n").unionByName(partial)
 
 
-def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES) -> DataFrame:
+def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", batch_bytes: int = BATCH_BYTES, least: int = BATCHES) -> DataFrame:
     """id, kept (the remaining bytes) and spans (removed byte ranges) of every row."""
     docs = df.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    packed = (repeated_spans(docs, batch_bytes)
+    packed = (repeated_spans(docs, batch_bytes, least)
               .groupBy("doc").agg(F.collect_list(F.col("start") * 128 + F.col("n")).alias("runs")))
     joined = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                        F.coalesce(F.col(id_col).cast("long"), F.lit(-2**63)).alias("doc")).join(packed, "doc", "left").drop("doc")

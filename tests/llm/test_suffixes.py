@@ -47,13 +47,13 @@ def corpus(seed):
     return rows
 
 
-@pytest.mark.parametrize("seed, batch_bytes, hot", [(1, 1 << 40, 20_000), (2, 8_000, 20_000), (3, 1 << 40, 3)])
-def test_equals_brute_force(spark, monkeypatch, seed, batch_bytes, hot):
+@pytest.mark.parametrize("seed, batch_bytes, least, hot", [(1, 1 << 40, 1, 20_000), (2, 8_000, 1, 20_000), (3, 1 << 40, 2, 3)])
+def test_equals_brute_force(spark, monkeypatch, seed, batch_bytes, least, hot):
     """One batch; several batches, whose levels merge; and hot keys dealt to several groups."""
     monkeypatch.setattr(suffixes, "HOT", hot)
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    got = by_id(suffixes.remove_repeats(df, batch_bytes=batch_bytes))
+    got = by_id(suffixes.remove_repeats(df, batch_bytes=batch_bytes, least=least))
     assert {i: (bytes(r.kept), [(s.start, s.end) for s in r.spans]) for i, r in got.items()} == brute(rows)
 
 
