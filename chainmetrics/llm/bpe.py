@@ -19,6 +19,7 @@ the output columns are replaced, all others are kept.
 
 from __future__ import annotations
 
+import hashlib
 import heapq
 import json
 import unicodedata
@@ -33,7 +34,7 @@ from chainmetrics.llm import textbuf as tb
 
 SHORT = 32
 #: Bytes of text encoded at once: repeated words within a slice are merged once.
-SLICE = 2 << 20
+SLICE = 512 << 10
 NO_RANK = np.int32(2**31 - 1)
 LETTER, NUMBER, SPACE, OTHER = 0, 1, 2, 3
 #: The contraction endings of the byte-level split pattern (fixed values).
@@ -279,29 +280,57 @@ def pretokens(buf: np.ndarray, offs: np.ndarray, special: dict[str, int]) -> tup
     return starts, ends, ids
 
 
+def _shared(df: DataFrame, tokenizer: str):
+    with open(tokenizer, encoding="utf-8") as f:
+        return df.sparkSession.sparkContext.broadcast(Vocabulary(f.read()))
+
+
+def encode_column(vocab: Vocabulary, column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts of a column, flat, and their offsets."""
+    flat, ends, total = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)], 0
+    for _, _, b, o in tb.slices(*tb.string_buffers(column), SLICE):
+        ids, offs = vocab.encode(b, o)
+        flat.append(ids)
+        ends.append(offs[1:] + total)
+        total += len(ids)
+    return np.concatenate(flat), np.concatenate(ends)
+
+
 def encode(df: DataFrame, tokenizer: str, text_col: str = "text", ids_col: str = "token_ids") -> DataFrame:
     """Append ``ids_col array<int>``: the ids of every whole text."""
-    with open(tokenizer, encoding="utf-8") as f:
-        vocab = df.sparkSession.sparkContext.broadcast(Vocabulary(f.read()))
+    vocab = _shared(df, tokenizer)
 
     def ids(column):
-        buf, offs = tb.string_buffers(column)
-        flat, ends = [np.zeros(0, np.int32)], [np.zeros(1, np.int64)]
-        total = 0
-        for _, _, b, o in tb.slices(buf, offs, SLICE):
-            x, off = vocab.value.encode(b, o)
-            flat.append(x)
-            ends.append(off[1:] + total)
-            total += len(x)
-        return {ids_col: tb.list_array(np.concatenate(flat), np.concatenate(ends), pa.int32())}
+        flat, ends = encode_column(vocab.value, column)
+        return {ids_col: tb.list_array(flat, ends, pa.int32())}
 
     return tb.append_columns(df, text_col, ids, [T.StructField(ids_col, T.ArrayType(T.IntegerType()))])
 
 
+def round_trip(df: DataFrame, tokenizer: str, text_col: str = "text") -> DataFrame:
+    """Encode every text, decode the ids again, and append n_tokens and the digests of both:
+    ids_sha256 (little-endian unsigned 32-bit) and decoded_sha256 (UTF-8). One pass; the ids
+    themselves don't leave the task."""
+    vocab = _shared(df, tokenizer)
+
+    def digest(column):
+        ids, offs = encode_column(vocab.value, column)
+        raw, at = ids.astype("<u4").tobytes(), (offs * 4).tolist()
+        out: list[str] = []
+        for i in range(0, len(offs) - 1, 100):  # a hundred texts decoded at a time
+            part = offs[i:i + 101]
+            out += [hashlib.sha256(t.encode()).hexdigest() for t in vocab.value.decode(ids[part[0]:part[-1]], part - part[0])]
+        return {"n_tokens": pa.array(np.diff(offs)),
+                "ids_sha256": pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at, at[1:])], pa.string()),
+                "decoded_sha256": pa.array(out, pa.string())}
+
+    return tb.append_columns(df, text_col, digest, [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
+                                                    T.StructField("decoded_sha256", T.StringType())])
+
+
 def decode(df: DataFrame, tokenizer: str, ids_col: str = "token_ids", out_col: str = "decoded") -> DataFrame:
     """Append ``out_col string``: the text of every id array (null ids: null)."""
-    with open(tokenizer, encoding="utf-8") as f:
-        vocab = df.sparkSession.sparkContext.broadcast(Vocabulary(f.read()))
+    vocab = _shared(df, tokenizer)
 
     def texts(column):
         flat, offs = id_rows(column)

@@ -26,8 +26,6 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.classification import GBTClassifier
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,6 +178,10 @@ def _text(column: pa.Array, i: int) -> str:
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Trees | None:
     """Trees and thresholds from the candidates of a bounded sample; None if there is nothing to learn."""
+    # Here and not above: workers that only find spans needn't load the library.
+    from pyspark.ml.classification import GBTClassifier
+    from pyspark.ml.functions import array_to_vector
+
     n = docs.count()
     share = min(1.0, SAMPLE_DOCS / max(1, n))
     key = F.pmod(F.xxhash64(F.col(id_col), F.lit(9)), F.lit(1_000_000))

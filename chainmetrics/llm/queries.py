@@ -2,17 +2,12 @@
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Callable
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from chainmetrics.llm import bpe, chat, decontam, langid, lattice, neardup, pii, sharding, suffixes, topk
-from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
 
@@ -38,28 +33,10 @@ def byte_bpe_file() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def round_trip(df: DataFrame, tokenizer: str) -> DataFrame:
-    """Encode, decode and digest: appends n_tokens, ids_sha256, decoded_sha256."""
-    with open(tokenizer, encoding="utf-8") as f:
-        vocab = df.sparkSession.sparkContext.broadcast(bpe.Vocabulary(f.read()))
-    encoded = bpe.encode(df, tokenizer)
-    fields = [T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()),
-              T.StructField("decoded_sha256", T.StringType())]
-
-    def digest(column):
-        ids, offs = bpe.id_rows(column)
-        raw, at = ids.astype("<u4").tobytes(), (offs * 4).tolist()
-        return {"n_tokens": pa.array(np.diff(offs)),
-                "ids_sha256": pa.array([hashlib.sha256(raw[a:b]).hexdigest() for a, b in zip(at, at[1:])], pa.string()),
-                "decoded_sha256": pa.array([hashlib.sha256(t.encode()).hexdigest() for t in vocab.value.decode(ids, offs)], pa.string())}
-
-    return tb.append_columns(encoded, "token_ids", digest, fields).drop("token_ids")
-
-
 @register("op4_bpe")
 def op4_bpe(t: Tables) -> DataFrame:
     """Encode every whole text with the public byte-level vocabulary and decode it again."""
-    return round_trip(t.documents.select("doc_id", "text"), byte_bpe_file()).drop("text")
+    return bpe.round_trip(t.documents.select("doc_id", "text"), byte_bpe_file()).drop("text")
 
 
 #: The shards of the query: 24 of equal weight.

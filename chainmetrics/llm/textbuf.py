@@ -2,7 +2,7 @@
 
 A batch of texts is one UTF-8 byte array plus offsets; words, hashes and
 windows are computed with numpy over the whole array, never per character in
-Python. ``slices`` bounds the working set: texts are taken half a megabyte at a
+Python. ``slices`` bounds the working set: texts are taken a quarter of a megabyte at a
 time (one longer text is a slice of its own).
 """
 
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-SLICE_BYTES = 512 << 10
+SLICE_BYTES = 256 << 10
 U64 = np.uint64
 
 #: Odd multiplier of the polynomial hashes, modulo 2**64.
@@ -195,7 +195,7 @@ def bounded_batches(spark: SparkSession) -> None:
     """Hand texts to Python a few megabytes at a time (Spark's default is 10,000 rows,
     which for long texts is more than a worker's share of an executor)."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(4 << 20))
 
 
 def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | list], fields: list[T.StructField]) -> DataFrame:
@@ -209,6 +209,7 @@ def map_arrow(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch | lis
             if batch.num_rows:
                 out = fn(batch)
                 if out is not None:
+                    pa.default_memory_pool().release_unused()
                     yield pa.RecordBatch.from_arrays(
                         [a.cast(f.type) if a.type != f.type else a for f in arrow
                          for a in [out[f.name] if isinstance(out[f.name], pa.Array) else pa.array(out[f.name], f.type)]],

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainmetrics.llm import decontam, langid, neardup, pii, queries
+from chainmetrics.llm import bpe, decontam, langid, neardup, pii, queries
 from chainmetrics.session import scratch_path, ship_package
 from chainmetrics.sources.tables import read_table
 
@@ -53,7 +53,7 @@ def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, digested like the BPE query: the round trip is checked there."""
-    return queries.round_trip(docs.select("doc_id", "text", "lang", "source"), queries.byte_bpe_file()).drop("text")
+    return bpe.round_trip(docs.select("doc_id", "text", "lang", "source"), queries.byte_bpe_file()).drop("text")
 
 
 STAGES = [
