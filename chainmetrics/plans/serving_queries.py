@@ -44,6 +44,19 @@ def q_range_preset_ytd(t):
     return round_all(S.range_preset(basic.select("Date", "price"), "YTD"), SPEC)
 
 
+def _preset(key: str, preset: str, condition: str):
+    @register(key, with_views(f"SELECT Date, {sql_rnd('price', RATIO)} AS price FROM basic WHERE {condition}", "basic"))
+    def q(t):
+        """A date preset relative to the last day of the axis."""
+        basic, _ = tables(t)
+        return round_all(S.range_preset(basic.select("Date", "price"), preset), SPEC)
+
+
+_preset("range_preset_1m", "1M", "Date >= CAST((SELECT max(Date) FROM basic) - INTERVAL 1 MONTH AS DATE)")
+_preset("range_preset_1y", "1Y", "Date >= CAST((SELECT max(Date) FROM basic) - INTERVAL 12 MONTH AS DATE)")
+_preset("range_preset_all", "ALL", "true")
+
+
 def _ribbon_sql(where: str = "") -> str:
     cols = []
     for w in S.RIBBON_WINDOWS:
