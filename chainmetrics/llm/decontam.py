@@ -206,7 +206,7 @@ def find_contamination(documents: DataFrame, benchmark: DataFrame, text_col: str
     out, names = documents, {f.name for f in COLUMNS}
     kept = [c for c in documents.columns if c not in names]
     for block in range(blocks):
-        rows = prepared.where(F.pmod(F.xxhash64("words"), F.lit(blocks)) == block).select("item_id", "words")
+        rows = prepared.where(F.pmod(F.xxhash64("words", "item_id"), F.lit(blocks)) == block).select("item_id", "words")
         index = sc.broadcast(Index([(r[0], bytes(r[1])) for r in rows.collect()]))
         source = out.select(*[f"`{c}`" for c in kept], *(["hit_spans", "items"] if block else []))
         at, n = kept.index(text_col), len(kept)

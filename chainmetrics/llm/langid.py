@@ -125,7 +125,7 @@ class Model:
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", sample: int = SAMPLE) -> Model:
     """Fit on at most ``sample`` of the labelled texts, evenly over the languages."""
-    usable = labelled.where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    usable = labelled.select(id_col, text_col, lang_col).where(F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
     key = F.xxhash64(F.col(id_col), F.lit(7))
     n_langs = usable.select(lang_col).distinct().count()
     if not n_langs:

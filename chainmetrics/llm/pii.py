@@ -276,6 +276,7 @@ def mask(text: str, spans: list[tuple[int, int, int, bool]]) -> str:
 def redact(df: DataFrame, trees: Trees | None, text_col: str = "text") -> DataFrame:
     """Replace every span of the text column by its kind in brackets; null stays null, columns keep their order."""
     shared = df.sparkSession.sparkContext.broadcast(trees)
+    new = max(["_masked", *(f"{c}_" for c in df.columns)], key=len)  # a name that no column has
 
     def run(column):
         texts, at, digit = _flags(column)
@@ -284,7 +285,7 @@ def redact(df: DataFrame, trees: Trees | None, text_col: str = "text") -> DataFr
             spans = all_spans(out[i] or "", at[i], digit[i], shared.value)
             if spans:
                 out[i] = mask(out[i], spans)
-        return {"_masked": pa.array(out, pa.string())}
+        return {new: pa.array(out, pa.string())}
 
-    done = tb.append_columns(df, text_col, run, [T.StructField("_masked", T.StringType())])
-    return done.select(*[F.col("_masked").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])
+    done = tb.append_columns(df, text_col, run, [T.StructField(new, T.StringType())])
+    return done.select(*[F.col(f"`{new}`").alias(c) if c == text_col else F.col(f"`{c}`") for c in df.columns])

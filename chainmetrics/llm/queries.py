@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -57,14 +58,63 @@ def control_conversation(spark: SparkSession) -> DataFrame:
                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(text).alias("text"))
 
 
-@register("op10_chat")
+#: The control strings of the template, as an SQL pattern; the formatted text has one more
+#: character for each of them and for each backslash of a text.
+_CONTROLS = "|".join(re.escape(c) for c in chat.INSTRUCT.controls())
+
+
+def _escaped_sql(column: str) -> str:
+    return f"length({column}) + length({column}) - length(replace({column}, chr(92), '')) + len(regexp_extract_all({column}, '{_CONTROLS}'))"
+
+
+def _markers_sql() -> str:
+    turns = " ".join(f"WHEN '{r}' THEN {len(t.open) + len(t.close)}" for r, t in chat.INSTRUCT.turns.items())
+    other = len(chat.INSTRUCT.other.open) + len(chat.INSTRUCT.other.close) + len(chat.INSTRUCT.name_end)
+    return f"CASE role {turns} ELSE {other} + {_escaped_sql('role')} END"
+
+
+def _follows_sql() -> str:
+    return "CASE before " + " ".join(
+        f"WHEN '{a}' THEN role IN ({', '.join(repr(b) for b in after)})" for a, after in chat.INSTRUCT.follows.items()) + " ELSE false END"
+
+
+@register("op10_chat", sql=f"""
+    WITH rows AS (
+           SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -7, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -7, 1, 'assistant', '</s>[INST] ok [/INST]'),
+         ordered AS (
+           SELECT *, coalesce(lag(role) OVER w, '') AS before, lead(role) OVER w IS NULL AS is_last
+           FROM rows WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text))
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           CAST(sum(CASE WHEN role = 'assistant' THEN length(text) ELSE 0 END) AS BIGINT) AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           CAST(sum({_markers_sql()} + {_escaped_sql('text')}) AS BIGINT) AS formatted_chars,
+           bool_and({_follows_sql()} AND (NOT is_last OR role = 'assistant')) AS order_ok
+    FROM ordered GROUP BY conv_id""")
 def op10_chat(t: Tables) -> DataFrame:
     """Format all conversations (and the one full of control strings) and read them back."""
     rows = t.conversations.select("conv_id", "turn", "role", "text").unionByName(control_conversation(t.spark))
     return chat.read_back(chat.format_chats(rows))
 
 
-@register("op1_decontamination")
+_WORDS_SQL = "regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')"
+
+
+@register("op1_decontamination", sql=f"""
+    WITH items AS (SELECT item_id, {_WORDS_SQL} AS w FROM benchmark),
+         sized AS (SELECT item_id, w, least(len(w), 13) AS s FROM items WHERE len(w) > 0),
+         windows AS (SELECT DISTINCT item_id, s, w[j:j + s - 1] AS k FROM (SELECT *, unnest(range(1, len(w) - s + 2)) AS j FROM sized)),
+         docs AS (SELECT doc_id, {_WORDS_SQL} AS w FROM documents),
+         places AS (SELECT doc_id, s, w[j:j + s - 1] AS k, j
+                    FROM (SELECT doc_id, w, s, unnest(range(1, len(w) - s + 2)) AS j FROM docs, (SELECT DISTINCT s FROM windows))),
+         hits AS (SELECT doc_id, j, s, item_id FROM places JOIN windows USING (s, k)),
+         counted AS (SELECT doc_id, count(DISTINCT word) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + s)) AS word FROM hits) GROUP BY doc_id),
+         listed AS (SELECT doc_id, count(*) AS n_items, string_agg(CAST(item_id AS VARCHAR), ',' ORDER BY CAST(item_id AS VARCHAR)) AS ids
+                    FROM (SELECT DISTINCT doc_id, item_id FROM hits) GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+           sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
+    FROM docs LEFT JOIN counted USING (doc_id) LEFT JOIN listed USING (doc_id)""")
 def op1_decontamination(t: Tables) -> DataFrame:
     """Benchmark passages in every whole document, by winnowing."""
     found = decontam.find_contamination(t.documents.select("doc_id", "text"), t.benchmark)

@@ -19,10 +19,9 @@ in Python integers, and scores beyond a long saturate.
 Defined results: vectors that are null or hold null or non-finite components take no
 part, on either side; vectors of another length than the query score only over the
 common dimensions (missing ones count 0); ties go to the smaller id; a query never
-meets rows of its own id; repeated query rows answer once, repeated candidates are candidates
-each; fewer than k candidates give
-fewer rows; a null id takes no part; empty tables give an empty table; extra columns are
-ignored.
+meets rows of its own id; query rows of one id answer once, by the least of their
+vectors; repeated candidates are candidates each; fewer than k candidates give fewer
+rows; a null id takes no part; empty tables give an empty table; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -149,7 +148,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     arrow = to_arrow_schema(schema)
     base = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), is_query.alias("q"))
             .where("id is not null and v is not null"))
-    queries = base.where("q")
+    queries = base.where("q").groupBy("id").agg(F.min("v").alias("v"))
     blocks = max(1, math.ceil(queries.count() / query_block))
     out = None
     for block in range(blocks):
