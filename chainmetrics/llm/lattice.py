@@ -42,7 +42,7 @@ from chainmetrics.llm import textbuf as tb
 from chainmetrics.llm.bpe import byte_alphabet
 from chainmetrics.session import scratch_path
 
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 8 << 20
 #: Longest piece of the lattice in bytes, the blank before a word included.
 PIECE_BYTES = 16
 #: Rounds of expected counts within each part of the corpus.
