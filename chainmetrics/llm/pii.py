@@ -8,9 +8,9 @@
   the rules check (Luhn, octets, top-level domain) is not a feature. They learn which
   candidates coincide with rule matches, on the candidates of at most ``SAMPLE_DOCS`` documents.
 * Thresholds are calibrated per kind on the half of that sample that the trees haven't
-  seen: the least score from which ``PRECISION`` of the candidates are right. Where no
-  score reaches that, the kind adds nothing. Of overlapping winners the better stays, and
-  none may overlap a base span.
+  seen: the least score from which ``PRECISION`` of the candidates are right, and
+  ``LOCAL_PRECISION`` at every score on the way. Where none reaches that, the kind adds
+  nothing. Of overlapping winners the better stays, and none may overlap a base span.
 
 Finding and redacting are row-local (one ``mapInArrow`` pass over whole texts); the
 trees, some hundred numbers, are broadcast.
@@ -37,6 +37,8 @@ KINDS = ("email", "ip", "card", "phone")
 SAMPLE_DOCS = 20_000
 SAMPLE_CANDIDATES = 20_000
 PRECISION = 0.995
+#: The same for the candidates of one score alone.
+LOCAL_PRECISION = 0.95
 #: Right candidates a kind must have above its threshold before that is trusted.
 LEAST_RIGHT = 50
 TREES, DEPTH = 10, 3
@@ -216,13 +218,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tr
         right, score = unseen.column("label").to_numpy() > 0, fitted.score(x)
         for kind in range(len(KINDS)):
             mine = x[:, 0] == kind
-            order = np.argsort(-score[mine], kind="stable")
-            s, good = score[mine][order], np.cumsum(right[mine][order])
-            # Only whole groups of equal scores can be told apart by a threshold.
-            last = np.append(s[1:] != s[:-1], True) if len(s) else np.zeros(0, bool)
-            fit = np.flatnonzero(last & (good >= PRECISION * np.arange(1, len(s) + 1)) & (good >= LEAST_RIGHT))
-            if len(fit):
-                fitted.thresholds[kind] = float(s[fit[-1]])
+            levels, group = np.unique(-score[mine], return_inverse=True)  # best score first
+            right_at = np.bincount(group, right[mine], len(levels))
+            total_at = np.bincount(group, minlength=len(levels))
+            good, seen = np.cumsum(right_at), np.cumsum(total_at)
+            # Down to the first score at which candidates are mostly wrong, or too many in all.
+            fit = np.logical_and.accumulate((good >= PRECISION * seen) & (right_at >= LOCAL_PRECISION * total_at))
+            last = np.flatnonzero(fit & (good >= LEAST_RIGHT))
+            if len(last):
+                fitted.thresholds[kind] = float(-levels[last[-1]])
     return fitted
 
 

@@ -78,3 +78,13 @@ def test_redaction_and_trees(spark):
     # The exported trees score as nested tuples.
     assert np.allclose(pii.Trees([(0, 1.5, -1.0, (1, 0.0, 0.5, 1.0))], [1.0], {}).score(np.array([[1.0, 9], [2, -1], [2, 3]])),
                        1 / (1 + np.exp([2, -1, -2])))
+
+
+def test_thresholds_leave_low_scores_out(spark):
+    """Candidates that the rules always refuse get no threshold below their score."""
+    r = random.Random(11)
+    good = [f"card {r.choice(['4111 1111 1111 1111', '5500 0000 0000 0004'])} thanks" for _ in range(700)]
+    bad = [f'token = "b7eb{r.randint(10**12, 10**13 - 1)}ff"' for _ in range(60)]
+    df = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
+    found = by_id(pii.find(df, pii.train(df)))
+    assert all(len(found[i].pii) == 1 for i in range(700)) and not any(found[i].pii for i in range(700, 760))
