@@ -16,7 +16,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 
-from chainmetrics.session import ship_package
+from chainmetrics.session import materialize, ship_package
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
@@ -144,7 +144,8 @@ def autoencoder_outliers(df: DataFrame, cols, hidden=HIDDEN, fraction: float = O
     cols = list(cols)
     zcols = [f"_z_{c}" for c in cols]
     scaled = FE.standard_scale(df, cols, suffix="_zz")
-    scaled = scaled.select(*df.columns, *[F.col(f"{c}_zz").alias(z) for c, z in zip(cols, zcols)]).cache()
+    # Read once per epoch: stored in the shared folder, nothing stays cached.
+    scaled = materialize(scaled.select(*df.columns, *[F.col(f"{c}_zz").alias(z) for c, z in zip(cols, zcols)]))
     params = fit_autoencoder(scaled, zcols, hidden, epochs, lr, seed)
     bparams = df.sparkSession.sparkContext.broadcast(params)
 

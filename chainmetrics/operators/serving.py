@@ -167,20 +167,30 @@ def flagged_rows(df: DataFrame, columns=("label",) + PREDICTION_COLUMNS) -> Data
 
 
 def illicit_accounts_page(df: DataFrame, model: str, columns=None, page_size: int = 10,
-                          page: int = 0, order=None) -> DataFrame:
+                          page: int = 0, order=None, after=None) -> DataFrame:
     """One page of flagged rows with the chosen display columns.
 
     Default columns: the model's prediction, account, hash, value, USD value.
     Rows are totally ordered by ``order`` (default: the displayed columns) so a
     page is reproducible; the limit is the feature (a page), implemented as a
-    top-k (per-partition top-(offset+size), then merged).
+    top-k (per-partition top-(offset+size), then merged). For deep pages hand over
+    ``after``, the ``order`` values of the last row seen, instead of a page number: the
+    rows up to it are filtered away and the top-k is as small as one page. (Rows equal to
+    ``after`` in all order columns count as seen: order by a unique key.)
     """
     if page_size not in (10, 25, 50, 100):
         raise ValueError("page size must be 10, 25, 50 or 100")
     columns = list(columns or [model, "account", "hash", "value_btc", "value_usd"])
     order = list(order or columns)
-    return (df.select(*columns).orderBy(*order)
-            .offset(page * page_size).limit(page_size))
+    rows = df.select(*columns)
+    if after is not None:
+        if page or len(after) != len(order):
+            raise ValueError("give either a page number or one value for each order column")
+        key = F.struct(*[F.col(c).alias(f"c{i}") for i, c in enumerate(order)])
+        types = dict(rows.dtypes)
+        last = F.struct(*[F.lit(v).cast(types[c]).alias(f"c{i}") for i, (c, v) in enumerate(zip(order, after))])
+        return rows.where(key > last).orderBy(*order).limit(page_size)
+    return rows.orderBy(*order).offset(page * page_size).limit(page_size)
 
 
 def model_performance(report: DataFrame, model: str) -> DataFrame:

@@ -98,3 +98,11 @@ def test_metric_series_refuses_unknown_names(spark):
     for names in (["Nothing"], ["Price ($)", "Velocity"], [S.RIBBON_METRIC]):
         with pytest.raises(ValueError):
             S.metric_series(catalogue, df, df, names)
+
+
+def test_keyset_page_equals_offset_page(spark):
+    df = spark.createDataFrame([(i % 7, i, float(i % 5) if i % 11 else None) for i in range(200)], "y INT, account LONG, v DOUBLE")
+    cols, order = ["y", "account", "v"], ["v", "y", "account"]
+    by_number = S.illicit_accounts_page(df, "y", cols, 25, 3, order=order).collect()
+    before = S.illicit_accounts_page(df, "y", cols, 25, 2, order=order).collect()[-1]
+    assert S.illicit_accounts_page(df, "y", cols, 25, order=order, after=[before[c] for c in order]).collect() == by_number
