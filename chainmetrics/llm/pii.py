@@ -3,10 +3,15 @@
 * Rules find e-mail addresses, IPv4 addresses, payment cards (Luhn) and telephone
   numbers; their matches ("base" spans) are always reported.
 * High-recall generators propose further, overlapping spans: tokens around an ``@`` or
-  an ``(at)``, dotted numbers, digit chains of 7 to 19 digits (as telephone and as card).
-* Boosted trees (MLlib ``GBTClassifier``) judge candidates by format and context; what
-  the rules check (Luhn, octets, top-level domain) is not a feature. They learn which
-  candidates coincide with rule matches, on the candidates of at most ``SAMPLE_DOCS`` documents.
+  an ``(at)``, spelled-out addresses, dotted numbers, digit chains of 7 to 19 digits (as
+  telephone and as card).
+* Boosted trees (MLlib ``GBTClassifier``) judge candidates by format and context; what the
+  rules check (Luhn, octets, top-level domain, the leading plus) is not a feature. They learn
+  from what the rules can't see (``examples``), on at most ``SAMPLE_DOCS`` documents: right
+  are rule matches written in another way in the same place (national numbers,
+  ``name(at)host.org``, cards with other separators); wrong are candidates apart from all
+  rule matches, but for those that may well be such another spelling, which aren't used.
+  An IPv4 address has no other spelling, so that kind adds nothing.
 * Thresholds are calibrated per kind on the half of that sample that the trees haven't
   seen: the least score from which ``PRECISION`` of the candidates are right, and
   ``LOCAL_PRECISION`` at every score on the way. Where none reaches that, the kind adds
@@ -23,6 +28,7 @@ rules apply; columns named like the outputs are replaced, others kept.
 from __future__ import annotations
 
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -52,6 +58,13 @@ _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _CHAIN = re.compile(r"\+?\(?[0-9](?:[ ().-]{0,2}[0-9])*+")
 _TOKEN = re.compile(r"\S++")
 _AT = re.compile(r"@|\(at\)|\[at\]", re.I)
+_AT_RUN = re.compile(r"[A-Za-z0-9._%+-]++(?P<at> ?[(\[]at[)\]] ?)?+", re.I)
+_AT_DOMAIN = re.compile(r"[A-Za-z0-9-]++(?:(?:\.| ?[(\[]dot[)\]] ?)[A-Za-z0-9-]++)++", re.I)
+_BRACKET_AT, _BRACKET_DOT = re.compile(r" ?[(\[]at[)\]] ?", re.I), re.compile(r" ?[(\[]dot[)\]] ?", re.I)
+#: What a chain of digits is if not a telephone number: a date (and time), a dotted quad.
+_NO_PHONE = re.compile(r"(?:19|20)[0-9]{2}([-./ ])[0-9]{1,2}\1[0-9]{1,2}(?![0-9])|[0-9]{1,2}([-./ ])[0-9]{1,2}\2(?:19|20)[0-9]{2}(?![0-9])"
+                       r"|[0-9]+(?:\.[0-9]+){3}$")
+_PREFIX = re.compile(r"\+(?:1(?=[0-9]{10}$)|[0-9]{2}(?=[0-9]{7,}$)|[0-9]{1,3}(?![0-9]))[ .-]*")
 #: Context words of each kind (fixed values of the features).
 _WORDS = {"email": re.compile(r"mail|contact|courriel|correo", re.I), "ip": re.compile(r"\bip\b|host|server|address", re.I),
           "card": re.compile(r"card|visa|credit|karte|carte|tarjeta", re.I),
@@ -93,7 +106,7 @@ def rule_spans(text: str, at: bool, digit: bool) -> list[tuple[int, int, int]]:
 def candidates(text: str, at: bool, digit: bool) -> list[tuple[int, int, int]]:
     """(kind, start, end) proposed with high recall; spans may overlap."""
     out = []
-    if at or "(at)" in text or "[at]" in text:
+    if at:
         for m in _TOKEN.finditer(text):
             if _AT.search(m[0]):
                 s, e = m.span()
@@ -103,6 +116,12 @@ def candidates(text: str, at: bool, digit: bool) -> list[tuple[int, int, int]]:
                     e -= 1
                 if e - s >= 5:
                     out.append((0, s, e))
+        if _BRACKET_AT.search(text):
+            tokens = set(out)
+            for m in _AT_RUN.finditer(text):
+                d = _AT_DOMAIN.match(text, m.end()) if m["at"] else None
+                if d and (0, m.start(), d.end()) not in tokens:
+                    out.append((0, m.start(), d.end()))
     if digit:
         for m in _CHAIN.finditer(text):
             digits = sum(c.isdigit() for c in m[0])
@@ -127,14 +146,77 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
     return [
         kind, len(span), digits, len(groups), max(groups, default=0), groups[0] if groups else 0, groups[-1] if groups else 0,
         len(set(c for c in span if c.isdigit())), span.count(" "), span.count("-"), span.count("."),
-        span.count("(") + span.count(")"), span.startswith("+"), sum(c.isalpha() for c in span), sum(c.isupper() for c in span),
+        span.count("(") + span.count(")"), sum(c.isalpha() for c in span), sum(c.isupper() for c in span),
         _char(before[-1:]), _char(after[:1]), sum(c.isdigit() for c in before), sum(c.isdigit() for c in after),
         sum(not c.isalnum() and not c.isspace() for c in before + after), "\n" in before + after,
         bool(_WORDS[KINDS[kind]].search(before)),
     ]
 
 
-N_FEATURES = 22
+N_FEATURES = 21
+
+
+def respelled(kind: int, span: str, pick: int) -> str | None:
+    """A rule match in a spelling that the rules don't know, one of several by ``pick``; None where there is none."""
+    if kind == 0:
+        name, _, domain = span.rpartition("@")
+        at, dot = (("(at)", "."), ("[at]", "."), (" (at) ", "."), ("(at)", "(dot)"), (" [at] ", " [dot] "), ("[at]", "[dot]"))[pick % 6]
+        return name + at + domain.replace(".", dot)
+    if kind == 2:
+        digits = re.sub("[^0-9]", "", span)
+        sep = (".", "  ", "--", ". ")[pick % 4]
+        return sep.join(digits[i:i + 4] for i in range(0, len(digits), 4))
+    if kind == 3:
+        prefix = _PREFIX.match(span)
+        national = span[prefix.end():] if prefix else ""
+        groups = re.findall("[0-9]+", national)
+        digits = "".join(groups)
+        if not 7 <= len(digits) <= 15:
+            return None
+        if len(groups) < 2 or len(groups[0]) > 5:
+            groups = [digits[:3], digits[3:6], digits[6:]]
+        rest = groups[1:]
+        return (national, "-".join(groups), ".".join(groups), " ".join(groups), f"({groups[0]}) {'-'.join(rest)}",
+                f"({groups[0]}) {' '.join(rest)}", "0" + " ".join(groups), span[1:])[pick % 8]
+    return None
+
+
+def _perhaps(text: str, kind: int, start: int, end: int) -> bool:
+    """Whether a candidate apart from the rule matches may be right: the kind in another spelling."""
+    span = text[start:end]
+    if kind == 0:
+        plain = _BRACKET_DOT.sub(".", _BRACKET_AT.sub("@", span))
+        return "@" in plain and "@" not in span and bool(rule_spans(plain, True, False))
+    # A chain inside of a longer name or number is no number of its own.
+    if kind == 1 or re.match(r"[\w#$€£]", text[start - 1:start]) or re.match(r"\w", text[end:end + 1]):
+        return False
+    if not _WORDS[KINDS[kind]].search(text[max(0, start - 30):start]):
+        return False
+    return luhn(re.sub("[^0-9]", "", span)) if kind == 2 else not _NO_PHONE.match(span)
+
+
+def examples(text: str, at: bool, digit: bool) -> list[tuple[float, list[float]]]:
+    """(label, features) of the candidates to learn from and to be judged by: what could be added to the base spans."""
+    out, base = [], rule_spans(text, at, digit)
+    for kind, start, end in base:
+        new = respelled(kind, text[start:end], zlib.crc32(text[max(0, start - 30):end].encode("utf-8", "replace")))
+        if new:
+            # Features look 30 characters around, and so this much of the text is enough.
+            before, after = text[max(0, start - 60):start], text[end:end + 60]
+            near, s, e = before + new + after, len(before), len(before) + len(new)
+            for k, a, b in candidates(near, True, True):
+                if (k, a, b) == (kind, s, e):
+                    out.append((1.0, features(near, k, a, b)))
+                elif k != kind and s <= a and b <= e:
+                    out.append((0.0, features(near, k, a, b)))
+    inside = np.zeros(len(text) + 1, np.int64)
+    for _, s, e in base:
+        inside[s + 1:e + 1] = 1
+    inside = np.cumsum(inside)  # characters of rule matches before each place
+    for k, s, e in candidates(text, at, digit):
+        if inside[s] == inside[e] and not _perhaps(text, k, s, e):
+            out.append((0.0, features(text, k, s, e)))
+    return out
 
 
 class Trees:
@@ -193,11 +275,9 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Tr
         texts, at, digit = _flags(batch.column(0))
         rows, label, half = [], [], []
         for i in np.flatnonzero(at | digit).tolist():
-            text = _text(texts, i)
-            truth = {(k, s, e) for k, s, e in rule_spans(text, at[i], digit[i])}
-            for k, s, e in candidates(text, at[i], digit[i]):
-                rows.append(features(text, k, s, e))
-                label.append(float((k, s, e) in truth))
+            for right, x in examples(_text(texts, i), at[i], digit[i]):
+                rows.append(x)
+                label.append(right)
                 half.append(batch.column(1)[i].as_py() % 2)
         return {"x": pa.array(rows, pa.list_(pa.float64())), "label": pa.array(label, pa.float64()), "half": pa.array(half, pa.int64())}
 

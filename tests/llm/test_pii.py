@@ -88,3 +88,33 @@ def test_thresholds_leave_low_scores_out(spark):
     df = spark.createDataFrame(list(enumerate(good + bad)), "doc_id long, text string")
     found = by_id(pii.find(df, pii.train(df)))
     assert all(len(found[i].pii) == 1 for i in range(700)) and not any(found[i].pii for i in range(700, 760))
+
+
+def test_other_spellings_are_found(spark):
+    """National numbers and spelled-out addresses among rule matches and look-alikes; dates and order numbers stay."""
+    r = random.Random(12)
+    number = lambda n: "".join(str(r.randint(1, 9)) for _ in range(n))
+    texts, planted, plain = [], {}, []
+    for i in range(2400):
+        name = "".join(r.choice("abcdefgh") for _ in range(6))
+        texts.append(r.choice([f"Please call +1 ({number(3)}) {number(3)}-{number(4)} today", f"write to {name}@host{i % 7}.org soon",
+                               f"order {number(9)} shipped", f"done on 20{r.randint(10, 24)}-0{r.randint(1, 9)}-1{r.randint(0, 9)} at noon"]))
+        plain += [i] if re.match("order|done", texts[-1]) else []
+    for i in range(0, 60, 2):
+        for lead, span in (("Please call ", f"({number(3)}) {number(3)}-{number(4)}"), ("write to ", f"name{i}(at)host.org")):
+            planted[len(texts)] = span
+            texts.append(f"{lead}{span} today")
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = by_id(pii.find(df, pii.train(df)))
+    spans = lambda i: [texts[i][s.start:s.end] for s in found[i].pii]
+    assert not any(spans(i) for i in plain)
+    for lead in ("(", "n"):
+        mine = [i for i, span in planted.items() if span.startswith(lead)]
+        assert sum(spans(i) == [planted[i]] for i in mine) >= 0.9 * len(mine), [spans(i) for i in mine][:3]
+
+
+def test_rewritten_matches():
+    assert pii.respelled(0, "a@b.org", 3) == "a(at)b(dot)org" and pii.respelled(1, "1.2.3.4", 0) is None
+    assert pii.respelled(3, "+1 (555) 010-1234", 0) == "(555) 010-1234" and pii.respelled(3, "+15550101234", 1) == "555-010-1234"
+    assert (0, 3, 21) in pii.candidates("to name [at] host.org, or", True, False)
+    pii.candidates("a (at) b." * 20_000, True, True)
