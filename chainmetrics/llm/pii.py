@@ -7,13 +7,13 @@
   telephone and as card).
 * Boosted trees (MLlib ``GBTClassifier``) judge candidates by format and context; what the
   rules check (Luhn, octets, top-level domain, the leading plus) is not a feature. They learn
-  from what the rules can't see (``examples``), on at most ``SAMPLE_DOCS`` documents: right
-  are rule matches written in another way in the same place (national numbers,
+  from what the rules can't see (``examples``), on about ``SAMPLE_CANDIDATES`` candidates
+  of one half of the documents, an equal share for each kind: right are rule matches written in another way in the same place (national numbers,
   ``name(at)host.org``, cards with other separators); wrong are candidates apart from all
   rule matches, but for those that may well be such another spelling, which aren't used.
   An IPv4 address has no other spelling, so that kind adds nothing.
-* Thresholds are calibrated per kind on the half of that sample that the trees haven't
-  seen: the least score from which ``PRECISION`` of the candidates are right, and
+* Thresholds are calibrated per kind on all documents of the half that the trees haven't
+  seen, counted by kind and score on the executors: the least score from which ``PRECISION`` of the candidates are right, and
   ``LOCAL_PRECISION`` at every score on the way. Where none reaches that, the kind adds
   nothing. Of overlapping winners the better stays, and none may overlap a base span.
 
@@ -40,8 +40,10 @@ from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import materialize
 
 KINDS = ("email", "ip", "card", "phone")
-SAMPLE_DOCS = 20_000
+#: Candidates the trees learn from: as many places for each kind, right and wrong.
 SAMPLE_CANDIDATES = 20_000
+#: Steps of the score in which thresholds are set.
+LEVELS = 1000
 PRECISION = 0.995
 #: The same for the candidates of one score alone.
 LOCAL_PRECISION = 0.95
@@ -220,9 +222,9 @@ def examples(text: str, at: bool, digit: bool) -> list[tuple[float, list[float]]
 
 
 class Trees:
-    """Fitted trees as arrays, and the threshold of each kind."""
+    """Fitted trees as arrays, and the threshold (a level of the score) of each kind."""
 
-    def __init__(self, roots: list, weights: list[float], thresholds: dict[int, float]):
+    def __init__(self, roots: list, weights: list[float], thresholds: dict[int, int]):
         self.roots, self.weights, self.thresholds = roots, weights, thresholds
 
     def score(self, x: np.ndarray) -> np.ndarray:
@@ -261,55 +263,84 @@ def _text(column: pa.Array, i: int) -> str:
 
 
 def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Trees | None:
-    """Trees and thresholds from the candidates of a bounded sample; None if there is nothing to learn."""
+    """Trees from a bounded sample of one half's candidates, thresholds from all of the other's; None if there is nothing to learn."""
     # Here and not above: workers that only find spans needn't load the library.
     from pyspark.ml.classification import GBTClassifier
     from pyspark.ml.functions import array_to_vector
 
-    n = docs.count()
-    share = min(1.0, SAMPLE_DOCS / max(1, n))
-    key = F.pmod(F.xxhash64(F.col(id_col), F.lit(9)), F.lit(1_000_000))
-    sample = docs.where(key < int(share * 1_000_000)).select(F.col(text_col).alias("text"), key.cast("long").alias("key"))
+    key = F.xxhash64(F.col(id_col), F.lit(9))
+    halves = docs.select(F.col(text_col).alias("text"), key.alias("key"))
+    seen, unseen = (halves.where(F.pmod("key", F.lit(2)) == h) for h in (0, 1))
+    met = {(r["kind"], r["label"]): r["n"] for r in _counted(seen, None).groupBy("kind", "label").agg(F.sum("n").alias("n")).collect()}
+    if len({label for _, label in met}) < 2:
+        return None
+    # Each kind has its own places, so that a frequent one leaves the others theirs.
+    rates = {k: min(1.0, SAMPLE_CANDIDATES / (2 * len(KINDS)) / n) for k, n in met.items()}
 
     def run(batch):
         texts, at, digit = _flags(batch.column(0))
-        rows, label, half = [], [], []
+        rows, label = [], []
         for i in np.flatnonzero(at | digit).tolist():
-            for right, x in examples(_text(texts, i), at[i], digit[i]):
-                rows.append(x)
-                label.append(right)
-                half.append(batch.column(1)[i].as_py() % 2)
-        return {"x": pa.array(rows, pa.list_(pa.float64())), "label": pa.array(label, pa.float64()), "half": pa.array(half, pa.int64())}
-
-    found = tb.map_arrow(sample, run, [T.StructField("x", T.ArrayType(T.DoubleType())), T.StructField("label", T.DoubleType()), T.StructField("half", T.LongType())])
-    found = materialize(found)
-    many = found.count()
-    if many > SAMPLE_CANDIDATES:
-        found = found.where(F.rand(9) < SAMPLE_CANDIDATES / many)
-    rows = found.where("half = 0").limit(2 * SAMPLE_CANDIDATES)
+            for n, (right, x) in enumerate(examples(_text(texts, i), at[i], digit[i])):
+                if zlib.crc32(f"{batch.column(1)[i].as_py()} {n}".encode()) < rates.get((int(x[0]), right), 0) * 2**32:
+                    rows.append(x)
+                    label.append(right)
+        return {"x": pa.array(rows, pa.list_(pa.float64())), "label": pa.array(label, pa.float64())}
+
+    rows = materialize(tb.map_arrow(seen, run, [T.StructField("x", T.ArrayType(T.DoubleType())), T.StructField("label", T.DoubleType())]))
     if rows.select("label").distinct().count() < 2:
         return None
     model = GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=9, stepSize=0.3).fit(
         rows.select(array_to_vector("x").alias("features"), "label").coalesce(2))
     fitted = Trees([_exported(t._call_java("rootNode")) for t in model.trees], list(model.treeWeights), {})
-    unseen = found.where("half = 1").limit(2 * SAMPLE_CANDIDATES).toArrow()
-    if unseen.num_rows:
-        x = np.array(unseen.column("x").to_pylist(), float).reshape(-1, N_FEATURES)
-        right, score = unseen.column("label").to_numpy() > 0, fitted.score(x)
-        for kind in range(len(KINDS)):
-            mine = x[:, 0] == kind
-            levels, group = np.unique(-score[mine], return_inverse=True)  # best score first
-            right_at = np.bincount(group, right[mine], len(levels))
-            total_at = np.bincount(group, minlength=len(levels))
-            good, seen = np.cumsum(right_at), np.cumsum(total_at)
-            # Down to the first score at which candidates are mostly wrong, or too many in all.
-            fit = np.logical_and.accumulate((good >= PRECISION * seen) & (right_at >= LOCAL_PRECISION * total_at))
-            last = np.flatnonzero(fit & (good >= LEAST_RIGHT))
-            if len(last):
-                fitted.thresholds[kind] = float(-levels[last[-1]])
+    # At most LEVELS + 1 rows per kind reach the driver, whatever the size of the corpus.
+    judged = (_counted(unseen, docs.sparkSession.sparkContext.broadcast(fitted)).groupBy("kind", "level")
+              .agg(F.sum(F.col("n") * F.col("label")).alias("good"), F.sum("n").alias("n")).orderBy(F.desc("level")).collect())
+    for kind in range(len(KINDS)):
+        level = least_level([(r["level"], r["good"], r["n"]) for r in judged if r["kind"] == kind])
+        if level is not None:
+            fitted.thresholds[kind] = level
     return fitted
 
 
+def _counted(halves: DataFrame, shared) -> DataFrame:
+    """kind, label, level and n: the examples of all texts, counted batch by batch; level 0 without trees."""
+
+    def run(batch):
+        texts, at, digit = _flags(batch.column(0))
+        found = [e for i in np.flatnonzero(at | digit).tolist() for e in examples(_text(texts, i), at[i], digit[i])]
+        x = np.array([f for _, f in found], float).reshape(-1, N_FEATURES)
+        level = levels(shared.value.score(x)) if shared else np.zeros(len(x), np.int64)
+        rows, n = np.unique(np.stack([x[:, 0].astype(np.int64), np.array([r for r, _ in found], np.int64), level]), axis=1, return_counts=True)
+        return {"kind": pa.array(rows[0]), "label": pa.array(rows[1].astype(float)), "level": pa.array(rows[2]), "n": pa.array(n.astype(np.int64))}
+
+    return tb.map_arrow(halves, run, [T.StructField("kind", T.LongType()), T.StructField("label", T.DoubleType()),
+                                      T.StructField("level", T.LongType()), T.StructField("n", T.LongType())])
+
+
+def levels(scores: np.ndarray) -> np.ndarray:
+    return np.floor(scores * LEVELS).astype(np.int64)
+
+
+def least_level(found: list[tuple[int, float, int]]) -> int | None:
+    """The level down to which candidates are added, from (level, right, all) by falling level.
+
+    Levels are taken together until ``LEAST_RIGHT`` candidates are there to judge: on a large
+    corpus every rare level is met, and one wrong candidate alone says nothing."""
+    out, good, seen, right, total = None, 0, 0, 0, 0
+    for i, (level, r, n) in enumerate(found):
+        good, seen, right, total = good + r, seen + n, right + r, total + n
+        if total < LEAST_RIGHT and i + 1 < len(found):
+            continue
+        # Down to the first level at which candidates are mostly wrong, or too many in all.
+        if good < PRECISION * seen or right < LOCAL_PRECISION * total:
+            break
+        if good >= LEAST_RIGHT:
+            out = level
+        right = total = 0
+    return out
+
+
 def all_spans(text: str, at: bool, digit: bool, trees: Trees | None) -> list[tuple[int, int, int, bool]]:
     """(kind, start, end, base) of every reported span, by kind and start."""
     base = rule_spans(text, at, digit)
@@ -319,10 +350,11 @@ def all_spans(text: str, at: bool, digit: bool, trees: Trees | None) -> list[tup
                 and not any(s < c[2] and c[1] < e for _, s, e in base)]
         if more:
             scores = trees.score(np.array([features(text, *c) for c in more], float))
+            level = levels(scores)
             taken: list[tuple[int, int]] = []
             for i in np.argsort(-scores, kind="stable"):
                 k, s, e = more[i]
-                if scores[i] >= trees.thresholds[k] and not any(a < e and s < b for a, b in taken):
+                if level[i] >= trees.thresholds[k] and not any(a < e and s < b for a, b in taken):
                     taken.append((s, e))
                     out.append((k, s, e, False))
     return sorted(out)

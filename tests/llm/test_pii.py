@@ -118,3 +118,27 @@ def test_rewritten_matches():
     assert pii.respelled(3, "+1 (555) 010-1234", 0) == "(555) 010-1234" and pii.respelled(3, "+15550101234", 1) == "555-010-1234"
     assert (0, 3, 21) in pii.candidates("to name [at] host.org, or", True, False)
     pii.candidates("a (at) b." * 20_000, True, True)
+
+
+def test_rare_kind_beside_a_frequent_one(spark, monkeypatch):
+    """Thresholds come from all documents: a kind in few of them isn't crowded out of the sample."""
+    monkeypatch.setattr(pii, "SAMPLE_CANDIDATES", 800)
+    monkeypatch.setattr(pii, "SAMPLE_DOCS", 800, raising=False)
+    r = random.Random(13)
+    number = lambda n: "".join(str(r.randint(1, 9)) for _ in range(n))
+    texts = ["build 1.2.3.400 of 10.20.3.999 done"] * 8000 + [f"Please call +1 ({number(3)}) {number(3)}-{number(4)} today" for _ in range(240)]
+    planted = range(len(texts), len(texts) + 20)
+    texts += [f"Please call ({number(3)}) {number(3)}-{number(4)} today" for _ in planted]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    trees = pii.train(df)
+    assert trees.thresholds.keys() == {3}
+    found = by_id(pii.find(df.where("doc_id >= 8000"), trees))
+    assert all(len(found[i].pii) == 1 for i in planted)
+    same = pii.train(df.repartition(5))
+    assert same.thresholds == trees.thresholds
+
+
+def test_least_level():
+    assert pii.least_level([(9, 0, 1), (8, 1000, 1000), (7, 10, 60)]) == 8  # one wrong candidate on top
+    assert pii.least_level([(9, 49, 49)]) is None and pii.least_level([(9, 40, 100), (8, 900, 900)]) is None
+    assert pii.least_level([]) is None
