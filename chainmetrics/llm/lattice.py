@@ -11,13 +11,15 @@ recursion in log space over its positions. Without it unseen words would all be
 with it they get what their parts are worth.
 
 The vocabulary's own scores (its ranks) are the prior of the piece probabilities;
-expected counts over the segmentations of all distinct training words, taken part by
-part of the corpus, refine them. Piece totals, at most one number per piece of the
-vocabulary, are what reaches the driver.
+expected counts over the segmentations of all distinct training words, each taken once,
+refine them in ``ROUNDS`` rounds over the whole corpus, the next with the weights of the
+last. Piece totals, at most one number per piece of the vocabulary, are what reaches the
+driver, so scores don't depend on how the table is dealt out.
 
 Plan: the table is dealt with in blocks of about ``BLOCK_BYTES`` of text. Each block
-sends one row per distinct word (hash, block, training count), never per token; a
-window over the word sums them, which spreads a frequent word as one row per block;
+sends one row per distinct word (hash, block, training count, bytes of training words),
+never per token; a window over the word sums them, which spreads a frequent word as one
+row per block, and the first of them keeps the bytes; each round passes over those;
 the sums go back to their blocks, where a cogroup with the texts scores them. The word
 sums are kept as a table in the shared checkpoint folder.
 
@@ -45,7 +47,7 @@ from chainmetrics.session import scratch_path
 BLOCK_BYTES = 8 << 20
 #: Longest piece of the lattice in bytes, the blank before a word included.
 PIECE_BYTES = 16
-#: Rounds of expected counts within each part of the corpus.
+#: Rounds of expected counts over all distinct training words.
 ROUNDS = 2
 #: Weight of the prior: the expected count of all pieces together before any text.
 PRIOR = 1000.0
@@ -186,45 +188,27 @@ def word_groups(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray):
                 yield which, rows
 
 
-PART = T.StructType([T.StructField("kind", T.ByteType()), T.StructField("h", T.LongType()), T.StructField("b", T.LongType()),
-                     T.StructField("n", T.LongType()), T.StructField("w", T.DoubleType())])
-WORD, PIECE = 0, 1
+PART = T.StructType([T.StructField("h", T.LongType()), T.StructField("b", T.LongType()),
+                     T.StructField("n", T.LongType()), T.StructField("t", T.BinaryType())])
+USES = T.StructType([T.StructField("piece", T.LongType()), T.StructField("w", T.DoubleType())])
 
 
-def part_counts(rows: DataFrame, shared) -> DataFrame:
-    """Per task: training count of every distinct word of each block, and expected uses of the pieces.
+def part_counts(rows: DataFrame) -> DataFrame:
+    """Training count of every distinct word of each block, and its bytes if that isn't 0.
 
     ``rows``: block, text, train."""
     arrow = to_arrow_schema(PART)
 
     def run(batches):
-        lattice, prior = shared.value
         blocks: dict[int, list] = {}
-        expected, some = np.zeros(lattice.n), False
 
         def close(block):
-            nonlocal expected, some
             h, n, texts = blocks.pop(block)
             hashes, inverse = np.unique(np.concatenate(h), return_inverse=True)
             counts = np.bincount(inverse, np.concatenate(n), len(hashes)).astype(np.int64)
-            if texts:
-                words = np.frombuffer(b"".join(texts.values()), np.uint8)
-                ends = np.cumsum([len(t) for t in texts.values()])
-                starts = ends - np.array([len(t) for t in texts.values()])
-                # Distinct training words only: a word counts once in a block.
-                use = np.isin(np.fromiter(texts, tb.U64, len(texts)), hashes[counts > 0])
-                starts, ends = starts[use], ends[use]
-                weights = prior
-                groups = [lattice.edges(group) for _, group in word_groups(words, starts, ends)]
-                for _ in range(ROUNDS):
-                    got = np.zeros(lattice.n)
-                    for edges in groups:
-                        got += lattice.expect(edges, weights)
-                    weights = (got + PRIOR * prior) / (got.sum() + PRIOR)
-                expected, some = expected + got, True
             return pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(hashes), WORD), pa.int8()), pa.array(hashes.view(np.int64)),
-                pa.array(np.full(len(hashes), block), pa.int64()), pa.array(counts), pa.array(np.zeros(len(hashes)))], schema=arrow)
+                pa.array(hashes.view(np.int64)), pa.array(np.full(len(hashes), block), pa.int64()), pa.array(counts),
+                pa.array([texts.get(x) for x in hashes.tolist()], pa.binary())], schema=arrow)
 
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
@@ -250,15 +234,28 @@ def part_counts(rows: DataFrame, shared) -> DataFrame:
                     yield close(block)
         for block in list(blocks):
             yield close(block)
-        if some:
-            at = np.flatnonzero(expected)
-            yield pa.RecordBatch.from_arrays([
-                pa.array(np.full(len(at), PIECE), pa.int8()), pa.array(at), pa.array(np.zeros(len(at)), pa.int64()),
-                pa.array(np.zeros(len(at)), pa.int64()), pa.array(expected[at])], schema=arrow)
 
     return rows.mapInArrow(run, PART)
 
 
+def piece_uses(words: DataFrame, shared) -> DataFrame:
+    """Per task: expected uses of the pieces over the segmentations of the words (``t``), each row counting once."""
+    arrow = to_arrow_schema(USES)
+
+    def run(batches):
+        lattice, weights = shared.value
+        expected = np.zeros(lattice.n)
+        for batch in batches:
+            buf, offs = tb.string_buffers(batch.column(0).cast(pa.large_binary()).view(pa.large_string()))
+            for _, _, b, o in tb.slices(buf, offs):
+                for _, group in word_groups(b, o[:-1], o[1:]):
+                    expected += lattice.expect(lattice.edges(group), weights)
+        at = np.flatnonzero(expected)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(expected[at])], schema=arrow)
+
+    return words.mapInArrow(run, USES)
+
+
 SCORES = [T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()), T.StructField("train_tokens", T.LongType()),
           T.StructField("base_score", T.DoubleType()), T.StructField("score", T.DoubleType())]
 
@@ -308,20 +305,25 @@ def score(df: DataFrame, train: Column, tokenizer: str, block: Column, id_col: s
     prior = prior_weights(len(pieces))
     rows = df.select(F.col(id_col), F.coalesce(F.col(text_col), F.lit("")).alias("text"),
                      F.coalesce(train, F.lit(False)).alias("train"), block.cast("long").alias("b"))
-    word = Window.partitionBy("kind", "h")
+    word = Window.partitionBy("h")
     path = scratch_path(spark, "lattice-words")
-    (part_counts(rows.select("b", "text", "train"), sc.broadcast((lattice, prior)))
-     .withColumn("c", F.sum("n").over(word)).withColumn("total", F.sum("w").over(word))
-     .withColumn("first", F.row_number().over(word.orderBy("b")) == 1)
-     .select("kind", "h", "b", "c", "total", "first").write.parquet(path))
+    # The first row of a training word is one with its bytes.
+    (part_counts(rows.select("b", "text", "train"))
+     .withColumn("c", F.sum("n").over(word))
+     .withColumn("first", F.row_number().over(word.orderBy(F.col("t").isNull(), "b")) == 1)
+     .select("h", "b", "c", "first", F.when(F.col("first"), F.col("t")).alias("t")).write.parquet(path))
     table = spark.read.parquet(path)
-    once = table.where("first")
-    n_words, n_distinct = once.where((F.col("kind") == WORD) & (F.col("c") > 0)).agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
+    once = table.where("first and c > 0")
+    n_words, n_distinct = once.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("c")).first()
     n_texts = df.where(F.coalesce(train, F.lit(False))).count()
-    weights = PRIOR * prior
-    got = once.where(F.col("kind") == PIECE).select("h", "total").toArrow()  # at most the pieces of the vocabulary
-    weights[got.column(0).to_numpy()] += got.column(1).to_numpy()
-    model = sc.broadcast((lattice, log_weights(weights / weights.sum()), n_words + n_texts, n_distinct + (n_texts > 0), n_texts))
+    weights = prior
+    for _ in range(ROUNDS):
+        uses = piece_uses(once.select("t"), sc.broadcast((lattice, weights)))
+        got = uses.groupBy("piece").agg(F.sum("w").alias("w")).toArrow()  # at most the pieces of the vocabulary
+        weights = PRIOR * prior
+        weights[got.column(0).to_numpy()] += got.column(1).to_numpy()
+        weights /= weights.sum()
+    model = sc.broadcast((lattice, log_weights(weights), n_words + n_texts, n_distinct + (n_texts > 0), n_texts))
     fields = [df.schema[id_col], T.StructField("train", T.BooleanType()), *SCORES]
 
     def run(texts: pa.Table, words: pa.Table) -> pa.Table:
@@ -329,7 +331,7 @@ def score(df: DataFrame, train: Column, tokenizer: str, block: Column, id_col: s
         return pa.table({id_col: texts.column(id_col), "train": texts.column("train")}
                         | {f.name: pa.array(found[f.name], pa.int64() if isinstance(f.dataType, T.LongType) else pa.float64()) for f in SCORES})
 
-    words = table.where(F.col("kind") == WORD).select("b", "h", "c")
+    words = table.select("b", "h", "c")
     return rows.groupBy("b").cogroup(words.groupBy("b")).applyInArrow(run, T.StructType(fields))
 
 

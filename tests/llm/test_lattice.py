@@ -56,3 +56,26 @@ def test_without_training_texts_and_empty(spark):
     out = lattice.score(df, F.lit(False), queries.byte_bpe_file(), F.lit(0)).collect()
     assert len(out) == 3 and all(math.isfinite(r.score) and r.train_tokens == 0 and r.n_known == 0 for r in out)
     assert lattice.score(df.limit(0), F.lit(True), queries.byte_bpe_file(), F.lit(0)).count() == 0
+
+
+def test_scores_do_not_depend_on_blocks(spark):
+    """Piece weights are a statistic of the corpus: any blocks and partitions give the same scores."""
+    r = random.Random(6)
+    texts = [" ".join(r.choice(["the", "cat", "telephone", "élan", f"word{r.randint(0, 40)}"]) for _ in range(20)) for _ in range(60)] + ["", "", "", "", "", "unseenword cats"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    train, file = F.col("doc_id") % 7 != 2, queries.byte_bpe_file()
+    one = by_id(lattice.score(df.coalesce(1), train, file, F.lit(0)))
+    many = by_id(lattice.score(df.repartition(5), train, file, F.col("doc_id") % 9))
+    assert all(math.isclose(one[i].score, many[i].score, rel_tol=1e-9) for i in one) and len(one) == len(many) == 66
+    # Two rounds over the distinct words, by hand.
+    pieces = lattice.vocabulary_pieces(file)
+    net, prior = lattice.Lattice(pieces), lattice.prior_weights(len(pieces))
+    distinct, weights = {w for i, t in enumerate(texts) if i % 7 != 2 for w in t.encode().split()}, prior
+    for _ in range(2):
+        got = sum(net.expect(net.edges(np.frombuffer(b" " + w, np.uint8)[None]), weights) for w in distinct) + lattice.PRIOR * prior
+        weights = got / got.sum()
+    new = [net.log_prob(np.frombuffer(b" " + w, np.uint8)[None], lattice.log_weights(weights))[0] for w in (b"unseenword", b"cats")]
+    counts = Counter(w for i, t in enumerate(texts) if i % 7 != 2 for w in [*t.encode().split(), None])
+    n, v = sum(counts.values()), len(counts)
+    want = sum(math.log10(v) + x / math.log(10) for x in new) + math.log10(counts[None] + 1) - 3 * math.log10(n + v + 1)
+    assert math.isclose(one[65].score, want, rel_tol=1e-9)
