@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainmetrics.llm import bpe, chat, decontam, langid, lattice, neardup, pii, sharding, suffixes, topk
+from chainmetrics.llm import bpe, chat, decontam, fim, langid, lattice, neardup, pii, sharding, suffixes, topk
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
 
@@ -182,3 +182,29 @@ def op2_suffix_dedup(t: Tables) -> DataFrame:
     return suffixes.remove_repeats(t.documents).select(
         "doc_id", "n_bytes", removed.alias("n_removed"), F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"))
+
+
+_FIM_CUT = "CAST('0x' || substr(h, {}, 8) AS UBIGINT) % (n + 1)"
+_FIM_PLAIN = "t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR CAST('0x' || substr(h, 17, 8) AS UBIGINT) % 100 >= 100"
+
+
+@register("op11_fill_in_middle", sql=f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+         u AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS l FROM d),
+         c AS (SELECT *, len(l) AS n FROM u),
+         k AS (SELECT *, least({_FIM_CUT.format(1)}, {_FIM_CUT.format(9)}) AS a, greatest({_FIM_CUT.format(1)}, {_FIM_CUT.format(9)}) AS b FROM c),
+         f AS (SELECT doc_id, t, n, array_to_string(l[:CAST(a AS INT)], '') AS p, array_to_string(l[CAST(a AS INT) + 1:CAST(b AS INT)], '') AS m,
+                      array_to_string(l[CAST(b AS INT) + 1:], '') AS s,
+                      CASE WHEN {_FIM_PLAIN} THEN 'plain' WHEN CAST('0x' || substr(h, 25, 8) AS UBIGINT) % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+               FROM k)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN length(p) END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN length(m) END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM f""")
+def op11_fill_in_middle(t: Tables) -> DataFrame:
+    """Fill-in-the-middle form of every whole document, cut at lines, and the text read back from it."""
+    formed = fim.restore(fim.transform(t.documents.select("doc_id", "text")).drop("text"))
+    return formed.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
+                         F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+                         F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
