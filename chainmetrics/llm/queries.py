@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chainmetrics.llm import bpe, chat, decontam, fim, langid, lattice, neardup, pii, sharding, suffixes, topk
+from chainmetrics.llm import bpe, chat, collocations, decontam, fim, langid, lattice, mixing, neardup, pii, sharding, suffixes, topk
 from chainmetrics.session import ship_package
 from chainmetrics.sources.tables import Tables
 
@@ -208,3 +208,37 @@ def op11_fill_in_middle(t: Tables) -> DataFrame:
     return formed.select("doc_id", "n", "form", "prefix_chars", "middle_chars",
                          F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
                          F.sha2(F.col("restored").cast("binary"), 256).alias("restored_sha256"))
+
+
+@register("op12_collocations", sql="""
+    WITH pieces AS (
+           SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+                    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents),
+         w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+         sizes AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+         f AS (SELECT lang, s, array_to_string(w[j:j + s - 1], ' ') AS k, count(*) AS c
+               FROM (SELECT lang, w, s, unnest(range(1, len(w) - s + 2)) AS j FROM w, (VALUES (1), (2), (3)) AS t(s)) GROUP BY ALL),
+         c AS (SELECT lang, s, k, c AS a, string_split(k, ' ') AS e FROM f WHERE s > 1 AND c >= 10),
+         longer AS (SELECT lang, k, max(a) AS best
+                    FROM (SELECT lang, a, array_to_string(e[1:2], ' ') AS k FROM c WHERE s = 3
+                          UNION ALL SELECT lang, a, array_to_string(e[2:3], ' ') FROM c WHERE s = 3) GROUP BY ALL),
+         kept AS (SELECT c.* FROM c LEFT JOIN longer USING (lang, k) WHERE c.s = 3 OR best IS NULL OR 100 * best < 50 * a),
+         cuts AS (SELECT lang, s, k, a, i, array_to_string(e[1:i], ' ') AS x, array_to_string(e[i + 1:], ' ') AS y
+                  FROM (SELECT *, unnest(range(1, s)) AS i FROM kept)),
+         scored AS (SELECT cuts.lang, cuts.k, a, i, x.c AS l, y.c AS r,
+                           CAST((CAST(1000000 AS HUGEINT) * a * a) // (CAST(x.c AS HUGEINT) * y.c) AS BIGINT) AS score
+                    FROM cuts JOIN f x ON x.lang = cuts.lang AND x.k = cuts.x JOIN f y ON y.lang = cuts.lang AND y.k = cuts.y),
+         lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, k ORDER BY score, i) = 1),
+         ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(k)) AS place FROM lowest)
+    SELECT lang, place AS rank, k AS phrase, a, l, r, n, score FROM ranked JOIN sizes USING (lang) WHERE place <= 2000""")
+def op12_collocations(t: Tables) -> DataFrame:
+    """The 2,000 best collocations of two or three words of each language, over all documents."""
+    return collocations.mine(t.documents)
+
+
+@register("op13_mixing")
+def op13_mixing(t: Tables) -> DataFrame:
+    """The words that a mix of all sources, weighing 5, 2, 1 in turn, takes from every document."""
+    taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, p: n + p["words"])
+    return mixing.mix(t.documents).select("doc_id", "size", "source_size", "target", taken.alias("taken"))

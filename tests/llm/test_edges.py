@@ -4,7 +4,7 @@ import pytest
 from llm_helpers import document, tables  # noqa: F401
 from pyspark.sql import functions as F
 
-from chainmetrics.llm import decontam, langid, lattice, neardup, pii, queries, sharding, suffixes, topk
+from chainmetrics.llm import collocations, decontam, fim, langid, lattice, mixing, neardup, pii, queries, sharding, suffixes, topk
 
 OPS = sorted(q for q in queries.QUERIES if q.startswith("op"))
 
@@ -23,7 +23,7 @@ def test_nulls_and_repeated_rows(spark, tables, name):
                     embeddings=[(None, None, None), (100, [1.0, 2.0], 0), (100, [1.0, 2.0], 0), (1, [None, 1.0], 0), (2, [1.0, 1.0], None)],
                     conversations=[(None,) * 4, (None,) * 4, (1, None, None, None), (1, 1, "user", "x"), (1, 1, "user", "x")])
     got = queries.QUERIES[name](spark, folder).count()
-    assert got == {"op6_topk": 1, "op10_chat": 3}.get(name, len(docs))
+    assert got == {"op6_topk": 1, "op10_chat": 3, "op12_collocations": 0}.get(name, len(docs))
 
 
 def test_extra_columns_with_clashing_names(spark):
@@ -39,5 +39,8 @@ def test_extra_columns_with_clashing_names(spark):
     assert lattice.score(df, F.lit(True), queries.byte_bpe_file(), F.lit(1)).count() == 12
     assert sharding.assign(df, [1.0] * 3).count() == 12
     assert pii.redact(df, None).columns == df.columns
+    assert fim.transform(df).where("form <> 'plain'").count() == 12
+    assert {r.phrase for r in collocations.mine(df).collect()} == {"and more of", "more of them", "of them to", "them to read"}
+    assert mixing.mix(df.withColumn("source", F.lit("s"))).where("target = 108").count() == 12
     vectors = df.select("*", F.array(F.lit(1.0), F.col("doc_id").cast("double")).alias("embedding"))
     assert topk.top_k(vectors, F.col("doc_id") == 0, k=3, id_col="doc_id").count() == 3
