@@ -48,6 +48,8 @@ SEGMENT_WORDS = 20_000
 SEGMENTS = 50_000
 #: Merged at a time, in bytes of entries.
 MERGE_BYTES = 4 << 20
+#: A group's phrases are ranked in so many portions, then those that are left together.
+PORTIONS = 16
 #: Segment of a prefix that has one only.
 SINGLE = -1
 
@@ -319,6 +321,9 @@ def mine(df: DataFrame, text_col: str = "text", group_col: str = "lang", least:
     early = F.col("s1") <= F.col("s2")
     triples = cut.select("grp", F.concat_ws(" ", "w1", "w2", "w3").alias("phrase"), "a", F.when(early, F.col("l1")).otherwise(F.col("l2")).alias("l"),
                          F.when(early, F.col("r1")).otherwise(F.col("r2")).alias("r"), F.least("s1", "s2").alias("score"))
-    ranked = Window.partitionBy("grp").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    best = pairs.unionByName(triples).withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
+    best = pairs.unionByName(triples)
+    # The best of each portion first, so that one group's task sees at most PORTIONS * top rows.
+    for by in (["grp", F.pmod(F.xxhash64("phrase"), F.lit(PORTIONS))], ["grp"]):
+        ranked = Window.partitionBy(*by).orderBy(F.desc("score"), F.desc("a"), "phrase")
+        best = best.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
     return best.join(sizes, "grp").select(F.col("grp").alias(group_col), F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
