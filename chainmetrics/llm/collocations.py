@@ -42,7 +42,7 @@ from chainmetrics.llm import textbuf as tb
 from chainmetrics.session import materialize
 
 #: Bytes of text that are combined before stripes are handed on.
-COMBINE_BYTES = 8 << 20
+COMBINE_BYTES = 4 << 20
 #: A prefix is segmented beyond the larger of so many words and a share of 1/SEGMENTS of all words.
 SEGMENT_WORDS = 20_000
 SEGMENTS = 50_000
