@@ -29,9 +29,14 @@ def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
                          "l_tax", "l_linestatus", "l_shipdate")
     o = orders.select("o_orderkey", "o_custkey", "o_orderdate", "o_totalprice")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+    return j.select(*line_columns())
+
+
+def line_columns() -> list:
+    """The columns of ``order_lines`` over line items joined with their orders."""
     first = F.least("o_orderdate", "l_shipdate").cast("date")
     last = F.greatest("o_orderdate", "l_shipdate").cast("date")
-    return j.select(
+    return [
         F.col("l_orderkey").alias("hash"),
         F.col("o_custkey").alias("account"),
         F.col("o_orderdate").cast("date").alias("order_day"),
@@ -43,7 +48,7 @@ def order_lines(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
         .alias("spending_value_usd"),
         (F.col("l_extendedprice") * F.col("l_tax")).alias("fee_usd"),
         F.col("o_totalprice").alias("order_total_usd"),
-    )
+    ]
 
 
 def utxo(lineitem: DataFrame, orders: DataFrame) -> DataFrame:

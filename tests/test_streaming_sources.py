@@ -258,37 +258,3 @@ def test_empty_stream_gives_an_empty_table(spark):
     stream = J.file_stream(spark, src, like=events)
     assert J.read_rollup(spark, J.run_rollup_to_table(spark, stream), events.schema).count() == 0
     assert spark.read.parquet(J.run_dedupe_to_table(spark, stream.select(F.col("user_id").alias("account")))).count() == 0
-
-
-def test_rows_wait_for_their_partner(spark):
-    """An order that lands after its line: the line is held and joined with a later batch."""
-    src = local_path(scratch_path(spark, "lines"))
-    lines = spark.createDataFrame([(k, float(k)) for k in range(4)], "k LONG, v DOUBLE")
-    known = {"orders": spark.createDataFrame([(0, D(2020, 1, 1))], "id LONG, day DATE")}
-    path, ckpt = scratch_path(spark, "enriched"), scratch_path(spark, "enriched-ckpt")
-
-    def run():
-        stream = J.file_stream(spark, src, like=lines)
-        J.enrich_stream(stream, lambda: known["orders"], "k", "id", lambda r, o: r.join(o, r.k == o.id).select("k", "v", "day"), path, ckpt).awaitTermination()
-
-    lines.where("k < 3").write.mode("append").parquet(src)
-    run()
-    known["orders"] = spark.createDataFrame([(k, D(2020, 1, 1 + k)) for k in range(4)], "id LONG, day DATE")
-    lines.where("k = 3").write.mode("append").parquet(src)
-    run()
-    assert rows(spark.read.parquet(path), "k", "v") == [(k, float(k)) for k in range(4)]
-
-
-def test_waiting_rows_are_joined_once(spark):
-    """After the waiting list has drained, later batches don't take its old rows up again."""
-    src = local_path(scratch_path(spark, "lines"))
-    lines = spark.createDataFrame([(k, float(k)) for k in range(7)], "k LONG, v DOUBLE")
-    orders = spark.createDataFrame([(k, D(2020, 1, 1 + k)) for k in range(7)], "id LONG, day DATE")
-    path, ckpt = scratch_path(spark, "enriched"), scratch_path(spark, "enriched-ckpt")
-    # Lines 1 and 2 wait for batch 1, batches 2 and 3 find nothing waiting, line 5 waits for batch 4.
-    for new, there in (((0, 1, 2), (0,)), ((3,), range(4)), ((4,), range(5)), ((5,), range(5)), ((6,), range(7))):
-        lines.where(F.col("k").isin(*new)).write.mode("append").parquet(src)
-        known = orders.where(F.col("id").isin(*there))
-        stream = J.file_stream(spark, src, like=lines)
-        J.enrich_stream(stream, lambda: known, "k", "id", lambda r, o: r.join(o, r.k == o.id).select("k", "v", "day"), path, ckpt).awaitTermination()
-    assert rows(spark.read.parquet(path), "k", "v") == [(k, float(k)) for k in range(7)]
