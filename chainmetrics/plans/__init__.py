@@ -7,9 +7,11 @@ from chainmetrics.plans import (  # noqa: F401
     label_queries,
     metric_queries,
     model_queries,
+    scan_queries,
     stream_queries,
     serving_queries,
     stats_queries,
+    tree_queries,
 )
 from chainmetrics.plans.registry import ORACLES, QUERIES
 
