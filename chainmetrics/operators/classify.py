@@ -218,14 +218,16 @@ def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
+def hash_share(hashed, share: float):
+    """Rows whose 64-bit hash lies in the lowest ``share`` of its range (any share, however small)."""
+    return hashed < F.lit(min(2**63 - 1, int(-(2**63) + 2**64 * share)))
+
+
 def bounded_training_rows(train: DataFrame, key: str, rows: int = TRAIN_ROWS) -> DataFrame:
     """At most about ``rows`` of the labelled rows, whole keys by their hash: the documented
     bound of what models learn from. All rows are scored."""
     n = train.count()
-    if n <= rows:
-        return train
-    share = F.pmod(F.xxhash64(F.col(key), F.lit(31)), F.lit(1_000_000))
-    return train.where(share < int(1_000_000 * rows / n))
+    return train if n <= rows else train.where(hash_share(F.xxhash64(F.col(key), F.lit(31)), rows / n))
 
 
 def store_models(path: str, train: DataFrame, tree: PipelineModel, boosted: PipelineModel) -> None:
