@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chainmetrics.operators import classify as C
 from chainmetrics.operators import features as FE
+from chainmetrics.operators import kdtree as KD
 from chainmetrics.operators import serving as S
 from chainmetrics.plans.label_queries import FEATURES as INPUT_FEATURES
 from chainmetrics.plans.label_queries import labelled_inputs
@@ -75,6 +77,27 @@ def q_knn(t):
     return embeddings_knn(t)
 
 
+@register("knn_kdtree", with_views("SELECT vec_id, label, is_train, prediction FROM knn_out", "knn_out"))
+def q_knn_kdtree(t):
+    """The same classes from a kd-tree of cells, for training sets beyond broadcasting."""
+    emb = FE.modulus_split(t.embeddings, "vec_id")
+    out = KD.knn_classify(emb.where("is_train"), emb, "embedding", "label", "vec_id", cells=16)
+    return out.select("vec_id", "label", "is_train", "prediction")
+
+
+@register("knn_kdtree_work", with_views("""
+    SELECT label, count(*) AS n, true AS exact FROM labelled_inputs GROUP BY label""", "labelled_inputs"))
+def q_knn_kdtree_work(t):
+    """Nearest labelled training input of every labelled input over its coin value and lifespan: the
+    cells leave under a fifth of all pairs to compare, and training rows find themselves or an equal."""
+    df = split_inputs(t).select("hash", "label", "is_train", "value_btc", "lifespan")
+    train = df.where("is_train")
+    out = KD.nearest(train, df, ("value_btc", "lifespan"), "label", "hash", k=1)
+    work = F.try_divide(F.sum("n_distances").over(Window.partitionBy()), F.lit(df.count() * train.count()))
+    return (out.withColumn("few", work < 0.2).groupBy("label")
+            .agg(F.count(F.lit(1)).alias("n"), F.bool_and(F.col("few") & (~F.col("is_train") | (F.col("_nn")[0]["dist"] == 0))).alias("exact")))
+
+
 @register("classification_report", with_views(
     "SELECT model, " + ", ".join(f"{sql_rnd(c, RATIO)} AS {c}" for c in REPORT_COLUMNS) + " FROM knn_report",
     "knn_report"))
