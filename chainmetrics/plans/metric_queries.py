@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chainmetrics.operators import metrics as M
+from chainmetrics.operators import open_outputs as OO
 from chainmetrics.operators import utxo as U
 from chainmetrics.plans.registry import register, with_views
 from chainmetrics.plans.rounding import RATIO, THOUSANDS, USD, WHOLE, round_all, sql_rnd, sql_select
 from chainmetrics.session import materialize, scratch_path
 from chainmetrics.sources import adapters as A
 from chainmetrics.sources import dumps as D
+from chainmetrics.sources.snapshots import Change, Snapshots
 
 # Day number origin for the test tables (their first order day).
 TEST_GENESIS = "1995-01-01"
@@ -205,3 +210,41 @@ def q_publish(t):
     path, (_, computed) = scratch_path(t.spark, "published"), computed_incrementally(t)
     D.publish_range(computed, path, PUBLISHED[0], "1997-01-10")
     return round_all(D.publish_range(computed, path, "1996-12-20", PUBLISHED[1]).select("Date", *M.COMPUTED_COLUMNS), SPEC)
+
+
+# -- state carried between ranges, tables published together ---------------------------
+
+#: Ranges of the carried realised cap, one after another.
+RANGES = ((dt.date(1980, 1, 1), dt.date(1996, 6, 30)), (dt.date(1996, 7, 1), dt.date(1996, 7, 1)), (dt.date(1996, 6, 1), dt.date(2040, 1, 1)))
+
+
+@register("realised_cap_carried", REALISED_CAP_SQL)
+def q_realised_cap_carried(t):
+    """Realised cap by three ranges (one of a single day, one that overlaps), each on the open
+    outputs that the one before left; equal to the interval join (C6)."""
+    lines = t.lineitem.join(t.orders.select("o_orderkey", "o_orderdate"), F.col("l_orderkey") == F.col("o_orderkey"))
+    same = Window.partitionBy("l_orderkey").orderBy(*t.lineitem.columns)
+    key = F.concat_ws("-", "l_orderkey", F.row_number().over(same))
+    first, last = (f("o_orderdate", "l_shipdate").cast("date") for f in (F.least, F.greatest))
+    facts = materialize(lines.select(key.alias("key"), first.alias("created"), F.when(F.col("l_linestatus") == "F", last).alias("spent"),
+                                     F.col("l_extendedprice").alias("value_usd"), F.col("l_quantity").alias("value_btc")))
+    store = Snapshots(t.spark, scratch_path(t.spark, "open-outputs"))
+    for start, end in RANGES:
+        OO.advance(store, facts, facts.where("spent is not null"), start, end)
+    return round_all(OO.realised_cap(store), SPEC)
+
+
+@register("publish_snapshot", with_views(
+    f"SELECT {sql_select(SPEC, ('Date', 'price', *M.COMPUTED_COLUMNS))} FROM basic JOIN computed USING (Date)", "basic", "computed"))
+def q_publish_snapshot(t):
+    """Basic and computed metrics published together, in two loads of which the second replaces the
+    overlapping years of both tables; read from one snapshot (A4, A8)."""
+    basic, computed = (materialize(df) for df in M.chain_metrics(t.lineitem, t.orders, TEST_GENESIS))
+    store = Snapshots(t.spark, scratch_path(t.spark, "published"))
+    year = F.date_format("Date", "yyyy")
+    for where in ("Date < DATE '1998-01-01'", "Date >= DATE '1997-01-01'"):
+        store.commit({"basic": Change(basic.where(where), year), "computed": Change(computed.where(where), year)})
+    store.vacuum()
+    version = store.version()
+    both = store.read("basic", version=version).select("Date", "price").join(store.read("computed", version=version), "Date")
+    return round_all(both.select("Date", "price", *M.COMPUTED_COLUMNS), SPEC)
