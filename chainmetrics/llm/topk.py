@@ -147,7 +147,9 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 10, id_col: str = "vec_
     schema = T.StructType([T.StructField("query_id", T.LongType()), T.StructField("vec_id", T.LongType()), T.StructField("score", T.LongType())])
     arrow = to_arrow_schema(schema)
     base = (vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).alias("v"), is_query.alias("q"))
-            .where("id is not null and v is not null"))
+            .where("id is not null and v is not null")
+            # Vectors with a null or non-finite component are no rows of the search, before any choice among equal ids.
+            .where(F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))))
     queries = base.where("q").groupBy("id").agg(F.min("v").alias("v"))
     blocks = max(1, math.ceil(queries.count() / query_block))
     out = None

@@ -46,3 +46,11 @@ def test_blocks_large_values_and_edges(spark):
     assert topk.top_k(df.limit(0), F.col("vec_id") % 100 == 0).count() == 0
     alone = topk.top_k(df.where("vec_id = 0"), F.col("vec_id") % 100 == 0)
     assert alone.count() == 0
+
+
+def test_invalid_rows_of_a_query_id_take_no_part(spark):
+    rows = [(0, [1.0, 2.0]), (0, [None, 1.0]), (0, [float("inf"), 0.0]), (0, [float("-inf"), 0.0]), (0, None), (1, [1.0, 1.0]), (2, [0.5, float("nan")]), (3, [2.0, 2.0])]
+    for parts, data in ((1, rows), (3, rows[::-1])):
+        df = spark.createDataFrame(data, "vec_id long, embedding array<double>").repartition(parts)
+        got = sorted((r.rank, r.vec_id) for r in topk.top_k(df, F.col("vec_id") == 0).collect())
+        assert got == [(1, 3), (2, 1)]
