@@ -6,10 +6,10 @@ the set, on an exponential scale of base ``BASE``, truncated to one byte. Regist
 a union are the maxima of the registers (``merge``), and the share of equal registers
 falls with the distance of the sets.
 
-1. One pass makes the sketches; texts with equal sets are grouped first, and each group
-   goes on as its smallest id.
+1. One pass makes the sketches; texts with equal sets are grouped first, and each set
+   goes on as one node, numbered on its own.
 2. Bands of ``ROWS`` registers are bucket keys. Members of a bucket are linked to its
-   smallest id only: a bucket of n members makes n - 1 candidates.
+   smallest node only: a bucket of n members makes n - 1 candidates.
 3. The joint likelihood of both sketches and the known set sizes estimates the similarity
    of a candidate; clear misses (``EST_MARGIN`` below the threshold, four standard
    errors) go.
@@ -27,9 +27,9 @@ With 36 bands of 7 registers a pair at similarity 0.85 shares no bucket with a
 probability under 1e-6; the registers' scale only adds collisions to that.
 
 Defined results: null, empty and wordless texts have no shingles, are linked with
-nothing and kept; a text of one to four words is one shingle; rows that share an id are
-one node, of which the text with the first set found counts; a null id is linked with
-nothing and kept; equal texts are linked; an empty table gives an empty table; other
+nothing and kept; a text of one to four words is one shingle; very long texts are taken
+whole, a slice of their own in one task; rows that share an id are one document, linked by
+each of their texts, in whatever order they come; a null id is linked with nothing and kept; equal texts are linked; an empty table gives an empty table; other
 columns are ignored.
 """
 
@@ -115,7 +115,7 @@ def text_shingles(buf: np.ndarray, offs: np.ndarray) -> list[np.ndarray]:
 
 
 def sketches(docs: DataFrame) -> DataFrame:
-    """id, n (set size), digest (of the set), sketch; null digest and sketch for empty sets. ``docs``: id, text."""
+    """id, th, n (set size), digest (of the set), sketch; null digest and sketch for empty sets. ``docs``: id, text, th."""
     def run(batch):
         n, digest, out = [], [], []
         buf, offs = tb.string_buffers(batch.column(1))
@@ -124,9 +124,9 @@ def sketches(docs: DataFrame) -> DataFrame:
                 n.append(len(s))
                 digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 out.append(sketch(s).tobytes() if len(s) else None)
-        return {"id": batch.column(0), "n": pa.array(n, pa.int64()), "digest": pa.array(digest, pa.binary()), "sketch": pa.array(out, pa.binary())}
+        return {"id": batch.column(0), "th": batch.column(2), "n": pa.array(n, pa.int64()), "digest": pa.array(digest, pa.binary()), "sketch": pa.array(out, pa.binary())}
 
-    return tb.map_arrow(docs, run, [T.StructField("id", T.LongType()), T.StructField("n", T.LongType()),
+    return tb.map_arrow(docs, run, [T.StructField("id", T.LongType()), T.StructField("th", T.LongType()), T.StructField("n", T.LongType()),
                                     T.StructField("digest", T.BinaryType()), T.StructField("sketch", T.BinaryType())])
 
 
@@ -295,28 +295,34 @@ def _contested(reps: DataFrame, keyed: DataFrame, labels: DataFrame, texts: Data
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.85) -> DataFrame:
     """id, n_shingles, component_id and kept (the row's id is its component's) for every row."""
     spark = df.sparkSession
-    docs = df.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    # The hash tells rows of one id apart.
+    docs = df.select(F.col(id_col).cast("long").alias("id"), text.alias("text"), F.xxhash64(text).alias("th"))
     base = _stored(sketches(docs), "neardup-sketches")
     sets = base.where("id is not null and digest is not null")
-    # Equal sets first: one representative each, whatever the number of copies.
-    reps = _stored(sets.groupBy("digest").agg(F.min("id").alias("id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "neardup-reps")
-    nodes = reps.dropDuplicates(["id"])
-    copies = sets.join(reps.select("digest", F.col("id").alias("rep")), "digest").select("id", "rep")
+    # Equal sets first: one node each, whatever the number of copies, with the least row that has the set.
+    reps = _stored(sets.groupBy("digest").agg(F.min(F.struct("id", "th")).alias("r"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+                   .select(F.monotonically_increasing_id().alias("id"), "digest", F.col("r.id").alias("doc"), F.col("r.th").alias("th"), "n", "sketch"),
+                   "neardup-reps")
+    nodes = reps.select("id", "n", "sketch")
+    members = _stored(sets.join(reps.select("digest", F.col("id").alias("node")), "digest").select("id", "node"), "neardup-members")
     keyed = buckets(nodes)
     shared = keyed.groupBy("key").agg(F.min("id").alias("b"), F.count(F.lit(1)).alias("size")).where("size > 1")
     star = keyed.join(shared, "key").where("id <> b").select(F.col("id").alias("a"), "b").distinct()
     pairs = _stored(similar(star, nodes, threshold), "neardup-candidates")
-    # Only texts that any candidate or contested bucket can need.
+    # Only texts that any candidate or contested bucket can need; equal rows have equal texts.
     some = keyed.join(shared.select("key"), "key").select("id").distinct()
-    texts = _stored(docs.join(some, "id", "left_semi").dropDuplicates(["id"]), "neardup-texts")
-    labels = _stored(copies.where("id <> rep").groupBy("id").agg(F.min("rep").alias("comp")), "neardup-copies")
-    # Copies aren't nodes of their own: labels of the search are over representatives.
+    wanted = reps.join(some, "id", "left_semi").select(F.col("id").alias("node"), F.col("doc").alias("id"), "th")
+    texts = _stored(docs.join(wanted, ["id", "th"]).dropDuplicates(["node"]).select(F.col("node").alias("id"), "text"), "neardup-texts")
     found = _settle(pairs, spark.createDataFrame([], "id long, comp long"), texts, threshold)
     links = _stored(_contested(nodes, keyed, found, texts, threshold), "neardup-links")
-    found = _relabel(found, links)
-    final = (labels.select("id", F.col("comp").alias("rep")).unionByName(nodes.select("id", F.col("id").alias("rep")))
-             .join(found.select(F.col("id").alias("rep"), "comp"), "rep", "left")
-             .groupBy("id").agg(F.min(F.coalesce("comp", "rep")).alias("comp")))
+    # Rows of one id are one document, whatever their texts: that links their sets.
+    several = members.groupBy("id").agg(F.min("node").alias("b"), F.max("node").alias("hi")).where("b < hi").select("id", "b")
+    found = _relabel(found, links.unionByName(members.join(several, "id").where("node <> b").select(F.col("node").alias("a"), "b")))
+    comp = reps.select("id", "doc").join(found, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
+    least = comp.groupBy("comp").agg(F.min("doc").alias("component_id"))
+    final = (members.join(comp.join(least, "comp").select(F.col("id").alias("node"), "component_id"), "node")
+             .groupBy("id").agg(F.min("component_id").alias("component_id")))
     return (base.select("id", "n").join(final, "id", "left")
-            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("comp", "id").alias("component_id"))
+            .select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
             .withColumn("kept", F.coalesce(F.col(id_col) == F.col("component_id"), F.lit(True))))

@@ -105,3 +105,12 @@ def test_edges(spark):
     got = [(r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(df).collect()]
     assert sorted(got, key=str) == sorted([(7, 7, True), (7, 7, True), (None, None, True), (9, 7, False)], key=str)
     assert neardup.near_duplicates(df.limit(0)).count() == 0
+
+
+def test_rows_of_one_id_link_by_each_of_their_texts(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (1, b), (2, a + " end"), (3, b + " end"), (4, b + " end"), (5, "on its own here with words"), (1, None)]
+    for parts, data in ((1, rows), (1, rows[::-1]), (4, rows), (7, rows[3:] + rows[:3])):
+        df = spark.createDataFrame(data, "doc_id long, text string").repartition(parts)
+        got = sorted({(r.doc_id, r.component_id) for r in neardup.near_duplicates(df).collect()})
+        assert got == [(1, 1), (2, 1), (3, 1), (4, 1), (5, 5)]
