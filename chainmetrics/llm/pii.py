@@ -8,9 +8,10 @@
 * Boosted trees (MLlib ``GBTClassifier``) judge candidates by format and context; what the
   rules check (Luhn, octets, top-level domain, the leading plus) is not a feature. They learn
   from what the rules can't see (``examples``), on about ``SAMPLE_CANDIDATES`` candidates
-  of one half of the documents, an equal share for each kind: right are rule matches written in another way in the same place (national numbers,
-  ``name(at)host.org``, cards with other separators); wrong are candidates apart from all
-  rule matches, but for those that may well be such another spelling, which aren't used.
+  of one half of the documents, an equal share for each kind: right are rule matches written in
+  another way in the same place (national numbers, ``name(at)host.org``, cards with other
+  separators); wrong are candidates with evidence against them in themselves (``refuted``).
+  All others are unlabelled; no list of words around a candidate plays a part.
   An IPv4 address has no other spelling, so that kind adds nothing.
 * Thresholds are calibrated per kind on all documents of the half that the trees haven't
   seen, counted by kind and score on the executors: the least score from which ``PRECISION`` of the candidates are right, and
@@ -20,7 +21,8 @@
 Finding and redacting are row-local (one ``mapInArrow`` pass over whole texts); the
 trees, some hundred numbers, are broadcast.
 
-Defined results: null text is empty and has no spans; offsets are code points; repeated
+Defined results: null text is empty and has no spans; very long texts are searched whole, in
+linear time; offsets are code points; repeated
 rows are treated alike; without documents or without both kinds of candidates only the
 rules apply; columns named like the outputs are replaced, others kept.
 """
@@ -47,8 +49,8 @@ LEVELS = 1000
 PRECISION = 0.995
 #: The same for the candidates of one score alone.
 LOCAL_PRECISION = 0.95
-#: Right candidates a kind must have above its threshold before that is trusted.
-LEAST_RIGHT = 50
+#: So many candidates of consecutive levels are judged together before they can end the search.
+JUDGED_TOGETHER = 50
 TREES, DEPTH = 10, 3
 
 # Every pattern is linear: runs are taken possessively, so no start is tried twice.
@@ -67,11 +69,6 @@ _BRACKET_AT, _BRACKET_DOT = re.compile(r" ?[(\[]at[)\]] ?", re.I), re.compile(r"
 _NO_PHONE = re.compile(r"(?:19|20)[0-9]{2}([-./ ])[0-9]{1,2}\1[0-9]{1,2}(?![0-9])|[0-9]{1,2}([-./ ])[0-9]{1,2}\2(?:19|20)[0-9]{2}(?![0-9])"
                        r"|[0-9]+(?:\.[0-9]+){3}$")
 _PREFIX = re.compile(r"\+(?:1(?=[0-9]{10}$)|[0-9]{2}(?=[0-9]{7,}$)|[0-9]{1,3}(?![0-9]))[ .-]*")
-#: Context words of each kind (fixed values of the features).
-_WORDS = {"email": re.compile(r"mail|contact|courriel|correo", re.I), "ip": re.compile(r"\bip\b|host|server|address", re.I),
-          "card": re.compile(r"card|visa|credit|karte|carte|tarjeta", re.I),
-          "phone": re.compile(r"tel|phone|call|fax|mobil|whatsapp", re.I)}
-
 
 def luhn(digits: str) -> bool:
     total = 0
@@ -151,11 +148,10 @@ def features(text: str, kind: int, start: int, end: int) -> list[float]:
         span.count("(") + span.count(")"), sum(c.isalpha() for c in span), sum(c.isupper() for c in span),
         _char(before[-1:]), _char(after[:1]), sum(c.isdigit() for c in before), sum(c.isdigit() for c in after),
         sum(not c.isalnum() and not c.isspace() for c in before + after), "\n" in before + after,
-        bool(_WORDS[KINDS[kind]].search(before)),
     ]
 
 
-N_FEATURES = 21
+N_FEATURES = 20
 
 
 def respelled(kind: int, span: str, pick: int) -> str | None:
@@ -183,22 +179,27 @@ def respelled(kind: int, span: str, pick: int) -> str | None:
     return None
 
 
-def _perhaps(text: str, kind: int, start: int, end: int) -> bool:
-    """Whether a candidate apart from the rule matches may be right: the kind in another spelling."""
+def refuted(text: str, kind: int, start: int, end: int) -> bool:
+    """Whether something in the candidate itself speaks against the kind: evidence to learn from.
+
+    A part of a longer name or number, a date or dotted quad as telephone number, digits that
+    fail the card checksum, a run of digits without any grouping, an address that isn't
+    one when spelled plainly. What stands around it (a word like "tel") doesn't count."""
     span = text[start:end]
     if kind == 0:
         plain = _BRACKET_DOT.sub(".", _BRACKET_AT.sub("@", span))
-        return "@" in plain and "@" not in span and bool(rule_spans(plain, True, False))
-    # A chain inside of a longer name or number is no number of its own.
+        return "@" in span or not rule_spans(plain, True, False)
     if kind == 1 or re.match(r"[\w#$€£]", text[start - 1:start]) or re.match(r"\w", text[end:end + 1]):
-        return False
-    if not _WORDS[KINDS[kind]].search(text[max(0, start - 30):start]):
-        return False
-    return luhn(re.sub("[^0-9]", "", span)) if kind == 2 else not _NO_PHONE.match(span)
+        return True
+    if kind == 2:
+        return not luhn(re.sub("[^0-9]", "", span))
+    return span.isdigit() or bool(_NO_PHONE.match(span))
 
 
 def examples(text: str, at: bool, digit: bool) -> list[tuple[float, list[float]]]:
-    """(label, features) of the candidates to learn from and to be judged by: what could be added to the base spans."""
+    """(label, features) of the candidates to learn from and to be judged by: what could be added to the base spans.
+
+    Right are rule matches in another spelling, wrong are refuted candidates; all others stay unlabelled."""
     out, base = [], rule_spans(text, at, digit)
     for kind, start, end in base:
         new = respelled(kind, text[start:end], zlib.crc32(text[max(0, start - 30):end].encode("utf-8", "replace")))
@@ -216,7 +217,7 @@ def examples(text: str, at: bool, digit: bool) -> list[tuple[float, list[float]]
         inside[s + 1:e + 1] = 1
     inside = np.cumsum(inside)  # characters of rule matches before each place
     for k, s, e in candidates(text, at, digit):
-        if inside[s] == inside[e] and not _perhaps(text, k, s, e):
+        if inside[s] == inside[e] and refuted(text, k, s, e):
             out.append((0.0, features(text, k, s, e)))
     return out
 
@@ -325,19 +326,18 @@ def levels(scores: np.ndarray) -> np.ndarray:
 def least_level(found: list[tuple[int, float, int]]) -> int | None:
     """The level down to which candidates are added, from (level, right, all) by falling level.
 
-    Levels are taken together until ``LEAST_RIGHT`` candidates are there to judge: on a large
-    corpus every rare level is met, and one wrong candidate alone says nothing."""
+    A level is taken while all candidates down to it are right often enough, and those of its
+    stretch, too. A failing stretch ends the search once it holds ``JUDGED_TOGETHER``
+    candidates: on a large corpus every rare level is met, and one wrong candidate alone says nothing."""
     out, good, seen, right, total = None, 0, 0, 0, 0
-    for i, (level, r, n) in enumerate(found):
+    for level, r, n in found:
         good, seen, right, total = good + r, seen + n, right + r, total + n
-        if total < LEAST_RIGHT and i + 1 < len(found):
-            continue
-        # Down to the first level at which candidates are mostly wrong, or too many in all.
-        if good < PRECISION * seen or right < LOCAL_PRECISION * total:
-            break
-        if good >= LEAST_RIGHT:
+        if good >= PRECISION * seen and right >= LOCAL_PRECISION * total:
             out = level
-        right = total = 0
+            if total >= JUDGED_TOGETHER:
+                right = total = 0
+        elif total >= JUDGED_TOGETHER:
+            break
     return out
 
 

@@ -5,6 +5,7 @@ import random
 import re
 
 import numpy as np
+import pytest
 from llm_helpers import by_id, document, tables  # noqa: F401
 
 from chainmetrics.llm import pii, queries
@@ -140,5 +141,24 @@ def test_rare_kind_beside_a_frequent_one(spark, monkeypatch):
 
 def test_least_level():
     assert pii.least_level([(9, 0, 1), (8, 1000, 1000), (7, 10, 60)]) == 8  # one wrong candidate on top
-    assert pii.least_level([(9, 49, 49)]) is None and pii.least_level([(9, 40, 100), (8, 900, 900)]) is None
+    assert pii.least_level([(9, 49, 49)]) == 9 and pii.least_level([(9, 48, 49)]) is None
+    assert pii.least_level([(9, 40, 100), (8, 900, 900)]) is None
     assert pii.least_level([]) is None
+
+
+@pytest.mark.parametrize("matches", [60, 1000])
+def test_spellings_without_a_word_of_their_kind(spark, matches):
+    """National numbers after any words, whatever the size of the corpus; what is refuted stays."""
+    r = random.Random(14)
+    number = lambda n: "".join(str(r.randint(1, 9)) for _ in range(n))
+    lead = lambda: " ".join(r.choice(["reach", "me", "on", "again", "soon", "or", "then"]) for _ in range(3))
+    texts = [f"{lead()} +44 20 {number(4)} {number(4)} {lead()}" for _ in range(matches)]
+    clean = range(len(texts), len(texts) + 200)
+    for i in clean:
+        texts.append(r.choice([f"{lead()} {number(9)} {lead()}", f"{lead()} 20{r.randint(10, 24)}-0{r.randint(1, 9)}-1{r.randint(0, 9)} {lead()}",
+                               f'token = "b7eb{number(9)}ff"']))
+    planted = range(len(texts), len(texts) + 50)
+    texts += [f"{lead()} 020 {number(4)} {number(4)} {lead()}" for _ in planted]
+    found = by_id(pii.find(df := spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), pii.train(df)))
+    assert sum([texts[i][s.start:s.end].startswith("020 ") for s in found[i].pii] == [True] for i in planted) >= 45
+    assert not any(found[i].pii for i in clean)
