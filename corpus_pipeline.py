@@ -16,27 +16,25 @@ from chainmetrics.session import scratch_path, ship_package
 from chainmetrics.sources.tables import read_table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
-#: A text is rejected if no language of the training texts reaches this score.
-MIN_SCORE = 0.3
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep texts in which a language is recognised; ``lang`` is set to it.
+    """Keep texts that have a language; ``lang`` is set to it.
 
-    Null and letterless texts (``und``) go, and texts in which no language stands out. The
-    model learns from the labelled texts outside of the held-out quarter."""
+    Null and letterless texts (``und``) go, no others. The model learns from the labelled texts outside of the held-out quarter."""
     found = langid.identify(docs.select(*COLUMNS))
-    return (found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SCORE))
+    return (found.where(F.col("lang_pred") != "und")
             .select("doc_id", "text", F.col("lang_pred").alias("lang"), "source", "n_chars"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document (the smallest id) of each near-duplicate group; of rows that
-    share an id one stays."""
+    share an id the one of the least hash stays, whatever their order."""
     kept = neardup.near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_id")).distinct()
     same = docs.select(*COLUMNS).join(kept, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
     # Rows without an id are no copies of one another by that.
-    return same.where("doc_id is null").unionByName(same.where("doc_id is not null").dropDuplicates(["doc_id"]))
+    one = same.where("doc_id is not null").groupBy("doc_id").agg(F.min_by(F.struct(*COLUMNS[1:]), F.xxhash64(*COLUMNS)).alias("row"))
+    return same.where("doc_id is null").unionByName(one.select("doc_id", "row.*"))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
