@@ -99,6 +99,42 @@ def contamination_threshold(df: DataFrame, score: str, fraction: float = OUTLIER
     return df.agg(F.count(F.lit(1)).alias("n"), F.percentile(score, 1.0 - fraction).alias("threshold"))
 
 
+def day_sketches(scores: DataFrame, score: str, day: str = "Date") -> DataFrame:
+    """One row per day: rows, and a mergeable quantile sketch of the scores (D8). To be stored
+    beside the scores; a new day adds its row."""
+    return scores.where(F.col(score).isNotNull()).groupBy(day).agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double(F.col(score).cast("double")).alias("sketch"))
+
+
+def range_cut(scores: DataFrame, sketches: DataFrame, score: str, start, end, fraction: float = OUTLIER_FRACTION,
+              day: str = "Date") -> tuple[int, float | None]:
+    """(n, threshold): the n = int(fraction N) largest scores of a day range, exactly.
+
+    The range's sketches are merged and bracket the n-th largest; of the scores themselves only
+    those from the bracket's lower end on are read (a filter that reaches the files), those
+    above it are counted and those inside ranked by value."""
+    within = F.col(day).between(F.lit(start).cast("date"), F.lit(end).cast("date"))
+    total, merged = sketches.where(within).agg(F.sum("n"), F.kll_merge_agg_double("sketch")).first()
+    n = int(np.floor(fraction * (total or 0)))
+    if n == 0:
+        return n, None
+    place = 1.0 - n / total
+    margin = 0.02
+    while True:
+        ends = [max(0.0, place - margin), min(1.0, place + margin)]
+        lo, hi = (sketches.sparkSession.createDataFrame([(bytearray(merged),)], "s binary")
+                  .select(*[F.kll_sketch_get_quantile_double("s", F.lit(p)).alias(f"q{i}") for i, p in enumerate(ends)]).first())
+        # The whole sketch range is no bracket of the extremes: open ends are taken from the scores.
+        tail = scores.where(within & ((F.col(score) >= lo) if ends[0] > 0 else F.col(score).isNotNull())).select(F.col(score).cast("double").alias("_s"))
+        inside = (F.col("_s") <= hi) if ends[1] < 1 else F.lit(True)
+        above, among = tail.agg(F.count_if(~inside), F.count_if(inside)).first()
+        if above < n <= above + among:
+            few = tail.where(inside).groupBy("_s").agg(F.count(F.lit(1)).alias("c"))
+            upto = F.sum("c").over(Window.orderBy(F.desc("_s"))) + above
+            return n, few.withColumn("_upto", upto).where(F.col("_upto") >= n).agg(F.max("_s")).first()[0]
+        margin *= 4
+
+
 def flag_outliers(df: DataFrame, score: str, fraction: float = OUTLIER_FRACTION,
                   method: str = "nlargest", flag: str = "anomaly", strict: bool = False,
                   day_grain: bool = False) -> DataFrame:
@@ -172,7 +208,7 @@ def kmeans_elbow(df: DataFrame, cols, ks=range(1, 20), seed: int = KMEANS_SEED,
 
     The fits are independent Spark jobs; up to ``parallel`` of them are
     submitted at once from driver threads so the cluster is not idle between
-    the short iterations of one fit. Cache ``df`` before calling.
+    the short iterations of one fit. ``df`` is read by every fit: hand over a stored frame.
     """
     from concurrent.futures import ThreadPoolExecutor
 
@@ -192,22 +228,48 @@ def kmeans_elbow(df: DataFrame, cols, ks=range(1, 20), seed: int = KMEANS_SEED,
     return df.sparkSession.createDataFrame(rows, "k INT, score DOUBLE")
 
 
-def knee(points) -> int | None:
-    """Knee of a concave increasing curve (Satopaa et al. 2011).
+#: Places to which the difference curve is rounded, so that equal heights are equal.
+KNEE_PLACES = 9
 
-    Normalise x and y to [0, 1]; the knee is the x where y_n - x_n peaks.
-    ``points`` is a short list of (x, y) pairs (one per k).
-    """
+
+def knees(curve: DataFrame, x: str = "x", y: str = "y", sensitivity: float = 1.0, by=()) -> DataFrame:
+    """(by, x, height) of all knees of concave increasing curves (Satopaa et al. 2011), one curve per ``by`` (H5).
+
+    Both axes are scaled to 0 .. 1; the difference curve is y - x. A local maximum of it is a knee if
+    the curve falls, before the next maximum, more than ``sensitivity`` mean steps of x
+    below it. ``x`` is unique; curves of fewer than three points or without range have none.
+    A curve is one window: day-grain tables and score lists."""
+    whole, order = Window.partitionBy(*by), Window.partitionBy(*by).orderBy(x)
+
+    def scaled(c):
+        c = F.col(c).cast("double")
+        return (c - F.min(c).over(whole)) / F.nullif(F.max(c).over(whole) - F.min(c).over(whole), F.lit(0.0))
+
+    d = curve.select(*by, F.col(x).alias("x"), F.round(scaled(y) - scaled(x), KNEE_PLACES).alias("height"),
+                     F.try_divide(F.lit(float(sensitivity)), F.count(F.lit(1)).over(whole) - 1).alias("drop"))
+    at = Window.partitionBy(*by).orderBy("x")
+    top = F.coalesce((F.col("height") > F.lag("height").over(at)) & (F.col("height") >= F.lead("height").over(at)), F.lit(False))
+    d = d.withColumn("top", top).withColumn("part", F.sum(F.col("top").cast("int")).over(at))
+    # A part begins with its maximum.
+    part = d.where("part > 0").groupBy(*by, "part").agg(F.min("x").alias("x"), F.max_by("height", F.col("top").cast("int")).alias("height"),
+                                                        F.min("height").alias("least"), F.min("drop").alias("drop"))
+    return part.where(F.col("least") < F.col("height") - F.col("drop")).select(*by, "x", "height")
+
+
+def knee(points, sensitivity: float = 1.0) -> int | None:
+    """The first knee of a short list of (x, y) pairs, by the same rule as ``knees``."""
     pts = sorted(points)
     if len(pts) < 3:
         return None
-    x = np.array([p[0] for p in pts], dtype=float)
-    y = np.array([p[1] for p in pts], dtype=float)
+    x, y = (np.array(v, dtype=float) for v in zip(*pts))
     if x.max() == x.min() or y.max() == y.min():
         return None
-    xn = (x - x.min()) / (x.max() - x.min())
-    yn = (y - y.min()) / (y.max() - y.min())
-    return int(x[int(np.argmax(yn - xn))])
+    d = np.round((y - y.min()) / (y.max() - y.min()) - (x - x.min()) / (x.max() - x.min()), KNEE_PLACES)
+    tops = [i for i in range(1, len(d) - 1) if d[i] > d[i - 1] and d[i] >= d[i + 1]]
+    for i, following in zip(tops, [*tops[1:], len(d)]):
+        if d[i:following].min() < d[i] - sensitivity / (len(d) - 1):
+            return int(x[i])
+    return None
 
 
 def kmeans_outliers(df: DataFrame, cols, k: int = 4, fraction: float = OUTLIER_FRACTION,

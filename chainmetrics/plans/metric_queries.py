@@ -190,11 +190,11 @@ def computed_incrementally(t):
     for part, (start, end) in enumerate(((None, "1996-06-30"), (NEW_FROM, None))):
         stored = t.spark.read.parquet(f"{root}/state") if part else None
         D.publish_range(M.running_state(basic, stored, start, end), f"{root}/state")
-        days = t.spark.read.parquet(f"{root}/state").drop("month")
+        days = t.spark.read.parquet(f"{root}/state").drop("year")
         if start:
             days = days.where(F.col("Date") >= start)
         D.publish_range(M.computed_from_tables(basic, cap, sopr, days, TEST_GENESIS), f"{root}/computed")
-    return basic, t.spark.read.parquet(f"{root}/computed").drop("month")
+    return basic, t.spark.read.parquet(f"{root}/computed").drop("year")
 
 
 @register("computed_from_stored", _sql(("Date",) + M.COMPUTED_COLUMNS, "computed"))
@@ -248,3 +248,10 @@ def q_publish_snapshot(t):
     version = store.version()
     both = store.read("basic", version=version).select("Date", "price").join(store.read("computed", version=version), "Date")
     return round_all(both.select("Date", "price", *M.COMPUTED_COLUMNS), SPEC)
+
+
+@register("display_names", with_views(
+    "SELECT " + ", ".join(f"{sql_rnd(c, SPEC[c]) if c in SPEC else c} AS \"{M.DISPLAY_NAMES[c]}\"" for c in ("Date", *M.BASIC_COLUMNS)) + " FROM basic", "basic"))
+def q_display_names(t):
+    """The basic table under the names that are shown."""
+    return M.with_display_names(q_basic_metrics_fused(t))

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from chainmetrics.functions import common as C
 from chainmetrics.operators import metrics as M
 from chainmetrics.operators import serving as S
 from chainmetrics.plans.label_queries import labelled_inputs
@@ -133,3 +136,20 @@ def q_accounts_page(t):
     """Third page (25 rows) of labelled inputs flagged illicit, display columns only."""
     flagged = S.flagged_rows(labelled_inputs(t), ("label",))
     return S.illicit_accounts_page(flagged, "label", PAGE_COLUMNS, page_size=25, page=2)
+
+
+@register("parsed_days", """
+    SELECT event_id, CAST(ts AS DATE) AS day, strftime(ts, '%Y%m%d') AS day_key, string_split(strftime(ts, 'dump_%Y_%m'), '_')[2] AS name_part,
+           CASE WHEN value > 50 THEN 1 ELSE 0 END AS is_large FROM events""")
+def q_parsed_days(t):
+    """Days written day-first or in ISO order are parsed alike; day keys, name parts and flags."""
+    text = F.when(F.col("event_id") % 2 == 0, F.date_format("ts", "dd/MM/yyyy")).otherwise(F.date_format("ts", "yyyy-MM-dd"))
+    rows = t.events.select("event_id", "ts", C.parse_day(text).alias("day"), (F.col("value") > 50).alias("large"))
+    return rows.select("event_id", "day", C.day_key("day").alias("day_key"), C.name_part(F.date_format("ts", "'dump'_yyyy_MM")).alias("name_part"),
+                       C.flag_to_int(F.coalesce("large", F.lit(False))).alias("is_large"))
+
+
+@register("name_list", "SELECT p_name FROM part ORDER BY p_name")
+def q_name_list(t):
+    """An empty search lists all names, sorted (F2)."""
+    return S.metric_search(t.part, "", "p_name")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from chainmetrics.operators import features as FE
 from chainmetrics.operators import outliers as O
@@ -10,7 +11,8 @@ from chainmetrics.operators import serving as S
 from chainmetrics.plans.registry import VIEWS, register, with_views
 from chainmetrics.plans.rounding import RATIO, round_all, sql_rnd
 from chainmetrics.plans.serving_queries import tables
-from chainmetrics.session import materialize
+from chainmetrics.session import materialize, scratch_path
+from chainmetrics.sources import adapters as A
 
 # The five daily features of the outlier detectors and the two of k-means.
 FEATURES = ("tv_usd", "tx_count", "cdd", "circulating_supply", "price")
@@ -187,20 +189,40 @@ def q_kmeans_totals(t):
                                 F.count_if(F.col("own") <= F.col("least") + 0.01).alias("n_nearest"))
 
 
-FLAG_SQL = "SELECT count(*) AS n, CAST({cut} AS BIGINT) AS n_flagged FROM features"
+FLAG_SQL = "SELECT count(*) AS n, CAST({cut} AS BIGINT) AS n_flagged{more} FROM features"
 
 
-def _flag_totals(out):
-    return out.agg(F.count(F.lit(1)).alias("n"), F.sum("anomaly").cast("long").alias("n_flagged"))
+def _flag_totals(out, *more):
+    return out.agg(F.count(F.lit(1)).alias("n"), F.sum("anomaly").cast("long").alias("n_flagged"), *more)
 
 
-@register("kmeans_outliers_totals", with_views(FLAG_SQL.format(cut="floor(0.05 * count(*))"), "features"))
+def _as_flagged(points):
+    """Given the clusters, distances and flags follow: each day's distance from the mean of its
+    cluster, and the flag of the int(5 %) farthest (but for days at the very cut)."""
+    means = points.groupBy("cluster").agg(F.avg("pc1").alias("m1"), F.avg("pc2").alias("m2"))
+    far = points.join(means, "cluster").withColumn("distance", F.sqrt(F.pow(F.col("pc1") - F.col("m1"), 2) + F.pow(F.col("pc2") - F.col("m2"), 2)))
+    whole = Window.partitionBy()
+    cut = F.floor(0.05 * F.count(F.lit(1)).over(whole))
+    far = far.withColumn("_least", F.when(F.row_number().over(Window.orderBy(F.desc("distance"))) <= cut, F.col("distance")))
+    apart = F.col("distance") - F.min("_least").over(whole)
+    return far.withColumn("agrees", (F.abs(apart) < 0.002) | ((apart > 0) == (F.col("anomaly") == 1)))
+
+
+@register("kmeans_outliers_totals", with_views(FLAG_SQL.format(cut="floor(0.05 * count(*))", more=", count(*) AS n_agree"), "features"))
 def q_kmeans_outliers_totals(t):
-    """int(5 %) of the days are flagged."""
-    return _flag_totals(q_kmeans_outliers(t))
+    """int(5 %) of the days are flagged, and they are the farthest from their clusters' means."""
+    return _flag_totals(_as_flagged(materialize(q_kmeans_outliers(t))), F.count_if("agrees").alias("n_agree"))
+
 
+@register("cluster_points_totals", with_views(FLAG_SQL.format(cut="floor(0.05 * count(*))", more=", count(*) AS n_agree"), "features"))
+def q_cluster_points_totals(t):
+    """The points as text say the same: clusters and flags read back agree with the distances."""
+    points = materialize(q_cluster_points(t)).select(F.col("principal_component_1").alias("pc1"), F.col("principal_component_2").alias("pc2"),
+                                                     F.col("cluster").cast("int").alias("cluster"), F.col("anomaly").cast("int").alias("anomaly"))
+    return _flag_totals(_as_flagged(points), F.count_if("agrees").alias("n_agree"))
 
-@register("autoencoder_totals", with_views(FLAG_SQL.format(cut="count(*) - 1 - floor(0.95 * (count(*) - 1))"), "features"))
+
+@register("autoencoder_totals", with_views(FLAG_SQL.format(cut="count(*) - 1 - floor(0.95 * (count(*) - 1))", more=""), "features"))
 def q_autoencoder_totals(t):
     """The days above the 95th percentile of the reconstruction error are flagged."""
     return _flag_totals(q_autoencoder(t))
@@ -237,3 +259,50 @@ def q_autoencoder(t):
     from chainmetrics.operators.autoencoder import autoencoder_outliers
     out = autoencoder_outliers(daily_features(t), FEATURES, day_grain=True)
     return out.select("Date", *FEATURES, "score", "anomaly")
+
+
+# -- knees and stored sketches -------------------------------------------------------
+
+CURVES_SQL = """
+    curves AS (SELECT 'supply' AS curve, date_diff('day', DATE '1990-01-01', Date) AS x, round(circulating_supply, 3) AS y FROM basic
+               UNION ALL SELECT 'volume', row_number() OVER (ORDER BY tv_usd DESC, Date), round(sum(tv_usd) OVER (ORDER BY tv_usd DESC, Date), 0) FROM basic),
+    diff AS (SELECT curve, x, round((y - min(y) OVER c) / (max(y) OVER c - min(y) OVER c) - (x - min(x) OVER c) / (max(x) OVER c - min(x) OVER c), 9) AS d,
+                    1.0 / (count(*) OVER c - 1) AS fall FROM curves WINDOW c AS (PARTITION BY curve)),
+    tops AS (SELECT *, coalesce(d > lag(d) OVER o AND d >= lead(d) OVER o, false) AS top FROM diff WINDOW o AS (PARTITION BY curve ORDER BY x)),
+    parts AS (SELECT *, sum(CASE WHEN top THEN 1 ELSE 0 END) OVER (PARTITION BY curve ORDER BY x) AS part FROM tops)"""
+
+
+@register("curve_knees", with_views("@", "basic").replace("\n@", "," + CURVES_SQL + """
+    SELECT curve, CAST(min(x) AS BIGINT) AS x, round(max(CASE WHEN top THEN d END), 6) AS height FROM parts WHERE part > 0
+    GROUP BY curve, part HAVING min(d) < max(CASE WHEN top THEN d END) - min(fall)"""))
+def q_curve_knees(t):
+    """All knees of two daily curves: circulating supply over time (many maxima), and the share of
+    the volume that the largest days hold (H5)."""
+    basic, _ = tables(t)
+    basic = materialize(basic.select("Date", "circulating_supply", "tv_usd"))
+    large = Window.orderBy(F.desc("tv_usd"), "Date")
+    curves = (basic.select(F.lit("supply").alias("curve"), F.datediff("Date", F.lit("1990-01-01").cast("date")).cast("long").alias("x"),
+                           F.round("circulating_supply", 3).alias("y"))
+              .unionByName(basic.select(F.lit("volume").alias("curve"), F.row_number().over(large).cast("long").alias("x"), F.round(F.sum("tv_usd").over(large), 0).alias("y"))))
+    return O.knees(curves, by=("curve",)).withColumn("height", F.round("height", 6))
+
+
+#: Day ranges of the stored cuts.
+CUT_RANGES = (("1992-01-01", "1999-12-31"), ("1995-03-01", "1996-02-29"), ("1997-07-01", "1997-07-31"))
+
+
+@register("stored_cuts", with_views(" UNION ALL ".join(f"""
+    SELECT DATE '{a}' AS start_day, DATE '{b}' AS end_day, CAST(max(floor(0.05 * n)) AS BIGINT) AS n,
+           {sql_rnd('min(CASE WHEN rn <= floor(0.05 * n) THEN output_total_usd END)', RATIO)} AS threshold
+    FROM (SELECT output_total_usd, row_number() OVER (ORDER BY output_total_usd DESC) AS rn, count(*) OVER () AS n
+          FROM transactions WHERE Date BETWEEN DATE '{a}' AND DATE '{b}')""" for a, b in CUT_RANGES), "transactions"))
+def q_stored_cuts(t):
+    """The 5 % cut of transaction volumes in three day ranges, from quantile sketches stored by day."""
+    path = scratch_path(t.spark, "scores")
+    A.transactions(t.lineitem, t.orders).select("Date", "output_total_usd").write.parquet(f"{path}/scores")
+    scores = t.spark.read.parquet(f"{path}/scores")
+    O.day_sketches(scores, "output_total_usd").write.parquet(f"{path}/sketches")
+    sketches = t.spark.read.parquet(f"{path}/sketches")
+    rows = [(a, b, *O.range_cut(scores, sketches, "output_total_usd", a, b)) for a, b in CUT_RANGES]
+    out = t.spark.createDataFrame(rows, "a string, b string, n long, threshold double")
+    return round_all(out.select(F.col("a").cast("date").alias("start_day"), F.col("b").cast("date").alias("end_day"), "n", "threshold"), {"threshold": RATIO})

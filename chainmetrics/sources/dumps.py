@@ -113,21 +113,22 @@ def publish_range(table: DataFrame, path: str, start=None, end=None, day_col: st
         df = df.where(F.col(day_col) >= F.lit(start).cast("date"))
     if end is not None:
         df = df.where(F.col(day_col) <= F.lit(end).cast("date"))
-    month = F.date_format(day_col, "yyyyMM")
-    w = df.withColumn("month", month).hint("rebalance", F.col("month"))
+    # Folders of a year: a daily table has a few hundred rows in each.
+    year = F.date_format(day_col, "yyyy")
+    w = df.withColumn("year", year).hint("rebalance", F.col("year"))
     spark = table.sparkSession
     if path_exists(spark, path):
-        # A month may be published in parts: its other days are kept.
-        days, months = df.select(day_col), w.select("month").distinct()
-        old = spark.read.parquet(path).withColumn("month", month).join(months, "month", "left_semi").join(days, day_col, "left_anti")
+        # A year may be published in parts: its other days are kept.
+        days, years = df.select(day_col), w.select("year").distinct()
+        old = spark.read.parquet(path).withColumn("year", year).join(years, "year", "left_semi").join(days, day_col, "left_anti")
         staged = scratch_path(spark, "publish")
         w.unionByName(old.select(*w.columns)).write.parquet(staged)
-        w = spark.read.parquet(staged).hint("rebalance", F.col("month"))
-        writer = w.sortWithinPartitions("month", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        w = spark.read.parquet(staged).hint("rebalance", F.col("year"))
+        writer = w.sortWithinPartitions("year", day_col).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     else:
-        writer = w.sortWithinPartitions("month", day_col).write.mode("overwrite")
-    writer.partitionBy("month").parquet(path)
-    return spark.read.parquet(path).drop("month")
+        writer = w.sortWithinPartitions("year", day_col).write.mode("overwrite")
+    writer.partitionBy("year").parquet(path)
+    return spark.read.parquet(path).drop("year")
 
 
 def replace_table(df: DataFrame, path: str, fmt: str = "parquet") -> None:

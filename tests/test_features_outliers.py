@@ -1,6 +1,7 @@
 import datetime as dt
 
 import numpy as np
+from pyspark.sql import functions as F
 import pytest
 from conftest import rows
 
@@ -170,3 +171,34 @@ def test_autoencoder_stops_and_lowers_the_loss(spark):
 
     start = loss(AE.init_params((5, *AE.HIDDEN, 5), 42))
     assert loss(AE.fit_autoencoder(df, list("abcde"), epochs=40)) < 0.7 * min(start, 1.0)
+
+
+def plain_knees(points, sensitivity=1.0):
+    pts = sorted(points)
+    xs, ys = [p[0] for p in pts], [p[1] for p in pts]
+    d = [round((y - min(ys)) / (max(ys) - min(ys)) - (x - min(xs)) / (max(xs) - min(xs)), 9) for x, y in pts]
+    tops = [i for i in range(1, len(d) - 1) if d[i] > d[i - 1] and d[i] >= d[i + 1]]
+    return [(xs[i], d[i]) for i, j in zip(tops, [*tops[1:], len(d)]) if min(d[i:j]) < d[i] - sensitivity / (len(d) - 1)]
+
+
+def test_knees_of_curves(spark):
+    one = [(k, -100 / k) for k in range(1, 20)]
+    two = [(k, min(k, 5) * 3.0 + max(0, k - 30) * 2.0 - max(0, k - 35) * 1.9) for k in range(60)]  # two maxima
+    flat, short = [(k, 1.0) for k in range(9)], [(0, 0.0), (1, 1.0)]
+    data = [(name, x, float(y)) for name, pts in (("one", one), ("two", two), ("flat", flat), ("short", short)) for x, y in pts]
+    df = spark.createDataFrame(data, "c string, x int, y double").repartition(4)
+    got = sorted((r.c, r.x, round(r.height, 6)) for r in O.knees(df, by=("c",)).collect())
+    want = sorted((c, x, round(h, 6)) for c, pts in (("one", one), ("two", two)) for x, h in plain_knees(pts))
+    assert got == want and len([g for g in got if g[0] == "two"]) == 2
+    assert O.knee(one) == plain_knees(one)[0][0] and O.knee(two) == plain_knees(two)[0][0] and O.knee(flat) is None
+
+
+def test_range_cut_from_sketches(spark):
+    rng = np.random.RandomState(2)
+    data = [(f"2020-01-{1 + i % 28:02d}", float(v)) for i, v in enumerate(np.round(rng.normal(0, 10, 3000), 2))] + [("2020-01-05", 7.0)] * 400 + [("2020-01-09", None)]
+    df = spark.createDataFrame(data, "d string, s double").select(F.col("d").cast("date").alias("Date"), "s")
+    sketches = O.day_sketches(df, "s")
+    for a, b, f in (("2020-01-01", "2020-01-31", 0.05), ("2020-01-04", "2020-01-06", 0.3), ("2020-01-10", "2020-01-10", 0.5), ("2020-01-01", "2020-01-31", 1.0), ("2021-01-01", "2021-01-02", 0.05)):
+        mine = sorted((v for d, v in data if a <= d <= b and v is not None), reverse=True)
+        n = int(f * len(mine))
+        assert O.range_cut(df, sketches, "s", a, b, f) == (n, mine[n - 1] if n else None)

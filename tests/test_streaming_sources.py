@@ -65,7 +65,7 @@ def test_publish_range_sorted_and_idempotent(spark):
     DU.publish_range(table.where("x >= 0").withColumn("x", F.col("x") + 0), path, "2020-02-05", "2020-03-20")
     out = spark.read.parquet(path)
     assert rows(out, "Date", "x") == sorted(rows(table.where("Date <= '2020-03-20'"), "Date", "x"))
-    part = [r.Date for r in spark.read.parquet(f"{path}/month=202002").collect()]
+    part = [r.Date for r in spark.read.parquet(f"{path}/year=2020").collect()]
     assert part == sorted(part)
 
 
