@@ -136,7 +136,7 @@ def op8_lm_scoring(t: Tables) -> DataFrame:
     docs = t.documents
     held = langid.remainder("doc_id", 7) == 2
     scored = lattice.score(docs, ~held, byte_bpe_file(), lattice.file_blocks(docs))
-    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "mixed_score")
 
 
 @register("op6_topk", sql="""
