@@ -31,7 +31,7 @@ window).
 Defined results: null text is empty; texts under 100 bytes have nothing removed; rows
 that share an id are one document for the order (neither repeats the other by that
 alone); a null id comes before all others; an empty table gives an empty table; other
-columns are ignored.
+columns are ignored; texts of any length are treated whole.
 """
 
 from __future__ import annotations
@@ -127,12 +127,38 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(tb.U64).view(np.int64)
 
 
+class Sent:
+    """First places of the bodies that a task has sent: a further copy shares key and body."""
+
+    def __init__(self):
+        self.body, self.key = np.zeros(0, tb.U64), np.zeros(0, tb.U64)
+        self.doc, self.start = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def copies(self, key: np.ndarray, body: np.ndarray, doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """An order of the entries and, in that order, which of them repeat one of this call or of those before."""
+        order = np.lexsort((start, doc, key, body))
+        key, body, doc, start = (x[order] for x in (key, body, doc, start))
+        head = np.ones(len(body), bool)
+        head[1:] = (body[1:] != body[:-1]) | (key[1:] != key[:-1])
+        lead = np.maximum.accumulate(np.where(head, np.arange(len(body)), 0))
+        copy = (doc != doc[lead]) | (start != start[lead])
+        if len(self.body):
+            at = np.minimum(np.searchsorted(self.body, body), len(self.body) - 1)
+            copy |= ((self.body[at] == body) & (self.key[at] == key)
+                     & ((self.doc[at] < doc) | (self.doc[at] == doc) & (self.start[at] < start)))
+        new = head & ~copy
+        # One key is kept for a body: an entry of another key is sent itself and meets its copies later.
+        self.body, where = np.unique(np.concatenate((body[new], self.body)), return_index=True)
+        self.key, self.doc, self.start = (np.concatenate(x)[where] for x in ((key[new], self.key), (doc[new], self.doc), (start[new], self.start)))
+        return order, copy
+
+
 def entries(docs: DataFrame) -> DataFrame:
     """Suffix entries of a batch of documents (doc, text); further copies within a task are COPY."""
     tb.bounded_batches(docs.sparkSession)
 
     def run(batches):
-        seen, seen_doc, seen_start = np.zeros(0, tb.U64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        sent = Sent()
         for batch in batches:
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             buf, offs = tb.string_buffers(batch.column(1))
@@ -144,19 +170,8 @@ def entries(docs: DataFrame) -> DataFrame:
             if not parts:
                 continue
             key, body, doc, start, n = map(np.concatenate, zip(*parts))
-            order = np.lexsort((start, doc, body))
+            order, copy = sent.copies(key, body, doc, start)
             key, body, doc, start, n = (x[order] for x in (key, body, doc, start, n))
-            head = np.ones(len(body), bool)
-            head[1:] = body[1:] != body[:-1]
-            lead = np.maximum.accumulate(np.where(head, np.arange(len(body)), 0))
-            copy = (doc != doc[lead]) | (start != start[lead])
-            # Against what this task has sent before.
-            if len(seen):
-                at = np.minimum(np.searchsorted(seen, body), len(seen) - 1)
-                copy |= (seen[at] == body) & ((seen_doc[at] < doc) | (seen_doc[at] == doc) & (seen_start[at] < start))
-            new = head & ~copy
-            seen, where = np.unique(np.concatenate((body[new], seen)), return_index=True)
-            seen_doc, seen_start = (np.concatenate(x)[where] for x in ((doc[new], seen_doc), (start[new], seen_start)))
             # Copies only pass through: they are spread evenly and bring no hashes along.
             key = np.where(copy, tb.mix((doc * 1000003 + start).astype(tb.U64)) >> tb.U64(40), key)
             yield _batch(ENTRY, _signed(key), _signed(np.where(copy, tb.U64(0), body)), doc, start, n, np.where(copy, COPY, OWN))

@@ -1,7 +1,9 @@
 """Rendezvous sharding: law, slots, balance by weight."""
 
+import math
 import zlib
 
+import xxhash
 from llm_helpers import document, tables  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -35,6 +37,20 @@ def test_weights_and_edges(spark):
     assert sharding.assign(odd.limit(0), [1.0]).count() == 0
 
 
+def test_winning_shard_recomputed(spark):
+    """Every shard's score in plain Python, with another implementation of the hash."""
+    weights = [1.0, 2.5, 1.0, 0.25, 4.0]
+    ids = [*range(300), -1, 2**62, -(2**63)]
+    got = sharding.place(spark.createDataFrame([(i,) for i in ids], "doc_id long"), weights).collect()
+
+    def score(key, shard, weight):
+        seed = xxhash.xxh64_intdigest(key.to_bytes(8, "little", signed=True), seed=42)
+        u = ((xxhash.xxh64_intdigest(shard.to_bytes(4, "little"), seed=seed) >> 11) + 0.5) / 2**53
+        return -math.log(u) / weight
+
+    assert {r.doc_id: r.shard for r in got} == {i: min(range(5), key=lambda s: score(i, s, weights[s])) for i in ids}
+
+
 def test_no_python_in_the_plan(spark, tables):
     df = queries.QUERIES["op5_sharding"](spark, tables(documents=[document(1, "a")]))
     plan = df._jdf.queryExecution().toString()
