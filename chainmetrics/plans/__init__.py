@@ -4,6 +4,7 @@ Importing this package registers every query module.
 """
 
 from chainmetrics.plans import (  # noqa: F401
+    forest_queries,
     label_queries,
     metric_queries,
     model_queries,

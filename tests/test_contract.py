@@ -13,7 +13,8 @@ import __spark_entry__ as E  # noqa: E402
 SLOW = {"kmeans_elbow", "boosted_trees", "score_all_models", "anomaly_results", "tsv_to_parquet",
         "ingest_daily_dumps", "decision_tree", "isolation_forest", "autoencoder_outliers",
         "stream_label_inputs", "stream_append_partitions", "stream_late_partners", "day_source", "stream_day_source",
-        "realised_cap_carried", "decision_tree_splits", "knn_kdtree", "decision_tree_totals", "score_all_totals"}
+        "realised_cap_carried", "decision_tree_splits", "knn_kdtree", "decision_tree_totals", "score_all_totals",
+        "hash_forest", "stream_bucketed_accounts", "widening_dumps"}
 
 
 def test_entry_runs(spark):
