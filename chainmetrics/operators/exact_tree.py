@@ -1,11 +1,13 @@
 """Decision tree with exact entropy splits and no depth limit.
 
-Large nodes are split level by level on Spark: every row gives its values as attribute lists
-(node, feature, value) with class counts, reduced by partial aggregation to one row per distinct
-value; running class counts over the sorted values (``scans.running_sums``: blocks of values,
-so that no feature of no node is one task's) give the entropy gain of every threshold,
-exactly, not of bins. A node of at most ``local_rows`` rows is finished by one task, with the
-same rule, to any depth; such groups are bounded by that count.
+Large nodes are split level by level on Spark, in two passes over the rows, which stay where they
+are and are led through the few nodes made so far. The first counts classes by (node,
+feature, bin); bins follow the values' quantiles. Their edges are candidates with exact gains.
+The gain is convex in the class counts to the left, so no threshold inside a bin gains
+more than the corners of what the bin can add: bins that can't reach the best edge of their
+node are done. The second pass tries every value of the other bins. So the split is
+the best of all thresholds, not of bins; bins only save work. A node of at most ``local_rows`` rows
+is finished by one task, with the same rule, to any depth; such groups are bounded by that count.
 
 Rule: the threshold halves the gap between two neighbouring values, rows up to it go left; the
 largest gain wins, in billionths, ties go to the smaller feature, then threshold. A node
@@ -26,13 +28,26 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from chainmetrics.operators import scans
 from chainmetrics.session import materialize, ship_package
 
-LOCAL_ROWS = 50_000
-#: A tree of at most so many nodes (some 40 bytes each) is broadcast for predictions.
-BROADCAST_NODES = 1_000_000
+LOCAL_ROWS = 200_000
+#: Bins of a feature in the largest nodes.
+BINS = 8_192
+#: With up to so many classes, the corners of a bin (2 ** classes) bound its gains.
+CORNER_CLASSES = 5
+#: Billionths by which a bound may be too small by rounding.
+SLACK = 2
+#: Rows of the cells that one task searches, about.
+GROUP_ROWS = 500_000
+#: Rows are led through so many levels before their node is stored.
+ROUTE_LEVELS = 16
+#: A tree of at most so many nodes is broadcast for predictions.
+BROADCAST_NODES = 100_000
+#: Rows of a finished subtree that one task predicts, about.
+SHARE_ROWS = 200_000
 TREE = "root string, node int, feature int, threshold double, gain double, left int, right int, n long, prediction int"
 UNITS = 1e9
 
@@ -48,136 +63,405 @@ def _entropy(counts: np.ndarray) -> np.ndarray:
     return -(share * np.log2(np.where(share > 0, share, 1))).sum(-1)
 
 
-def best_split(x: np.ndarray, y: np.ndarray, classes: int) -> tuple[int, int, float] | None:
-    """(gain in billionths, feature, threshold) of the best split; none if all rows are equal."""
-    total, best = np.bincount(y, minlength=classes).astype(float), None
-    whole, n = _entropy(total), len(y)
-    for f in range(x.shape[1]):
-        order = np.argsort(x[:, f], kind="stable")
-        v = x[order, f]
-        at = np.flatnonzero(v[1:] > v[:-1])
-        if not len(at):
-            continue
-        hot = np.zeros((n, classes))
-        hot[np.arange(n), y[order]] = 1
-        left = np.cumsum(hot, axis=0)[at]
-        size = left.sum(1)
-        gain = whole - size / n * _entropy(left) - (n - size) / n * _entropy(total - left)
-        units = np.floor(gain * UNITS + 0.5)
-        k = int(np.argmax(units))  # the first of equal ones: the smaller threshold
-        if best is None or units[k] > best[0]:
-            a, b = v[at[k]], v[at[k] + 1]
-            mid = a + (b - a) / 2
-            best = int(units[k]), f, float(mid if mid < b else a)
-    return best
-
-
-def grow(x: np.ndarray, y: np.ndarray, classes: int) -> list[tuple]:
-    """Nodes (node, feature, threshold, gain, left, right, n, prediction) of a whole subtree."""
-    out: list[tuple | None] = [None]
-    todo = [(0, np.arange(len(y)))]
-    while todo:
-        node, rows = todo.pop()
-        counts = np.bincount(y[rows], minlength=classes)
-        split = best_split(x[rows], y[rows], classes) if np.count_nonzero(counts) > 1 else None
-        if split is None:
-            out[node] = (node, None, None, None, None, None, len(rows), int(counts.argmax()))
-            continue
-        gain, f, threshold = split
-        left, right = len(out), len(out) + 1
-        out += [None, None]
-        out[node] = (node, f, threshold, gain / UNITS, left, right, len(rows), int(counts.argmax()))
-        goes = x[rows, f] <= threshold
-        todo += [(left, rows[goes]), (right, rows[~goes])]
-    return out
-
-
-def _finish(nodes: DataFrame, classes: int) -> DataFrame:
-    """Whole subtrees of nodes that are known to be small."""
+class _Level:
+    """Rows of one level's open nodes, for every feature in the order (node, value)."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, classes: int):
+        self.x, self.y, self.classes = x, y, classes
+        self.orders = [np.argsort(x[:, f], kind="stable") for f in range(x.shape[1])]
+        self.node = np.zeros(len(y), np.int64)
+        self.counts = np.bincount(y, minlength=classes)[None].astype(float)
+
+    def splits(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(gain in billionths, feature, threshold) of the best split of every node; feature -1: all its rows are equal."""
+        sizes = self.counts.sum(1)
+        first = (np.cumsum(sizes) - sizes).astype(np.int64)
+        units, feature, threshold = np.full(len(sizes), -1.0), np.full(len(sizes), -1, np.int64), np.zeros(len(sizes))
+        whole = _entropy(self.counts)
+        owner = np.repeat(np.arange(len(sizes)), sizes.astype(np.int64))  # the same for every feature
+        before = np.cumsum(self.counts, axis=0) - self.counts
+        for f, order in enumerate(self.orders):
+            v, y = self.x[order, f], self.y[order]
+            at = np.flatnonzero((v[1:] > v[:-1]) & (owner[1:] == owner[:-1]))
+            if not len(at):
+                continue
+            node = owner[at]
+            left = np.stack([np.cumsum(y == k)[at] for k in range(self.classes)], 1) - before[node]
+            n, size = sizes[node], (at - first[node] + 1).astype(float)
+            gain = whole[node] - size / n * _entropy(left) - (n - size) / n * _entropy(self.counts[node] - left)
+            gain = np.floor(gain * UNITS + 0.5)
+            begins = np.flatnonzero(np.r_[True, node[1:] != node[:-1]])
+            most = np.repeat(np.maximum.reduceat(gain, begins), np.diff(np.r_[begins, len(node)]))
+            top = np.flatnonzero(gain == most)
+            top = top[np.r_[True, node[top][1:] != node[top][:-1]]]  # the first of equal ones: the smaller threshold
+            top = top[gain[top] > units[node[top]]]
+            won, a, b = node[top], v[at[top]], v[at[top] + 1]
+            middle = a + (b - a) / 2
+            units[won], feature[won], threshold[won] = gain[top], f, np.where(middle < b, middle, a)
+        return units, feature, threshold
+
+    def descend(self, feature: np.ndarray, threshold: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Go on with the impure children of split nodes: (class counts of all children, two for
+        each split node, and which of them are open)."""
+        rank = np.cumsum(feature >= 0) - 1
+        rows = self.orders[0][feature[self.node[self.orders[0]]] >= 0]
+        at = self.node[rows]
+        right = ~(self.x[rows, feature[at]] <= threshold[at])
+        child = 2 * rank[at] + right
+        m = 2 * int((feature >= 0).sum())
+        counts = np.bincount(child * self.classes + self.y[rows], minlength=m * self.classes).reshape(m, self.classes).astype(float)
+        open_ = np.count_nonzero(counts, axis=1) > 1
+        number = np.where(open_, np.cumsum(open_) - 1, -1)
+        self.node[:] = -1
+        self.node[rows] = number[child]
+        is_right = np.zeros(len(self.y), bool)
+        is_right[rows] = right
+        # Rows stay in order: those of a left child move up past the right ones of their parent.
+        self.counts = counts[open_]
+        sizes = self.counts.sum(1).astype(np.int64)
+        rights = np.where(np.flatnonzero(open_) % 2 == 1, sizes, 0)
+        start = np.cumsum(sizes) - sizes
+        parent = np.flatnonzero(open_) // 2
+        begins = np.r_[True, parent[1:] != parent[:-1]] if len(parent) else np.zeros(0, bool)
+        earlier = (np.cumsum(rights) - rights)[np.maximum.accumulate(np.where(begins, np.arange(len(parent)), 0))]
+        for f, order in enumerate(self.orders):
+            kept = order[self.node[order] >= 0]
+            side, number = is_right[kept], self.node[kept]
+            passed = np.cumsum(side) - side - earlier[number]
+            moved = np.empty_like(kept)
+            moved[np.where(side, start[number] + passed, np.arange(len(kept)) - passed)] = kept
+            self.orders[f] = moved
+        return counts, open_
+
+
+def grow(x: np.ndarray, y: np.ndarray, classes: int) -> list[np.ndarray]:
+    """Columns node, feature (-1: leaf), threshold, gain, left, right, n, prediction of a whole
+    subtree, all nodes of a level at once."""
+    level, numbers = _Level(x, y, classes), np.zeros(1, np.int64)
+    tops = level.counts
+    out, made = [], 1
+    if np.count_nonzero(tops) <= 1:
+        return [np.array([v]) for v in (0, -1, 0.0, 0.0, -1, -1, len(y), int(tops[0].argmax()))]
+    while len(numbers):
+        counts = level.counts
+        units, feature, threshold = level.splits()
+        split = feature >= 0
+        left = np.where(split, made + 2 * (np.cumsum(split) - 1), -1)
+        out.append((numbers, feature, threshold, np.where(split, units / UNITS, 0.0), left, np.where(split, left + 1, -1), counts.sum(1), counts.argmax(1)))
+        below, open_ = level.descend(feature, threshold)
+        children = made + np.arange(len(below))
+        made += len(below)
+        pure, none = below[~open_], np.full(int((~open_).sum()), -1)
+        out.append((children[~open_], none, none * 0.0, none * 0.0, none, none, pure.sum(1), pure.argmax(1)))
+        numbers = children[open_]
+    return [np.concatenate(c) for c in zip(*out)]
+
+
+def _finish(nodes: DataFrame, classes: int, roots: dict[int, str]) -> DataFrame:
+    """Whole subtrees of nodes (``at``) that are known to be small."""
     def run(key, table):
         table = table.combine_chunks()
-        x = table.column("x").combine_chunks()
-        x = np.asarray(x.flatten()).reshape(len(x), -1)
-        grown = grow(x, table.column("y").to_numpy(), classes)
-        columns = list(zip(*grown))
+        grown = grow(_values(table.column("x")), table.column("y").to_numpy(), classes)
+        leaf = grown[1] < 0
         kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-        return pa.table([pa.array([key[0].as_py()] * len(grown), pa.string()), *[pa.array(c, k) for c, k in zip(columns, kinds)]],
-                        names=["root", "node", "feature", "threshold", "gain", "left", "right", "n", "prediction"])
+        columns = [pa.array(c.astype(k.to_pandas_dtype()), k, mask=leaf if i in range(1, 6) else None) for i, (c, k) in enumerate(zip(grown, kinds))]
+        root = pa.array([roots[key[0].as_py()]], pa.string()).take(pa.array(np.zeros(len(leaf), np.int32)))
+        return pa.table([root, *columns], names=["root", "node", "feature", "threshold", "gain", "left", "right", "n", "prediction"])
 
-    return nodes.groupBy("root").applyInArrow(run, TREE)
+    return nodes.groupBy("at").applyInArrow(run, TREE)
 
 
 # -- distributed part --------------------------------------------------------------
 
-def _entropy_of(counts: Sequence[Column]) -> Column:
-    total = sum(counts[1:], counts[0]).cast("double")
-    return -sum((F.when(c > 0, c / total * F.log2(c / total)).otherwise(F.lit(0.0)) for c in counts[1:]),
-                F.when(counts[0] > 0, counts[0] / total * F.log2(counts[0] / total)).otherwise(F.lit(0.0)))
-
-
-def _splits(rows: DataFrame, sizes: DataFrame, classes: int, edges: list[list[float]]) -> DataFrame:
-    """(root, feature, threshold, gain) of the best split of every node of ``rows``.
-
-    ``sizes`` has the class counts t0, t1, .. of the nodes."""
-    edge_lists = F.array(*[F.array(*[F.lit(e) for e in b]).cast("array<double>") for b in edges])
-    lists = (rows.select("root", "y", F.posexplode("x").alias("feature", "value"))
-             .groupBy("root", "feature", "value", scans.block_of(F.col("value"), F.get(edge_lists, F.col("feature"))).alias("block"))
-             .agg(*[F.count_if(F.col("y") == k).alias(f"c{k}") for k in range(classes)]))
-    # The lists are read for the blocks' totals and for the sums.
-    counted = scans.running_sums(materialize(lists), ("value",), {f"l{k}": F.col(f"c{k}") for k in range(classes)}, "block", ("root", "feature"),
-                                 {"after": "value"})
-    left = [F.col(f"l{k}") for k in range(classes)]
-    whole = [F.col(f"t{k}") for k in range(classes)]
-    right = [t - a for t, a in zip(whole, left)]
-    n, size = sum(whole[1:], whole[0]), sum(left[1:], left[0])
-    gain = _entropy_of(whole) - size / n * _entropy_of(left) - (n - size) / n * _entropy_of(right)
-    middle = F.col("value") + (F.col("after") - F.col("value")) / 2
-    candidate = F.struct(F.floor(gain * UNITS + 0.5).cast("long").alias("units"), (-F.col("feature")).alias("f"),
-                         (-F.when(middle < F.col("after"), middle).otherwise(F.col("value"))).alias("t"))
-    return (counted.where("after is not null").join(sizes, "root").groupBy("root").agg(F.max(candidate).alias("s"))
-            .select("root", (-F.col("s.f")).cast("int").alias("feature"), (-F.col("s.t") + 0.0).alias("threshold"), (F.col("s.units") / UNITS).alias("gain")))
+def _values(column: pa.Array) -> np.ndarray:
+    column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
+    return np.asarray(column.flatten()).reshape(len(column), -1)
+
+
+class _Top:
+    """The distributed nodes made so far; a child of -1 is not made yet (the node is a leaf or open)."""
+
+    def __init__(self):
+        self.root, self.feature, self.threshold, self.left, self.right = [""], [-1], [0.0], [-1], [-1]
+
+    def split(self, node: int, feature: int, threshold: float) -> tuple[int, int]:
+        made = len(self.root)
+        self.feature[node], self.threshold[node], self.left[node], self.right[node] = feature, threshold, made, made + 1
+        for side in "01":
+            self.root.append(self.root[node] + side)
+            self.feature.append(-1)
+            self.threshold.append(0.0)
+            self.left.append(-1)
+            self.right.append(-1)
+        return made, made + 1
+
+    def router(self):
+        feature, left, right = (np.array(v, np.int64) for v in (self.feature, self.left, self.right))
+        threshold = np.array(self.threshold)
+
+        def route(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+            at = at.astype(np.int64)
+            todo = np.flatnonzero(feature[at] >= 0)
+            while len(todo):
+                here = at[todo]
+                at[todo] = np.where(x[todo, feature[here]] <= threshold[here], left[here], right[here])
+                todo = todo[feature[at[todo]] >= 0]
+            return at
+
+        return route
+
+
+def _gains(left: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Gain in billionths of splits with these class counts to the left; 0 if a side is empty."""
+    n, size = counts.sum(), left.sum(-1)
+    one = size[..., None] * 0 + 1
+    inside = (size > 0) & (size < n)
+    safe = np.where(inside[..., None], left, one)
+    other = np.where(inside[..., None], counts - left, one)
+    gain = _entropy(counts) - size / n * _entropy(safe) - (n - size) / n * _entropy(other)
+    return np.where(inside, np.floor(gain * UNITS + 0.5), 0)
+
+
+def _edges(rows: DataFrame, width: int, bins: int) -> list[np.ndarray]:
+    """About equally spaced quantiles of every feature (sketched; they only set the sizes of bins)."""
+    # One text literal: thousands of numbers for each feature would take the analyser long.
+    share = F.split(F.lit(",".join(str(j / bins) for j in range(1, bins))), ",").cast("array<double>")
+    got = rows.agg(*[F.percentile_approx(F.col("x")[i], share, 10_000) for i in range(width)]).first()
+    return [np.unique(e if e else []).astype(float) for e in got]
+
+
+def _bins_of(n: int, most: int) -> int:
+    """Every how manieth edge a node of n rows uses: about 2 sqrt(n) bins leave few to search."""
+    step = 1
+    while most / step > max(16, 3 * n**0.5):
+        step *= 2
+    return step
+
+
+def _mapped(rows: DataFrame, top: _Top, use, schema: str) -> DataFrame:
+    """``use(x, y, at)`` over the routed rows, batch by batch, and ``use(None, ..)`` at a partition's end."""
+    route = top.router()
+
+    def run(batches):
+        do = use()
+        for b in batches:
+            if b.num_rows:
+                x = _values(b.column(2))
+                yield from do(x, b.column(1).to_numpy(), route(x, b.column(0).to_numpy()))
+        yield from do(None, None, None)
+
+    return rows.mapInArrow(run, schema)
+
+
+def _splits(rows: DataFrame, top: _Top, open_: dict[int, np.ndarray], classes: int, edges: list[np.ndarray]) -> dict[int, tuple]:
+    """{node: (units, feature, threshold, class counts to the left)} of the best split of every
+    open node ({node: class counts}); nodes of equal rows have none."""
+    nodes, width = sorted(open_), len(edges)
+    place = np.full(len(top.root), -1)
+    place[nodes] = np.arange(len(nodes))
+    most = max(len(e) for e in edges) + 1
+    step = np.array([_bins_of(int(open_[v].sum()), most) for v in nodes])
+    bins = (most - 1) // step + 1
+    begins = np.cumsum(bins * width) - bins * width
+    counts = [f"c{k}" for k in range(classes)]
+
+    def cells_of(x, at, f):
+        """Cell of every row of an open node: node, then feature, then bin."""
+        slot = place[at]
+        return begins[slot] + f * bins[slot] + np.searchsorted(edges[f], x[:, f], side="left") // step[slot]
+
+    def histogram():
+        size = int((bins * width).sum())
+        n, low, high = np.zeros((classes, size), np.int64), np.full(size, np.inf), np.full(size, -np.inf)
+
+        def do(x, y, at):
+            if x is None:
+                there = np.flatnonzero(high >= low)
+                slot = np.searchsorted(begins, there, side="right") - 1
+                feature, bin_ = np.divmod(there - begins[slot], bins[slot])
+                for s in range(0, len(there), 100_000):
+                    part = slice(s, s + 100_000)
+                    yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (slot, feature, bin_, low[there], high[there], *n[:, there])],
+                                                     ["slot", "feature", "bin", "low", "high", *counts])
+                return
+            mine = place[at] >= 0
+            x, y, at = x[mine], y[mine], at[mine]
+            for f in range(width):
+                cell = cells_of(x, at, f)
+                for k in range(classes):
+                    np.add.at(n[k], cell[y == k], 1)
+                np.minimum.at(low, cell, x[:, f])
+                np.maximum.at(high, cell, x[:, f])
+
+        return do
+
+    sizes = [open_[v].astype(float) for v in nodes]
+
+    def edges_and_bounds(key, table):
+        """The best edge (bin -1), and the bins that may hold better thresholds, with the counts before them."""
+        slot, feature = (k.as_py() for k in key)
+        bin_ = table.column("bin").to_numpy()
+        there, at = np.unique(bin_, return_inverse=True)
+        n = np.stack([np.bincount(at, table.column(c).to_numpy(), len(there)) for c in counts], 1)
+        low, high = np.full(len(there), np.inf), np.full(len(there), -np.inf)
+        np.minimum.at(low, at, table.column("low").to_numpy())
+        np.maximum.at(high, at, table.column("high").to_numpy())
+        upto = np.cumsum(n, axis=0)
+        out = [(-1, -1.0, 0.0, np.zeros(classes))]
+        if len(there) > 1:
+            units = _gains(upto[:-1], sizes[slot])
+            b = int(units.argmax())
+            middle = high[b] + (low[b + 1] - high[b]) / 2
+            out = [(-1, units[b], middle if middle < low[b + 1] else high[b], upto[b])]
+        bound = np.full(len(there), np.inf)
+        if classes <= CORNER_CLASSES:
+            bound = np.max([_gains(upto - n + n * [c >> k & 1 for k in range(classes)], sizes[slot]) for c in range(1 << classes)], axis=0)
+        for b in np.flatnonzero((high > low) & (bound + SLACK >= out[0][1])):
+            out.append((int(there[b]), bound[b], 0.0, (upto - n)[b]))
+        names = ["bin", "units", "threshold", *[f"l{k}" for k in range(classes)]]
+        columns = [pa.array(c) for c in ([o[0] for o in out], [float(o[1]) for o in out], [float(o[2]) for o in out], *[[int(o[3][k]) for o in out] for k in range(classes)])]
+        return pa.table([pa.array([v] * len(out), pa.int32()) for v in (slot, feature)] + [c.cast(pa.int32()) if i == 0 else c for i, c in enumerate(columns)],
+                        names=["slot", "feature", *names])
+
+    lefts = ", ".join(f"l{k} long" for k in range(classes))
+    cells = _mapped(rows, top, histogram, "slot long, feature long, bin long, low double, high double, " + ", ".join(f"{c} long" for c in counts))
+    found = cells.groupBy("slot", "feature").applyInArrow(edges_and_bounds, f"slot int, feature int, bin int, units double, threshold double, {lefts}").toArrow()
+    slot, feature, bin_, units, threshold = (found.column(i).to_numpy() for i in range(5))
+    left = np.stack([found.column(5 + k).to_numpy() for k in range(classes)], 1)
+    best: dict[int, tuple] = {}
+
+    def offer(slots, units, features, thresholds, lefts):
+        for s, u, f, t, a in zip(slots.tolist(), units.tolist(), features.tolist(), thresholds.tolist(), lefts):
+            if u >= 0 and (s not in best or (u, -f, -t) > (best[s][0], -best[s][1], -best[s][2])):
+                best[s] = (u, f, t, a)
+
+    edge = bin_ < 0
+    offer(slot[edge], units[edge], feature[edge], threshold[edge], left[edge])
+    reach = np.array([best[s][0] if s in best else -1.0 for s in range(len(nodes))])
+    alive = np.flatnonzero(~edge & (units + SLACK >= reach[slot]))
+    if len(alive):
+        cell = begins[slot[alive]] + feature[alive] * bins[slot[alive]] + bin_[alive]
+        order = np.argsort(cell)
+        searched, before = cell[order], left[alive][order]
+        # Cells are dealt to groups of about GROUP_ROWS rows; a cell is a quantile's share of the rows.
+        groups = int(min(len(searched), 1 + sum(int(v.sum()) for v in open_.values()) * width // GROUP_ROWS))
+        shared = rows.sparkSession.sparkContext.broadcast((searched, before))
+
+        def values():
+            searched, _ = shared.value
+
+            def do(x, y, at):
+                if x is None:
+                    return
+                mine = place[at] >= 0
+                x, y, at = x[mine], y[mine], at[mine]
+                for f in range(width):
+                    cell = cells_of(x, at, f)
+                    i = np.minimum(np.searchsorted(searched, cell), len(searched) - 1)
+                    keep = np.flatnonzero(searched[i] == cell)
+                    if not len(keep):
+                        continue
+                    i, v, c = i[keep], x[keep, f], y[keep]
+                    o = np.lexsort((v, i))
+                    i, v, c = i[o], v[o], c[o]
+                    first = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (v[1:] != v[:-1])])
+                    n = [np.add.reduceat((c == k).astype(np.int64), first) for k in range(classes)]
+                    yield pa.RecordBatch.from_arrays([pa.array(w) for w in (i[first] % groups, i[first], v[first], *n)], ["part", "at", "value", *counts])
+
+            return do
+
+        def search(table):
+            """The best threshold of every node among the values of some cells."""
+            searched, before = shared.value
+            i, v = table.column("at").to_numpy(), table.column("value").to_numpy()
+            o = np.lexsort((v, i))
+            i, v = i[o], v[o]
+            first = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (v[1:] != v[:-1])])
+            n = np.stack([np.add.reduceat(table.column(c).to_numpy()[o], first) for c in counts], 1)
+            i, v = i[first], v[first]
+            upto = np.cumsum(n, axis=0)
+            cell_first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
+            upto = upto - np.repeat((upto - n)[cell_first], np.diff(np.r_[cell_first, len(i)]), axis=0) + before[i]
+            at = np.flatnonzero(i[1:] == i[:-1])
+            slots = np.searchsorted(begins, searched[i[at]], side="right") - 1
+            features = (searched[i[at]] - begins[slots]) // bins[slots]
+            out = []
+            for s in np.unique(slots):
+                mine = at[slots == s]
+                f = features[slots == s]
+                units = _gains(upto[mine], sizes[s])
+                o = np.lexsort((v[mine], f, -units))[0]
+                a, b = v[mine[o]], v[mine[o] + 1]
+                middle = a + (b - a) / 2
+                out.append((int(s), int(f[o]), float(units[o]), float(middle if middle < b else a), *[int(w) for w in upto[mine[o]]]))
+            kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), *[pa.int64()] * classes]
+            names = ["slot", "feature", "units", "threshold", *[f"l{k}" for k in range(classes)]]
+            return pa.table([pa.array([o[j] for o in out], k) for j, k in enumerate(kinds)], names=names)
+
+        inside = _mapped(rows, top, values, "part long, at long, value double, " + ", ".join(f"{c} long" for c in counts))
+        found = inside.groupBy("part").applyInArrow(search, f"slot int, feature int, units double, threshold double, {lefts}").toArrow()
+        offer(found.column(0).to_numpy(), found.column(2).to_numpy(), found.column(1).to_numpy(), found.column(3).to_numpy(),
+              np.stack([found.column(4 + k).to_numpy() for k in range(classes)], 1))
+        shared.unpersist()
+    return {nodes[s]: b for s, b in best.items()}
 
 
 def fit(train: DataFrame, features: Sequence[str], label: str = "label", classes: int = 2, local_rows: int = LOCAL_ROWS,
-        levels: int | None = None, blocks: int = scans.BLOCKS) -> DataFrame:
+        levels: int | None = None, blocks: int = BINS) -> DataFrame:
     """The tree table of ``train``; labels are 0 .. classes - 1, other rows don't learn.
 
     ``levels``: stop there (rows below become leaves); default: no limit."""
-    ship_package(train.sparkSession)
+    spark = train.sparkSession
+    ship_package(spark)
     y = F.col(label).cast("int")
-    rows = materialize(train.where(y.between(0, classes - 1)).select(F.lit("").alias("root"), y.alias("y"), vector(features).alias("x")))
-    edges = scans.bounds(rows, [F.col("x")[i] for i in range(len(features))], blocks)
-    spark, parts, level = train.sparkSession, [], 0
-    while True:
-        sizes = materialize(rows.groupBy("root").agg(F.count(F.lit(1)).alias("n"), *[F.count_if(F.col("y") == k).alias(f"t{k}") for k in range(classes)]))
-        counts = F.array(*[F.col(f"t{k}") for k in range(classes)])
-        most = (F.array_position(counts, F.array_max(counts)) - 1).cast("int").alias("prediction")
-        pure, last = F.array_max(counts) == F.col("n"), levels is not None and level >= levels
-        small = F.col("n") <= (0 if levels is not None else local_rows)
-        leaf = sizes.where(F.lit(True) if last else pure)
-        null = lambda kind, name: F.lit(None).cast(kind).alias(name)
-        none = [null("int", "feature"), null("double", "threshold"), null("double", "gain"), null("int", "left"), null("int", "right")]
-        parts.append(leaf.select("root", F.lit(0).alias("node"), *none, "n", most))
-        if last:
-            break
-        local = sizes.where(~pure & small)
-        parts.append(_finish(rows.join(local.select("root"), "root", "left_semi"), classes))
-        large = materialize(sizes.where(~pure & ~small))
-        if large.isEmpty():
-            break
-        there = rows.join(large.select("root"), "root", "left_semi")
-        splits = materialize(_splits(there, large, classes, edges))
-        # Nodes of equal rows have no split.
-        parts.append(large.join(splits.select("root"), "root", "left_anti").select("root", F.lit(0).alias("node"), *none, "n", most))
-        parts.append(large.join(splits, "root").select("root", F.lit(0).alias("node"), "feature", "threshold", "gain",
-                                                       F.lit(-1).alias("left"), F.lit(-1).alias("right"), "n", most))
-        goes = F.get("x", F.col("feature")) <= F.col("threshold")
-        rows = materialize(there.join(splits, "root").select(F.concat("root", F.when(goes, "0").otherwise("1")).alias("root"), "y", "x"))
+    # Few parts, as each sends its counts once: as many as tasks run at a time.
+    rows = materialize(train.where(y.between(0, classes - 1)).select(F.lit(0).alias("at"), y.alias("y"), vector(features).alias("x"))
+                       .repartition(spark.sparkContext.defaultParallelism))
+    edges = _edges(rows, len(features), blocks)
+    top, made, local, level = _Top(), [], [], 0
+    counts = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
+    open_ = {0: np.array([counts.get(k, 0) for k in range(classes)])} if counts else {}
+    while open_:
+        last = levels is not None and level >= levels
+        large = {}
+        for node, c in open_.items():
+            if last or c.max() == c.sum():
+                made.append((top.root[node], 0, None, None, None, None, None, int(c.sum()), int(c.argmax())))
+            elif levels is None and c.sum() <= local_rows:
+                local.append(node)
+            else:
+                large[node] = c
+        splits = _splits(rows, top, large, classes, edges) if large else {}
+        open_ = {}
+        for node, c in large.items():
+            if node not in splits:  # nodes of equal rows have no split
+                made.append((top.root[node], 0, None, None, None, None, None, int(c.sum()), int(c.argmax())))
+                continue
+            units, feature, threshold, left = splits[node]
+            made.append((top.root[node], 0, feature, threshold, units / UNITS, -1, -1, int(c.sum()), int(c.argmax())))
+            a, b = top.split(node, feature, threshold)
+            open_ |= {a: np.asarray(left), b: c - np.asarray(left)}
         level += 1
-    tree = parts[0]
-    for p in parts[1:]:
-        tree = tree.unionByName(p)
-    return materialize(tree.select(*[c.split()[0] for c in TREE.split(", ")]))
+        if level % ROUTE_LEVELS == 0 and open_:
+            rows = materialize(_routed(rows, top))
+    tree = spark.createDataFrame(made, TREE)
+    if local:
+        here = _routed(rows, top).where(F.col("at").isin(local)) if top.left[0] >= 0 else rows
+        tree = tree.unionByName(_finish(here, classes, {v: top.root[v] for v in local}))
+    return materialize(tree)
+
+
+def _routed(rows: DataFrame, top: _Top) -> DataFrame:
+    """The rows with ``at`` brought up to date."""
+    route = top.router()
+
+    def run(batches):
+        for b in batches:
+            if b.num_rows:
+                at = route(_values(b.column(2)), b.column(0).to_numpy())
+                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), b.column(1), b.column(2)], ["at", "y", "x"])
+
+    return rows.mapInArrow(run, rows.schema)
 
 
 # -- prediction --------------------------------------------------------------------
@@ -211,7 +495,9 @@ def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction:
     if n == 0:
         return df.withColumn(prediction, F.lit(None).cast("int"))
     if n > BROADCAST_NODES:
-        return _predict_by_joins(df, tree, features, prediction)
+        if tree.where("left = -1").count() > BROADCAST_NODES:
+            return _predict_by_joins(df, tree, features, prediction)
+        return _predict_by_roots(df, tree, features, prediction)
     arrays = df.sparkSession.sparkContext.broadcast(_Arrays(tree.collect()))
 
     @F.pandas_udf("int")
@@ -222,6 +508,50 @@ def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction:
     return df.withColumn(prediction, classify(vector(features)))
 
 
+def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str, share_rows: int = SHARE_ROWS) -> DataFrame:
+    """A tree beyond broadcasting: its distributed part leads every row to the subtree that ends
+    it, and rows and nodes of a subtree meet, many rows in several shares."""
+    spark, names = df.sparkSession, df.columns
+    ship_package(spark)
+    top, nodes = _Top(), [0]
+    inner = {r.root: r for r in tree.where("left = -1").select("root", "feature", "threshold").collect()}
+    for node in nodes:
+        r = inner.get(top.root[node])
+        if r is not None:
+            nodes += top.split(node, r.feature, r.threshold)
+    route, at = top.router(), len(names)
+
+    def lead(batches):
+        for b in batches:
+            if b.num_rows:
+                ends = route(_values(b.column(at)), np.zeros(b.num_rows, np.int64))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends, pa.int32())], [*b.schema.names, "_at"])
+
+    rows = df.withColumn("_x", vector(features))
+    rows = materialize(rows.mapInArrow(lead, StructType([*rows.schema.fields, StructField("_at", IntegerType())])))
+    ends = spark.createDataFrame([(top.root[v], v) for v in nodes if top.left[v] < 0], "root string, _at int")
+    shares = rows.groupBy("_at").count().select("_at", F.ceil(F.col("count") / share_rows).cast("int").alias("_n"))
+    kept = tree.where("left is null or left <> -1").join(F.broadcast(ends), "root").join(F.broadcast(shares), "_at")
+    kept = kept.select("_at", F.explode(F.sequence(F.lit(0), F.col("_n") - 1)).alias("_share"), "node", "feature", "threshold", "left", "right", "prediction")
+    dealt = rows.join(F.broadcast(shares), "_at").withColumn("_share", (F.monotonically_increasing_id() % F.col("_n")).cast("int")).drop("_n")
+    schema = StructType([*df.schema.fields, StructField(prediction, IntegerType())])
+    arrow = to_arrow_schema(schema)
+
+    def run(left, right):
+        if not left.num_rows:
+            return arrow.empty_table()
+        order = np.argsort(right.column("node").to_numpy())
+        get = lambda c, none: right.column(c).combine_chunks().fill_null(none).to_numpy(zero_copy_only=False)[order]
+        sub = _Arrays.__new__(_Arrays)
+        sub.feature, sub.threshold, sub.left, sub.right = get("feature", -1), get("threshold", 0.0), get("left", -1), get("right", -1)
+        sub.prediction, sub.top = get("prediction", 0), 0
+        found = pa.array(sub.predict(_values(left.column("_x"))), pa.int32())
+        return pa.table([*[left.column(c).cast(arrow.field(c).type) for c in names], found], schema=arrow)
+
+    key = ("_at", "_share")
+    return dealt.groupBy(*key).cogroup(kept.groupBy(*key)).applyInArrow(run, schema)
+
+
 def _predict_by_joins(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str) -> DataFrame:
     """A tree beyond broadcasting: rows step down together, one join with the tree a level."""
     names = df.columns

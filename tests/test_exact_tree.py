@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
@@ -107,3 +108,17 @@ def test_edges(spark):
     assert T.predict(deep, T.fit(deep, FEATURES), FEATURES).where(F.col("prediction") != F.col("label")).count() == 0
     near = spark.createDataFrame([(1.0, 0.0, 0.0, 0), (1.0 + 2**-52, 0.0, 0.0, 1)], schema)
     assert T.predict(near, T.fit(near, FEATURES), FEATURES).where(F.col("prediction") != F.col("label")).count() == 0
+
+
+def test_large_nodes_need_few_values(spark):
+    """Bins only save work: the split of a large node is the best of all thresholds, and
+    a tree too large to broadcast predicts as the broadcast one does."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.normal(size=(3000, 3)), 3)
+    y = (rng.random(3000) < 0.5).astype(int)
+    df = spark.createDataFrame([(*map(float, r), int(k)) for r, k in zip(x, y)], "a double, b double, c double, label int")
+    local = T.grow(x, y, 2)
+    tree = T.fit(df, FEATURES, local_rows=700, blocks=64)
+    assert tree.where("n = 3000").select("feature", "threshold").first() == (int(local[1][0]), float(local[2][0]))
+    assert tree.where("left = -1").count() > 3 and tree.agg(F.max("n")).first()[0] == 3000
+    assert T._predict_by_roots(df, tree, FEATURES, "p", share_rows=50).where("p <> label").count() == 0
