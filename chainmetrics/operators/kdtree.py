@@ -102,12 +102,12 @@ def _search(queries: DataFrame, training: DataFrame, dealt: DataFrame, k: int) -
         if not left.num_rows or not right.num_rows:
             return pa.table([pa.array([], f) for f in (pa.int64(), neighbours, pa.int64())], names=["qid", "nn", "n_distances"])
         block = _Block(_matrix(right.column("_x")), right.column("id").to_numpy(), right.column("label").to_numpy(), k)
-        at, dist = block.nearest(_matrix(left.column("_x")))
+        at, dist, compared = block.search(_matrix(left.column("_x")))
         n, width = at.shape
         flat = pa.StructArray.from_arrays([pa.array(dist.ravel()), pa.array(block.ids[at].ravel(), pa.int64()), pa.array(block.labels[at].ravel(), pa.int32())],
                                           ["dist", "tid", "tlabel"])
         nn = pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * width, pa.int32()), flat)
-        return pa.table([left.column("qid"), nn, pa.array(np.full(n, len(block.x)), pa.int64())], names=["qid", "nn", "n_distances"])
+        return pa.table([left.column("qid"), nn, pa.array(compared, pa.int64())], names=["qid", "nn", "n_distances"])
 
     neighbours = pa.list_(pa.struct([("dist", pa.float64()), ("tid", pa.int64()), ("tlabel", pa.int32())]))
     return q.groupBy(*key).cogroup(t.groupBy(*key)).applyInArrow(run, _FOUND)

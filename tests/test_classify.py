@@ -102,3 +102,24 @@ def test_stored_models_give_the_same_predictions(spark):
     assert rows(C.score_all_models(df, train, ["a"], "label", "id", t2, b2), *cols) == rows(C.score_all_models(df, df, ["a"], "label", "id", tree, boosted), *cols)
     few = C.bounded_training_rows(df, "id", 50)
     assert 20 < few.count() < 90 and rows(few, "id") == rows(C.bounded_training_rows(df, "id", 50), "id")
+
+
+def test_boxes_leave_out_what_is_farther():
+    """The nearest of a block, found with a small part of its rows compared."""
+    rng = np.random.default_rng(4)
+    x, ids = np.round(rng.normal(size=(5000, 3)), 1), rng.permutation(5000)
+    block = C._Block(x, ids, ids % 2, 4)
+    q = np.round(rng.normal(size=(60, 3)), 1)
+    at, dist, compared = block.search(q)
+    for i in range(len(q)):
+        want = sorted(zip(np.sqrt(((x - q[i]) ** 2).sum(1)).tolist(), ids.tolist()))[:4]
+        assert list(zip(dist[i].tolist(), block.ids[at[i]].tolist())) == want
+    assert compared.mean() < 0.3 * len(x)
+
+
+def test_blocks_are_one_pass(spark):
+    """However many blocks, the query rows go through one Python worker."""
+    train = spark.createDataFrame([(i, [float(i)], i % 2) for i in range(40)], "id BIGINT, x ARRAY<DOUBLE>, label INT")
+    out = C.knn_classify(train, train, "x", "label", "id", block_rows=5)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert out.where("prediction = label").count() == 40
