@@ -44,6 +44,33 @@ def test_tsv_to_parquet_infers_and_keeps_bad_rows(spark):
     assert typed.count() == 0
 
 
+def test_tsv_to_parquet_parses_fitting_lines_once(spark, monkeypatch):
+    """Lines that fit go straight to the table, without a staged copy; bad ones, of any column, are all kept."""
+    staged = []
+    monkeypatch.setattr(DU, "scratch_path", lambda s, name: staged.append(name) or scratch_path(s, name))
+    for lines, bad in ((["1\t2020-01-01\t2.5", "2\t\t3"], []), (["1\t2020-01-01\t2.5", "x\t2020-01-01\t2", "3\t2020-01-01\tx", "4\tx\t1", "5"], [1, 2, 3, 4])):
+        staged.clear()
+        root, dst = local_path(scratch_path(spark, "tsv")), scratch_path(spark, "pq")
+        for day in ("20200105", "20200106"):
+            os.makedirs(f"{root}/day={day}")
+            with open(f"{root}/day={day}/part.tsv", "w") as f:
+                f.write("a\tb\tc\n" + "\n".join(lines) + "\n")
+        out = DU.tsv_to_parquet(spark, root, dst, schema="a INT, b DATE, c DOUBLE")
+        kept = spark.read.parquet(f"{dst}_rejected")
+        assert out.count() == 2 * (len(lines) - len(bad)) and [n for n, _ in kept.dtypes] == ["_file", "line", "date"]
+        assert rows(kept, "date", "line") == sorted((D(2020, 1, d), lines[i]) for d in (5, 6) for i in bad)
+        assert len(staged) == (1 if bad else 0)
+        # Nothing fits, then nothing at all: the days already there stay.
+        for schema, left in (("a DATE, b INT, c DATE", len(lines)), ("a INT, b DATE, c DOUBLE", 0)):
+            if not left:
+                for day in ("20200105", "20200106"):
+                    with open(f"{root}/day={day}/part.tsv", "w") as f:
+                        f.write("a\tb\tc\n")
+            DU.tsv_to_parquet(spark, root, dst, schema=schema)
+            assert spark.read.parquet(f"{dst}_rejected").count() == 2 * left
+            assert spark.read.parquet(dst).count() == 2 * (len(lines) - len(bad))
+
+
 def test_load_tables_for_a_range(spark):
     root, dst = local_path(scratch_path(spark, "raw")), scratch_path(spark, "loaded")
     for table in ("inputs", "outputs"):
