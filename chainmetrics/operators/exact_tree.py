@@ -26,6 +26,7 @@ from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -45,7 +46,7 @@ GROUP_ROWS = 500_000
 #: Rows are led through so many levels before their node is stored.
 ROUTE_LEVELS = 16
 #: A tree of at most so many nodes is broadcast for predictions.
-BROADCAST_NODES = 100_000
+BROADCAST_NODES = 1_000_000
 #: Rows of a finished subtree that one task predicts, about.
 SHARE_ROWS = 200_000
 TREE = "root string, node int, feature int, threshold double, gain double, left int, right int, n long, prediction int"
@@ -469,15 +470,23 @@ def _routed(rows: DataFrame, top: _Top) -> DataFrame:
 class _Arrays:
     """The whole tree as arrays, children as positions."""
 
-    def __init__(self, rows: list):
-        at = {(r.root, r.node): i for i, r in enumerate(rows)}
-        child = lambda r, k, side: -1 if k is None else at[(r.root + side, 0)] if k < 0 else at[(r.root, k)]
-        self.feature = np.array([-1 if r.feature is None else r.feature for r in rows], np.int64)
-        self.threshold = np.array([0.0 if r.threshold is None else r.threshold for r in rows])
-        self.left = np.array([child(r, r.left, "0") for r in rows], np.int64)
-        self.right = np.array([child(r, r.right, "1") for r in rows], np.int64)
-        self.prediction = np.array([r.prediction for r in rows], np.int32)
-        self.top = at.get(("", 0))
+    def __init__(self, tree: pa.Table):
+        get = lambda c, none: tree.column(c).fill_null(none).to_numpy()
+        # Nodes of a subtree follow each other, by number.
+        root = pc.dictionary_encode(tree.column("root").combine_chunks())
+        roots, root = root.dictionary.to_pylist(), root.indices.to_numpy()
+        node, left, right = get("node", 0), get("left", -2), get("right", -2)
+        order = np.lexsort((node, root))
+        first = np.searchsorted(root[order], np.arange(len(roots)))
+        at = {r: int(first[i]) for i, r in enumerate(roots)}
+        below = np.array([[at.get(r + side, -1) for side in "01"] for r in roots], np.int32).reshape(-1, 2)
+        root = root[order]
+        # -1: the top of another subtree, -2: a leaf.
+        self.left, self.right = (np.where(c == -1, below[root, i], np.where(c < 0, -1, first[root] + c)).astype(np.int32)
+                                 for i, c in enumerate((left[order], right[order])))
+        self.feature = get("feature", -1)[order].astype(np.int16)
+        self.threshold, self.prediction = get("threshold", 0.0)[order], get("prediction", 0)[order].astype(np.int32)
+        self.top = at.get("")
 
     def predict(self, x: np.ndarray) -> np.ndarray:
         node, todo = np.full(len(x), self.top), np.arange(len(x))
@@ -489,26 +498,27 @@ class _Arrays:
         return self.prediction[node]
 
 
-def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str = "prediction") -> DataFrame:
-    """Append the class of every row (null for a tree without nodes)."""
+def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str = "prediction", values=vector) -> DataFrame:
+    """Append the class of every row (null for a tree without nodes); ``values`` makes the vector of the features."""
     n = tree.count()
     if n == 0:
         return df.withColumn(prediction, F.lit(None).cast("int"))
     if n > BROADCAST_NODES:
         if tree.where("left = -1").count() > BROADCAST_NODES:
-            return _predict_by_joins(df, tree, features, prediction)
-        return _predict_by_roots(df, tree, features, prediction)
-    arrays = df.sparkSession.sparkContext.broadcast(_Arrays(tree.collect()))
+            return _predict_by_joins(df, tree, features, prediction, values)
+        return _predict_by_roots(df, tree, features, prediction, values=values)
+    arrays = df.sparkSession.sparkContext.broadcast(_Arrays(tree.drop("gain", "n").toArrow()))
 
     @F.pandas_udf("int")
     def classify(x):
         import pandas as pd
         return pd.Series(arrays.value.predict(np.stack(x.to_numpy())) if len(x) else [], dtype="int32")
 
-    return df.withColumn(prediction, classify(vector(features)))
+    return df.withColumn(prediction, classify(values(features)))
 
 
-def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str, share_rows: int = SHARE_ROWS) -> DataFrame:
+def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str, share_rows: int = SHARE_ROWS,
+                      values=vector) -> DataFrame:
     """A tree beyond broadcasting: its distributed part leads every row to the subtree that ends
     it, and rows and nodes of a subtree meet, many rows in several shares."""
     spark, names = df.sparkSession, df.columns
@@ -527,7 +537,7 @@ def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], p
                 ends = route(_values(b.column(at)), np.zeros(b.num_rows, np.int64))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends, pa.int32())], [*b.schema.names, "_at"])
 
-    rows = df.withColumn("_x", vector(features))
+    rows = df.withColumn("_x", values(features))
     rows = materialize(rows.mapInArrow(lead, StructType([*rows.schema.fields, StructField("_at", IntegerType())])))
     ends = spark.createDataFrame([(top.root[v], v) for v in nodes if top.left[v] < 0], "root string, _at int")
     shares = rows.groupBy("_at").count().select("_at", F.ceil(F.col("count") / share_rows).cast("int").alias("_n"))
@@ -552,10 +562,10 @@ def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], p
     return dealt.groupBy(*key).cogroup(kept.groupBy(*key)).applyInArrow(run, schema)
 
 
-def _predict_by_joins(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str) -> DataFrame:
+def _predict_by_joins(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str, values=vector) -> DataFrame:
     """A tree beyond broadcasting: rows step down together, one join with the tree a level."""
     names = df.columns
-    rows = df.withColumn("_x", vector(features)).withColumns({"_root": F.lit(""), "_node": F.lit(0), prediction: F.lit(None).cast("int")})
+    rows = df.withColumn("_x", values(features)).withColumns({"_root": F.lit(""), "_node": F.lit(0), prediction: F.lit(None).cast("int")})
     t = tree.select(*[F.col(c).alias(f"_t_{c}") for c in tree.columns])
     out = None
     while True:
