@@ -45,7 +45,7 @@ class Model:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """Append the class to every row."""
-        return T.predict(df, self.tree, self.features, self.prediction, BB._values)
+        return T.predict(df, self.tree, self.features, self.prediction, BB.numbers)
 
     def save(self, spark, path: str) -> None:
         """Two tables below ``path`` (A13), overwritten: ``nodes``, and ``features`` by number."""

@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import IntegerType, StructField, StructType
 
+from chainmetrics.operators.binary_boosting import row_function
 from chainmetrics.session import materialize, ship_package
 
 LOCAL_ROWS = 200_000
@@ -53,8 +54,12 @@ TREE = "root string, node int, feature int, threshold double, gain double, left
 UNITS = 1e9
 
 
+def numbers(features: Sequence[str]) -> list[Column]:
+    return [F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in features]
+
+
 def vector(features: Sequence[str]) -> Column:
-    return F.array(*[F.coalesce(F.nanvl(F.col(c).cast("double"), F.lit(0.0)), F.lit(0.0)) for c in features])
+    return F.array(*numbers(features))
 
 
 # -- local part ------------------------------------------------------------------
@@ -498,8 +503,8 @@ class _Arrays:
         return self.prediction[node]
 
 
-def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str = "prediction", values=vector) -> DataFrame:
-    """Append the class of every row (null for a tree without nodes); ``values`` makes the vector of the features."""
+def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str = "prediction", values=numbers) -> DataFrame:
+    """Append the class of every row (null for a tree without nodes); ``values``: columns of the features."""
     n = tree.count()
     if n == 0:
         return df.withColumn(prediction, F.lit(None).cast("int"))
@@ -508,17 +513,12 @@ def predict(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction:
             return _predict_by_joins(df, tree, features, prediction, values)
         return _predict_by_roots(df, tree, features, prediction, values=values)
     arrays = df.sparkSession.sparkContext.broadcast(_Arrays(tree.drop("gain", "n").toArrow()))
-
-    @F.pandas_udf("int")
-    def classify(x):
-        import pandas as pd
-        return pd.Series(arrays.value.predict(np.stack(x.to_numpy())) if len(x) else [], dtype="int32")
-
-    return df.withColumn(prediction, classify(values(features)))
+    ship_package(df.sparkSession)
+    return df.withColumn(prediction, row_function(lambda x: arrays.value.predict(x))(*values(features)))
 
 
 def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str, share_rows: int = SHARE_ROWS,
-                      values=vector) -> DataFrame:
+                      values=numbers) -> DataFrame:
     """A tree beyond broadcasting: its distributed part leads every row to the subtree that ends
     it, and rows and nodes of a subtree meet, many rows in several shares."""
     spark, names = df.sparkSession, df.columns
@@ -537,7 +537,7 @@ def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], p
                 ends = route(_values(b.column(at)), np.zeros(b.num_rows, np.int64))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends, pa.int32())], [*b.schema.names, "_at"])
 
-    rows = df.withColumn("_x", values(features))
+    rows = df.withColumn("_x", F.array(*values(features)))
     rows = materialize(rows.mapInArrow(lead, StructType([*rows.schema.fields, StructField("_at", IntegerType())])))
     ends = spark.createDataFrame([(top.root[v], v) for v in nodes if top.left[v] < 0], "root string, _at int")
     shares = rows.groupBy("_at").count().select("_at", F.ceil(F.col("count") / share_rows).cast("int").alias("_n"))
@@ -562,10 +562,10 @@ def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], p
     return dealt.groupBy(*key).cogroup(kept.groupBy(*key)).applyInArrow(run, schema)
 
 
-def _predict_by_joins(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str, values=vector) -> DataFrame:
+def _predict_by_joins(df: DataFrame, tree: DataFrame, features: Sequence[str], prediction: str, values=numbers) -> DataFrame:
     """A tree beyond broadcasting: rows step down together, one join with the tree a level."""
     names = df.columns
-    rows = df.withColumn("_x", values(features)).withColumns({"_root": F.lit(""), "_node": F.lit(0), prediction: F.lit(None).cast("int")})
+    rows = df.withColumn("_x", F.array(*values(features))).withColumns({"_root": F.lit(""), "_node": F.lit(0), prediction: F.lit(None).cast("int")})
     t = tree.select(*[F.col(c).alias(f"_t_{c}") for c in tree.columns])
     out = None
     while True:

@@ -58,3 +58,37 @@ def test_cells_of_equal_rows():
     assert (tree.dimension == -1).all()
     mixed = np.array([[0.0]] * 5 + [[7.0]] * 95)
     assert len(set(K.Cells.build(mixed, 8, 2).of(mixed).tolist())) == 2
+
+
+def test_votes_of_rows_are_those_of_one():
+    """The votes of many rows at once, with ties, neighbours at distance 0 and fewer than k of them."""
+    rng = np.random.default_rng(8)
+    dist, labels = np.sort(rng.integers(0, 4, (500, 4)).astype(float), axis=1), rng.integers(0, 3, (500, 4)).astype(np.int32)
+    dist[::7, 2:] = np.inf
+    want = [C.vote([{"dist": d, "tlabel": y} for d, y in zip(r, v) if np.isfinite(d)]) for r, v in zip(dist.tolist(), labels.tolist())]
+    assert K.votes(dist, labels).tolist() == want
+
+
+def test_equal_rows_are_searched_once():
+    """However often a vector occurs, a block keeps the k smallest ids of it, and equal queries are one."""
+    x = np.repeat([[1.0, 2.0], [3.0, 4.0]], 1000, axis=0)
+    ids = np.random.default_rng(1).permutation(2000)
+    block = C._Block(x, ids, ids % 2, 4)
+    assert len(block.x) == 8
+    at, dist, compared = block.search(np.array([[1.0, 2.0], [3.0, 4.5]]))
+    assert block.ids[at].tolist() == [sorted(ids[:1000].tolist())[:4], sorted(ids[1000:].tolist())[:4]] and compared.max() <= 8
+    some, of = K._distinct(x[::-1])
+    assert some.tolist() == [[1.0, 2.0], [3.0, 4.0]] and (some[of] == x[::-1]).all()
+
+
+def test_more_training_rows_make_more_cells(spark, monkeypatch):
+    """Cells follow the number of training rows, so that none grows with the table."""
+    monkeypatch.setattr(K, "CELLS", 4)
+    made = []
+    build = K.Cells.build.__func__
+    monkeypatch.setattr(K.Cells, "build", classmethod(lambda cls, sample, cells, least: made.append(cells) or build(cls, sample, cells, least)))
+    train = clustered(600, 1)
+    df = spark.createDataFrame(train, "id long, x array<double>, y int")
+    got = K.nearest(df, df, "x", "y", "id", 4, part_rows=50).collect()
+    want = plain(train, train, 4)
+    assert made == [24] and all([n.tid for n in r._nn] == [i for _, i, _ in want[r.id]] for r in got)
