@@ -13,13 +13,10 @@ is a table as in ``exact_tree``. In the driver are only the sample for the bins,
 
 from __future__ import annotations
 
-import heapq
-import pickle
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
-import pyarrow as pa
 from pyspark import RDD, StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -167,60 +164,19 @@ def _cells(blocks: RDD, top: T._Top, nodes: list[int], width: int, most: int, cl
     return blocks.mapPartitions(run).reduce(np.add).reshape(width, len(nodes), most, classes)
 
 
-def _dealt(sizes: dict[int, int], parts: int) -> dict[int, int]:
-    """A part for every node: the largest nodes first, each to the part with the fewest rows."""
-    heap, out = [(0, p) for p in range(parts)], {}
-    for node in sorted(sizes, key=sizes.get, reverse=True):
-        rows, p = heapq.heappop(heap)
-        out[node] = p
-        heapq.heappush(heap, (rows + sizes[node], p))
-    return out
+def _grown(roots: list[str], classes: int, depth: int, cuts: list[np.ndarray]):
+    """Finishes a node with thresholds instead of bins."""
 
+    def run(node, arrays):
+        bins, y = arrays
+        grown = grow(bins, y.astype(np.int64), classes, depth - len(roots[node]))
+        threshold = np.zeros(len(grown[0]))
+        for f, c in enumerate(cuts):
+            mine = grown[1] == f
+            threshold[mine] = c[grown[2][mine]]
+        return [*grown[:2], threshold, *grown[3:]]
 
-def _finish(blocks: RDD, top: T._Top, sizes: dict[int, int], classes: int, depth: int, cuts: list[np.ndarray], parts: int) -> RDD:
-    """(root, packed columns) of the subtrees of some nodes."""
-    route, local, roots, width = _router(top), np.zeros(len(top.root), bool), top.root, len(cuts)
-    local[list(sizes)] = True
-    part_of = _dealt(sizes, parts)
-
-    def chunks(block):
-        bins, y = block
-        at = route(bins)
-        rows = np.flatnonzero(local[at])
-        rows = rows[np.argsort(at[rows], kind="stable")]
-        ends = np.flatnonzero(np.diff(at[rows])) + 1
-        for some in np.split(rows, ends) if len(rows) else ():
-            yield int(at[some[0]]), (y[some].tobytes(), bins[:, some].tobytes())
-
-    def finish(part):
-        held: dict[int, list] = {}
-        for node, chunk in part:
-            held.setdefault(node, []).append(chunk)
-        while held:
-            node, found = held.popitem()
-            y = [np.frombuffer(c[0], np.int8) for c in found]
-            bins = [np.frombuffer(c[1], np.uint8).reshape(width, -1) for c in found]
-            grown = grow(np.concatenate(bins, axis=1), np.concatenate(y).astype(np.int64), classes, depth - len(roots[node]))
-            threshold = np.zeros(len(grown[0]))
-            for f, c in enumerate(cuts):
-                mine = grown[1] == f
-                threshold[mine] = c[grown[2][mine]]
-            yield roots[node], pickle.dumps([*grown[:2], threshold, *grown[3:]])
-
-    return blocks.flatMap(chunks).partitionBy(parts, part_of.__getitem__).mapPartitions(finish)
-
-
-def _unpack(batches):
-    kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-    names = ["node", "feature", "threshold", "gain", "left", "right", "n", "prediction"]
-    for batch in batches:
-        for root, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            grown = pickle.loads(packed)
-            for s in range(0, len(grown[0]), 100_000):
-                part = [c[s:s + 100_000] for c in grown]
-                leaf = part[1] < 0
-                columns = [pa.array(c.astype(k.to_pandas_dtype()), k, mask=leaf if 0 < i < 6 else None) for i, (c, k) in enumerate(zip(part, kinds))]
-                yield pa.RecordBatch.from_arrays([pa.array([root] * len(leaf), pa.string()), *columns], names=["root", *names])
+    return run
 
 
 def fit(train: DataFrame, features: Sequence[str], label: str, depth: int, prediction: str, seed: int = 0, local_rows: int = LOCAL_ROWS) -> Model:
@@ -273,8 +229,9 @@ def fit(train: DataFrame, features: Sequence[str], label: str, depth: int, predi
     tree = spark.createDataFrame(made, T.TREE)
     if small:
         tasks = max(4 * parts, sum(small.values()) // local_rows)
-        packed = _finish(blocks, top, small, classes, depth, binned.cuts, tasks)
-        tree = tree.unionByName(spark.createDataFrame(packed, "root string, packed binary", verifySchema=False).mapInArrow(_unpack, T.TREE))
+        route = _router(top)
+        tree = tree.unionByName(T.finished(spark, blocks, lambda b: (route(b[0]), b), small, top.root, tasks,
+                                           _grown(top.root, classes, depth, binned.cuts)))
     tree = materialize(tree)
     blocks.unpersist()
     return Model(tuple(features), tree, prediction)

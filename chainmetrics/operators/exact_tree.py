@@ -1,7 +1,8 @@
 """Decision tree with exact entropy splits and no depth limit.
 
-Large nodes are split level by level on Spark, in two passes over the rows, which stay where they
-are and are led through the few nodes made so far. The first counts classes by (node,
+Rows are kept in blocks of values and of codes, the numbers of their quantiles. Large nodes are split level by level
+on Spark, in two passes over the blocks, which stay where they are; rows are led through the few nodes
+made so far, and after some levels those of large nodes are stored anew. The first pass counts classes by (node,
 feature, bin); bins follow the values' quantiles. Their edges are candidates with exact gains.
 The gain is convex in the class counts to the left, so no threshold inside a bin gains
 more than the corners of what the bin can add: bins that can't reach the best edge of their
@@ -22,11 +23,14 @@ distributed nodes root + "0" and root + "1"), all have n and prediction.
 
 from __future__ import annotations
 
+import heapq
+import pickle
 from collections.abc import Sequence
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -44,8 +48,9 @@ CORNER_CLASSES = 5
 SLACK = 2
 #: Rows of the cells that one task searches, about.
 GROUP_ROWS = 500_000
-#: Rows are led through so many levels before their node is stored.
-ROUTE_LEVELS = 16
+#: Rows are led through so many levels before those of the large nodes are stored anew.
+ROUTE_LEVELS = 8
+BLOCK_ROWS = 65_536
 #: A tree of at most so many nodes is broadcast for predictions.
 BROADCAST_NODES = 1_000_000
 #: Rows of a finished subtree that one task predicts, about.
@@ -163,18 +168,52 @@ def grow(x: np.ndarray, y: np.ndarray, classes: int) -> list[np.ndarray]:
     return [np.concatenate(c) for c in zip(*out)]
 
 
-def _finish(nodes: DataFrame, classes: int, roots: dict[int, str]) -> DataFrame:
-    """Whole subtrees of nodes (``at``) that are known to be small."""
-    def run(key, table):
-        table = table.combine_chunks()
-        grown = grow(_values(table.column("x")), table.column("y").to_numpy(), classes)
-        leaf = grown[1] < 0
-        kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
-        columns = [pa.array(c.astype(k.to_pandas_dtype()), k, mask=leaf if i in range(1, 6) else None) for i, (c, k) in enumerate(zip(grown, kinds))]
-        root = pa.array([roots[key[0].as_py()]], pa.string()).take(pa.array(np.zeros(len(leaf), np.int32)))
-        return pa.table([root, *columns], names=["root", "node", "feature", "threshold", "gain", "left", "right", "n", "prediction"])
-
-    return nodes.groupBy("at").applyInArrow(run, TREE)
+def dealt(sizes: dict[int, int], parts: int) -> dict[int, int]:
+    """A part for every node: the largest nodes first, each to the part with the fewest rows."""
+    heap, out = [(0, p) for p in range(parts)], {}
+    for node in sorted(sizes, key=sizes.get, reverse=True):
+        rows, p = heapq.heappop(heap)
+        out[node] = p
+        heapq.heappush(heap, (rows + sizes[node], p))
+    return out
+
+
+def finished(spark, blocks: RDD, ends, sizes: dict[int, int], roots: list[str], parts: int, grown) -> DataFrame:
+    """The tree table of whole subtrees: rows of the nodes in ``sizes`` meet in one task each, which gets
+    ``grown(node, arrays)``. ``ends`` leads a block to (node of every row, arrays with rows last)."""
+    local, part_of = np.zeros(len(roots), bool), dealt(sizes, parts)
+    local[list(sizes)] = True
+
+    def chunks(block):
+        at, arrays = ends(block)
+        rows = np.flatnonzero(local[at])
+        rows = rows[np.argsort(at[rows], kind="stable")]
+        for some in np.split(rows, np.flatnonzero(np.diff(at[rows])) + 1) if len(rows) else ():
+            yield int(at[some[0]]), [np.ascontiguousarray(a[..., some]) for a in arrays]
+
+    def finish(part):
+        held: dict[int, list] = {}
+        for node, chunk in part:
+            held.setdefault(node, []).append(chunk)
+        while held:
+            node, found = held.popitem()
+            yield roots[node], pickle.dumps(grown(node, [np.concatenate(c, axis=-1) for c in zip(*found)]))
+
+    packed = blocks.flatMap(chunks).partitionBy(parts, part_of.__getitem__).mapPartitions(finish)
+    return spark.createDataFrame(packed, "root string, packed binary", verifySchema=False).mapInArrow(_unpack, TREE)
+
+
+def _unpack(batches):
+    kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.int64(), pa.int32()]
+    names = ["node", "feature", "threshold", "gain", "left", "right", "n", "prediction"]
+    for batch in batches:
+        for root, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            grown = pickle.loads(packed)
+            for s in range(0, len(grown[0]), 100_000):
+                part = [c[s:s + 100_000] for c in grown]
+                leaf = part[1] < 0
+                columns = [pa.array(c.astype(k.to_pandas_dtype()), k, mask=leaf if 0 < i < 6 else None) for i, (c, k) in enumerate(zip(part, kinds))]
+                yield pa.RecordBatch.from_arrays([pa.array([root] * len(leaf), pa.string()), *columns], names=["root", *names])
 
 
 # -- distributed part --------------------------------------------------------------
@@ -206,11 +245,12 @@ class _Top:
         threshold = np.array(self.threshold)
 
         def route(x: np.ndarray, at: np.ndarray) -> np.ndarray:
+            """Where rows (features x rows) that have come to ``at`` end."""
             at = at.astype(np.int64)
             todo = np.flatnonzero(feature[at] >= 0)
             while len(todo):
                 here = at[todo]
-                at[todo] = np.where(x[todo, feature[here]] <= threshold[here], left[here], right[here])
+                at[todo] = np.where(x[feature[here], todo] <= threshold[here], left[here], right[here])
                 todo = todo[feature[at[todo]] >= 0]
             return at
 
@@ -244,189 +284,212 @@ def _bins_of(n: int, most: int) -> int:
     return step
 
 
-def _mapped(rows: DataFrame, top: _Top, use, schema: str) -> DataFrame:
-    """``use(x, y, at)`` over the routed rows, batch by batch, and ``use(None, ..)`` at a partition's end."""
-    route = top.router()
+def _blocks(rows: DataFrame, edges: list[np.ndarray]) -> RDD:
+    """Blocks of (codes, values, classes, nodes) of the rows (y, x), features first; a value's code is how many edges lie below."""
 
-    def run(batches):
-        do = use()
+    def pack(batches):
+        held, size = [], 0
         for b in batches:
             if b.num_rows:
-                x = _values(b.column(2))
-                yield from do(x, b.column(1).to_numpy(), route(x, b.column(0).to_numpy()))
-        yield from do(None, None, None)
+                held.append((b.column(0).to_numpy().astype(np.int16), _values(b.column(1))))
+                size += b.num_rows
+            if size >= BLOCK_ROWS:
+                yield block(held)
+                held, size = [], 0
+        if size:
+            yield block(held)
+
+    def block(held):
+        y, x = np.concatenate([h[0] for h in held]), np.ascontiguousarray(np.concatenate([h[1] for h in held]).T)
+        codes = np.stack([np.searchsorted(e, v, side="left").astype(np.uint16) for e, v in zip(edges, x)])
+        return pa.RecordBatch.from_arrays([pa.array([c.tobytes()], pa.binary()) for c in (codes, x, y)], ["codes", "x", "y"])
+
+    def arrays(r):
+        y = np.frombuffer(r.y, np.int16)
+        return np.frombuffer(r.codes, np.uint16).reshape(-1, len(y)), np.frombuffer(r.x).reshape(-1, len(y)), y, np.zeros(len(y), np.int32)
+
+    return rows.mapInArrow(pack, "codes binary, x binary, y binary").rdd.map(arrays).coalesce(rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def _extremes(blocks: RDD, width: int, codes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Smallest and largest value of every (feature, code)."""
+
+    def run(part):
+        low, high = np.full((width, codes), np.inf), np.full((width, codes), -np.inf)
+        for code, x, _, _ in part:
+            for f in range(width):
+                order = np.argsort(x[f], kind="stable")  # codes rise with the values
+                c, v = code[f][order], x[f][order]
+                first = np.flatnonzero(np.r_[True, c[1:] != c[:-1]])
+                low[f, c[first]] = np.minimum(low[f, c[first]], v[first])
+                last = np.r_[first[1:], len(c)] - 1
+                high[f, c[last]] = np.maximum(high[f, c[last]], v[last])
+        yield low, high
 
-    return rows.mapInArrow(run, schema)
+    return blocks.mapPartitions(run).reduce(lambda a, b: (np.minimum(a[0], b[0]), np.maximum(a[1], b[1])))
 
 
-def _splits(rows: DataFrame, top: _Top, open_: dict[int, np.ndarray], classes: int, edges: list[np.ndarray]) -> dict[int, tuple]:
+def _splits(blocks: RDD, top: _Top, open_: dict[int, np.ndarray], classes: int, most: int, low: np.ndarray, high: np.ndarray) -> dict[int, tuple]:
     """{node: (units, feature, threshold, class counts to the left)} of the best split of every
     open node ({node: class counts}); nodes of equal rows have none."""
-    nodes, width = sorted(open_), len(edges)
+    nodes, width, route = sorted(open_), len(low), top.router()
+    sizes = [open_[v].astype(float) for v in nodes]
     place = np.full(len(top.root), -1)
     place[nodes] = np.arange(len(nodes))
-    most = max(len(e) for e in edges) + 1
-    step = np.array([_bins_of(int(open_[v].sum()), most) for v in nodes])
+    step = np.array([_bins_of(int(n.sum()), most) for n in sizes])
     bins = (most - 1) // step + 1
-    begins = np.cumsum(bins * width) - bins * width
-    counts = [f"c{k}" for k in range(classes)]
-
-    def cells_of(x, at, f):
-        """Cell of every row of an open node: node, then feature, then bin."""
-        slot = place[at]
-        return begins[slot] + f * bins[slot] + np.searchsorted(edges[f], x[:, f], side="left") // step[slot]
-
-    def histogram():
-        size = int((bins * width).sum())
-        n, low, high = np.zeros((classes, size), np.int64), np.full(size, np.inf), np.full(size, -np.inf)
-
-        def do(x, y, at):
-            if x is None:
-                there = np.flatnonzero(high >= low)
-                slot = np.searchsorted(begins, there, side="right") - 1
-                feature, bin_ = np.divmod(there - begins[slot], bins[slot])
-                for s in range(0, len(there), 100_000):
-                    part = slice(s, s + 100_000)
-                    yield pa.RecordBatch.from_arrays([pa.array(c[part]) for c in (slot, feature, bin_, low[there], high[there], *n[:, there])],
-                                                     ["slot", "feature", "bin", "low", "high", *counts])
-                return
-            mine = place[at] >= 0
-            x, y, at = x[mine], y[mine], at[mine]
+    begins = np.cumsum(bins) - bins
+    size = int(bins.sum())
+
+    def mine(part):
+        """Slots of the rows of open nodes, their cells (features x rows; slot, then bin), values and classes."""
+        for code, x, y, at in part:
+            slot = place[route(x, at)]
+            rows = np.flatnonzero(slot >= 0)
+            if len(rows) < len(slot):
+                code, x, y, slot = code.take(rows, axis=1), x.take(rows, axis=1), y[rows], slot[rows]
+            if len(rows):
+                yield slot, begins[slot] + code // step[slot], x, y
+
+    def histogram(part):
+        n = np.zeros((width, size * classes), np.int64)
+        for _, cells, _, y in mine(part):
             for f in range(width):
-                cell = cells_of(x, at, f)
-                for k in range(classes):
-                    np.add.at(n[k], cell[y == k], 1)
-                np.minimum.at(low, cell, x[:, f])
-                np.maximum.at(high, cell, x[:, f])
-
-        return do
-
-    sizes = [open_[v].astype(float) for v in nodes]
-
-    def edges_and_bounds(key, table):
-        """The best edge (bin -1), and the bins that may hold better thresholds, with the counts before them."""
-        slot, feature = (k.as_py() for k in key)
-        bin_ = table.column("bin").to_numpy()
-        there, at = np.unique(bin_, return_inverse=True)
-        n = np.stack([np.bincount(at, table.column(c).to_numpy(), len(there)) for c in counts], 1)
-        low, high = np.full(len(there), np.inf), np.full(len(there), -np.inf)
-        np.minimum.at(low, at, table.column("low").to_numpy())
-        np.maximum.at(high, at, table.column("high").to_numpy())
-        upto = np.cumsum(n, axis=0)
-        out = [(-1, -1.0, 0.0, np.zeros(classes))]
+                n[f] += np.bincount(cells[f] * classes + y, minlength=size * classes)
+        for s, (b, k) in enumerate(zip(begins, bins)):
+            for f in range(width):
+                yield (s, f), n[f, b * classes:(b + k) * classes]
+
+    def edge_and_bounds(found):
+        """The best edge (slot, feature, units, its bin, the next one, counts to its left), and the bins that may hold
+        better thresholds: (slot, feature, bound, bin, -1, counts before it, rows)."""
+        (slot, feature), n = found
+        n = n.reshape(-1, classes)
+        there = np.flatnonzero(n.any(1))
+        n, upto, out, least = n[there], np.cumsum(n[there], axis=0), [], -1.0
         if len(there) > 1:
             units = _gains(upto[:-1], sizes[slot])
-            b = int(units.argmax())
-            middle = high[b] + (low[b + 1] - high[b]) / 2
-            out = [(-1, units[b], middle if middle < low[b + 1] else high[b], upto[b])]
+            b, least = int(units.argmax()), float(units.max())
+            out.append((slot, feature, least, int(there[b]), int(there[b + 1]), upto[b], 0))
         bound = np.full(len(there), np.inf)
         if classes <= CORNER_CLASSES:
             bound = np.max([_gains(upto - n + n * [c >> k & 1 for k in range(classes)], sizes[slot]) for c in range(1 << classes)], axis=0)
-        for b in np.flatnonzero((high > low) & (bound + SLACK >= out[0][1])):
-            out.append((int(there[b]), bound[b], 0.0, (upto - n)[b]))
-        names = ["bin", "units", "threshold", *[f"l{k}" for k in range(classes)]]
-        columns = [pa.array(c) for c in ([o[0] for o in out], [float(o[1]) for o in out], [float(o[2]) for o in out], *[[int(o[3][k]) for o in out] for k in range(classes)])]
-        return pa.table([pa.array([v] * len(out), pa.int32()) for v in (slot, feature)] + [c.cast(pa.int32()) if i == 0 else c for i, c in enumerate(columns)],
-                        names=["slot", "feature", *names])
-
-    lefts = ", ".join(f"l{k} long" for k in range(classes))
-    cells = _mapped(rows, top, histogram, "slot long, feature long, bin long, low double, high double, " + ", ".join(f"{c} long" for c in counts))
-    found = cells.groupBy("slot", "feature").applyInArrow(edges_and_bounds, f"slot int, feature int, bin int, units double, threshold double, {lefts}").toArrow()
-    slot, feature, bin_, units, threshold = (found.column(i).to_numpy() for i in range(5))
-    left = np.stack([found.column(5 + k).to_numpy() for k in range(classes)], 1)
-    best: dict[int, tuple] = {}
-
-    def offer(slots, units, features, thresholds, lefts):
-        for s, u, f, t, a in zip(slots.tolist(), units.tolist(), features.tolist(), thresholds.tolist(), lefts):
-            if u >= 0 and (s not in best or (u, -f, -t) > (best[s][0], -best[s][1], -best[s][2])):
-                best[s] = (u, f, t, a)
-
-    edge = bin_ < 0
-    offer(slot[edge], units[edge], feature[edge], threshold[edge], left[edge])
-    reach = np.array([best[s][0] if s in best else -1.0 for s in range(len(nodes))])
-    alive = np.flatnonzero(~edge & (units + SLACK >= reach[slot]))
-    if len(alive):
-        cell = begins[slot[alive]] + feature[alive] * bins[slot[alive]] + bin_[alive]
-        order = np.argsort(cell)
-        searched, before = cell[order], left[alive][order]
-        # Cells are dealt to groups of about GROUP_ROWS rows; a cell is a quantile's share of the rows.
-        groups = int(min(len(searched), 1 + sum(int(v.sum()) for v in open_.values()) * width // GROUP_ROWS))
-        shared = rows.sparkSession.sparkContext.broadcast((searched, before))
-
-        def values():
-            searched, _ = shared.value
-
-            def do(x, y, at):
-                if x is None:
-                    return
-                mine = place[at] >= 0
-                x, y, at = x[mine], y[mine], at[mine]
-                for f in range(width):
-                    cell = cells_of(x, at, f)
-                    i = np.minimum(np.searchsorted(searched, cell), len(searched) - 1)
-                    keep = np.flatnonzero(searched[i] == cell)
-                    if not len(keep):
-                        continue
-                    i, v, c = i[keep], x[keep, f], y[keep]
-                    o = np.lexsort((v, i))
-                    i, v, c = i[o], v[o], c[o]
-                    first = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (v[1:] != v[:-1])])
-                    n = [np.add.reduceat((c == k).astype(np.int64), first) for k in range(classes)]
-                    yield pa.RecordBatch.from_arrays([pa.array(w) for w in (i[first] % groups, i[first], v[first], *n)], ["part", "at", "value", *counts])
-
-            return do
-
-        def search(table):
-            """The best threshold of every node among the values of some cells."""
-            searched, before = shared.value
-            i, v = table.column("at").to_numpy(), table.column("value").to_numpy()
-            o = np.lexsort((v, i))
-            i, v = i[o], v[o]
-            first = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (v[1:] != v[:-1])])
-            n = np.stack([np.add.reduceat(table.column(c).to_numpy()[o], first) for c in counts], 1)
-            i, v = i[first], v[first]
+        codes = there * step[slot]
+        of = lambda f, v: f.reduceat(v[feature], np.arange(0, most, step[slot]))[there]
+        different = of(np.maximum, high) > of(np.minimum, low) if len(codes) else np.zeros(0, bool)
+        for b in np.flatnonzero(different & (n.sum(1) > 1) & (bound + SLACK >= least)):
+            out.append((slot, feature, float(bound[b]), int(there[b]), -1, (upto - n)[b], int(n[b].sum())))
+        return out
+
+    parts = blocks.getNumPartitions()
+    found = blocks.mapPartitions(histogram).reduceByKey(np.add, parts).flatMap(edge_and_bounds).collect()
+    edge: dict[int, tuple] = {}
+    for r in found:
+        if r[4] >= 0 and (r[0] not in edge or (r[2], -r[1]) > (edge[r[0]][2], -edge[r[0]][1])):
+            edge[r[0]] = r
+    alive = sorted((int(r[1] * size + begins[r[0]] + r[3]), r) for r in found if r[4] < 0 and (r[0] not in edge or r[2] + SLACK >= edge[r[0]][2]))
+    searched, before = np.array([c for c, _ in alive], np.int64), np.array([r[5] for _, r in alive], np.int64).reshape(-1, classes)
+    # The cells to be searched are dealt to groups of about GROUP_ROWS rows.
+    groups = int(min(max(len(alive), 1), 1 + sum(r[6] for _, r in alive) // GROUP_ROWS))
+    won = [(s, r[1], int(begins[s] + r[3]), int(begins[s] + r[4])) for s, r in edge.items()]
+    shared = blocks.context.broadcast((searched, before))
+
+    def values(part):
+        """(group, (place in ``searched``, value, class counts)), and under the last number the values beside the best edges."""
+        searched, _ = shared.value
+        held = [[] for _ in range(width)]
+        beside = np.array([[-np.inf, np.inf]] * len(won)).reshape(-1, 2)
+        for slot, cells, x, y in mine(part):
+            for j, (_, f, a, b) in enumerate(won):
+                here = x[f][cells[f] == a], x[f][cells[f] == b]
+                beside[j] = here[0].max(initial=beside[j, 0]), here[1].min(initial=beside[j, 1])
+            for f in range(width):
+                if not len(searched):
+                    continue
+                cell = cells[f] + f * size
+                i = np.minimum(np.searchsorted(searched, cell), len(searched) - 1)
+                keep = np.flatnonzero(searched[i] == cell)
+                if len(keep):
+                    held[f].append(_summed(i[keep], x[f][keep], np.eye(classes, dtype=np.int64)[y[keep]]))
+        for chunks in held:
+            if chunks:
+                i, v, n = _summed(*(np.concatenate(c) for c in zip(*chunks)))
+                for g in range(groups):
+                    some = i % groups == g
+                    if some.any():
+                        yield g, (i[some], v[some], n[some])
+        yield groups, beside
+
+    def search(part):
+        """The best threshold of every node among the values of some cells, or the values beside the edges."""
+        searched, before = shared.value
+        held: dict[int, list] = {}
+        for g, chunk in part:
+            held.setdefault(g, []).append(chunk)
+        for g, chunks in held.items():
+            if g == groups:
+                yield None, np.stack([np.max([c[:, 0] for c in chunks], axis=0), np.min([c[:, 1] for c in chunks], axis=0)], 1)
+                continue
+            i, v, n = _summed(*(np.concatenate(c) for c in zip(*chunks)))
             upto = np.cumsum(n, axis=0)
             cell_first = np.flatnonzero(np.r_[True, i[1:] != i[:-1]])
             upto = upto - np.repeat((upto - n)[cell_first], np.diff(np.r_[cell_first, len(i)]), axis=0) + before[i]
             at = np.flatnonzero(i[1:] == i[:-1])
-            slots = np.searchsorted(begins, searched[i[at]], side="right") - 1
-            features = (searched[i[at]] - begins[slots]) // bins[slots]
-            out = []
+            features, cells = np.divmod(searched[i[at]], size)
+            slots = np.searchsorted(begins, cells, side="right") - 1
             for s in np.unique(slots):
-                mine = at[slots == s]
-                f = features[slots == s]
-                units = _gains(upto[mine], sizes[s])
-                o = np.lexsort((v[mine], f, -units))[0]
-                a, b = v[mine[o]], v[mine[o] + 1]
-                middle = a + (b - a) / 2
-                out.append((int(s), int(f[o]), float(units[o]), float(middle if middle < b else a), *[int(w) for w in upto[mine[o]]]))
-            kinds = [pa.int32(), pa.int32(), pa.float64(), pa.float64(), *[pa.int64()] * classes]
-            names = ["slot", "feature", "units", "threshold", *[f"l{k}" for k in range(classes)]]
-            return pa.table([pa.array([o[j] for o in out], k) for j, k in enumerate(kinds)], names=names)
-
-        inside = _mapped(rows, top, values, "part long, at long, value double, " + ", ".join(f"{c} long" for c in counts))
-        found = inside.groupBy("part").applyInArrow(search, f"slot int, feature int, units double, threshold double, {lefts}").toArrow()
-        offer(found.column(0).to_numpy(), found.column(2).to_numpy(), found.column(1).to_numpy(), found.column(3).to_numpy(),
-              np.stack([found.column(4 + k).to_numpy() for k in range(classes)], 1))
-        shared.unpersist()
+                some, f = at[slots == s], features[slots == s]
+                units = _gains(upto[some], sizes[s])
+                o = np.lexsort((v[some], f, -units))[0]
+                yield int(s), (float(units[o]), int(f[o]), _middle(v[some[o]], v[some[o] + 1]), upto[some[o]])
+
+    best: dict[int, tuple] = {}
+
+    def offer(s, u, f, t, left):
+        if u >= 0 and (s not in best or (u, -f, -t) > (best[s][0], -best[s][1], -best[s][2])):
+            best[s] = (u, f, t, left)
+
+    for s, got in blocks.mapPartitions(values).partitionBy(groups + 1, int).mapPartitions(search).collect():
+        if s is not None:
+            offer(s, *got)
+            continue
+        for (slot, f, _, _), (a, b) in zip(won, got):
+            offer(slot, edge[slot][2], f, _middle(a, b), edge[slot][5])
+    shared.unpersist()
     return {nodes[s]: b for s, b in best.items()}
 
 
+def _middle(a: float, b: float) -> float:
+    middle = a + (b - a) / 2
+    return float(middle if middle < b else a)
+
+
+def _summed(i: np.ndarray, v: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Class counts by (cell, value), in that order."""
+    o = np.lexsort((v, i))
+    i, v = i[o], v[o]
+    first = np.flatnonzero(np.r_[True, (i[1:] != i[:-1]) | (v[1:] != v[:-1])])
+    return i[first], v[first], np.add.reduceat(n[o], first, axis=0)
+
+
 def fit(train: DataFrame, features: Sequence[str], label: str = "label", classes: int = 2, local_rows: int = LOCAL_ROWS,
         levels: int | None = None, blocks: int = BINS) -> DataFrame:
     """The tree table of ``train``; labels are 0 .. classes - 1, other rows don't learn.
 
     ``levels``: stop there (rows below become leaves); default: no limit."""
-    spark = train.sparkSession
+    spark, width = train.sparkSession, len(features)
     ship_package(spark)
     y = F.col(label).cast("int")
-    # Few parts, as each sends its counts once: as many as tasks run at a time.
-    rows = materialize(train.where(y.between(0, classes - 1)).select(F.lit(0).alias("at"), y.alias("y"), vector(features).alias("x"))
-                       .repartition(spark.sparkContext.defaultParallelism))
-    edges = _edges(rows, len(features), blocks)
-    top, made, local, level = _Top(), [], [], 0
+    rows = materialize(train.where(y.between(0, classes - 1)).select(y.alias("y"), vector(features).alias("x")))
     counts = {r.y: r["count"] for r in rows.groupBy("y").count().collect()}
-    open_ = {0: np.array([counts.get(k, 0) for k in range(classes)])} if counts else {}
+    if not counts:
+        return spark.createDataFrame([], TREE)
+    edges = _edges(rows, width, blocks)
+    whole = _blocks(rows, edges).persist(StorageLevel.MEMORY_AND_DISK)
+    most = max(len(e) for e in edges) + 1
+    low, high = _extremes(whole, width, most)
+    top, made, small, level, here = _Top(), [], {}, 0, whole
+    open_ = {0: np.array([counts.get(k, 0) for k in range(classes)])}
     while open_:
         last = levels is not None and level >= levels
         large = {}
@@ -434,10 +497,16 @@ def fit(train: DataFrame, features: Sequence[str], label: str = "label", classes
             if last or c.max() == c.sum():
                 made.append((top.root[node], 0, None, None, None, None, None, int(c.sum()), int(c.argmax())))
             elif levels is None and c.sum() <= local_rows:
-                local.append(node)
+                small[node] = int(c.sum())
             else:
                 large[node] = c
-        splits = _splits(rows, top, large, classes, edges) if large else {}
+        if large and level and level % ROUTE_LEVELS == 0:
+            # Rows of other nodes don't take part any more.
+            before, here = here, here.map(_kept(top, list(large))).filter(lambda b: len(b[2])).persist(StorageLevel.MEMORY_AND_DISK)
+            here.count()
+            if before is not whole:
+                before.unpersist()
+        splits = _splits(here, top, large, classes, most, low, high) if large else {}
         open_ = {}
         for node, c in large.items():
             if node not in splits:  # nodes of equal rows have no split
@@ -448,26 +517,30 @@ def fit(train: DataFrame, features: Sequence[str], label: str = "label", classes
             a, b = top.split(node, feature, threshold)
             open_ |= {a: np.asarray(left), b: c - np.asarray(left)}
         level += 1
-        if level % ROUTE_LEVELS == 0 and open_:
-            rows = materialize(_routed(rows, top))
     tree = spark.createDataFrame(made, TREE)
-    if local:
-        here = _routed(rows, top).where(F.col("at").isin(local)) if top.left[0] >= 0 else rows
-        tree = tree.unionByName(_finish(here, classes, {v: top.root[v] for v in local}))
-    return materialize(tree)
+    if small:
+        route = top.router()
+        parts = max(4 * whole.getNumPartitions(), sum(small.values()) // max(1, local_rows))
+        tree = tree.unionByName(finished(spark, whole, lambda b: (route(b[1], b[3]), (b[1], b[2])), small, top.root, parts,
+                                         lambda _, v: grow(np.ascontiguousarray(v[0].T), v[1].astype(np.int64), classes)))
+    tree = materialize(tree)
+    whole.unpersist()
+    here.unpersist()
+    return tree
 
 
-def _routed(rows: DataFrame, top: _Top) -> DataFrame:
-    """The rows with ``at`` brought up to date."""
-    route = top.router()
+def _kept(top: _Top, nodes: list[int]):
+    """The rows of a block that are in some nodes, with their nodes brought up to date."""
+    route, open_ = top.router(), np.zeros(len(top.root), bool)
+    open_[nodes] = True
 
-    def run(batches):
-        for b in batches:
-            if b.num_rows:
-                at = route(_values(b.column(2)), b.column(0).to_numpy())
-                yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), b.column(1), b.column(2)], ["at", "y", "x"])
+    def run(block):
+        code, x, y, at = block
+        at = route(x, at)
+        rows = np.flatnonzero(open_[at])
+        return code.take(rows, axis=1), x.take(rows, axis=1), y[rows], at[rows].astype(np.int32)
 
-    return rows.mapInArrow(run, rows.schema)
+    return run
 
 
 # -- prediction --------------------------------------------------------------------
@@ -534,7 +607,7 @@ def _predict_by_roots(df: DataFrame, tree: DataFrame, features: Sequence[str], p
     def lead(batches):
         for b in batches:
             if b.num_rows:
-                ends = route(_values(b.column(at)), np.zeros(b.num_rows, np.int64))
+                ends = route(_values(b.column(at)).T, np.zeros(b.num_rows, np.int64))
                 yield pa.RecordBatch.from_arrays([*b.columns, pa.array(ends, pa.int32())], [*b.schema.names, "_at"])
 
     rows = df.withColumn("_x", F.array(*values(features)))
